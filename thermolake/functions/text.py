@@ -6,7 +6,7 @@ separators U+001C..U+001F that Python counts as white space and Java does not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITE = r"[\s\x1c-\x1f]"
@@ -28,28 +28,29 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), rf"(?U){WHITE}+"), lambda t: t != "")
 
 
-def term_counts(token_array: Column) -> Column:
-    """``array<struct<term, tf>>`` of one row's tokens.
+def explode_terms(rows: DataFrame, token_column: str, *keep: str) -> DataFrame:
+    """``(*keep, term, tf)`` per distinct token of each row.
 
     Sorting the row's own tokens and measuring run lengths needs no shuffle, unlike
-    ``explode`` + ``groupBy(row, term)``.
+    ``explode`` + ``groupBy(row, term)``. The steps are columns because a lambda re-evaluates
+    whatever expression it mentions for every element.
     """
-    ordered = F.array_sort(token_array)
-    n = F.size(ordered)
-    starts = F.filter(
-        F.transform(
-            ordered,
-            lambda t, i: F.when((i == 0) | (t != F.get(ordered, i - 1)), i),
-        ),
-        lambda i: i.isNotNull(),
+    ordered, starts = F.col("_ordered"), F.col("_starts")
+    first_of_run = F.transform(
+        ordered, lambda t, i: F.when((i == 0) | (t != F.get(ordered, i - 1)), i)
     )
-    return F.transform(
+    runs = F.transform(
         starts,
-        lambda s, j: F.struct(
-            F.get(ordered, s).alias("term"),
-            (F.coalesce(F.get(starts, j + 1), n) - s).alias("tf"),
+        lambda start, j: F.struct(
+            F.get(ordered, start).alias("term"),
+            (F.coalesce(F.get(starts, j + 1), F.col("_size")) - start).alias("tf"),
         ),
     )
+    return (
+        rows.withColumn("_ordered", F.array_sort(token_column))
+        .withColumns({"_starts": F.array_compact(first_of_run), "_size": F.size("_ordered")})
+        .select(*keep, F.inline(runs))
+    )
 
 
 def fingerprint(text: Column) -> Column:

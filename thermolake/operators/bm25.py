@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermolake import settings
-from thermolake.functions.text import term_counts, tokens
+from thermolake.functions.text import explode_terms, tokens
 from thermolake.operators.block_topk import Scorer, block_top_k, query_blocks, rank_hits
 
 # Queries scored together in one matrix, and the cells of one intermediate product.
@@ -28,9 +28,7 @@ def with_tokens(chunks: DataFrame) -> DataFrame:
 
 def postings(tokenised: DataFrame) -> DataFrame:
     """Inverted index rows ``(term, id, tf, dl)``; counted inside each row, not shuffled."""
-    return tokenised.select("id", "dl", F.inline(term_counts(F.col("tokens")))).select(
-        "term", "id", "tf", "dl"
-    )
+    return explode_terms(tokenised, "tokens", "id", "dl").select("term", "id", "tf", "dl")
 
 
 def document_frequencies(tokenised: DataFrame) -> DataFrame:
@@ -117,8 +115,9 @@ class TextIndex:
 
 def query_terms(queries: DataFrame, terms: DataFrame) -> DataFrame:
     """``(query_id, term, qtf, idf)``: a repeated query word counts each time."""
-    counted = queries.select("query_id", F.inline(term_counts(tokens(F.col("query")))))
-    return counted.withColumnRenamed("tf", "qtf").join(terms, "term").select(
+    split = queries.select("query_id", tokens(F.col("query")).alias("_tokens"))
+    counted = explode_terms(split, "_tokens", "query_id").withColumnRenamed("tf", "qtf")
+    return counted.join(terms, "term").select(
         "query_id", "term", "qtf", "idf"
     )
 
