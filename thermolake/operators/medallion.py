@@ -146,6 +146,15 @@ def reduction_check(silver: DataFrame, gold: DataFrame) -> DataFrame:
     return totals.withColumn("is_reduced", F.col("gold_rows") < F.col("silver_rows"))
 
 
+def require_reduction(silver: DataFrame, gold: DataFrame) -> None:
+    """Audit for a Gold snapshot, run before it is published."""
+    row = reduction_check(silver, gold).first()
+    if not row["is_reduced"]:
+        raise NotAnAggregate(
+            f"Gold has {row['gold_rows']} rows for {row['silver_rows']} Silver rows"
+        )
+
+
 def distinct_keys(rows: DataFrame, key: str = BUSINESS_KEY) -> DataFrame:
     """Row count, exact and approximate key count."""
     return rows.agg(

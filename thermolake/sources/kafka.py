@@ -50,7 +50,8 @@ def publish(rows: DataFrame, bootstrap: str, topic: str, key: str = "machine_id"
     (
         keyed_messages(rows, key)
         .observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.format(fmt)
+        .write.mode("append")
+        .format(fmt)
         .options(**write_options(bootstrap, topic))
         .save()
     )
