@@ -121,8 +121,6 @@ def test_bm25_matches_plain_okapi(spark, tmp_path, monkeypatch, limit):
             yield block
 
     monkeypatch.setattr(B, "query_blocks", small_blocks)
-    monkeypatch.setattr(B, "QUERIES_PER_MATRIX", 4)
-    monkeypatch.setattr(B, "PRODUCT_CELLS", 50)
     found = B.bm25_search(index, asked, k=8).collect()
     assert (len(blocks) > 1) == (limit == 200)
     chunks = plain_chunks(texts, 1)
@@ -239,7 +237,7 @@ def retrieve(spark, tmp_path):
     index = B.TextIndex.build(D.chunk(corpus(spark, TEXTS)), f"{tmp_path}/i", embed=embed)
     asked = spark.createDataFrame(list(enumerate(QUESTIONS)), "query_id bigint, query string")
     vectors = V.hashing_embedder(64, "query")(asked).select("query_id", "embedding")
-    scorer = X.idf_overlap(index.terms())
+    scorer = X.idf_overlap(asked, index.terms())
     stages = X.funnel(
         V.dense_hits(V.dense_search(index.chunks(), vectors)),
         B.bm25_hits(B.bm25_search(index, asked)),
@@ -293,5 +291,29 @@ def test_prompt_column(spark):
 
 def test_best_per_query_takes_ties_in_row_order():
     scores = np.array([[0.0, 2.0], [0.0, 1.0], [0.0, 2.0], [1.0, 2.0]])
-    row, query = K.best_per_query(scores, np.full(2, -np.inf), 2)
+    row, query, value = K.best_per_query(scores, np.arange(4), np.full(2, -np.inf), 2)
     assert list(zip(query, row, strict=True)) == [(0, 3), (0, 0), (1, 0), (1, 2)]
+    row, query, value = K.best_per_query(scores, np.arange(4)[::-1], np.array([1.0, 2.0]), 2)
+    assert list(zip(query, row, strict=True)) == [(0, 3), (1, 3), (1, 2)]
+
+
+def test_scores_do_not_depend_on_groups_or_pieces(monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    rows = [rnd.choices(WORDS, k=rnd.randrange(0, 30)) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["tokens"])
+    entries = [(q, w, rnd.random()) for q in range(7) for w in sorted(set(WORDS)) if rnd.random() < 0.6]
+    table = pa.table(list(zip(*entries, strict=True)), names=["query_id", "term", "weight"])
+    want = np.zeros((40, 7))
+    for i, words in enumerate(rows):
+        for q, w, weight in entries:
+            tf = words.count(w)
+            want[i, q] += weight * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(words) / 12.0))
+    for group, cells in ((7, 10**6), (3, 10**6), (2, 1), (7, 25), (1, 60)):
+        monkeypatch.setattr(B, "PRODUCT_CELLS", cells)
+        weights = B._QueryWeights.of(table, list(range(7)), group)
+        got = np.zeros((40, 7))
+        for start, scores in B._score_batch(batch, weights, 12.0, 1.5, 0.75):
+            got[:, start : start + scores.shape[1]] = scores
+        assert np.allclose(got, want), (group, cells)

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from thermolake.functions.text import WHITE_CHARACTERS
+
 # Error texts, as the public validation library words them.
 MISSING = "Field required"
 EXTRA = "Extra inputs are not permitted"
@@ -50,11 +52,6 @@ TIME_TEXT = r"([01]\d|2[0-3]):[0-5]\d(:[0-5]\d([.,]\d+)?)?"
 ZONE_TEXT = r"([zZ]|[+\-−]([01]\d|2[0-3]):?[0-5]\d)?"
 DATETIME_TEXT = rf"{DATE_TEXT}([Tt _]({TIME_TEXT}){ZONE_TEXT})?$"
 
-# Fixed value: the characters of the Unicode White_Space property.
-WHITE_CHARACTERS = (
-    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
-    "\u200a\u2028\u2029\u202f\u205f\u3000"
-)
 
 
 def strip_white(text: Column) -> Column:

@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 
 WHITE = r"[\s\x1c-\x1f]"
 
+# The Unicode White_Space characters, and the four separators Python adds to them.
+WHITE_CHARACTERS = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing white space of any kind (``trim`` removes spaces only)."""
-    left = F.regexp_replace(text, rf"(?U)^{WHITE}+", "")
-    return F.regexp_replace(left, rf"(?U){WHITE}+$", "")
+    """Remove leading and trailing white space of any kind (plain ``trim`` removes spaces only)."""
+    return F.trim(text, F.lit(WHITE_CHARACTERS + SEPARATORS))
 
 
 def sentences(text: Column) -> Column:

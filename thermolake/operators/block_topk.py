@@ -23,8 +23,13 @@ from thermolake.operators.topk import top_k
 
 # Scores are compared at this precision: copies of a text may differ in the last bits.
 SCORE_DIGITS = 9
+SLACK = 10.0 ** (1 - SCORE_DIGITS)
 
-Scorer = Callable[[pa.RecordBatch], np.ndarray]
+# Queries scored together: bounds a task's matrix to (rows of a batch) x this.
+QUERIES_PER_MATRIX = 256
+
+# From a batch: (number of the first query, rows x queries matrix, higher is better) per group.
+Scorer = Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]
 
 
 def query_blocks(
@@ -41,22 +46,32 @@ def query_blocks(
         yield queries.filter(bucket == number)
 
 
+def small(rows: DataFrame, bytes_per_row: int, limit: int = settings.BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Mark materialised rows for broadcasting if their counted size is within the bound."""
+    return F.broadcast(rows) if rows.count() * bytes_per_row <= limit else rows
+
+
 def best_per_query(
-    scores: np.ndarray, floor: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (in given order) and queries of each query's best ``k`` scores at or above its floor.
+    scores: np.ndarray, rank: np.ndarray, floor: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, query and rounded score of each query's best ``k`` scores not below its floor.
 
-    ``scores`` is rows x queries; equal scores are taken in row order.
+    ``scores`` is rows x queries; among equal rounded scores the lower ``rank`` wins. Scores of
+    minus infinity never count.
     """
-    n = scores.shape[0]
-    if n > k:
-        floor = np.maximum(floor, np.partition(scores, n - k, axis=0)[n - k])
-    query, row = np.nonzero((scores >= floor).T)
-    order = np.lexsort((row, -scores[row, query], query))
-    query, row = query[order], row[order]
-    first = np.searchsorted(query, query, side="left")
-    keep = np.arange(len(query)) - first < k
-    return row[keep], query[keep]
+    n, width = scores.shape
+    least = floor - SLACK
+    mask = scores >= least
+    if n > k and np.count_nonzero(mask) > 4 * k * width:
+        mask = scores >= np.maximum(least, np.partition(scores, n - k, axis=0)[n - k] - SLACK)
+    row, query = np.nonzero(mask)
+    value = np.round(scores[row, query], SCORE_DIGITS)
+    usable = (value >= floor[query]) & (value > -np.inf)
+    row, query, value = row[usable], query[usable], value[usable]
+    order = np.lexsort((rank[row], -value, query))
+    row, query, value = row[order], query[order], value[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query, side="left") < k
+    return row[keep], query[keep], value[keep]
 
 
 def block_top_k(
@@ -69,7 +84,7 @@ def block_top_k(
     """``(query_id, id, ord_key, pos, score)`` with at most ``k`` rows per query *and task*.
 
     ``rows`` holds ``id, ord_key, pos`` and the ``columns`` the scorer reads. ``scorer`` is called
-    once per task and returns a function from batch to a rows x queries matrix, higher is better.
+    once per task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,11 +95,17 @@ def block_top_k(
             if batch.num_rows == 0:
                 continue
             keys = batch.select(["id", "ord_key", "pos"]).to_pandas()
-            order = keys.sort_values(["ord_key", "pos"], kind="stable").index.to_numpy()
-            scores = np.round(score(batch), SCORE_DIGITS)[order]
-            row, query = best_per_query(scores, floor, k)
-            found = keys.iloc[order[row]].assign(query=query, score=scores[row, query])
-            kept = found if kept is None else pd.concat([kept, found])
+            rank = np.empty(len(keys), dtype=np.int64)
+            rank[keys.sort_values(["ord_key", "pos"], kind="stable").index] = np.arange(len(keys))
+            found = [] if kept is None else [kept]
+            for start, scores in score(batch):
+                group = slice(start, start + scores.shape[1])
+                row, query, value = best_per_query(scores, rank, floor[group], k)
+                if len(row):
+                    found.append(keys.iloc[row].assign(query=query + start, score=value))
+            if not found:
+                continue
+            kept = pd.concat(found)
             kept = kept.sort_values(
                 ["query", "score", "ord_key", "pos"], ascending=[True, False, True, True]
             )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.text import explode_terms, tokens
-from thermolake.operators.block_topk import Scorer, block_top_k, query_blocks, rank_hits
+from thermolake.operators.block_topk import (
+    QUERIES_PER_MATRIX,
+    Scorer,
+    block_top_k,
+    query_blocks,
+    rank_hits,
+)
 
-# Queries scored together in one matrix, and the cells of one intermediate product.
-QUERIES_PER_MATRIX = 256
-PRODUCT_CELLS = 4_000_000
+# Products formed at once while scoring a batch.
+PRODUCT_CELLS = 2_000_000
 
 
 def with_tokens(chunks: DataFrame) -> DataFrame:
@@ -114,67 +119,82 @@ class TextIndex:
 
 
 def query_terms(queries: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(query_id, term, qtf, idf)``: a repeated query word counts each time."""
+    """``(query_id, term, qtf, idf)`` of one block: a repeated query word counts each time.
+
+    The block's size was checked, so it may be broadcast and the term table is read in place.
+    """
     split = queries.select("query_id", tokens(F.col("query")).alias("_tokens"))
     counted = explode_terms(split, "_tokens", "query_id").withColumnRenamed("tf", "qtf")
-    return counted.join(terms, "term").select(
-        "query_id", "term", "qtf", "idf"
-    )
+    return terms.join(F.broadcast(counted), "term").select("query_id", "term", "qtf", "idf")
 
 
-def _matrices(weights: pa.Table, query_ids: list) -> list[tuple[pa.Array, np.ndarray, int]]:
-    """Per group of queries: its vocabulary and a vocabulary x queries weight matrix."""
-    position = {q: i for i, q in enumerate(query_ids)}
-    query = np.array([position[q] for q in weights["query_id"].to_pylist()], dtype=np.int64)
-    weight = weights["weight"].to_numpy()
-    term = weights["term"].combine_chunks()
-    out = []
-    for start in range(0, len(query_ids), QUERIES_PER_MATRIX):
-        width = min(QUERIES_PER_MATRIX, len(query_ids) - start)
-        mine = np.flatnonzero((query >= start) & (query < start + width))
-        encoded = term.take(pa.array(mine)).dictionary_encode()
-        matrix = np.zeros((len(encoded.dictionary), width))
-        matrix[encoded.indices.to_numpy(), query[mine] - start] = weight[mine]
-        out.append((encoded.dictionary, matrix, start))
-    return out
+@dataclass(frozen=True)
+class _QueryWeights:
+    """A block of queries: the vocabulary, and per group of queries the (query, weight) entries of
+    each term, all terms one after the other (``begin[t]`` to ``begin[t + 1]``)."""
+
+    vocabulary: pa.Array
+    groups: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, weights: pa.Table, query_ids: list, group_size: int) -> _QueryWeights:
+        position = {q: i for i, q in enumerate(query_ids)}
+        query = np.array([position[q] for q in weights["query_id"].to_pylist()], dtype=np.int64)
+        weight = weights["weight"].to_numpy()
+        encoded = weights["term"].combine_chunks().dictionary_encode()
+        term = encoded.indices.to_numpy()
+        groups = []
+        for start in range(0, len(query_ids), group_size):
+            width = min(group_size, len(query_ids) - start)
+            mine = np.flatnonzero((query >= start) & (query < start + width))
+            mine = mine[np.argsort(term[mine], kind="stable")]
+            begin = np.searchsorted(term[mine], np.arange(len(encoded.dictionary) + 1))
+            groups.append((start, width, begin, query[mine] - start, weight[mine]))
+        return cls(encoded.dictionary, groups)
 
 
 def _score_batch(
-    batch: pa.RecordBatch,
-    matrices: list[tuple[pa.Array, np.ndarray, int]],
-    n_queries: int,
-    mean_length: float,
-    k1: float,
-    b: float,
-) -> np.ndarray:
+    batch: pa.RecordBatch, queries: _QueryWeights, mean_length: float, k1: float, b: float
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Scores of every row for each group of queries.
+
+    A hit (row, term) only meets the queries that hold the term.
+    """
     column = batch.column("tokens")
     lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     words = pc.list_flatten(column)
-    row_of_word = np.repeat(np.arange(batch.num_rows), lengths)
-    scores = np.zeros((batch.num_rows, n_queries))
-    for vocabulary, matrix, start in matrices:
-        size, width = matrix.shape
-        if size == 0:
-            continue
-        code = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy()
-        hit = code >= 0
-        cell, tf = np.unique(row_of_word[hit] * size + code[hit], return_counts=True)
-        row, term = cell // size, cell % size
-        norm = k1 * (1 - b + b * lengths[row] / mean_length)
-        saturation = tf * (k1 + 1) / (tf + norm)
-        # Rows come sorted; cut the product into pieces that end where a row ends.
-        ends = np.flatnonzero(np.diff(row, append=-1)) + 1
-        begin = 0
-        step = max(1, PRODUCT_CELLS // width)
-        while begin < len(row):
-            reach = np.searchsorted(ends, begin + step, side="right")
-            end = ends[max(reach - 1, np.searchsorted(ends, begin, side="right"))]
-            part = slice(begin, end)
-            firsts = np.flatnonzero(np.diff(row[part], prepend=-1))
-            product = saturation[part, None] * matrix[term[part]]
-            scores[row[part][firsts], start : start + width] = np.add.reduceat(product, firsts)
-            begin = end
-    return scores
+    size = len(queries.vocabulary)
+    code = pc.fill_null(pc.index_in(words, value_set=queries.vocabulary), -1).to_numpy()
+    known = code >= 0
+    of_word = np.repeat(np.arange(batch.num_rows, dtype=np.int64), lengths)[known]
+    cell, tf = np.unique(of_word * max(size, 1) + code[known], return_counts=True)
+    row, term = np.divmod(cell, max(size, 1))
+    saturation = tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[row] / mean_length))
+
+    for start, width, begin, query, weight in queries.groups:
+        scores = np.zeros((batch.num_rows, width))
+        fan_out = begin[term + 1] - begin[term]
+        done = np.concatenate(([0], np.cumsum(fan_out)))
+        low = 0
+        while low < len(row):
+            # Whole rows up to about PRODUCT_CELLS products, at least one row.
+            target = np.searchsorted(done, done[low] + PRODUCT_CELLS, side="right") - 1
+            first, last = row[low], row[min(max(target, low + 1), len(row)) - 1]
+            if target < len(row) and last > first:
+                last -= 1
+            high = np.searchsorted(row, last, side="right")
+            part = slice(low, high)
+            times = fan_out[part]
+            entry = np.arange(times.sum()) + np.repeat(
+                begin[term[part]] - (done[part] - done[low]), times
+            )
+            flat = np.repeat((row[part] - first) * width, times) + query[entry]
+            products = np.repeat(saturation[part], times) * weight[entry]
+            height = last - first + 1
+            sums = np.bincount(flat, weights=products, minlength=height * width)
+            scores[first : last + 1] = sums.reshape(height, width)
+            low = high
+        yield start, scores
 
 
 def bm25_search(
@@ -204,10 +224,8 @@ def bm25_search(
         shared = spark.sparkContext.broadcast(weights)
 
         def scorer(shared=shared, ids=ids) -> Scorer:
-            matrices = _matrices(shared.value, ids)
-            return lambda batch: _score_batch(
-                batch, matrices, len(ids), stats.mean_length, k1, b
-            )
+            weights = _QueryWeights.of(shared.value, ids, QUERIES_PER_MATRIX)
+            return lambda batch: _score_batch(batch, weights, stats.mean_length, k1, b)
 
         if ids:
             parts.append(block_top_k(index.chunks(), ids, scorer, k, ["tokens"]))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.numbers import float_text
-from thermolake.functions.text import sentences, strip
+from thermolake.functions.text import sentences
 
 DOCUMENT_COLUMNS = ["id", "source", "text", "ord_key"]
 CHUNK_COLUMNS = ["id", "doc_id", "source", "text", "ord_key", "pos"]
@@ -96,9 +96,9 @@ def chunk(corpus: DataFrame, sentences_per_chunk: int = settings.SENTENCES_PER_C
     expanded = corpus.withColumn("_sentences", sentences(F.col("text"))).select(
         F.col("id").alias("doc_id"), "source", "ord_key", F.inline(windows)
     )
+    # Sentences carry no outer white space, so only an empty document gives a blank chunk.
     return (
-        expanded.withColumn("text", strip(F.col("text")))
-        .filter(F.col("text") != "")
+        expanded.filter(F.col("text") != "")
         .withColumn("id", F.format_string("%s#c%02d", "doc_id", "pos"))
         .select(CHUNK_COLUMNS)
     )

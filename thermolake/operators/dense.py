@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -16,7 +15,13 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.text import tokens
-from thermolake.operators.block_topk import Scorer, block_top_k, query_blocks, rank_hits
+from thermolake.operators.block_topk import (
+    QUERIES_PER_MATRIX,
+    Scorer,
+    block_top_k,
+    query_blocks,
+    rank_hits,
+)
 
 DEFAULT_DIMENSIONS = 128
 
@@ -41,16 +46,18 @@ def hashing_embedder(
     encoder's. Any function adding an ``embedding`` column can take its place.
     """
 
-    @F.pandas_udf("array<double>")
-    def to_vector(buckets: pd.Series) -> pd.Series:
-        counts = np.zeros((len(buckets), dimensions))
-        lengths = buckets.str.len().to_numpy()
-        if lengths.sum():
-            row = np.repeat(np.arange(len(buckets)), lengths)
-            np.add.at(counts, (row, np.concatenate(buckets.to_list()).astype(int)), 1)
+    @F.arrow_udf("array<double>")
+    def to_vector(buckets: pa.Array) -> pa.Array:
+        n = len(buckets)
+        lengths = pc.list_value_length(buckets).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(n, dtype=np.int64), lengths)
+        cell = row * dimensions + pc.list_flatten(buckets).to_numpy()
+        counts = np.bincount(cell, minlength=n * dimensions).reshape(n, dimensions)
         weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0)
         norms = np.linalg.norm(weights, axis=1, keepdims=True)
-        return pd.Series(list(weights / np.where(norms == 0, 1, norms)))
+        unit = weights / np.where(norms == 0, 1, norms)
+        offsets = np.arange(0, (n + 1) * dimensions, dimensions, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
     return lambda df: df.withColumn("embedding", to_vector(hash_buckets(F.col(text), dimensions)))
 
@@ -66,6 +73,11 @@ def squared_l2(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return np.maximum(squares - 2 * (vectors @ queries.T), 0.0)
 
 
+def _grouped(queries: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    for start in range(0, len(queries), QUERIES_PER_MATRIX):
+        yield start, queries[start : start + QUERIES_PER_MATRIX]
+
+
 def _bytes(vector: str) -> Column:
     return F.size(vector).cast("bigint") * 8 + 64
 
@@ -92,7 +104,13 @@ def dense_search(
 
         def scorer(shared=shared, dimensions=dimensions) -> Scorer:
             wanted = shared.value
-            return lambda batch: -squared_l2(_vectors(batch.column("embedding"), dimensions), wanted)
+
+            def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+                vectors = _vectors(batch.column("embedding"), dimensions)
+                for start, group in _grouped(wanted):
+                    yield start, -squared_l2(vectors, group)
+
+            return score
 
         parts.append(block_top_k(rows, ids, scorer, k, ["embedding"]))
     return rank_hits(reduce(DataFrame.unionByName, parts), k)
@@ -156,18 +174,19 @@ def probed_search(
         def scorer(shared=shared) -> Scorer:
             wanted, probed = shared.value
 
-            def score(batch: pa.RecordBatch) -> np.ndarray:
+            def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
                 vectors = _vectors(batch.column("embedding"), wanted.shape[1])
-                inside = probed[batch.column("cluster").to_numpy()]
-                return np.where(inside, -squared_l2(vectors, wanted), -np.inf)
+                cluster = batch.column("cluster").to_numpy()
+                for start, group in _grouped(wanted):
+                    inside = probed[:, start : start + len(group)][cluster]
+                    yield start, np.where(inside, -squared_l2(vectors, group), -np.inf)
 
             return score
 
         live = np.flatnonzero(probed.any(axis=1)).tolist()
         rows = clustered.filter(F.col("cluster").isin(live))
         parts.append(block_top_k(rows, ids, scorer, k, ["embedding", "cluster"]))
-    found = reduce(DataFrame.unionByName, parts).filter(F.col("score") > float("-inf"))
-    return rank_hits(found, k)
+    return rank_hits(reduce(DataFrame.unionByName, parts), k)
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:

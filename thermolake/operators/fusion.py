@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.text import tokens
+from thermolake.operators.block_topk import small
 from thermolake.operators.topk import top_k
 
 FUNNEL_COLUMNS = ["query_id", "stage", "rank", "chunk_id", "score", "retrieved_by"]
@@ -56,18 +57,23 @@ def reciprocal_rank_fusion(
     )
 
 
-def idf_overlap(terms: DataFrame) -> PairScorer:
-    """Default pair scorer: summed idf of the words a text shares with the query.
+def idf_overlap(queries: DataFrame, terms: DataFrame) -> PairScorer:
+    """Default pair scorer: summed idf of the distinct words a text shares with the query.
 
-    It stands in for a cross-encoder. ``terms`` is the index's ``(term, df, idf)`` table; the pairs
-    are few, so the join reads it without moving it.
+    It stands in for a cross-encoder. ``terms`` is the index's ``(term, df, idf)`` table. The
+    queries' words pick their idf from it once; the result is checkpointed and serves every call.
     """
+    words = queries.select(
+        "query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term")
+    ).checkpoint()
+    weights = terms.select("term", "idf").join(small(words, 64), "term").checkpoint()
 
     def score(pairs: DataFrame) -> DataFrame:
-        shared = F.array_intersect(tokens(F.col("query")), tokens(F.col("text")))
         sums = (
-            pairs.select("query_id", "cand_id", F.explode(shared).alias("term"))
-            .join(terms.select("term", "idf"), "term")
+            pairs.select(
+                "query_id", "cand_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
+            )
+            .join(small(weights, 80), ["query_id", "term"])
             .groupBy("query_id", "cand_id")
             .agg(F.round(F.sum("idf"), 9).alias("score"))
         )
@@ -94,11 +100,9 @@ def rerank(
 
 
 def with_chunk(hits: DataFrame, chunks: DataFrame, *columns: str) -> DataFrame:
-    """Attach chunk columns to hits. The hits are few, so Spark broadcasts them and the chunk
-    table is read in place."""
-    return hits.join(
-        chunks.select(F.col("id").alias("chunk_id"), *columns), "chunk_id"
-    )
+    """Attach chunk columns to materialised hits, broadcast within the size bound so that the
+    chunk table is read in place."""
+    return chunks.select(F.col("id").alias("chunk_id"), *columns).join(small(hits, 128), "chunk_id")
 
 
 def funnel(

@@ -293,17 +293,12 @@ def dense_ann_recall(spark, sf):
     return V.recall(V.dense_search(rows, asked), near)
 
 
-def _stages(spark, sf) -> dict[str, DataFrame]:
-    checkpoint_dir(spark)
+def _stages(spark, sf) -> tuple[dict[str, DataFrame], X.PairScorer]:
     index = I.text_index(spark, sf)
     asked = I.questions(spark, sf)
-    return X.funnel(
-        V.dense_hits(_dense_text(spark, sf)),
-        B.bm25_hits(B.bm25_search(index, asked)),
-        asked,
-        index.chunks(),
-        X.idf_overlap(index.terms()),
-    )
+    scorer = X.idf_overlap(asked, index.terms())
+    dense, keyword = V.dense_hits(_dense_text(spark, sf)), B.bm25_hits(B.bm25_search(index, asked))
+    return X.funnel(dense, keyword, asked, index.chunks(), scorer), scorer
 
 
 def rrf_fused(spark, sf):
@@ -315,27 +310,27 @@ def rrf_fused(spark, sf):
 
 
 def funnel(spark, sf):
-    return X.summarise_funnel(_stages(spark, sf))
+    return X.summarise_funnel(_stages(spark, sf)[0])
 
 
 def rerank_topk(spark, sf):
     index = I.text_index(spark, sf)
     asked = I.questions(spark, sf)
-    hits = B.bm25_hits(B.bm25_search(index, asked))
+    hits = B.bm25_hits(B.bm25_search(index, asked)).checkpoint()
     pairs = X.with_chunk(hits, index.chunks(), "text").join(asked, "query_id")
-    best = X.rerank(pairs.withColumn("cand_id", F.col("chunk_id")), X.idf_overlap(index.terms()), 4)
+    scorer = X.idf_overlap(asked, index.terms())
+    best = X.rerank(pairs.withColumn("cand_id", F.col("chunk_id")), scorer, 4)
     return best.select("query_id", "rank", "chunk_id", F.round("score", 4).alias("score"))
 
 
 def _answers(spark, sf) -> tuple[DataFrame, DataFrame]:
-    index = I.text_index(spark, sf)
-    reranked = _stages(spark, sf)["reranked"]
-    scorer = X.idf_overlap(index.terms())
+    stages, scorer = _stages(spark, sf)
+    reranked = stages["reranked"]
     return A.extractive_answers(reranked, I.questions(spark, sf), scorer), reranked
 
 
 def context_block(spark, sf):
-    reranked = _stages(spark, sf)["reranked"]
+    reranked = _stages(spark, sf)[0]["reranked"]
     blocks = A.context(reranked)
     return blocks.select(
         "query_id", "context_block", A.prompt(F.col("query"), F.col("context_block")).alias("prompt")
@@ -391,7 +386,12 @@ ALL: list[Query] = [
 
 
 def _configured(query: Query) -> Query:
-    return lambda spark, sf_dir: query(configure(spark), sf_dir)
+    return lambda spark, sf_dir: query(_prepared(spark), sf_dir)
+
+
+def _prepared(spark: SparkSession) -> SparkSession:
+    checkpoint_dir(configure(spark))
+    return spark
 
 
 def registered() -> dict[str, Query]:
