@@ -13,6 +13,7 @@ from tests.fixtures import MACHINES, overheat_readings, readings
 from thermolake.functions.numbers import divide_half_up, float_text
 from thermolake.operators import medallion as M
 from thermolake.operators import upsert as U
+from thermolake.session import checkpoint_dir
 from thermolake.sources.files import EmptyInput, read_accepted, write_json_lines
 from thermolake.sources.tables import SchemaMismatch, SnapshotTable, TableExists, TableMissing
 
@@ -34,6 +35,11 @@ def bronze(spark, rows, hours=0):
     return M.bronze(accepted(spark, rows), F.lit(NOON + timedelta(hours=hours)))
 
 
+@pytest.fixture(autouse=True, scope="module")
+def shared_folder(spark):
+    checkpoint_dir(spark)
+
+
 @pytest.mark.parametrize(
     "rows, expected",
     [
@@ -100,7 +106,7 @@ def test_upsert_updates_in_place_and_is_idempotent(spark, tmp_path):
     result = table.upsert(source, "reading_id")
     assert result == {
         "version": 1, "operation": "merge", "rows": 12, "rows_before": 12,
-        "rows_updated": 12, "rows_inserted": 0,
+        "rows_updated": 12, "rows_inserted": 0, "rows_rewritten": 12,
     }
     after = table.read()
     row = M.lookup(after, "CNC_MILL_01-01").collect()
@@ -126,6 +132,40 @@ def test_upsert_with_new_and_without_any_rows(spark, tmp_path):
     assert (r["rows"], r["rows_updated"], r["rows_inserted"]) == (12, 0, 0)
 
 
+def test_partitioned_upsert_rewrites_only_touched_days(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA, partition_by="reading_date")
+    silver = M.clean(bronze(spark, readings()))
+    day = F.date_add(F.col("reading_date"), F.substring("reading_id", -1, 1).cast("int"))
+    spread = silver.withColumn("reading_date", day).withColumn("recorded_at", day.cast("timestamp"))
+    table.upsert(spread, "reading_id")
+    first = table.last_operation()
+    assert sorted(first["partitions"]) == [f"2024-03-0{i}" for i in range(1, 5)]
+    before = table.read()
+    assert before.schema == M.SILVER_SCHEMA
+
+    # All rows of the 2nd move to the 3rd, one row of the 3rd changes, one new row lands on the 9th.
+    third = F.lit("2024-03-03").cast("date")
+    moved = spread.filter("reading_date = '2024-03-02'").withColumn("reading_date", third)
+    changed = spread.filter("reading_id = 'CNC_MILL_01-02'").withColumn("temperature_c", F.lit(1.0))
+    new = spread.limit(1).withColumn("reading_id", F.lit("new")).withColumn("reading_date", F.lit("2024-03-09").cast("date"))
+    source = moved.unionByName(changed).unionByName(new).checkpoint()
+    seen = []
+    result = table.upsert(source, "reading_id", audit=lambda rows: seen.append(rows.count()))
+    assert result == {
+        "version": 1, "operation": "merge", "rows": 13, "rows_before": 12, "rows_updated": 4,
+        "rows_inserted": 1, "rows_rewritten": 7,
+    }
+    assert seen == [13]
+    last = table.last_operation()
+    kept = {d for d, s in last["partitions"].items() if s == first["snapshot"]}
+    assert kept == {"2024-03-01", "2024-03-04"} and set(last["partitions"]) == kept | {"2024-03-03", "2024-03-09"}
+    after = table.read()
+    U.prove_upsert(before, source, after, "reading_id")
+    assert after.filter("reading_date = '2024-03-02'").isEmpty()
+    want = U.upsert(before, source, "reading_id")
+    assert after.exceptAll(want).isEmpty() and want.exceptAll(after).isEmpty()
+
+
 def test_failed_proof_and_duplicate_source(spark, tmp_path):
     silver = M.clean(bronze(spark, readings()))
     with pytest.raises(U.AmbiguousSource):

@@ -114,6 +114,7 @@ def test_bm25_matches_plain_okapi(spark, tmp_path, monkeypatch, limit):
     asked = spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
     blocks = []
     split = K.query_blocks
+    monkeypatch.setattr(K, "KEPT_BYTES_PER_QUERY", 1)
 
     def small_blocks(q, size):
         for block in split(q, size, limit):
@@ -157,6 +158,7 @@ def test_dense_search_is_exact_with_ties_in_order(spark, monkeypatch):
         d = np.round(((m - m[q]) ** 2).sum(axis=1), 9)
         want[q] = [str(i) for i in sorted(range(len(m)), key=lambda i: (d[i], i))[:5]]
     split = K.query_blocks
+    monkeypatch.setattr(K, "KEPT_BYTES_PER_QUERY", 1)
     for limit in (1 << 20, 3000):
         monkeypatch.setattr(V, "query_blocks", lambda q, size, limit=limit: split(q, size, limit))
         got = {}
@@ -165,6 +167,14 @@ def test_dense_search_is_exact_with_ties_in_order(spark, monkeypatch):
         assert got == want
 
 
+def test_no_queries_give_no_hits(spark, tmp_path):
+    rows = vector_rows(spark, [[1.0, 0.0]])
+    none = spark.createDataFrame([], "query_id bigint, query string, embedding array<double>")
+    assert V.dense_hits(V.dense_search(rows, none)).isEmpty()
+    index = index_of(spark, ["a b"], f"{tmp_path}/i")
+    assert B.bm25_hits(B.bm25_search(index, none)).isEmpty()
+
+
 def test_probed_search_recall(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(8, 10)) * 5

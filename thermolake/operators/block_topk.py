@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermolake import settings
@@ -28,15 +29,25 @@ SLACK = 10.0 ** (1 - SCORE_DIGITS)
 # Queries scored together: bounds a task's matrix to (rows of a batch) x this.
 QUERIES_PER_MATRIX = 256
 
+HIT_DDL = "query_id {}, id string, ord_key string, pos int, score double"
+
+# Candidates a task lets gather before it merges them into what it keeps.
+MERGE_ROWS = 10_000
+
 # From a batch: (number of the first query, rows x queries matrix, higher is better) per group.
 Scorer = Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]
 
 
+# What a query costs at least: the best rows a task keeps for it.
+KEPT_BYTES_PER_QUERY = 4096
+
+
 def query_blocks(
     queries: DataFrame, size: Column, limit: int = settings.BROADCAST_LIMIT_BYTES
 ) -> Iterator[DataFrame]:
     """Split the queries by a hash of their id into blocks of about ``limit`` bytes."""
-    total = queries.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    cost = F.greatest(size.cast("bigint"), F.lit(KEPT_BYTES_PER_QUERY))
+    total = queries.agg(F.sum(cost)).first()[0] or 0
     blocks = max(1, math.ceil(total / limit))
     if blocks == 1:
         yield queries
@@ -87,32 +98,39 @@ def block_top_k(
     once per task.
     """
 
+    def merge(pieces: list[pd.DataFrame], floor: np.ndarray) -> pd.DataFrame:
+        """The best k of several pieces; raises the floor of queries that have k rows."""
+        kept = pd.concat(pieces).sort_values(
+            ["query", "score", "ord_key", "pos"], ascending=[True, False, True, True]
+        )
+        kept = kept[kept.groupby("query").cumcount() < k]
+        full = kept.groupby("query")["score"].agg(["size", "min"])
+        full = full[full["size"] == k]
+        floor[full.index.to_numpy()] = full["min"].to_numpy()
+        return kept
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer()
         floor = np.full(len(query_ids), -np.inf)
-        kept = None
+        kept, fresh, waiting = None, [], 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             keys = batch.select(["id", "ord_key", "pos"]).to_pandas()
             rank = np.empty(len(keys), dtype=np.int64)
             rank[keys.sort_values(["ord_key", "pos"], kind="stable").index] = np.arange(len(keys))
-            found = [] if kept is None else [kept]
             for start, scores in score(batch):
                 group = slice(start, start + scores.shape[1])
                 row, query, value = best_per_query(scores, rank, floor[group], k)
                 if len(row):
-                    found.append(keys.iloc[row].assign(query=query + start, score=value))
-            if not found:
-                continue
-            kept = pd.concat(found)
-            kept = kept.sort_values(
-                ["query", "score", "ord_key", "pos"], ascending=[True, False, True, True]
-            )
-            kept = kept[kept.groupby("query").cumcount() < k]
-            full = kept.groupby("query")["score"].agg(["size", "min"])
-            full = full[full["size"] == k]
-            floor[full.index.to_numpy()] = full["min"].to_numpy()
+                    fresh.append(keys.iloc[row].assign(query=query + start, score=value))
+                    waiting += len(row)
+            # Merging costs a sort of what is kept, so it waits until as much has come in.
+            if fresh and (kept is None or waiting >= max(MERGE_ROWS, len(kept))):
+                kept = merge(fresh if kept is None else [kept, *fresh], floor)
+                fresh, waiting = [], 0
+        if fresh:
+            kept = merge(fresh if kept is None else [kept, *fresh], floor)
         if kept is not None and len(kept):
             ids = pa.array([query_ids[q] for q in kept["query"]], type=id_type)
             yield pa.RecordBatch.from_arrays(
@@ -129,10 +147,13 @@ def block_top_k(
     id_type = pa.string() if query_ids and isinstance(query_ids[0], str) else pa.int64()
     ddl_type = "string" if id_type == pa.string() else "bigint"
     return rows.select("id", "ord_key", "pos", *columns).mapInArrow(
-        run, f"query_id {ddl_type}, id string, ord_key string, pos int, score double"
+        run, HIT_DDL.format(ddl_type)
     )
 
 
-def rank_hits(partial: DataFrame, k: int) -> DataFrame:
-    """Final ranking over the tasks' candidates: best score, then corpus order."""
-    return top_k(partial, ["query_id"], [F.desc("score"), F.asc("ord_key"), F.asc("pos")], k)
+def rank_hits(spark: SparkSession, partial: list[DataFrame], k: int) -> DataFrame:
+    """Final ranking over all blocks' and tasks' candidates: best score, then corpus order."""
+    if not partial:
+        return spark.createDataFrame([], f"{HIT_DDL.format('bigint')}, rank int")
+    found = reduce(DataFrame.unionByName, partial)
+    return top_k(found, ["query_id"], [F.desc("score"), F.asc("ord_key"), F.asc("pos")], k)

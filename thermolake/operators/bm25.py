@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +102,7 @@ class TextIndex:
     def chunks(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/chunks")
 
+    @cached_property
     def stats(self) -> CorpusStats:
         row = self.spark.read.schema(
             "n_chunks bigint, total_length bigint, mean_idf double"
@@ -110,7 +111,7 @@ class TextIndex:
 
     def terms(self, epsilon: float = settings.BM25_EPSILON) -> DataFrame:
         """``(term, df, idf)``; a negative idf becomes ``epsilon`` times the mean idf."""
-        stats = self.stats()
+        stats = self.stats
         raw = raw_idf(F.lit(stats.n_chunks), F.col("df"))
         floor = F.lit(epsilon * stats.mean_idf)
         return self.spark.read.parquet(f"{self.path}/terms").withColumn(
@@ -209,13 +210,13 @@ def bm25_search(
     Every chunk has a score, zero when it shares no word, so a query with few matches is filled
     with the first chunks in corpus order.
     """
-    stats = index.stats()
+    stats = index.stats
     spark = index.spark
     terms = index.terms()
     parts = []
     size = F.length("query").cast("bigint") * 2 + 64
     for block in query_blocks(queries.select("query_id", "query"), size):
-        ids = [r[0] for r in block.select("query_id").orderBy("query_id").collect()]
+        ids = block.select("query_id").toArrow()["query_id"].to_pylist()
         weights = (
             query_terms(block, terms)
             .select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
@@ -229,7 +230,7 @@ def bm25_search(
 
         if ids:
             parts.append(block_top_k(index.chunks(), ids, scorer, k, ["tokens"]))
-    return rank_hits(reduce(DataFrame.unionByName, parts), k)
+    return rank_hits(spark, parts, k)
 
 
 def bm25_hits(found: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from thermolake.operators.block_topk import (
     rank_hits,
 )
 
-DEFAULT_DIMENSIONS = 128
+DEFAULT_DIMENSIONS = 64
 
 
 def hash_buckets(text: Column, dimensions: int) -> Column:
@@ -93,7 +92,7 @@ def dense_search(
     spark = rows.sparkSession
     parts = []
     for block in query_blocks(queries, _bytes("embedding")):
-        table = block.select("query_id", "embedding").orderBy("query_id").toArrow()
+        table = block.select("query_id", "embedding").toArrow()
         ids = table["query_id"].to_pylist()
         if not ids:
             continue
@@ -113,7 +112,7 @@ def dense_search(
             return score
 
         parts.append(block_top_k(rows, ids, scorer, k, ["embedding"]))
-    return rank_hits(reduce(DataFrame.unionByName, parts), k)
+    return rank_hits(spark, parts, k)
 
 
 def dense_hits(found: DataFrame) -> DataFrame:
@@ -127,9 +126,16 @@ def dense_hits(found: DataFrame) -> DataFrame:
 # --- approximate search -------------------------------------------------------------------
 
 
-def fit_clusters(rows: DataFrame, clusters: int, seed: int = 7, max_iter: int = 10) -> KMeansModel:
-    """Centroids over the vectors; a few passes, each combining on the map side."""
-    vectors = rows.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+def fit_clusters(
+    rows: DataFrame, clusters: int, seed: int = 7, max_iter: int = 10, fraction: float = 1.0
+) -> KMeansModel:
+    """Centroids over the vectors; a few passes, each combining on the map side.
+
+    Centroids only steer the search, so on large tables a ``fraction`` of the vectors may fit
+    them; every vector is assigned and searched all the same.
+    """
+    chosen = rows if fraction >= 1.0 else rows.sample(fraction, seed)
+    vectors = chosen.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     return KMeans(k=clusters, seed=seed, maxIter=max_iter, initSteps=2).fit(vectors)
 
 
@@ -161,7 +167,7 @@ def probed_search(
     centres = np.array(model.clusterCenters())
     parts = []
     for block in query_blocks(queries, _bytes("embedding")):
-        table = block.select("query_id", "embedding").orderBy("query_id").toArrow()
+        table = block.select("query_id", "embedding").toArrow()
         ids = table["query_id"].to_pylist()
         if not ids:
             continue
@@ -186,7 +192,7 @@ def probed_search(
         live = np.flatnonzero(probed.any(axis=1)).tolist()
         rows = clustered.filter(F.col("cluster").isin(live))
         parts.append(block_top_k(rows, ids, scorer, k, ["embedding", "cluster"]))
-    return rank_hits(reduce(DataFrame.unionByName, parts), k)
+    return rank_hits(spark, parts, k)
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:

@@ -250,11 +250,11 @@ bm25_hits AS (
 
 QUESTIONS = "SELECT item_id AS query_id, text AS query FROM benchmark"
 
-# Hashed text vectors: 128 buckets from the first 32 bits of the MD5, weights 1 + ln(tf).
+# Hashed text vectors: 64 buckets from the first 32 bits of the MD5, weights 1 + ln(tf).
 DENSE = """
 chunk_weights AS (
   SELECT id, bucket, 1 + ln(count(*)) AS w FROM
-    (SELECT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 128 AS bucket FROM words) GROUP BY ALL
+    (SELECT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 64 AS bucket FROM words) GROUP BY ALL
 ),
 chunk_vectors AS (
   SELECT id, bucket, w / norm AS w FROM chunk_weights
@@ -262,7 +262,7 @@ chunk_vectors AS (
 ),
 query_weights AS (
   SELECT query_id, bucket, 1 + ln(count(*)) AS w FROM
-    (SELECT query_id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 128 AS bucket FROM query_words) GROUP BY ALL
+    (SELECT query_id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 64 AS bucket FROM query_words) GROUP BY ALL
 ),
 query_vectors AS (
   SELECT query_id, bucket, w / norm AS w FROM query_weights

@@ -1,8 +1,14 @@
 """Tables as published Parquet snapshots: write, audit, then publish.
 
 A snapshot becomes visible when its row is appended to the publish log, so a failed audit or a
-lost job leaves readers on the previous one. One writer per table is assumed. Where a catalog with
-row-level changes is configured, ``operators.upsert.merge_into`` replaces the rewrite.
+lost job leaves readers on the previous one. One writer per table is assumed.
+
+A table with a partition column rewrites only the partitions an upsert touches; the log row names,
+per partition, the snapshot that holds it. Where a catalog with row-level changes is configured,
+``operators.upsert.merge_into`` does the same at file level.
+
+Row counts come from the written files (Parquet footers), not from accumulators, which may count a
+repeated task twice.
 """
 
 from __future__ import annotations
@@ -11,11 +17,12 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolake.operators.upsert import require_unique
+from thermolake.session import checkpoint_dir
 
 LOG_SCHEMA = T.StructType(
     [
@@ -23,11 +30,17 @@ LOG_SCHEMA = T.StructType(
         T.StructField("snapshot", T.StringType()),
         T.StructField("operation", T.StringType()),
         T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
+        # Partition value -> snapshot holding it; null for a table without partitions.
+        T.StructField("partitions", T.MapType(T.StringType(), T.StringType())),
         T.StructField("published_at", T.TimestampType()),
     ]
 )
 
 
+# An audit sees the whole table as it would be published, and raises to stop it.
+Audit = Callable[[DataFrame], None]
+
+
 class SchemaMismatch(ValueError):
     """Rows do not have the table's columns and types."""
 
@@ -57,8 +70,11 @@ def check_schema(rows: DataFrame, expected: T.StructType) -> None:
 class SnapshotTable:
     """A keyed table under one folder, with a declared schema."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None
+    ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by = partition_by
 
     def history(self) -> DataFrame:
         """The publish log, newest last."""
@@ -78,77 +94,109 @@ class SnapshotTable:
         return self.last_operation() is not None
 
     def read(self) -> DataFrame:
+        """The rows of the newest published snapshot."""
         last = self.last_operation()
         if last is None:
             raise TableMissing(f"{self.path} has no published snapshot")
-        return self._snapshot(last["snapshot"])
-
-    def _snapshot(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={name}")
-
-    def create(self, rows: DataFrame, **options) -> dict:
+        return self._rows(last["snapshot"], last["partitions"])
+
+    def _rows(self, snapshot: str, partitions: dict[str, str] | None) -> DataFrame:
+        reader = self.spark.read.schema(self.schema)
+        if self.partition_by is None:
+            return reader.parquet(f"{self.path}/snapshot={snapshot}")
+        if not partitions:
+            return self.spark.createDataFrame([], self.schema)
+        folders = [
+            f"{self.path}/snapshot={name}/{self.partition_by}={value}"
+            for value, name in sorted(partitions.items())
+        ]
+        rows = reader.option("basePath", self.path).parquet(*folders)
+        return rows.select(self.schema.names)
+
+    def create(self, rows: DataFrame, audit: Audit | None = None) -> dict:
         """First write; refuses an existing table."""
         if self.exists():
             raise TableExists(f"{self.path} already exists")
-        return self._publish(rows, "create", **options)
+        return self._publish(rows, "create", audit)
 
-    def overwrite(self, rows: DataFrame, **options) -> dict:
+    def overwrite(self, rows: DataFrame, audit: Audit | None = None) -> dict:
         """Replace the contents, for tables that are pure derivations."""
-        return self._publish(rows, "overwrite", **options)
+        return self._publish(rows, "overwrite", audit)
 
-    def upsert(self, source: DataFrame, key: str, **options) -> dict:
-        """Create the table, or replace matching keys and add the new ones."""
+    def upsert(self, source: DataFrame, key: str, audit: Audit | None = None) -> dict:
+        """Create the table, or replace the rows of matching keys and add the new ones."""
         check_schema(source, self.schema)
-        require_unique(source, key)
         last = self.last_operation()
         if last is None:
-            return self._publish(source, "create", **options)
-        # Keys are unique on both sides, so counting inside the write job gives the metrics
-        # without another scan.
-        kept_seen, source_seen = Observation(), Observation()
-        kept = self._snapshot(last["snapshot"]).join(source.select(key), key, "left_anti")
-        rows = kept.observe(kept_seen, F.count(F.lit(1)).alias("n")).unionByName(
-            source.select(self.schema.names).observe(source_seen, F.count(F.lit(1)).alias("n"))
-        )
+            require_unique(source, key)
+            return self._publish(source, "create", audit)
+        checkpoint_dir(self.spark)
+        source = source.select(self.schema.names).checkpoint()  # read several times below
+        require_unique(source, key)
 
-        def metrics(rows_after: int) -> dict[str, int]:
+        partitions = dict(last["partitions"] or {})
+        affected = self._rows(last["snapshot"], partitions)
+        if self.partition_by is not None:
+            # A changed row may move: its old partition is rewritten too, and disappears if the
+            # move empties it.
+            touched = self._partition_values(
+                affected.join(source.select(key), key, "left_semi")
+                .select(self.partition_by)
+                .unionByName(source.select(self.partition_by))
+            )
+            rewritten = {v: partitions.pop(v) for v in touched if v in partitions}
+            affected = self._rows(last["snapshot"], rewritten)
+        kept = affected.join(source.select(key), key, "left_anti")
+        rows_affected, rows_source = affected.count(), source.count()
+
+        def metrics(rows_written: int) -> dict[str, int]:
             before = last["metrics"]["rows"]
-            # An input that is empty at run time may be optimised away with its observation.
-            incoming = source_seen.get.get("n", 0)
-            updated = before + incoming - rows_after
+            updated = rows_affected - (rows_written - rows_source)
             return {
+                "rows": before - rows_affected + rows_written,
                 "rows_before": before,
                 "rows_updated": updated,
-                "rows_inserted": incoming - updated,
+                "rows_inserted": rows_source - updated,
+                "rows_rewritten": rows_written,
             }
 
-        return self._publish(rows, "merge", more_metrics=metrics, **options)
+        return self._publish(kept.unionByName(source), "merge", audit, partitions, metrics)
+
+    def _partition_values(self, rows: DataFrame) -> list[str]:
+        """Distinct partition values, as folder names spell them."""
+        text = F.col(self.partition_by).cast("string")
+        found = rows.select(F.coalesce(text, F.lit("__HIVE_DEFAULT_PARTITION__"))).distinct()
+        return [r[0] for r in found.collect()]
 
     def _publish(
         self,
         rows: DataFrame,
         operation: str,
-        audit: Callable[[DataFrame], None] | None = None,
-        partition_by: list[str] | None = None,
-        more_metrics: Callable[[int], dict[str, int]] | None = None,
+        audit: Audit | None = None,
+        carried: dict[str, str] | None = None,
+        metrics_of: Callable[[int], dict[str, int]] = lambda written: {"rows": written},
     ) -> dict:
         check_schema(rows, self.schema)
         last = self.last_operation()
         version = 0 if last is None else last["version"] + 1
         name = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-        seen = Observation()
-        (
-            rows.select(self.schema.names)
-            .observe(seen, F.count(F.lit(1)).alias("n"))
-            .write.partitionBy(*(partition_by or []))
-            .parquet(f"{self.path}/snapshot={name}")
-        )
+        folder = f"{self.path}/snapshot={name}"
+        rows = rows.select(self.schema.names)
+        if self.partition_by is None:
+            rows.write.parquet(folder)
+            partitions = None
+        else:
+            # Rebalancing gathers each partition value in few files, and AQE splits a value that
+            # holds a third of the rows over several writers.
+            rows.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by).parquet(folder)
+        written = self.spark.read.schema(self.schema).parquet(folder)
+        if self.partition_by is not None:
+            partitions = {**(carried or {}), **{v: name for v in self._partition_values(written)}}
         if audit is not None:
-            audit(self._snapshot(name))
-        count = seen.get.get("n", 0)
-        metrics = {"rows": count, **(more_metrics(count) if more_metrics else {})}
+            audit(self._rows(name, partitions))
+        metrics = metrics_of(written.count())
         entry = self.spark.createDataFrame(
-            [(version, name, operation, metrics, None)], LOG_SCHEMA
+            [(version, name, operation, metrics, partitions, None)], LOG_SCHEMA
         ).withColumn("published_at", F.current_timestamp())
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
         return {"version": version, "operation": operation, **metrics}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,7 @@ def ingest(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        checked = (
-            C.validate(batch, contract)
-            .observe(
-                seen,
-                F.count_if(F.col("rejection_reason").isNull()).alias("accepted"),
-                F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected"),
-            )
-            .persist()
-        )
+        checked = C.validate(batch, contract).persist()
         try:
             bronze(C.accepted(checked)).write.mode("overwrite").parquet(
                 f"{out}/bronze/ingest_batch={batch_id}"
@@ -78,7 +69,7 @@ def ingest(
             letters.write.mode("overwrite").json(f"{out}/dead_letters/ingest_batch={batch_id}")
             if dead_letter_sink is not None:
                 dead_letter_sink(letters, batch_id)
-            counts = seen.get
+            counts = C.routing_counts(checked).first()
             batch.sparkSession.createDataFrame(
                 [(batch_id, counts["accepted"], counts["rejected"])], LOG_DDL
             ).coalesce(1).write.mode("overwrite").json(f"{out}/ingest_log/ingest_batch={batch_id}")
