@@ -10,7 +10,6 @@ from tests.test_retrieval import TEXTS, corpus
 from tests.test_streaming import deliver
 from thermolake.operators import answers as A
 from thermolake.operators import medallion as M
-from thermolake.operators.corpus import kpi_documents, union_corpora
 from thermolake.operators.quality import QualityGateFailed
 from thermolake.plans import jobs
 from thermolake.sources.tables import SnapshotTable
@@ -39,7 +38,11 @@ def test_from_topic_to_answers(spark, tmp_path):
     assert gold.read().orderBy("machine_id").collect() == published
     assert spark.read.json(f"{tmp_path}/evidence").first().success is False
 
-    docs = union_corpora(corpus(spark, TEXTS), kpi_documents(gold.read()))
+    static = corpus(spark, TEXTS)
+    nowhere = SnapshotTable(spark, f"{tmp_path}/nowhere", M.GOLD_SCHEMA)
+    assert jobs.build_corpus(static, nowhere).count() == len(TEXTS)
+    docs = jobs.build_corpus(static, gold)
+    assert docs.count() == len(TEXTS) + 3
     asked = spark.createDataFrame(
         [(1, "What was the anomaly rate of machine CNC_MILL_01"), (2, "Where do malformed records go")],
         "query_id bigint, query string",

@@ -17,7 +17,7 @@ from thermolake.operators import dense as V
 from thermolake.operators import fusion as X
 from thermolake.operators import medallion as M
 from thermolake.operators import quality as Q
-from thermolake.operators.corpus import chunk
+from thermolake.operators.corpus import chunk, kpi_documents, union_corpora
 from thermolake.session import checkpoint_dir
 from thermolake.sources.files import write_report
 from thermolake.sources.tables import SnapshotTable
@@ -48,6 +48,13 @@ def refresh_gold(
     return table.overwrite(M.daily_kpis(silver), audit=audit)
 
 
+def build_corpus(static: DataFrame, gold: SnapshotTable | None = None) -> DataFrame:
+    """Static documents, followed by one per KPI row once Gold has been published."""
+    if gold is None or not gold.exists():
+        return union_corpora(static)
+    return union_corpora(static, kpi_documents(gold.read()))
+
+
 def answer_questions(
     corpus: DataFrame,
     questions: DataFrame,
