@@ -29,7 +29,8 @@ SLACK = 10.0 ** (1 - SCORE_DIGITS)
 # Queries scored together: bounds a task's matrix to (rows of a batch) x this.
 QUERIES_PER_MATRIX = 256
 
-HIT_DDL = "query_id {}, id string, ord_key string, pos int, score double"
+# ``score`` is rounded and decides the order; ``raw`` is what presentation rounds, once.
+HIT_DDL = "query_id {}, id string, ord_key string, pos int, score double, raw double"
 
 # Candidates a task lets gather before it merges them into what it keeps.
 MERGE_ROWS = 10_000
@@ -92,7 +93,7 @@ def block_top_k(
     k: int,
     columns: list[str],
 ) -> DataFrame:
-    """``(query_id, id, ord_key, pos, score)`` with at most ``k`` rows per query *and task*.
+    """``HIT_DDL`` rows, at most ``k`` per query *and task*.
 
     ``rows`` holds ``id, ord_key, pos`` and the ``columns`` the scorer reads. ``scorer`` is called
     once per task.
@@ -123,7 +124,8 @@ def block_top_k(
                 group = slice(start, start + scores.shape[1])
                 row, query, value = best_per_query(scores, rank, floor[group], k)
                 if len(row):
-                    fresh.append(keys.iloc[row].assign(query=query + start, score=value))
+                    raw = scores[row, query]
+                    fresh.append(keys.iloc[row].assign(query=query + start, score=value, raw=raw))
                     waiting += len(row)
             # Merging costs a sort of what is kept, so it waits until as much has come in.
             if fresh and (kept is None or waiting >= max(MERGE_ROWS, len(kept))):
@@ -140,8 +142,9 @@ def block_top_k(
                     pa.array(kept["ord_key"], type=pa.string()),
                     pa.array(kept["pos"], type=pa.int32()),
                     pa.array(kept["score"], type=pa.float64()),
+                    pa.array(kept["raw"], type=pa.float64()),
                 ],
-                names=["query_id", "id", "ord_key", "pos", "score"],
+                names=["query_id", "id", "ord_key", "pos", "score", "raw"],
             )
 
     id_type = pa.string() if query_ids and isinstance(query_ids[0], str) else pa.int64()

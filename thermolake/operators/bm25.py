@@ -205,7 +205,7 @@ def bm25_search(
     k1: float = settings.BM25_K1,
     b: float = settings.BM25_B,
 ) -> DataFrame:
-    """Top ``k`` chunks per query: ``query_id, id, ord_key, pos, score, rank``.
+    """Top ``k`` chunks per query: ``query_id, id, ord_key, pos, score, raw, rank``.
 
     Every chunk has a score, zero when it shares no word, so a query with few matches is filled
     with the first chunks in corpus order.
@@ -236,5 +236,5 @@ def bm25_search(
 def bm25_hits(found: DataFrame) -> DataFrame:
     """Rounded for presentation: ``query_id, rank, chunk_id, bm25_score``."""
     return found.select(
-        "query_id", "rank", F.col("id").alias("chunk_id"), F.round("score", 4).alias("bm25_score")
+        "query_id", "rank", F.col("id").alias("chunk_id"), F.round("raw", 4).alias("bm25_score")
     )

@@ -117,7 +117,7 @@ def dense_search(
 
 def dense_hits(found: DataFrame) -> DataFrame:
     """Rounded for presentation: ``query_id, rank, chunk_id, distance``."""
-    distance = F.round(-F.col("score"), 4) + F.lit(0.0)
+    distance = F.round(-F.col("raw"), 4) + F.lit(0.0)
     return found.select(
         "query_id", "rank", F.col("id").alias("chunk_id"), distance.alias("distance")
     )
