@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import overheat_readings, readings, violations
+from tests.test_lakehouse import accepted
 from tests.test_retrieval import TEXTS, corpus
 from tests.test_streaming import deliver
 from thermolake.operators import answers as A
 from thermolake.operators import medallion as M
-from thermolake.operators.quality import QualityGateFailed
+from thermolake.operators.quality import QualityGateFailed, quarantine, unique_together
 from thermolake.plans import jobs
+from thermolake.sources.files import write_json_lines
 from thermolake.sources.tables import SnapshotTable
 from thermolake.streaming import ingest as S
 
@@ -54,3 +56,40 @@ def test_from_topic_to_answers(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/answers/stages").count() == 2 * (8 + 8 + 8 + 4)
     with pytest.raises(A.UngroundedAnswer):
         jobs.answer_questions(docs.limit(0), asked, f"{tmp_path}/empty")
+
+
+def test_bronze_from_accepted_json_lines(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    with pytest.raises(FileNotFoundError):
+        jobs.append_bronze(spark, f"{tmp_path}/none", out, 0)
+    write_json_lines(accepted(spark, readings()), f"{tmp_path}/a")
+    assert jobs.append_bronze(spark, f"{tmp_path}/a", out, 0) == 12
+    assert jobs.append_bronze(spark, f"{tmp_path}/a", out, 1) == 12
+    assert jobs.append_bronze(spark, f"{tmp_path}/a", out, 1) == 12
+    assert S.read_bronze(spark, out).count() == 24
+
+
+def test_a_hot_machine_and_a_hot_reading(spark):
+    """A third of the rows share a key; results are whole and exact."""
+    n = 30_000
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(n).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("r"), "id")).alias("reading_id"),
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("M"), F.col("id") % 50)).alias("machine_id"),
+        (F.col("id") % 1000 / 10).alias("temperature_c"),
+        F.lit("2024-03-01 08:00:00").cast("timestamp").alias("recorded_at"),
+        (F.col("id") % 1000 / 10 > 85).alias("is_anomaly"),
+        F.lit(0).alias("kafka_partition"),
+        F.col("id").alias("kafka_offset"),
+        F.lit("2024-03-01 09:00:00").cast("timestamp").alias("ingested_at"),
+    )
+    silver = M.clean(rows)
+    assert silver.count() == n - n // 3 + 1
+    assert M.lookup(silver, "hot").first().temperature_c == (n - 3) % 1000 / 10
+    every = rows.withColumn("reading_date", F.to_date("recorded_at"))
+    kpi = M.lookup(M.daily_kpis(every), "HOT", "machine_id").first()
+    values = [i % 1000 for i in range(0, n, 3)]
+    assert kpi.readings == len(values) and kpi.anomaly_count == sum(v > 850 for v in values)
+    assert kpi.avg_temperature_c == (2 * sum(values) * 10 + len(values)) // (2 * len(values)) / 100
+    marked = quarantine(rows, [unique_together("machine_id", "reading_id")])
+    assert marked.filter(F.size("violations") > 0).count() == n // 3

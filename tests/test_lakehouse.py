@@ -192,6 +192,18 @@ def test_wrong_schema_is_refused_and_changes_nothing(spark, tmp_path):
     assert after.exceptAll(before).isEmpty() and before.exceptAll(after).isEmpty()
 
 
+def test_catalog_tables_refuse_unsafe_casts(spark, tmp_path):
+    silver = M.clean(bronze(spark, readings()))
+    silver.write.option("path", f"{tmp_path}/t").saveAsTable("strict_silver")
+    try:
+        bad = silver.withColumn("temperature_c", F.lit("not-a-number"))
+        with pytest.raises(PySparkException, match="INCOMPATIBLE_DATA_FOR_TABLE"):
+            bad.write.insertInto("strict_silver")
+        assert spark.table("strict_silver").count() == 12
+    finally:
+        spark.sql("DROP TABLE strict_silver")
+
+
 def test_failed_audit_publishes_nothing(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/gold", M.GOLD_SCHEMA)
     silver = M.clean(bronze(spark, readings()))

@@ -1,13 +1,13 @@
-"""The stages as jobs: Silver, Gold behind the gate, and answered questions.
+"""The stages as jobs: Bronze, Silver, Gold behind the gate, and answered questions.
 
-Ingestion is ``streaming.ingest.ingest``. Each job publishes only after its audits have passed.
+Streaming ingestion is ``streaming.ingest.ingest``. Each job publishes only after its audits have passed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermolake import settings
@@ -19,8 +19,21 @@ from thermolake.operators import medallion as M
 from thermolake.operators import quality as Q
 from thermolake.operators.corpus import chunk, kpi_documents, union_corpora
 from thermolake.session import checkpoint_dir
-from thermolake.sources.files import write_report
-from thermolake.sources.tables import SnapshotTable
+from thermolake.sources.files import read_accepted, write_report
+from thermolake.sources.tables import SnapshotTable, check_schema
+
+
+def append_bronze(spark: SparkSession, accepted: str, out: str, batch_id: int) -> int:
+    """Append a batch of accepted JSON lines to the Bronze folder ``ingest`` writes.
+
+    The batch has its own partition, so a repeated call replaces instead of duplicating it.
+    Raises when the input is missing or empty. Returns the number of rows.
+    """
+    rows = M.bronze(read_accepted(spark, accepted))
+    check_schema(rows, M.BRONZE_SCHEMA)
+    folder = f"{out}/bronze/ingest_batch={batch_id}"
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(M.BRONZE_SCHEMA).parquet(folder).count()
 
 
 def refresh_silver(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from thermolake.operators import contract as C
 from thermolake.operators.medallion import BRONZE_SCHEMA, bronze
 from thermolake.sources.kafka import TOPIC_DDL, write_options
+from thermolake.sources.tables import check_schema
 
 LOG_DDL = "batch_id bigint, accepted bigint, rejected bigint"
 
@@ -62,9 +63,9 @@ def ingest(
     def handle(batch: DataFrame, batch_id: int) -> None:
         checked = C.validate(batch, contract).persist()
         try:
-            bronze(C.accepted(checked)).write.mode("overwrite").parquet(
-                f"{out}/bronze/ingest_batch={batch_id}"
-            )
+            rows = bronze(C.accepted(checked))
+            check_schema(rows, BRONZE_SCHEMA)
+            rows.write.mode("overwrite").parquet(f"{out}/bronze/ingest_batch={batch_id}")
             letters = C.dead_letters(checked, source_topic)
             letters.write.mode("overwrite").json(f"{out}/dead_letters/ingest_batch={batch_id}")
             if dead_letter_sink is not None:
