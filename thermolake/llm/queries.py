@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import dac, packing
-from thermolake.llm.common import table
+from thermolake.llm import dac, packing, quality, warc
+from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -27,9 +27,36 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, held_out: int) -> DataFrame:
+    """Documents with their label, without those of the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
+    learn = F.coalesce(fold(F.col("doc_id"), folds) != held_out, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(labels.filter(learn & F.col("label").isNotNull()), "doc_id")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by compression with a good and a bad dictionary."""
+    model = quality.fit(labelled(spark, sf_dir, "quality", 4, 2))
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    scored = quality.score(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC bundles and read back by their places."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("record_id"), "url", F.col("html").cast("binary").alias("payload")
+    )
+    read = warc.read(warc.write(pages))
+    return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
+    "op7_quality": op7_quality,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {}
