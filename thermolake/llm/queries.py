@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import dac, packing, quality, warc
+from thermolake.llm import dac, packing, quality, secrets, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,20 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, found through the trigram index."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secrets.BASE]
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+    of_base = F.filter("found", lambda s: s["kind"].isin(base))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secrets.written(of_base).cast("binary"), 256).alias("base_sha256"),
+        secrets.written("found").alias("spans"),
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC bundles and read back by their places."""
     pages = table(spark, sf_dir, "pages").select(
@@ -56,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
+    "op8_secrets": op8_secrets,
     "op10_warc": op10_warc,
 }
 
