@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import dac, packing, quality, secrets, warc
+from thermolake.llm import ann, dac, packing, quality, secrets, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = ann.search(ann.build(vectors, k=10), vectors.filter("id % 100 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 1024 ids."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -67,6 +74,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
