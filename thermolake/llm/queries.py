@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import ann, dac, packing, quality, secrets, warc
+from thermolake.llm import ann, dac, packing, quality, secrets, toxicity, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, held_out: int) -> DataFrame:
+    """Documents with their label, without those of the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
+    learn = F.coalesce(fold(F.col("doc_id"), folds) != held_out, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return docs.join(labels.filter(learn & F.col("label").isNotNull()), "doc_id")
+
+
+def is_held_out(folds: int, held_out: int) -> Column:
+    return F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out")
+
+
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
@@ -21,6 +33,21 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; ``rejected`` by the threshold of the language."""
+    model = toxicity.fit(labelled(spark, sf_dir, "toxic", 3, 1))
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), model)
+    cut = toxicity.threshold(model, F.col("lang"))
+    return scored.select(
+        "doc_id",
+        is_held_out(3, 1),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        cut.alias("threshold"),
+        (F.col("score") >= cut).alias("rejected"),
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 1024 ids."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -34,20 +61,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str, folds: int, held_out: int) -> DataFrame:
-    """Documents with their label, without those of the held-out fold."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label"))
-    learn = F.coalesce(fold(F.col("doc_id"), folds) != held_out, F.lit(False))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(labels.filter(learn & F.col("label").isNotNull()), "doc_id")
-
-
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by compression with a good and a bad dictionary."""
     model = quality.fit(labelled(spark, sf_dir, "quality", 4, 2))
-    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     scored = quality.score(table(spark, sf_dir, "documents"), model)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", is_held_out(4, 2), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +93,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
+    "op2_toxicity": op2_toxicity,
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
