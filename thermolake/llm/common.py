@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,5 +94,33 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
+@dataclass
+class WordTable:
+    """Words of many texts: the distinct ones, a number per word, and the words of each text."""
+
+    distinct: list[str]
+    codes: np.ndarray
+    counts: np.ndarray
+
+    def places(self, counts: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+        """First place of each text, and the place of every word, when each text has ``counts``
+        places and ``gap`` empty ones behind them."""
+        starts = np.cumsum(counts + gap) - (counts + gap)
+        return starts, np.arange(len(self.codes)) + np.repeat(starts - (np.cumsum(self.counts) - self.counts), self.counts)
+
+
+def word_table(texts: list[str | None] | pa.Array) -> WordTable:
+    """Runs of letters and digits, lower-cased, of whole texts; a null text has none."""
+    lower = pc.utf8_lower(pc.fill_null(pa.array(texts, pa.large_string()), ""))
+    split = pc.split_pattern_regex(lower, r"[^\p{L}\p{N}]+")
+    ends = split.offsets.to_numpy() - (split.offsets[0].as_py() if len(split.offsets) else 0)
+    flat = split.flatten().dictionary_encode()
+    distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+    codes = flat.indices.to_numpy().astype(np.int64)
+    real = codes != (distinct.index("") if "" in distinct else -1)
+    before = np.concatenate([[0], np.cumsum(real)])
+    return WordTable(distinct, codes[real], before[ends[1:]] - before[ends[:-1]])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import ann, dac, packing, quality, secrets, toxicity, warc
+from thermolake.llm import ann, dac, decontaminate, packing, quality, secrets, toxicity, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of all documents with all benchmark items."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 1024 ids."""
     cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -94,6 +99,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_toxicity": op2_toxicity,
+    "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
