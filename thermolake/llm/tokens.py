@@ -22,9 +22,10 @@ REMEMBERED = 300_000
 # Words encoded in one call.
 CALL = 4_096
 
-# A word of letters with punctuation behind it: two pre-tokens, or one without punctuation.
-# Apostrophes are left out, as they may open a contraction.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.!?;:%&*#$|]*)")
+# A word of letters, punctuation, and perhaps a line end with another word: each of them is a
+# pre-token. Apostrophes are left out, as they may open a contraction.
+LETTERS, SIGNS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[,.!?;:%&*#$|]*"
+SIMPLE = re.compile(rf"({LETTERS})({SIGNS}\n?)(?:(?<=\n)({LETTERS})({SIGNS}))?")
 
 
 def byte_letters() -> dict[int, str]:
@@ -68,12 +69,16 @@ class Encoder:
         matches = list(map(SIMPLE.fullmatch, missing))
         other = [word for word, match in zip(missing, matches) if not match]
         simple = [match for match in matches if match]
-        tails = list({match[2] for match in simple} - self.tails.keys())
+        double = [match for match in simple if match[3]]
+        tails = {match[2] for match in simple}.union(match[4] for match in double)
+        tails = list(tails - self.tails.keys())
         self.tails.update(zip(tails, self._call(tails)))
-        text = "\n".join([match[1] for match in simple])
+        text = "\n".join([" " + match[1] for match in simple] + [match[3] for match in double])
         cores = text.encode().decode("latin-1").translate(self.letters).split(self.letters[10])
-        ids = self._call([self.letters[32] + core for core in cores] if simple else [], self.single)
+        ids = self._call(cores if simple else [], self.single)
         out = {match[0]: core + self.tails[match[2]] for match, core in zip(simple, ids)}
+        for match, core in zip(double, ids[len(simple) :]):
+            out[match[0]] += core + self.tails[match[4]]
         return out | dict(zip(other, self._call([" " + word for word in other])))
 
     def _segments(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +101,7 @@ class Encoder:
         ends = np.append(first[1:], len(split.flatten()))
         flat = split.flatten().dictionary_encode()
         word = flat.indices.to_numpy().astype(np.int64)
-        distinct = flat.dictionary.to_pylist()
+        distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         # A space next to white space, or at an end, is no sure cut: such texts are encoded whole.
         # A word that opens a text may end in white space only if it is the whole text.
         odd = np.fromiter((w != w.strip() or not w for w in distinct), bool, len(distinct))
