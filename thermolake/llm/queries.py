@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import ann, dac, decontaminate, packing, quality, secrets, toxicity, warc
+from thermolake.llm import ann, dac, decontaminate, jaccard, packing, quality, secrets, toxicity, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of 80 % shared shingles."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as directly addressable codes and read back."""
     manifest = dac.write(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
+    "op5_jaccard": op5_jaccard,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
