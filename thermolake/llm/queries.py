@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import ann, dac, decontaminate, jaccard, packing, quality, secrets, toxicity, warc
+from thermolake.llm import ann, dac, decontaminate, jaccard, kneser_ney, packing, quality, secrets, toxicity, warc
 from thermolake.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,15 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents under a model of those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.filter(fold(F.col("doc_id"), 7) != 2))
+    scored = kneser_ney.score(docs, model)
+    tokens = F.lit(model.tokens).cast("bigint").alias("train_tokens")
+    return scored.select("doc_id", is_held_out(7, 2), "n_tokens", "n_known", tokens, "base_score", "score")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC bundles and read back by their places."""
     pages = table(spark, sf_dir, "pages").select(
@@ -110,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
+    "op9_language_model": op9_language_model,
     "op10_warc": op10_warc,
 }
 
