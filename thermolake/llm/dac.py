@@ -31,8 +31,8 @@ MAGIC = b"TOKDAC01"
 CHUNK_BITS = 8
 # A file is closed after the document that reaches this many ids (10 MB or so).
 FILE_IDS = 4_000_000
-# Ids read in one piece when documents are read back.
-READ_IDS = 1_000_000
+# Ids read in one piece when documents are read back; their arrays stay in a core's cache.
+READ_IDS = 1 << 16
 
 MANIFEST_DDL = "part int, seq int, path string, documents bigint, ids bigint"
 

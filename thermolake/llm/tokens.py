@@ -125,7 +125,9 @@ class Encoder:
         starts = np.cumsum(sizes) - sizes
         count = sizes[segment]
         at = np.cumsum(count)
-        out = ids[np.arange(at[-1]) + np.repeat(starts[segment] - (at - count), count)]
+        kind = np.int32 if max(at[-1], len(ids)) < 1 << 31 else np.int64
+        shift = (starts[segment] - (at - count)).astype(kind)
+        out = ids[np.arange(at[-1], dtype=kind) + np.repeat(shift, count)]
         return np.split(out, at[ends[:-1] - 1])
 
 
