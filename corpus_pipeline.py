@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from thermolake.llm import decontaminate, jaccard, packing, secrets, toxicity
 from thermolake.llm.common import stored, table
-from thermolake.llm.queries import TOKENIZER, labelled
+from thermolake.llm.queries import TOKENIZER, known_labels
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
+    model = toxicity.fit(docs, known_labels(spark, sf_dir, "toxic", 3, 1))
     scored = toxicity.score(docs, model)
     return scored.filter(F.col("score") < toxicity.threshold(model, F.col("lang"))).select(*docs.columns)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from thermolake.session import checkpoint_dir
@@ -122,5 +122,26 @@ def word_table(texts: list[str | None] | pa.Array) -> WordTable:
     return WordTable(distinct, codes[real], before[ends[1:]] - before[ends[:-1]])
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[dict[int, int], list[Row]]:
+    """Numbers of all documents with label 0 and 1, and up to ``per_label`` documents of each.
+
+    ``labels`` has (doc_id, label). Only ids are joined and ordered (by a hash); the texts of the
+    chosen ones, a bounded number, are then picked out of the documents without a shuffle. Rows
+    come in that order, label 0 first; a null text has no part.
+    """
+    named = docs.filter("text is not null")
+    known = labels.filter("label in (0, 1)").select("doc_id", "label").join(named.select("doc_id"), "doc_id")
+    known = stored(known, "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    order = F.xxhash64("doc_id")
+    chosen = [
+        known.filter(F.col("label") == label).distinct().withColumn("place", order).orderBy("place", "doc_id").limit(per_label)
+        for label in (0, 1)
+    ]
+    picked = stored(chosen[0].unionByName(chosen[1]), "picked")
+    rows = named.join(F.broadcast(picked), "doc_id").collect()  # at most 2 * per_label ids
+    return counts, sorted(rows, key=lambda r: (r["label"], r["place"], r["doc_id"], r["text"]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -25,9 +25,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import prepare
+from thermolake.llm.common import labelled_sample, prepare
 
-# Fitting sample: at most so many labelled texts of either kind, by a hash of text and id.
+# Fitting sample: at most so many labelled texts of either kind, by a hash of the id.
 SAMPLE_PER_LABEL = 3_000
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 512
@@ -98,16 +98,11 @@ def dictionary(texts: list[str], size: int = DICTIONARY_BYTES) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def fit(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> QualityModel:
-    """Fit on rows (doc_id, text, label): counts over all of them, texts of a bounded sample."""
-    known = labelled.filter("label in (0, 1) and text is not null").select("doc_id", "text", "label")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> QualityModel:
+    """Fit on documents with rows (doc_id, label): counts over all, texts of a bounded sample."""
+    counts, rows = labelled_sample(docs.select("doc_id", "text"), labels, per_label)
     total = sum(counts.values())
-    order = F.xxhash64("doc_id", "text")
-    sample = {
-        label: [r["text"] for r in known.filter(F.col("label") == label).orderBy(order).select("text").limit(per_label).collect()]
-        for label in (0, 1)
-    }
+    sample = {label: [r["text"] for r in rows if r["label"] == label] for label in (0, 1)}
     if min(map(len, sample.values())) < 2:
         share = counts.get(1, 0) / total if total else 0.5
         return QualityModel(b"", b"", 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))

@@ -14,11 +14,10 @@ from thermolake.llm.common import fold, table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
-    """Documents with their label, without those of the held-out fold."""
+def known_labels(spark: SparkSession, sf_dir: str, label: str, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, label) without the documents of the held-out fold."""
     learn = F.coalesce(fold(F.col("doc_id"), folds) != held_out, F.lit(False))
-    known = labels.select("doc_id", F.col(label).alias("label")).filter(learn & F.col("label").isNotNull())
-    return docs.select("doc_id", "text", "lang").join(known, "doc_id")
+    return table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("label")).filter(learn)
 
 
 def is_held_out(folds: int, held_out: int) -> Column:
@@ -35,7 +34,7 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; ``rejected`` by the threshold of the language."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
+    model = toxicity.fit(docs, known_labels(spark, sf_dir, "toxic", 3, 1))
     scored = toxicity.score(docs, model)
     cut = toxicity.threshold(model, F.col("lang"))
     return scored.select(
@@ -74,7 +73,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by compression with a good and a bad dictionary."""
     docs = table(spark, sf_dir, "documents")
-    model = quality.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
+    model = quality.fit(docs, known_labels(spark, sf_dir, "quality", 4, 2))
     scored = quality.score(docs, model)
     return scored.select("doc_id", is_held_out(4, 2), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
