@@ -148,13 +148,13 @@ class Block:
         return int(sums[last] - sums[first]), -int(begin - start + first), last - first
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The items in blocks of about ``limit`` bytes, one at a time."""
+def blocks(benchmark: DataFrame) -> Iterator[Block]:
+    """The items in blocks of about ``BLOCK_BYTES``, one at a time."""
     items = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).dropna().distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0]
     if not total:
         return
-    count = math.ceil(total / limit)
+    count = math.ceil(total / BLOCK_BYTES)
     for number in range(count):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number)
         rows = sorted((r["item_id"], r["text"]) for r in part.collect())
