@@ -8,13 +8,15 @@ from hypothesis import given, settings as hyp
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.fixtures import MACHINES, overheat_readings, readings
 from thermolake.functions.numbers import divide_half_up, float_text
 from thermolake.operators import medallion as M
 from thermolake.operators import upsert as U
+from thermolake.plans import jobs
 from thermolake.session import checkpoint_dir
-from thermolake.sources.files import EmptyInput, read_accepted, write_json_lines
+from thermolake.sources.files import BrokenInput, EmptyInput, read_accepted, write_json_lines
 from thermolake.sources.tables import SchemaMismatch, SnapshotTable, TableExists, TableMissing
 
 NOON = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
@@ -232,6 +234,33 @@ def test_accepted_json_lines(spark, tmp_path):
         read_accepted(spark, f"{tmp_path}/b")
 
 
+@pytest.mark.parametrize(
+    "line", ["{broken", "{}", '{"reading_id": "r"}', "[1]", '{"reading_id": "r", "temperature_c": "hot"}'],
+)
+def test_broken_and_incomplete_records_are_refused(spark, tmp_path, line):
+    write_json_lines(accepted(spark, readings()), f"{tmp_path}/a")
+    (tmp_path / "a" / "more.json").write_text(line + "\n")
+    with pytest.raises(BrokenInput):
+        jobs.append_bronze(spark, f"{tmp_path}/a", f"{tmp_path}/out", 0)
+    assert not (tmp_path / "out").exists()
+
+
+def test_microseconds_survive_accepted_json(spark, tmp_path):
+    rows = accepted(spark, [{**readings()[0], "recorded_at": "2024-03-01T08:00:00.123456+00:00"}])
+    write_json_lines(rows, f"{tmp_path}/a")
+    assert read_accepted(spark, f"{tmp_path}/a").collect() == rows.collect()
+
+
+def test_nulls_in_non_null_columns_are_refused(spark, tmp_path):
+    schema = T.StructType([T.StructField("reading_id", T.StringType(), False), *M.SILVER_SCHEMA.fields[1:]])
+    table = SnapshotTable(spark, f"{tmp_path}/t", schema)
+    silver = M.clean(bronze(spark, readings()))
+    table.create(silver)
+    with pytest.raises(PySparkException, match="reading_id is null"):
+        table.overwrite(silver.withColumn("reading_id", F.lit(None).cast("string")))
+    assert table.history().count() == 1 and table.read().count() == 12
+
+
 def test_merge_needs_a_catalog_with_row_level_changes(spark, tmp_path):
     silver = M.clean(bronze(spark, readings()))
     silver.write.option("path", f"{tmp_path}/t").saveAsTable("plain_silver")

@@ -42,8 +42,19 @@ def test_overheated_gold_fails_one_and_leaves_evidence(spark, tmp_path):
     (failure,) = evidence["failed_expectations"]
     assert failure["column"] == "anomaly_rate" and failure["unexpected_count"] == 1
     assert failure["partial_unexpected_list"] == ["0.75"]
-    row = Q.summarise(Q.evaluate(gold(spark, OVERHEAT), Q.gold_suite())).first()
-    assert tuple(row) == (False, 14, 13, 1, 92.86)
+    rows, suite = gold(spark, OVERHEAT), Q.gold_suite()
+    row = Q.summarise(Q.evaluate(rows, suite), rows, suite).first()
+    assert tuple(row) == (False, 14, 13, 1, 92.86, 1, 0.6, 0.75)
+
+
+def test_bounds_on_volume_belong_to_the_caller(spark):
+    rows = gold(spark, HEALTHY)
+    assert failed(spark, rows, Q.gold_suite(max_rows=1, max_readings=3)) == {
+        ("expect_table_row_count_to_be_between", None): None,
+        ("expect_column_values_to_be_between", "readings"): 2,
+    }
+    many = rows.withColumn("readings", F.lit(10**12)).withColumn("anomaly_count", F.lit(10**11))
+    assert failed(spark, many, Q.gold_suite()) == {}
 
 
 def test_the_ceiling_is_inclusive(spark):
@@ -90,6 +101,12 @@ def test_samples_and_quarantine(spark):
     many = rows.crossJoin(spark.range(30)).drop("id")
     check = Q.between("anomaly_rate", 0.0, 0.6)
     assert Q.failure_sample(many, check, ["machine_id"]).count() == 20
+    repeated = Q.failure_sample(many, Q.unique_together("machine_id", "reading_date"), [])
+    assert [r.machine_id for r in repeated.collect()] == ["CNC_MILL_01", "ROBOTIC_ARM_02"]
+    pair = Q.greater_than("min_temperature_c", "max_temperature_c")
+    assert Q.failure_sample(rows, pair, ["machine_id", "max_temperature_c"]).first().asDict() == {
+        "min_temperature_c": 66.0, "max_temperature_c": 96.5,
+    }
 
 
 def test_value_checks_share_one_scan(spark, tmp_path):

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings as hyp
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from thermolake.operators import answers as A
@@ -258,8 +259,10 @@ def retrieve(spark, tmp_path):
 
 def test_funnel_and_grounded_answers(spark, tmp_path):
     asked, stages, scorer = retrieve(spark, tmp_path)
-    table = X.summarise_funnel(stages)
+    index = B.TextIndex(spark, f"{tmp_path}/i")
+    table = X.summarise_funnel(stages, index.chunks())
     assert table.columns == X.FUNNEL_COLUMNS
+    assert table.filter("source IS NULL OR source <> concat('s', substring_index(chunk_id, '#', 1))").isEmpty()
     counts = {r.stage: r["count"] for r in table.groupBy("stage").count().collect()}
     assert counts == {"dense": 12, "bm25": 12, "fused": 12, "reranked": 12}
     top = {r.query_id: r.chunk_id for r in table.filter("stage = 'reranked' AND rank = 1").collect()}
@@ -294,6 +297,31 @@ def test_answer_composition(spark):
     assert [(r.query_id, r.problem) for r in audit] == [(2, "no citation")]
 
 
+def test_zero_padded_markers_and_deep_ranks(spark):
+    """[Source 02] cites source 2, and neither rank nor position is bounded."""
+    asked = spark.createDataFrame([(1, "q")], "query_id int, query string")
+    ddl = "query_id int, rank int, chunk_id string, text string, source string, doc_id string, query string"
+    hits = [(1, 2, "c2", "As [Source 02] says", "s", "d", "q"), (1, 3_000, "c3", "Last words", "s", "d", "q")]
+    same = X.column_scorer(lambda q, t: F.lit(1.0))
+    row = A.extractive_answers(spark.createDataFrame(hits, ddl), asked, same).first()
+    assert row.answer == "As [Source 02] says [Source 2] Last words [Source 3000]"
+    assert [c.chunk_id for c in row.citations] == ["c2", "c3"]
+    only = spark.createDataFrame([("x [Source 007] y [Source 0]",)], "t string").select(A.cited_numbers(F.col("t")))
+    assert only.first()[0] == ["7", "0"]
+
+
+def test_order_keys_of_long_and_negative_ids(spark):
+    long = ["a" * 25 + end for end in "cab"]
+    rows = spark.createDataFrame([(i, "t", "s") for i in long], "doc string, text string, source string")
+    assert [r.id for r in D.documents(rows, "doc").orderBy("ord_key").collect()] == sorted(long)
+    numbers = [5, -3, 0, -(1 << 63), (1 << 63) - 1, 10]
+    rows = spark.createDataFrame([(i, "t", "s") for i in numbers], "doc bigint, text string, source string")
+    ordered = D.documents(rows, "doc").orderBy("ord_key").collect()
+    assert [int(r.id) for r in ordered] == sorted(numbers) and len({len(r.ord_key) for r in ordered}) == 1
+    with pytest.raises(PySparkException, match="text is null"):
+        D.documents(rows.withColumn("text", F.lit(None).cast("string")), "doc").collect()
+
+
 def test_prompt_column(spark):
     text = spark.range(1).select(A.prompt(F.lit("why?"), F.lit("[Source 1] x"))).first()[0]
     assert "CONTEXT:\n[Source 1] x\n\nQUESTION: why?\n\nANSWER:" in text and A.NO_ANSWER in text

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from thermolake.operators import runlog as R
 
 
@@ -18,7 +20,7 @@ def test_runs_errors_conformance_and_pivot(spark, tmp_path):
     events = [
         event("START", "a", 0), event("COMPLETE", "a", 1.25),
         event("START", "b", 2, "gold"), event("FAIL", "b", 3, "gold", "ValueError: boom"),
-        event("START", "c", 4, "gold", producer=None),
+        event("START", "c", 4, "gold", producer=None), event("RUNNING", "c", 9, "gold"),
     ]
     (tmp_path / "e.jsonl").write_text("\n".join(json.dumps(e) for e in events))
     df = R.read_events(spark, str(tmp_path / "e.jsonl"))
@@ -26,6 +28,9 @@ def test_runs_errors_conformance_and_pivot(spark, tmp_path):
     assert runs == {"a": ("COMPLETE", 1250), "b": ("FAIL", 1000), "c": ("OPEN", None)}
     assert [tuple(r) for r in R.run_errors(df).collect()] == [("b", "gold", "ValueError: boom", "PYTHON")]
     missing = {r.field: (r.events, r.missing, r.conforms) for r in R.conformance(df).collect()}
-    assert missing["producer"] == (5, 1, False) and missing["run.runId"] == (5, 0, True)
+    assert missing["producer"] == (6, 1, False) and missing["run.runId"] == (6, 0, True)
+    (tmp_path / "broken.jsonl").write_text("{not json")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        R.read_events(spark, str(tmp_path / "broken.jsonl")).collect()
     pivot = {r.job_name: tuple(r)[1:] for r in R.events_per_job(df).collect()}
     assert pivot == {"silver": (1, 1, 0), "gold": (2, 0, 1)}

@@ -25,9 +25,11 @@ def test_restart_reads_only_new_input_and_equals_one_batch(spark, tmp_path):
     deliver(topic, "1.json", good[:6] + bad)
     stream = lambda: S.file_topic(spark, str(topic))
     assert S.ingest(stream(), out, check, "readings") == {"accepted": 6, "rejected": 4}
-    assert S.ingest(stream(), out, check, "readings") == {"accepted": 6, "rejected": 4}
+    with pytest.raises(S.EmptyIngest):  # nothing new
+        S.ingest(stream(), out, check, "readings")
     deliver(topic, "2.json", good[6:] + ["{bad"], 10)
-    assert S.ingest(stream(), out, check, "readings") == {"accepted": 12, "rejected": 5}
+    assert S.ingest(stream(), out, check, "readings") == {"accepted": 6, "rejected": 1}
+    assert S.ingest_totals(spark, out) == {"accepted": 12, "rejected": 5}
     bronze = S.read_bronze(spark, out)
     assert bronze.count() == 12 and bronze.select("ingest_batch").distinct().count() == 2
     letters = spark.read.json(f"{out}/dead_letters")
@@ -66,6 +68,17 @@ def test_nothing_accepted_is_refused(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/o/dead_letters").count() == 1
 
 
+def test_a_later_drain_with_only_rejects_is_refused(spark, tmp_path):
+    topic, out, check = tmp_path / "topic", f"{tmp_path}/o", f"{tmp_path}/c"
+    deliver(topic, "1.json", [json.dumps(r) for r in readings()])
+    assert S.ingest(S.file_topic(spark, str(topic)), out, check, "readings")["accepted"] == 12
+    deliver(topic, "2.json", ["{bad", json.dumps(violations()[0])], 20)
+    with pytest.raises(S.EmptyIngest):
+        S.ingest(S.file_topic(spark, str(topic)), out, check, "readings")
+    assert S.ingest_totals(spark, out) == {"accepted": 12, "rejected": 2}
+    assert S.read_bronze(spark, out).count() == 12
+
+
 def test_topic_messages_and_options(spark):
     rows = spark.createDataFrame([("M1", 70.5)], "machine_id string, temperature_c double")
     assert kafka.keyed_messages(rows).first() == ("M1", '{"machine_id":"M1","temperature_c":70.5}')

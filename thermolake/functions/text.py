@@ -62,3 +62,8 @@ def explode_terms(rows: DataFrame, token_column: str, *keep: str) -> DataFrame:
 def fingerprint(text: Column) -> Column:
     """Lower-case, runs of non-word characters to one space, trimmed."""
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " "))
+
+
+def required(value: Column, name: str) -> Column:
+    """The value; a null fails the job with the column's name."""
+    return F.when(value.isNull(), F.raise_error(f"{name} is null")).otherwise(value)

@@ -14,13 +14,13 @@ from thermolake.operators.topk import top_k
 MARKER_PATTERN = r"\[Source (\d+)\]"
 NO_ANSWER = "The retrieved context does not contain this information."
 
-# Fixed value: the wording of the prompt, but for who is asked to answer.
+# Fixed value: the rules of the prompt. The role before them is our own and a parameter.
 PROMPT_RULES = (
     "Answer ONLY from the context below. Cite every claim with the matching [Source N] marker. "
     "If the context does not contain the answer, reply exactly: "
     f"'{NO_ANSWER}'\n\n"
 )
-DEFAULT_ROLE = "You are a data platform engineer answering questions about the readings. "
+DEFAULT_ROLE = "Your task is to explain sensor readings to the people who run the machines. "
 
 
 class UngroundedAnswer(AssertionError):
@@ -96,7 +96,6 @@ def candidate_sentences(reranked: DataFrame) -> DataFrame:
         "pos",
         "text",
         F.format_string("%s::%d", "chunk_id", "pos").alias("cand_id"),
-        (F.col("chunk_rank") * 1_000_000 + F.col("pos")).alias("rank"),
     )
 
 
@@ -109,6 +108,12 @@ def cite(sentence: Column, mark: Column) -> Column:
     ).otherwise(F.concat(body, F.lit(" "), mark))
 
 
+def cited_numbers(text: Column) -> Column:
+    """The numbers of the markers in a text, without leading zeros: ``[Source 02]`` cites 2."""
+    digits = F.regexp_extract_all(text, F.lit(MARKER_PATTERN), F.lit(1))
+    return F.transform(digits, lambda d: F.regexp_replace(d, "^0+(?=.)", ""))
+
+
 def extractive_answers(
     reranked: DataFrame,
     queries: DataFrame,
@@ -116,7 +121,7 @@ def extractive_answers(
     max_sentences: int = settings.MAX_SENTENCES,
 ) -> DataFrame:
     """One row per query: the answer, the citations it uses and whether it is grounded."""
-    best = rerank(candidate_sentences(reranked), scorer, max_sentences)
+    best = rerank(candidate_sentences(reranked), scorer, max_sentences, "chunk_rank", "pos")
     parts = F.sort_array(
         F.collect_list(
             F.struct("rank", cite(F.col("text"), marker(F.col("chunk_rank"))).alias("part"))
@@ -131,12 +136,12 @@ def extractive_answers(
         .join(contexts, "query_id", "left")
         .join(composed, "query_id", "left")
         .withColumn("answer", F.coalesce("answer", F.lit(NO_ANSWER)))
-        .withColumn("_used", F.regexp_extract_all("answer", F.lit(MARKER_PATTERN), F.lit(1)))
+        .withColumn("_used", cited_numbers(F.col("answer")))
     )
     none = F.array().cast("array<struct<marker:string,chunk_id:string,doc_id:string,source:string>>")
     every = F.coalesce("all_context_citations", none)
     used = F.filter(
-        every, lambda c: F.array_contains("_used", F.regexp_extract(c["marker"], r"(\d+)", 1))
+        every, lambda c: F.array_contains("_used", cited_numbers(c["marker"])[0])
     )
     return joined.select(
         "query_id",

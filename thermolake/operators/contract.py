@@ -52,6 +52,7 @@ class Field:
     rule: Callable[[Column], tuple[Column, Column]] | None = None
 
 
+# The texts of the two rules on values.
 def in_set(allowed: Iterable[str]) -> Callable[[Column], tuple[Column, Column]]:
     """Exact-case membership in a small fixed set."""
     values = list(dict.fromkeys(allowed))

@@ -10,10 +10,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from thermolake import settings
 from thermolake.functions.numbers import float_text
-from thermolake.functions.text import sentences
+from thermolake.functions.text import required, sentences
 
 DOCUMENT_COLUMNS = ["id", "source", "text", "ord_key"]
 CHUNK_COLUMNS = ["id", "doc_id", "source", "text", "ord_key", "pos"]
@@ -29,13 +30,22 @@ KPI_TEXT = (
 )
 
 
+def order_key(rows: DataFrame, column: str) -> Column:
+    """Text that sorts as the column does: integers by value (shifted to be positive, with all of
+    their 20 digits), anything else as its own text, of whatever length."""
+    if isinstance(rows.schema[column].dataType, T.IntegralType):
+        shifted = F.col(column).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+        return F.lpad(shifted.cast("decimal(20,0)").cast("string"), 20, "0")
+    return F.col(column).cast("string")
+
+
 def documents(rows: DataFrame, doc_id: str, text: str = "text", source: str = "source") -> DataFrame:
-    """A table with an integer id as a corpus."""
+    """A table with an id as a corpus, in the order of the ids. A null text is refused."""
     return rows.select(
         F.col(doc_id).cast("string").alias("id"),
         F.col(source).alias("source"),
-        F.col(text).alias("text"),
-        F.lpad(F.col(doc_id).cast("string"), 20, "0").alias("ord_key"),
+        required(F.col(text), "text").alias("text"),
+        order_key(rows, doc_id).alias("ord_key"),
     )
 
 
@@ -67,9 +77,10 @@ def kpi_documents(gold: DataFrame) -> DataFrame:
 
 def union_corpora(*corpora: DataFrame) -> DataFrame:
     """Corpora one after the other: the position prefixes the order key."""
+    digits = len(str(len(corpora)))
     numbered = [
         c.select(
-            "id", "source", "text", F.concat(F.lit(f"{i:04d}|"), F.col("ord_key")).alias("ord_key")
+            "id", "source", "text", F.concat(F.lit(f"{i:0{digits}d}|"), F.col("ord_key")).alias("ord_key")
         )
         for i, c in enumerate(corpora)
     ]

@@ -13,7 +13,7 @@ from thermolake.functions.text import tokens
 from thermolake.operators.block_topk import small
 from thermolake.operators.topk import top_k
 
-FUNNEL_COLUMNS = ["query_id", "stage", "rank", "chunk_id", "score", "retrieved_by"]
+FUNNEL_COLUMNS = ["query_id", "stage", "rank", "chunk_id", "score", "retrieved_by", "source"]
 
 # A scorer takes (query_id, cand_id, query, text) rows and returns them with ``score``.
 PairScorer = Callable[[DataFrame], DataFrame]
@@ -88,15 +88,13 @@ def column_scorer(score: Callable[[Column, Column], Column]) -> PairScorer:
     return lambda pairs: pairs.withColumn("score", score(F.col("query"), F.col("text")))
 
 
-def rerank(
-    candidates: DataFrame, scorer: PairScorer, k: int, order: str = "rank"
-) -> DataFrame:
-    """Best ``k`` candidates (``query_id, cand_id, query, text, <order>``) per query by pair score.
+def rerank(candidates: DataFrame, scorer: PairScorer, k: int, *order: str) -> DataFrame:
+    """Best ``k`` candidates (``query_id, cand_id, query, text``) per query by pair score.
 
-    Equal scores keep the input order.
+    Equal scores keep the input order, given by the ``order`` columns (``rank`` by default).
     """
-    scored = scorer(candidates).withColumnRenamed(order, "_order")
-    return top_k(scored, ["query_id"], [F.desc("score"), F.asc("_order")], k)
+    ties = [F.asc(column) for column in order or ("rank",)]
+    return top_k(scorer(candidates), ["query_id"], [F.desc("score"), *ties], k)
 
 
 def with_chunk(hits: DataFrame, chunks: DataFrame, *columns: str) -> DataFrame:
@@ -130,8 +128,8 @@ def funnel(
     return {"dense": dense, "bm25": keyword, "fused": fused, "reranked": reranked}
 
 
-def summarise_funnel(stages: dict[str, DataFrame]) -> DataFrame:
-    """The stages as one long table (``FUNNEL_COLUMNS``)."""
+def summarise_funnel(stages: dict[str, DataFrame], chunks: DataFrame) -> DataFrame:
+    """The stages as one long table (``FUNNEL_COLUMNS``); each hit with the source of its chunk."""
     none = F.lit(None).cast("string")
     scores = {
         "dense": ("distance", none),
@@ -152,4 +150,4 @@ def summarise_funnel(stages: dict[str, DataFrame]) -> DataFrame:
                 provenance.alias("retrieved_by"),
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    return with_chunk(reduce(DataFrame.unionByName, parts), chunks, "source").select(FUNNEL_COLUMNS)

@@ -47,7 +47,7 @@ def columns_match(*columns: str) -> Check:
     return Check("expect_table_columns_to_match_set", values=columns)
 
 
-def row_count_between(low: int, high: int) -> Check:
+def row_count_between(low: int, high: int | None = None) -> Check:
     return Check("expect_table_row_count_to_be_between", low=low, high=high)
 
 
@@ -67,7 +67,8 @@ def unique_together(*columns: str) -> Check:
     return Check("expect_compound_columns_to_be_unique", columns)
 
 
-def between(column: str, low: float, high: float) -> Check:
+def between(column: str, low: float, high: float | None = None) -> Check:
+    """Inclusive; without an upper bound any larger value holds."""
     return Check("expect_column_values_to_be_between", (column,), low=low, high=high)
 
 
@@ -78,9 +79,14 @@ def greater_than(a: str, b: str, or_equal: bool = False) -> Check:
 def gold_suite(
     machines: Sequence[str] = settings.MACHINES,
     max_anomaly_rate: float = settings.MAX_ANOMALY_RATE,
-    max_rows: int = 10_000,
+    max_rows: int | None = None,
+    max_readings: int | None = None,
 ) -> list[Check]:
-    """The fourteen expectations on the daily KPI table."""
+    """The fourteen expectations on the daily KPI table.
+
+    Bounds on volume belong to the caller's data; there is none by default.
+    """
+    # The expectations, their order and the temperature range.
     return [
         columns_match(
             "machine_id", "reading_date", "readings", "anomaly_count", "avg_temperature_c",
@@ -94,8 +100,8 @@ def gold_suite(
         in_set("machine_id", machines),
         of_type("readings", "int64"),
         unique_together("machine_id", "reading_date"),
-        between("readings", 1, 100_000),
-        between("anomaly_count", 0, 100_000),
+        between("readings", 1, max_readings),
+        between("anomaly_count", 0, max_readings),
         between("avg_temperature_c", -50.0, 200.0),
         greater_than("max_temperature_c", "min_temperature_c", or_equal=True),
         between("anomaly_rate", 0.0, max_anomaly_rate),
@@ -121,6 +127,10 @@ def _missing(rows: DataFrame, column: str) -> Column:
     return c.isNull()
 
 
+def _inside(value: Column, check: Check) -> Column:
+    return value >= check.low if check.high is None else value.between(check.low, check.high)
+
+
 def violation(rows: DataFrame, check: Check) -> Column | None:
     """Row predicate (never null) of a row-level check; null for table-level ones.
 
@@ -134,7 +144,7 @@ def violation(rows: DataFrame, check: Check) -> Column | None:
         return ~_missing(rows, check.columns[0]) & ~c.isin(list(check.values))
     if kind == "expect_column_values_to_be_between":
         c = F.col(check.columns[0])
-        return ~_missing(rows, check.columns[0]) & ~c.between(check.low, check.high)
+        return ~_missing(rows, check.columns[0]) & ~_inside(c, check)
     if kind == "expect_column_pair_values_A_to_be_greater_than_B":
         a, b = check.columns
         no_a, no_b = _missing(rows, a), _missing(rows, b)
@@ -170,7 +180,7 @@ def evaluate(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
             aggregates.append(F.count_if(predicate).alias(name))
             results.append(_row(number, check, F.col(name) == 0, nothing, F.col(name)))
         elif check.kind == "expect_table_row_count_to_be_between":
-            inside = F.col("_rows").between(check.low, check.high)
+            inside = _inside(F.col("_rows"), check)
             results.append(_row(number, check, inside, F.col("_rows"), nothing))
         elif check.kind == "expect_table_columns_to_match_set":
             same = set(rows.columns) == set(check.values) and len(rows.columns) == len(check.values)
@@ -203,20 +213,33 @@ def evaluate(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return report
 
 
-def summarise(report: DataFrame) -> DataFrame:
-    """One row: counts, success and success percent (two decimals)."""
+def summarise(
+    report: DataFrame,
+    rows: DataFrame,
+    checks: Sequence[Check],
+    rate_column: str = "anomaly_rate",
+) -> DataFrame:
+    """One row: success, counts, success percent (two decimals), rows, allowed and observed rate."""
+    ceilings = [c.high for c in checks if c.columns == (rate_column,) and c.high is not None]
+    observed = rows.agg(
+        F.count(F.lit(1)).alias("gold_rows"), F.max(rate_column).alias("observed_max_anomaly_rate")
+    )
     totals = report.agg(
         F.count(F.lit(1)).alias("expectations_evaluated"),
         F.count_if("success").alias("expectations_passed"),
     )
     evaluated, passed = F.col("expectations_evaluated"), F.col("expectations_passed")
-    return totals.select(
+    # Two frames of one row each.
+    return totals.join(F.broadcast(observed)).select(
         (evaluated == passed).alias("success"),
         "expectations_evaluated",
         "expectations_passed",
         (evaluated - passed).alias("expectations_failed"),
         # A ratio with four decimals is a percentage with two.
         F.round(ratio_4dp(passed, evaluated) * 100, 2).alias("success_percent"),
+        "gold_rows",
+        F.lit(ceilings[0] if ceilings else None).cast("double").alias("max_anomaly_rate_allowed"),
+        "observed_max_anomaly_rate",
     )
 
 

@@ -19,15 +19,16 @@ EVENT_TYPES = ("START", "COMPLETE", "FAIL")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Event JSON lines with the declared schema (``eventTime`` parsed to a timestamp)."""
-    events = spark.read.schema(EVENT_DDL).json(path)
+    """Event JSON lines with the declared schema (``eventTime`` parsed to a timestamp); a broken line
+    fails the job that reads it."""
+    events = spark.read.schema(EVENT_DDL).option("mode", "FAILFAST").json(path)
     return events.withColumn("eventTime", F.col("eventTime").cast("timestamp"))
 
 
 def run_status(events: DataFrame) -> DataFrame:
     """One row per run: status (``OPEN`` without a final event) and duration in milliseconds."""
     started = F.min(F.when(F.col("eventType") == "START", F.col("eventTime")))
-    ended = F.max(F.when(F.col("eventType") != "START", F.col("eventTime")))
+    ended = F.max(F.when(F.col("eventType").isin("COMPLETE", "FAIL"), F.col("eventTime")))
     runs = events.groupBy(
         F.col("run.runId").alias("run_id"), F.col("job.name").alias("job_name")
     ).agg(

@@ -1,7 +1,7 @@
 """The given tables in the roles of the engine's inputs.
 
 Every function reads its whole table. Faults and corrections are tied to values a row already
-carries (the ``k`` in ``props``, the event type), and no row is left out.
+carries (the ``k`` in ``props``, the event type). Readings are what the contract accepts.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from thermolake import settings
 from thermolake.operators import contract as C
 from thermolake.operators import medallion as M
 from thermolake.operators.bm25 import TextIndex
-from thermolake.operators.corpus import chunk, documents
+from thermolake.operators.corpus import chunk, documents, order_key
 from thermolake.operators.dense import hashing_embedder
 from thermolake.session import checkpoint_dir
+from thermolake.sources.files import read_accepted, write_json_lines
 
 # What props.k does to a reading on the wire.
 MISSING_TEMPERATURE, BAD_TIMESTAMP, GHOST_MACHINE, EXTRA_KEY, TRUNCATED = 1, 2, 3, 4, 5
@@ -31,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores when the input comes in fewer partitions (one small file); never otherwise."""
+    """Use all cores for a test table that is one file with one row group, which no reader setting
+    splits. Tables with a partition per core or more are read as they lie."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
@@ -107,24 +109,33 @@ def checked_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.check_known_machines(checked, machines)
 
 
+_accepted: dict[tuple[str, str], DataFrame] = {}
+
+
+def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records the contract accepts, by way of the accepted JSON lines, as Bronze loads them.
+
+    Written and read back with its checks once per application.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _accepted:
+        name = sf_dir.strip("/").replace("/", "_").replace(":", "_")
+        path = f"{checkpoint_dir(spark)}/thermolake/{key[0]}/{name}-accepted"
+        write_json_lines(C.accepted(checked_topic(spark, sf_dir)), path)
+        _accepted[key] = read_accepted(spark, path)
+    return _accepted[key]
+
+
+def delivered_at() -> Column:
+    """When a record reached Bronze: an hour after it was recorded."""
+    return F.col("recorded_at") + F.expr("INTERVAL 1 HOUR")
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First deliveries in Bronze shape: events inside the plausible range."""
-    value = F.col("value")
-    return (
-        events(spark, sf_dir)
-        .filter(value.between(settings.TEMPERATURE_MIN_C, settings.TEMPERATURE_MAX_C))
-        .select(
-            F.col("event_id").cast("string").alias("reading_id"),
-            F.concat(F.lit("M"), F.col("user_id")).alias("machine_id"),
-            value.alias("temperature_c"),
-            F.col("ts").alias("recorded_at"),
-            (value > settings.ANOMALY_THRESHOLD_C).alias("is_anomaly"),
-            (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
-            F.col("event_id").alias("kafka_offset"),
-            (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ingested_at"),
-            F.col("event_type"),
-        )
-    )
+    """First deliveries in Bronze shape, with the type of their event."""
+    kinds = table(spark, sf_dir, "events").select(F.col("event_id").alias("kafka_offset"), "event_type")
+    bronze = M.bronze(accepted(spark, sf_dir), delivered_at())
+    return bronze.join(kinds, "kafka_offset").select(*M.BRONZE_SCHEMA.names, "event_type")
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,10 +229,10 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings in the shape of searchable rows."""
-    text_id = F.col("vec_id").cast("string")
-    return table(spark, sf_dir, "embeddings").select(
-        text_id.alias("id"),
-        F.lpad(text_id, 20, "0").alias("ord_key"),
+    rows = table(spark, sf_dir, "embeddings")
+    return rows.select(
+        F.col("vec_id").cast("string").alias("id"),
+        order_key(rows, "vec_id").alias("ord_key"),
         F.lit(0).alias("pos"),
         "embedding",
     )
@@ -236,7 +247,7 @@ _indexes: dict[tuple[str, str], TextIndex] = {}
 
 
 def build_text_index(spark: SparkSession, sf_dir: str) -> TextIndex:
-    name = sf_dir.strip("/").replace("/", "_")
+    name = sf_dir.strip("/").replace("/", "_").replace(":", "_")
     path = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/{name}"
     return TextIndex.build(chunks(spark, sf_dir), path, embed=hashing_embedder())
 

@@ -20,19 +20,19 @@ from thermolake.operators import quality as Q
 from thermolake.operators.corpus import chunk, kpi_documents, union_corpora
 from thermolake.session import checkpoint_dir
 from thermolake.sources.files import read_accepted, write_report
-from thermolake.sources.tables import SnapshotTable, check_schema
+from thermolake.sources.tables import SnapshotTable, check_schema, with_required
 
 
 def append_bronze(spark: SparkSession, accepted: str, out: str, batch_id: int) -> int:
     """Append a batch of accepted JSON lines to the Bronze folder ``ingest`` writes.
 
     The batch has its own partition, so a repeated call replaces instead of duplicating it.
-    Raises when the input is missing or empty. Returns the number of rows.
+    Raises when the input is missing, empty or broken. Returns the number of rows.
     """
     rows = M.bronze(read_accepted(spark, accepted))
     check_schema(rows, M.BRONZE_SCHEMA)
     folder = f"{out}/bronze/ingest_batch={batch_id}"
-    rows.write.mode("overwrite").parquet(folder)
+    with_required(rows, M.BRONZE_SCHEMA).write.mode("overwrite").parquet(folder)
     return spark.read.schema(M.BRONZE_SCHEMA).parquet(folder).count()
 
 
@@ -99,7 +99,7 @@ def answer_questions(
     )
     answers = A.extractive_answers(stages["reranked"], questions, scorer).checkpoint()
     if evidence is not None:
-        write_report(X.summarise_funnel(stages), f"{evidence}/stages")
+        write_report(X.summarise_funnel(stages, index.chunks()), f"{evidence}/stages")
         write_report(answers.withColumn("answered_at", F.current_timestamp()), f"{evidence}/answers")
     A.require_grounded(answers, stages["reranked"])
     return answers, stages

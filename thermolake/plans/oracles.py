@@ -75,12 +75,12 @@ payloads AS (
 )
 """
 
-READINGS = """
-readings AS (
-  SELECT CAST(event_id AS VARCHAR) AS reading_id, 'M' || user_id AS machine_id, value AS temperature_c,
-         ts AS recorded_at, value > 85.0 AS is_anomaly, CAST(user_id % 4 AS INTEGER) AS kafka_partition,
-         event_id AS kafka_offset, ts + INTERVAL 1 HOUR AS ingested_at, event_type
-  FROM events WHERE value BETWEEN -50.0 AND 200.0
+READINGS = WIRE.rstrip() + ", " + """
+readings AS MATERIALIZED (
+  SELECT reading_id, machine_id, temperature_c, recorded_at, temperature_c > 85.0 AS is_anomaly,
+         CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+         recorded_at + INTERVAL 1 HOUR AS ingested_at, event_type
+  FROM judged WHERE event_id NOT IN (SELECT event_id FROM found)
 ),
 corrections AS (
   SELECT reading_id, machine_id, temperature_c + 10 AS temperature_c, recorded_at,
@@ -176,13 +176,13 @@ REPORT = " UNION ALL ".join(
         check(5, NULL, "readings", "readings IS NULL", "gold"),
         check(6, NULL, "anomaly_rate", "anomaly_rate IS NULL", "gold"),
         check(7, SET, "machine_id", f"machine_id NOT IN {ALLOWED}", "gold"),
-        check(10, RANGE, "readings", "readings NOT BETWEEN 1 AND 100000", "gold"),
-        check(11, RANGE, "anomaly_count", "anomaly_count NOT BETWEEN 0 AND 100000", "gold"),
+        check(10, RANGE, "readings", "readings < 1", "gold"),
+        check(11, RANGE, "anomaly_count", "anomaly_count < 0", "gold"),
         check(12, RANGE, "avg_temperature_c", "avg_temperature_c NOT BETWEEN -50 AND 200", "gold"),
         check(13, PAIR, "max_temperature_c,min_temperature_c", "max_temperature_c < min_temperature_c", "gold"),
         check(14, RANGE, "anomaly_rate", "anomaly_rate NOT BETWEEN 0 AND 0.6", "gold"),
         known(1, "expect_table_columns_to_match_set", None, "true", f"'{GOLD_COLUMNS}'", "(SELECT 1)"),
-        known(2, "expect_table_row_count_to_be_between", None, "n BETWEEN 1 AND 1000000",
+        known(2, "expect_table_row_count_to_be_between", None, "n >= 1",
               "CAST(n AS VARCHAR)", "(SELECT count(*) AS n FROM gold)"),
         known(8, TYPE, "readings", "true", "'int64'", "(SELECT 1)"),
         unique(9, "machine_id, reading_date", "gold"),
@@ -214,10 +214,10 @@ def chunk_rows(n: int, source: str = "documents") -> str:
 
 
 CHUNKS = f"""
-chunks AS (SELECT * FROM {chunk_rows(2)} WHERE text <> ''),
-words AS (SELECT id, doc_ord, pos, unnest(list_filter(string_split_regex(lower(text), '{W}+'), lambda x: x <> '')) AS term
+chunks AS MATERIALIZED (SELECT * FROM {chunk_rows(2)} WHERE text <> ''),
+words AS MATERIALIZED (SELECT id, doc_ord, pos, unnest(list_filter(string_split_regex(lower(text), '{W}+'), lambda x: x <> '')) AS term
           FROM chunks),
-tf AS (SELECT id, any_value(doc_ord) AS doc_ord, any_value(pos) AS pos, term, count(*) AS tf FROM words GROUP BY id, term),
+tf AS MATERIALIZED (SELECT id, any_value(doc_ord) AS doc_ord, any_value(pos) AS pos, term, count(*) AS tf FROM words GROUP BY id, term),
 dl AS (SELECT id, count(*) AS dl FROM words GROUP BY id),
 totals AS (SELECT (SELECT count(*) FROM chunks) AS n, (SELECT count(*) FROM words) AS len),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -361,7 +361,7 @@ cited AS (
 RETRIEVAL = ", ".join([CHUNKS, bm25(QUESTIONS), DENSE, FUSED, reranked("fused")])
 
 PROMPT = (
-    "You are a data platform engineer answering questions about the readings. "
+    "Your task is to explain sensor readings to the people who run the machines. "
     "Answer ONLY from the context below. Cite every claim with the matching [Source N] marker. "
     "If the context does not contain the answer, reply exactly: "
     "''The retrieved context does not contain this information.''"
@@ -407,11 +407,15 @@ def _required(field: str, missing: str) -> str:
     )
 
 
-def _sample(number: int, column: str, bad: str) -> str:
+REPEATED = """
+repeated AS (SELECT machine_id, reading_date FROM gold GROUP BY ALL HAVING count(*) > 1)
+"""
+
+
+def _sample(number: int, value: str, bad: str, source: str = "gold") -> str:
     return (
-        f"(SELECT {number} AS check_no, machine_id, CAST(reading_date AS VARCHAR) AS reading_date, "
-        f"CAST({column} AS VARCHAR) AS value FROM gold WHERE {bad} "
-        f"ORDER BY machine_id, gold.reading_date LIMIT 20)"
+        f"SELECT {number} AS check_no, value FROM (SELECT {value} AS value FROM {source} AS g WHERE {bad} "
+        f"ORDER BY machine_id, g.reading_date LIMIT 20)"
     )
 
 
@@ -438,7 +442,7 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (event_id IN (SELECT event_id FROM found)) AS rejected FROM judged"""),
     "bronze_rows": with_([READINGS], f"""
         SELECT reading_id, machine_id, temperature_c, {stamp('recorded_at')} AS recorded_at, is_anomaly,
-          kafka_partition, kafka_offset, {stamp('ingested_at')} AS ingested_at FROM deliveries"""),
+          kafka_partition, kafka_offset, {stamp('ingested_at')} AS ingested_at FROM readings"""),
     "silver_latest": with_([READINGS], f"SELECT {SILVER_COLUMNS} FROM {cleaned('deliveries')}"),
     "silver_status": with_([READINGS], f"""
         SELECT status, is_anomaly, count(*) AS readings FROM {cleaned('deliveries')} GROUP BY ALL"""),
@@ -475,14 +479,21 @@ ORACLES: dict[str, str] = {
         SELECT bool_and(success) AS success, count(*) AS expectations_evaluated,
           count(*) FILTER (success) AS expectations_passed,
           count(*) FILTER (NOT success) AS expectations_failed,
-          round(100.0 * count(*) FILTER (success) / count(*), 2) AS success_percent FROM report"""),
-    "gate_failed_checks": with_([READINGS, GOLD], " UNION ALL ".join([
-        _sample(3, "machine_id", "machine_id IS NULL"),
-        _sample(7, "machine_id", f"machine_id NOT IN {ALLOWED}"),
-        _sample(10, "readings", "readings NOT BETWEEN 1 AND 100000"),
-        _sample(11, "anomaly_count", "anomaly_count NOT BETWEEN 0 AND 100000"),
-        _sample(12, "avg_temperature_c", "avg_temperature_c NOT BETWEEN -50 AND 200"),
-        _sample(14, "anomaly_rate", "anomaly_rate NOT BETWEEN 0 AND 0.6"),
+          round(100.0 * count(*) FILTER (success) / count(*), 2) AS success_percent,
+          (SELECT count(*) FROM gold) AS gold_rows, 0.6::DOUBLE AS max_anomaly_rate_allowed,
+          (SELECT max(anomaly_rate) FROM gold) AS observed_max_anomaly_rate FROM report"""),
+    "gate_failed_checks": with_([READINGS, GOLD, REPEATED], " UNION ALL ".join([
+        _sample(3, "CAST(machine_id AS VARCHAR)", "machine_id IS NULL"),
+        _sample(4, "CAST(reading_date AS VARCHAR)", "reading_date IS NULL"),
+        _sample(5, "CAST(readings AS VARCHAR)", "readings IS NULL"),
+        _sample(6, "CAST(anomaly_rate AS VARCHAR)", "anomaly_rate IS NULL"),
+        _sample(7, "CAST(machine_id AS VARCHAR)", f"machine_id NOT IN {ALLOWED}"),
+        _sample(9, "machine_id || ',' || reading_date", "true", "repeated"),
+        _sample(10, "CAST(readings AS VARCHAR)", "readings < 1"),
+        _sample(11, "CAST(anomaly_count AS VARCHAR)", "anomaly_count < 0"),
+        _sample(12, "CAST(avg_temperature_c AS VARCHAR)", "avg_temperature_c NOT BETWEEN -50 AND 200"),
+        _sample(13, "max_temperature_c || ',' || min_temperature_c", "max_temperature_c < min_temperature_c"),
+        _sample(14, "CAST(anomaly_rate AS VARCHAR)", "anomaly_rate NOT BETWEEN 0 AND 0.6"),
     ])),
     "gate_quarantine": with_([READINGS, GOLD], f"""
         SELECT * FROM (SELECT machine_id, CAST(reading_date AS VARCHAR) AS reading_date, anomaly_rate,
@@ -514,8 +525,8 @@ ORACLES: dict[str, str] = {
     ]),
     "kpi_documents": with_([READINGS, GOLD, KPI_DOCUMENTS], "SELECT id, source, text FROM kpi_docs"),
     "corpus_union": with_([READINGS, GOLD, KPI_DOCUMENTS], """
-        SELECT CAST(doc_id AS VARCHAR) AS id, source, text, '0000|' || lpad(CAST(doc_id AS VARCHAR), 20, '0') AS ord_key
-        FROM documents UNION ALL SELECT id, source, text, '0001|' || ord_key FROM kpi_docs"""),
+        SELECT CAST(doc_id AS VARCHAR) AS id, source, text, '0|' || lpad(CAST(CAST(doc_id AS HUGEINT) + 9223372036854775808 AS VARCHAR), 20, '0') AS ord_key
+        FROM documents UNION ALL SELECT id, source, text, '1|' || ord_key FROM kpi_docs"""),
     "chunks": f"SELECT id, doc_id, source, pos, text FROM {chunk_rows(2)} WHERE text <> ''",
     "chunks_of_three": f"SELECT id, doc_id, source, pos, text FROM {chunk_rows(3)} WHERE text <> ''",
     "chunk_counts": f"SELECT doc_id, count(*) AS chunk_count FROM {chunk_rows(2)} WHERE text <> '' GROUP BY doc_id",
@@ -525,7 +536,7 @@ ORACLES: dict[str, str] = {
     "bm25_topk": with_([CHUNKS, bm25(QUESTIONS)], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),
     "conversation_topk": with_([CHUNKS, bm25(
-        "SELECT conv_id || '-' || turn AS query_id, text AS query FROM conversations WHERE role = 'user'")], """
+        "SELECT conv_id || '-' || turn AS query_id, text AS query FROM conversations")], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),
     "dense_topk": """
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
@@ -539,11 +550,13 @@ ORACLES: dict[str, str] = {
     "rrf_fused": with_([CHUNKS, bm25(QUESTIONS), DENSE, FUSED], """
         SELECT query_id, rank, chunk_id, round(score, 6) AS rrf_score, retrieved_by FROM fused"""),
     "funnel": with_([RETRIEVAL], """
+        SELECT s.*, c.source FROM (
         SELECT query_id, 'dense' AS stage, rank, chunk_id, round(distance, 4) AS score, CAST(NULL AS VARCHAR) AS retrieved_by
         FROM dense_hits UNION ALL
         SELECT query_id, 'bm25', rank, chunk_id, round(score, 4), NULL FROM bm25_hits UNION ALL
         SELECT query_id, 'fused', rank, chunk_id, round(score, 6), retrieved_by FROM fused UNION ALL
-        SELECT query_id, 'reranked', rank, chunk_id, round(score, 4), NULL FROM reranked"""),
+        SELECT query_id, 'reranked', rank, chunk_id, round(score, 4), NULL FROM reranked) s
+        JOIN chunks c ON c.id = s.chunk_id"""),
     "rerank_topk": with_([CHUNKS, bm25(QUESTIONS), reranked("bm25_hits")], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS score FROM reranked"""),
     "context_block": with_([RETRIEVAL], f"""
@@ -565,6 +578,18 @@ ORACLES: dict[str, str] = {
           {stamp("max(happened) FILTER (type <> 'START')")} AS ended_at,
           (epoch_us(max(happened) FILTER (type <> 'START')) - epoch_us(min(happened) FILTER (type = 'START'))) // 1000 AS duration_ms
         FROM run_events GROUP BY run_id, job_name"""),
+    "gate_outcome": with_([READINGS, GOLD, f"report AS ({REPORT})"], """
+        SELECT count(*) FILTER (NOT success) > 0 AS refused, count(*) FILTER (NOT success) || ' of ' || count(*)
+          || ' expectations did not pass' AS reason, 0 AS rows_published FROM report"""),
+    "forged_citations": with_([RETRIEVAL, ANSWERS], """
+        SELECT query_id, 'forged#c00' AS chunk_id, 'not retrieved' AS problem FROM cited WHERE cited <> ''
+        UNION ALL SELECT query_id, NULL, 'no citation' FROM cited WHERE cited = ''"""),
+    "logged_run_status": with_([RUNS], """
+        SELECT status, count(*) AS runs, CAST(sum(ms) AS BIGINT) AS total_ms FROM (
+          SELECT run_id, CASE WHEN count(*) FILTER (type = 'FAIL') > 0 THEN 'FAIL'
+               WHEN count(*) FILTER (type = 'COMPLETE') > 0 THEN 'COMPLETE' ELSE 'OPEN' END AS status,
+            (epoch_us(max(happened) FILTER (type <> 'START')) - epoch_us(min(happened) FILTER (type = 'START'))) // 1000 AS ms
+          FROM run_events GROUP BY run_id) GROUP BY status"""),
     "run_errors": with_([RUNS], """
         SELECT run_id, job_name, message, 'PYTHON' AS programming_language FROM run_events WHERE type = 'FAIL'"""),
     "event_conformance": with_([RUNS], " UNION ALL ".join([

@@ -5,6 +5,7 @@ Dates and instants are returned as text and arrays joined, so that any client co
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,7 +25,8 @@ from thermolake.operators import runlog as R
 from thermolake.operators import upsert as U
 from thermolake.plans import inputs as I
 from thermolake.session import checkpoint_dir, configure
-from thermolake.sources.tables import SchemaMismatch, check_schema
+from thermolake.sources.files import write_json_lines
+from thermolake.sources.tables import SchemaMismatch, SnapshotTable, check_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +88,8 @@ def contract_routing_counts(spark, sf):
 
 
 def bronze_rows(spark, sf):
-    return presentable(I.deliveries(spark, sf))
+    """Contract, accepted JSON lines, their checks, and the Bronze append."""
+    return presentable(M.bronze(I.accepted(spark, sf), I.delivered_at()))
 
 
 def silver_latest(spark, sf):
@@ -153,7 +156,7 @@ def schema_check(spark, sf):
 
 
 def _suite() -> list[Q.Check]:
-    return Q.gold_suite(I.GATE_MACHINES, max_rows=1_000_000)
+    return Q.gold_suite(I.GATE_MACHINES)
 
 
 def _written_gold(spark, sf) -> DataFrame:
@@ -166,25 +169,35 @@ def gate_report(spark, sf):
 
 
 def gate_summary(spark, sf):
-    return Q.summarise(Q.evaluate(_written_gold(spark, sf), _suite()))
+    rows = _written_gold(spark, sf)
+    return Q.summarise(Q.evaluate(rows, _suite()), rows, _suite())
+
+
+def gate_outcome(spark, sf):
+    """Publishing behind the gate: refused, with the reason, and nothing published."""
+    folder = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/gate-{uuid.uuid4().hex}"
+    table = SnapshotTable(spark, folder, M.GOLD_SCHEMA)
+    suite = _suite()
+    try:
+        table.overwrite(I.gold(spark, sf), audit=lambda rows: Q.run_gate(rows, suite))
+        problem = None
+    except Q.QualityGateFailed as exc:
+        problem = str(exc).partition(" (")[0]
+    published = table.read().count() if table.exists() else 0
+    return spark.createDataFrame(
+        [(problem is not None, problem, published)], "refused boolean, reason string, rows_published int"
+    )
 
 
 def gate_failed_checks(spark, sf):
-    """First 20 violating rows of each row-level check that concerns one column."""
+    """First 20 violating rows of every row-level, pair and uniqueness check."""
     rows = _written_gold(spark, sf)
     samples = []
     for number, check in enumerate(_suite(), start=1):
-        if len(check.columns) == 1 and Q.violation(rows, check) is not None:
-            keyed = rows.select(
-                "machine_id", "reading_date", F.col(check.columns[0]).cast("string").alias("value"),
-                Q.violation(rows, check).alias("_bad"),
-            )
-            first = keyed.filter("_bad").orderBy("machine_id", "reading_date").limit(Q.SAMPLE_SIZE)
-            samples.append(
-                first.select(
-                    F.lit(number).alias("check_no"), "machine_id", day("reading_date"), "value"
-                )
-            )
+        if check.columns and check.kind != "expect_column_values_to_be_of_type":
+            first = Q.failure_sample(rows, check, ["machine_id", "reading_date"])
+            value = F.concat_ws(",", *[F.col(c).cast("string") for c in check.columns])
+            samples.append(first.select(F.lit(number).alias("check_no"), value.alias("value")))
     return reduce(DataFrame.unionByName, samples)
 
 
@@ -275,9 +288,8 @@ def bm25_topk(spark, sf):
 
 
 def conversation_topk(spark, sf):
-    """Every user turn as a query."""
-    turns = I.table(spark, sf, "conversations").filter("role = 'user'")
-    asked = turns.select(
+    """Every turn as a query."""
+    asked = I.table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("text").alias("query")
     )
     return B.bm25_hits(B.bm25_search(I.text_index(spark, sf), asked))
@@ -320,7 +332,7 @@ def rrf_fused(spark, sf):
 
 
 def funnel(spark, sf):
-    return X.summarise_funnel(_stages(spark, sf)[0])
+    return X.summarise_funnel(_stages(spark, sf)[0], I.text_index(spark, sf).chunks())
 
 
 def rerank_topk(spark, sf):
@@ -363,6 +375,16 @@ def citation_audit(spark, sf):
     return A.citation_audit(*_answers(spark, sf))
 
 
+def forged_citations(spark, sf):
+    """The audit of answers whose first citation names a chunk that was not retrieved."""
+    found, reranked = _answers(spark, sf)
+    forged = F.transform(
+        "citations",
+        lambda c, i: F.when(i == 0, c.withField("chunk_id", F.lit("forged#c00"))).otherwise(c),
+    )
+    return A.citation_audit(found.withColumn("citations", forged), reranked)
+
+
 # --- run log ------------------------------------------------------------------------------
 
 
@@ -370,6 +392,14 @@ def run_status(spark, sf):
     return presentable(R.run_status(I.run_events(spark, sf)))
 
 
+def logged_run_status(spark, sf):
+    """Runs by status, from events written and read as JSON lines."""
+    folder = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/events-{uuid.uuid4().hex}"
+    write_json_lines(I.run_events(spark, sf), folder)
+    runs = R.run_status(R.read_events(spark, folder))
+    return runs.groupBy("status").agg(F.count(F.lit(1)).alias("runs"), F.sum("duration_ms").alias("total_ms"))
+
+
 def run_errors(spark, sf):
     return R.run_errors(I.run_events(spark, sf))
 
@@ -390,7 +420,8 @@ ALL: list[Query] = [
     gate_quarantine, label_checks, order_checks, compound_dups, lineitem_checks, kpi_documents,
     corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk,
     conversation_topk, dense_topk, dense_text_topk, dense_ann_recall, rrf_fused, funnel,
-    rerank_topk, context_block, answers, citation_audit, run_status, run_errors,
+    rerank_topk, context_block, answers, citation_audit, forged_citations, gate_outcome, run_status,
+    logged_run_status, run_errors,
     event_conformance, events_pivot,
 ]
 

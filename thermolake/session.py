@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The zone decides to_date() and offset-less timestamps; AQE sizes shuffles, so no width is
 # hard-coded here.
@@ -56,3 +57,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="thermolake-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def materialise(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows into the shared checkpoint folder and read them back.
+
+    Lineage ends here, and Spark knows the real size, so it decides itself what to broadcast.
+    """
+    spark = rows.sparkSession
+    path = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,20 @@ def check_schema(rows: DataFrame, expected: T.StructType) -> None:
         raise SchemaMismatch("; ".join(wrong))
 
 
+def with_required(rows: DataFrame, expected: T.StructType) -> DataFrame:
+    """Rows in the declared column order; a null in a non-null column fails the job that writes
+    them, so no extra pass is needed and nothing is published."""
+
+    def checked(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if field.nullable:
+            return value
+        problem = F.raise_error(f"{field.name} is null but declared non-null").cast(field.dataType)
+        return F.when(value.isNull(), problem).otherwise(value).alias(field.name)
+
+    return rows.select(*[checked(field) for field in expected])
+
+
 class SnapshotTable:
     """A keyed table under one folder, with a declared schema."""
 
@@ -181,7 +195,7 @@ class SnapshotTable:
         version = 0 if last is None else last["version"] + 1
         name = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         folder = f"{self.path}/snapshot={name}"
-        rows = rows.select(self.schema.names)
+        rows = with_required(rows, self.schema)
         if self.partition_by is None:
             rows.write.parquet(folder)
             partitions = None

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from thermolake.operators import contract as C
 from thermolake.operators.medallion import BRONZE_SCHEMA, bronze
 from thermolake.sources.kafka import TOPIC_DDL, write_options
-from thermolake.sources.tables import check_schema
+from thermolake.sources.tables import check_schema, with_required
 
 LOG_DDL = "batch_id bigint, accepted bigint, rejected bigint"
 
@@ -53,19 +53,23 @@ def ingest(
     contract: list[C.Field] | None = None,
     dead_letter_sink: Callable[[DataFrame, int], None] | None = None,
 ) -> dict:
-    """Drain what the stream holds now, then return the counts over all batches so far.
+    """Drain what the stream holds now and return the counts of this drain.
 
     A batch writes its own folders in overwrite mode, so a batch repeated after a failure
     replaces its first attempt instead of adding to it. The reader's progress is committed after
-    both sinks. Raises ``EmptyIngest`` when nothing was ever accepted.
+    both sinks. Raises ``EmptyIngest`` when this drain accepted nothing, whatever earlier ones
+    did; ``ingest_totals`` has the counts over all of them.
     """
+    handled: set[int] = set()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         checked = C.validate(batch, contract).persist()
         try:
             rows = bronze(C.accepted(checked))
             check_schema(rows, BRONZE_SCHEMA)
-            rows.write.mode("overwrite").parquet(f"{out}/bronze/ingest_batch={batch_id}")
+            with_required(rows, BRONZE_SCHEMA).write.mode("overwrite").parquet(
+                f"{out}/bronze/ingest_batch={batch_id}"
+            )
             letters = C.dead_letters(checked, source_topic)
             letters.write.mode("overwrite").json(f"{out}/dead_letters/ingest_batch={batch_id}")
             if dead_letter_sink is not None:
@@ -74,6 +78,7 @@ def ingest(
             batch.sparkSession.createDataFrame(
                 [(batch_id, counts["accepted"], counts["rejected"])], LOG_DDL
             ).coalesce(1).write.mode("overwrite").json(f"{out}/ingest_log/ingest_batch={batch_id}")
+            handled.add(batch_id)
         finally:
             checked.unpersist()
 
@@ -84,15 +89,18 @@ def ingest(
         .start()
     )
     query.awaitTermination()
-    totals = ingest_totals(records.sparkSession, out)
-    if totals["accepted"] == 0:
+    counts = ingest_totals(records.sparkSession, out, handled)
+    if counts["accepted"] == 0:
         raise EmptyIngest("ingestion produced no valid records")
-    return totals
+    return counts
 
 
-def ingest_totals(spark: SparkSession, out: str) -> dict:
+def ingest_totals(spark: SparkSession, out: str, batches: set[int] | None = None) -> dict:
+    """Accepted and rejected records of these batches, or of all."""
     try:
         log = spark.read.schema(LOG_DDL).json(f"{out}/ingest_log")
+        if batches is not None:
+            log = log.filter(F.col("batch_id").isin(sorted(batches)) if batches else F.lit(False))
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
