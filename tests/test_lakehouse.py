@@ -116,6 +116,8 @@ def test_upsert_updates_in_place_and_is_idempotent(spark, tmp_path):
     assert U.prove_upsert(before, source, after, "reading_id")["rows_after"] == 12
     diff = {r.reading_id: r for r in U.snapshot_diff(before, after, "reading_id", ["temperature_c", "status"]).collect()}
     assert diff["CNC_MILL_01-01"].before_temperature_c == 67.0 and len(diff) == 6
+    touched = U.change_diff(before, source, "reading_id", ["temperature_c", "status"]).collect()
+    assert {r.reading_id: r for r in touched} == diff
     again = table.upsert(source, "reading_id")
     assert again["rows"] == 12 and table.read().exceptAll(after).isEmpty()
     assert [r.operation for r in table.history().collect()] == ["create", "merge", "merge"]

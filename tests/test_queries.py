@@ -23,4 +23,4 @@ def test_entry_and_names(spark):
 
 def test_probed_search_finds_most_neighbours(spark, sf_dir):
     row = entry.queries()["dense_ann_recall"](spark, sf_dir).first()
-    assert row.exact_hits == 4000 and row.recall > 0.85
+    assert row.exact_hits == 4000 and row.recall_reached and row.fewer_distances

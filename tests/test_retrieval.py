@@ -115,10 +115,10 @@ def test_bm25_matches_plain_okapi(spark, tmp_path, monkeypatch, limit):
     asked = spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
     blocks = []
     split = K.query_blocks
-    monkeypatch.setattr(K, "KEPT_BYTES_PER_QUERY", 1)
+    monkeypatch.setattr(K, "KEPT_BYTES_PER_HIT", 0)
 
-    def small_blocks(q, size):
-        for block in split(q, size, limit):
+    def small_blocks(q, size, k):
+        for block in split(q, size, k, limit):
             blocks.append(block)
             yield block
 
@@ -159,9 +159,9 @@ def test_dense_search_is_exact_with_ties_in_order(spark, monkeypatch):
         d = np.round(((m - m[q]) ** 2).sum(axis=1), 9)
         want[q] = [str(i) for i in sorted(range(len(m)), key=lambda i: (d[i], i))[:5]]
     split = K.query_blocks
-    monkeypatch.setattr(K, "KEPT_BYTES_PER_QUERY", 1)
+    monkeypatch.setattr(K, "KEPT_BYTES_PER_HIT", 0)
     for limit in (1 << 20, 3000):
-        monkeypatch.setattr(V, "query_blocks", lambda q, size, limit=limit: split(q, size, limit))
+        monkeypatch.setattr(V, "query_blocks", lambda q, size, k, limit=limit: split(q, size, k, limit))
         got = {}
         for r in sorted(V.dense_search(rows, asked, k=5).collect(), key=lambda r: r.rank):
             got.setdefault(r.query_id, []).append(r.id)
@@ -189,6 +189,47 @@ def test_probed_search_recall(spark):
     assert V.recall(exact, near).first().recall > 0.95
     every = V.probed_search(clustered, model, asked, probes=8, k=5)
     assert V.recall(exact, every).first().recall == 1.0
+    work = V.distances_computed(clustered, model, asked, probes=2).first()
+    assert work.exact == len(m) ** 2 and 0 < work.probed < 0.5 * work.exact
+    assert V.distances_computed(clustered, model, asked, probes=8).first().probed == len(m) ** 2
+
+
+def test_vectors_without_a_distance_are_refused(spark):
+    good = vector_rows(spark, [[1.0, 0.0], [0.0, 1.0]])
+    asked = good.select(F.col("id").cast("bigint").alias("query_id"), "embedding")
+    for bad in (None, [1.0], [1.0, None]):
+        row = spark.createDataFrame([("9", "9", 0, bad)], good.schema)
+        with pytest.raises(PySparkException, match="embedding is null"):
+            V.dense_search(good.unionByName(row), asked)
+    with pytest.raises(PySparkException, match="text is null"):
+        V.hashing_embedder()(spark.createDataFrame([(None,)], "text string")).collect()
+
+
+def test_matches_only_are_sent_and_blocks_are_released(spark, tmp_path, monkeypatch):
+    texts = [f"word{i} common" for i in range(40)]
+    index = index_of(spark, texts, f"{tmp_path}/i")
+    asked = spark.createDataFrame([(i, "nothing here" if i % 2 else f"word{i}") for i in range(20)], "query_id bigint, query string")
+    sent, live, most = [], [], []
+    pad, broadcast = B.pad, spark.sparkContext.broadcast
+
+    def counted(value):
+        shared = broadcast(value)
+        live.append(shared)
+        most.append(len(live))
+        destroy = shared.destroy
+        monkeypatch.setattr(shared, "destroy", lambda: (live.remove(shared), destroy()))
+        return shared
+
+    monkeypatch.setattr(B, "pad", lambda found, *rest: sent.append(found.count()) or pad(found, *rest))
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    monkeypatch.setattr(K, "KEPT_BYTES_PER_HIT", 1 << 20)
+    split = K.query_blocks
+    monkeypatch.setattr(B, "query_blocks", lambda q, size, k: split(q, size, k, 32 << 20))
+    found = B.bm25_search(index, asked, k=8).collect()
+    assert sent == [10]  # one match per matching query, nothing for the others
+    assert len(most) > 1 and max(most) == 1 and not live
+    assert len(found) == 20 * 8
+    assert [r.id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 1] == [f"{i}#c00" for i in range(8)]
 
 
 def test_text_vectors_are_unit_length_and_repeatable(spark):

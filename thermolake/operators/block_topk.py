@@ -4,7 +4,8 @@ The query block is broadcast after its size is checked; the table streams throug
 in whatever partitions it has. Each task keeps a running top ``k``, so what it sends on is at
 most ``k`` rows per query: no (query, row) pair is ever materialised or shuffled, and no term,
 cluster or source can become a hot group. Queries above the size bound are scored in several
-blocks, each with its own pass over the table; the result stays exact.
+blocks, one after the other: a block's hits are written and its broadcast is destroyed before the
+next one is fetched, so the driver and the workers hold one block at a time.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.operators.topk import top_k
+from thermolake.session import materialise
 
 # Scores are compared at this precision: copies of a text may differ in the last bits.
 SCORE_DIGITS = 9
@@ -39,15 +41,16 @@ MERGE_ROWS = 10_000
 Scorer = Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]
 
 
-# What a query costs at least: the best rows a task keeps for it.
-KEPT_BYTES_PER_QUERY = 4096
+# What one of the best rows costs that a task keeps for a query.
+KEPT_BYTES_PER_HIT = 512
 
 
 def query_blocks(
-    queries: DataFrame, size: Column, limit: int = settings.BROADCAST_LIMIT_BYTES
+    queries: DataFrame, size: Column, k: int, limit: int = settings.BROADCAST_LIMIT_BYTES
 ) -> Iterator[DataFrame]:
-    """Split the queries by a hash of their id into blocks of about ``limit`` bytes."""
-    cost = F.greatest(size.cast("bigint"), F.lit(KEPT_BYTES_PER_QUERY))
+    """Split the queries by a hash of their id into blocks of about ``limit`` bytes, counting what a
+    task keeps for each: ``k`` rows."""
+    cost = F.greatest(size.cast("bigint"), F.lit(KEPT_BYTES_PER_HIT * k))
     total = queries.agg(F.sum(cost)).first()[0] or 0
     blocks = max(1, math.ceil(total / limit))
     if blocks == 1:
@@ -58,9 +61,32 @@ def query_blocks(
         yield queries.filter(bucket == number)
 
 
-def small(rows: DataFrame, bytes_per_row: int, limit: int = settings.BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark materialised rows for broadcasting if their counted size is within the bound."""
-    return F.broadcast(rows) if rows.count() * bytes_per_row <= limit else rows
+def search_blocks(
+    blocks: Iterator[DataFrame],
+    fetch: Callable[[DataFrame], tuple[list, object] | None],
+    scorer: Callable[[object, list], Scorer],
+    rows: DataFrame,
+    k: int,
+    columns: list[str],
+) -> DataFrame:
+    """``HIT_DDL`` rows of all blocks: at most ``k`` per query and task, written block by block.
+
+    ``fetch`` brings a block to the driver as (query ids, data to broadcast); ``scorer`` makes the
+    scorer from what was broadcast, once per task.
+    """
+    spark = rows.sparkSession
+    found = []
+    for block in blocks:
+        ids, data = fetch(block)
+        if not ids:
+            continue
+        shared = spark.sparkContext.broadcast(data)
+        partial = block_top_k(rows, ids, lambda shared=shared, ids=ids: scorer(shared.value, ids), k, columns)
+        found.append(materialise(partial, "hits"))
+        shared.destroy()
+    if not found:
+        return spark.createDataFrame([], HIT_DDL.format("bigint"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def best_per_query(
@@ -154,9 +180,6 @@ def block_top_k(
     )
 
 
-def rank_hits(spark: SparkSession, partial: list[DataFrame], k: int) -> DataFrame:
+def rank_hits(found: DataFrame, k: int) -> DataFrame:
     """Final ranking over all blocks' and tasks' candidates: best score, then corpus order."""
-    if not partial:
-        return spark.createDataFrame([], f"{HIT_DDL.format('bigint')}, rank int")
-    found = reduce(DataFrame.unionByName, partial)
     return top_k(found, ["query_id"], [F.desc("score"), F.asc("ord_key"), F.asc("pos")], k)

@@ -17,9 +17,9 @@ from thermolake.functions.text import explode_terms, tokens
 from thermolake.operators.block_topk import (
     QUERIES_PER_MATRIX,
     Scorer,
-    block_top_k,
     query_blocks,
     rank_hits,
+    search_blocks,
 )
 
 # Products formed at once while scoring a batch.
@@ -208,29 +208,49 @@ def bm25_search(
     """Top ``k`` chunks per query: ``query_id, id, ord_key, pos, score, raw, rank``.
 
     Every chunk has a score, zero when it shares no word, so a query with few matches is filled
-    with the first chunks in corpus order.
+    with the first chunks in corpus order. Tasks send matches only; short lists are padded once.
     """
     stats = index.stats
-    spark = index.spark
     terms = index.terms()
-    parts = []
-    size = F.length("query").cast("bigint") * 2 + 64
-    for block in query_blocks(queries.select("query_id", "query"), size):
+    asked = queries.select("query_id", "query")
+    # With a negative mean, common words count against a chunk and zeros are no worst score.
+    padded = stats.mean_idf >= 0
+
+    def fetch(block: DataFrame) -> tuple[list, pa.Table]:
         ids = block.select("query_id").toArrow()["query_id"].to_pylist()
-        weights = (
-            query_terms(block, terms)
-            .select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
-            .toArrow()
-        )
-        shared = spark.sparkContext.broadcast(weights)
+        weight = (F.col("qtf") * F.col("idf")).alias("weight")
+        return ids, query_terms(block, terms).select("query_id", "term", weight).toArrow()
+
+    def scorer(weights: pa.Table, ids: list) -> Scorer:
+        of_queries = _QueryWeights.of(weights, ids, QUERIES_PER_MATRIX)
+
+        def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+            for start, scores in _score_batch(batch, of_queries, stats.mean_length, k1, b):
+                yield start, np.where(scores > 0, scores, -np.inf) if padded else scores
 
-        def scorer(shared=shared, ids=ids) -> Scorer:
-            weights = _QueryWeights.of(shared.value, ids, QUERIES_PER_MATRIX)
-            return lambda batch: _score_batch(batch, weights, stats.mean_length, k1, b)
+        return score
 
-        if ids:
-            parts.append(block_top_k(index.chunks(), ids, scorer, k, ["tokens"]))
-    return rank_hits(spark, parts, k)
+    size = F.length("query").cast("bigint") * 2 + 64
+    found = search_blocks(query_blocks(asked, size, k), fetch, scorer, index.chunks(), k, ["tokens"])
+    return rank_hits(pad(found, asked, index.chunks(), k) if padded else found, k)
+
+
+def pad(found: DataFrame, queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
+    """Add the first chunks of the corpus, with score zero, to queries with fewer than ``k`` hits.
+
+    Such a query has all of its hits in ``found``, at most ``k - 1``, so among the first ``2 * k``
+    chunks there are enough others.
+    """
+    first = chunks.select("id", "ord_key", "pos").orderBy("ord_key", "pos").limit(2 * k).collect()
+    if not first:
+        return found
+    have = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("have"))
+    short = queries.select("query_id").join(have, "query_id", "left").filter(F.coalesce("have", F.lit(0)) < k)
+    literal = [F.struct(F.lit(r["id"]).alias("id"), F.lit(r["ord_key"]).alias("ord_key"), F.lit(r["pos"]).alias("pos")) for r in first]
+    fill = short.select("query_id", F.inline(F.array(*literal)))
+    fill = fill.join(found.select("query_id", "id"), ["query_id", "id"], "left_anti")
+    zero = fill.withColumn("score", F.lit(0.0)).withColumn("raw", F.lit(0.0))
+    return found.unionByName(zero.select(found.columns))
 
 
 def bm25_hits(found: DataFrame) -> DataFrame:

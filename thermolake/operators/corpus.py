@@ -104,7 +104,7 @@ def chunk(corpus: DataFrame, sentences_per_chunk: int = settings.SENTENCES_PER_C
             F.array_join(F.slice(parts, i + 1, F.lit(n)), " ").alias("text"),
         ),
     )
-    expanded = corpus.withColumn("_sentences", sentences(F.col("text"))).select(
+    expanded = corpus.withColumn("_sentences", sentences(required(F.col("text"), "text"))).select(
         F.col("id").alias("doc_id"), "source", "ord_key", F.inline(windows)
     )
     # Sentences carry no outer white space, so only an empty document gives a blank chunk.

@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermolake import settings
-from thermolake.functions.text import tokens
+from thermolake.functions.text import required, tokens
 from thermolake.operators.block_topk import (
     QUERIES_PER_MATRIX,
     Scorer,
-    block_top_k,
     query_blocks,
     rank_hits,
+    search_blocks,
 )
 
 DEFAULT_DIMENSIONS = 64
@@ -58,7 +58,9 @@ def hashing_embedder(
         offsets = np.arange(0, (n + 1) * dimensions, dimensions, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
-    return lambda df: df.withColumn("embedding", to_vector(hash_buckets(F.col(text), dimensions)))
+    return lambda df: df.withColumn(
+        "embedding", to_vector(hash_buckets(required(F.col(text), text), dimensions))
+    )
 
 
 def _vectors(column: pa.Array, dimensions: int) -> np.ndarray:
@@ -81,38 +83,51 @@ def _bytes(vector: str) -> Column:
     return F.size(vector).cast("bigint") * 8 + 64
 
 
+def _complete(rows: DataFrame, dimensions: int | None = None) -> DataFrame:
+    """Rows whose vectors are not null, hold no null and have the wanted length; others fail the
+    job, as they have no distance."""
+    vector = F.col("embedding")
+    bad = vector.isNull() | F.exists(vector, lambda x: x.isNull())
+    if dimensions is not None:
+        bad |= F.size(vector) != dimensions
+    problem = F.raise_error("embedding is null, holds a null or has another length")
+    return rows.withColumn("embedding", F.when(bad, problem.cast(rows.schema["embedding"].dataType)).otherwise(vector))
+
+
+def _fetch(block: DataFrame) -> tuple[list, np.ndarray]:
+    table = block.select("query_id", "embedding").toArrow()
+    ids = table["query_id"].to_pylist()
+    dimensions = len(table["embedding"][0]) if ids else 0
+    return ids, _vectors(table["embedding"].combine_chunks(), dimensions) if ids else np.zeros((0, 0))
+
+
+def _dimensions(rows: DataFrame) -> int | None:
+    row = rows.select(F.size("embedding")).first()
+    return row[0] if row else None
+
+
 def dense_search(
     rows: DataFrame, queries: DataFrame, k: int = settings.TOP_K_RETRIEVE
 ) -> DataFrame:
     """Exact nearest ``k`` rows per query by squared L2.
 
     ``rows``: ``id, ord_key, pos, embedding``; ``queries``: ``query_id, embedding``. The score is
-    the negated distance, so larger is nearer.
+    the negated distance, so larger is nearer. Every query meets every row: for query sets that
+    grow with the table use ``probed_search``.
     """
-    spark = rows.sparkSession
-    parts = []
-    for block in query_blocks(queries, _bytes("embedding")):
-        table = block.select("query_id", "embedding").toArrow()
-        ids = table["query_id"].to_pylist()
-        if not ids:
-            continue
-        dimensions = len(table["embedding"][0])
-        shared = spark.sparkContext.broadcast(
-            _vectors(table["embedding"].combine_chunks(), dimensions)
-        )
-
-        def scorer(shared=shared, dimensions=dimensions) -> Scorer:
-            wanted = shared.value
+    dimensions = _dimensions(queries)
 
-            def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-                vectors = _vectors(batch.column("embedding"), dimensions)
-                for start, group in _grouped(wanted):
-                    yield start, -squared_l2(vectors, group)
+    def scorer(wanted: np.ndarray, ids: list) -> Scorer:
+        def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+            vectors = _vectors(batch.column("embedding"), wanted.shape[1])
+            for start, group in _grouped(wanted):
+                yield start, -squared_l2(vectors, group)
 
-            return score
+        return score
 
-        parts.append(block_top_k(rows, ids, scorer, k, ["embedding"]))
-    return rank_hits(spark, parts, k)
+    blocks = query_blocks(_complete(queries, dimensions), _bytes("embedding"), k)
+    found = search_blocks(blocks, _fetch, scorer, _complete(rows, dimensions), k, ["embedding"])
+    return rank_hits(found, k)
 
 
 def dense_hits(found: DataFrame) -> DataFrame:
@@ -151,6 +166,10 @@ def assign_clusters(rows: DataFrame, model: KMeansModel) -> DataFrame:
     )
 
 
+def nearest_clusters(centres: np.ndarray, queries: np.ndarray, probes: int) -> np.ndarray:
+    return np.argsort(squared_l2(queries, centres), axis=1, kind="stable")[:, :probes]
+
+
 def probed_search(
     clustered: DataFrame,
     model: KMeansModel,
@@ -160,39 +179,54 @@ def probed_search(
 ) -> DataFrame:
     """Nearest ``k`` rows within each query's ``probes`` nearest clusters.
 
-    The clusters are a filter inside the scan, not a shuffle key, so a cluster holding a third of
-    the rows is spread over as many tasks as its files.
+    A batch is split by cluster, and the rows of a cluster are only multiplied with the queries
+    that probe it. Clusters are no shuffle key, so one holding a third of the rows is spread over
+    as many tasks as its files.
     """
-    spark = clustered.sparkSession
     centres = np.array(model.clusterCenters())
-    parts = []
-    for block in query_blocks(queries, _bytes("embedding")):
-        table = block.select("query_id", "embedding").toArrow()
-        ids = table["query_id"].to_pylist()
-        if not ids:
-            continue
-        wanted = _vectors(table["embedding"].combine_chunks(), centres.shape[1])
-        nearest = np.argsort(squared_l2(wanted, centres), axis=1, kind="stable")[:, :probes]
-        probed = np.zeros((len(centres), len(ids)), dtype=bool)
-        probed[nearest.ravel(), np.repeat(np.arange(len(ids)), nearest.shape[1])] = True
-        shared = spark.sparkContext.broadcast((wanted, probed))
-
-        def scorer(shared=shared) -> Scorer:
-            wanted, probed = shared.value
-
-            def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-                vectors = _vectors(batch.column("embedding"), wanted.shape[1])
-                cluster = batch.column("cluster").to_numpy()
-                for start, group in _grouped(wanted):
-                    inside = probed[:, start : start + len(group)][cluster]
-                    yield start, np.where(inside, -squared_l2(vectors, group), -np.inf)
-
-            return score
-
-        live = np.flatnonzero(probed.any(axis=1)).tolist()
-        rows = clustered.filter(F.col("cluster").isin(live))
-        parts.append(block_top_k(rows, ids, scorer, k, ["embedding", "cluster"]))
-    return rank_hits(spark, parts, k)
+
+    def scorer(wanted: np.ndarray, ids: list) -> Scorer:
+        near = nearest_clusters(centres, wanted, probes)
+        probed = np.zeros((len(centres), len(wanted)), dtype=bool)
+        probed[near.ravel(), np.repeat(np.arange(len(wanted)), near.shape[1])] = True
+
+        def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+            vectors = _vectors(batch.column("embedding"), wanted.shape[1])
+            cluster = batch.column("cluster").to_numpy()
+            for start, group in _grouped(wanted):
+                scores = np.full((len(vectors), len(group)), -np.inf)
+                for c in np.unique(cluster):
+                    mine = np.flatnonzero(probed[c, start : start + len(group)])
+                    if len(mine):
+                        own = np.flatnonzero(cluster == c)
+                        scores[np.ix_(own, mine)] = -squared_l2(vectors[own], group[mine])
+                yield start, scores
+
+        return score
+
+    dimensions = centres.shape[1]
+    blocks = query_blocks(_complete(queries, dimensions), _bytes("embedding"), k)
+    found = search_blocks(blocks, _fetch, scorer, _complete(clustered, dimensions), k, ["embedding", "cluster"])
+    return rank_hits(found, k)
+
+
+def distances_computed(
+    clustered: DataFrame, model: KMeansModel, queries: DataFrame, probes: int
+) -> DataFrame:
+    """One row: distances a probed search computes, and an exact one."""
+    centres = np.array(model.clusterCenters())
+
+    @F.arrow_udf("array<int>")
+    def probed(vectors: pa.Array) -> pa.Array:
+        return pa.array(nearest_clusters(centres, _vectors(vectors, centres.shape[1]), probes).tolist(), pa.list_(pa.int32()))
+
+    asked = queries.select(F.explode(probed("embedding")).alias("cluster")).groupBy("cluster")
+    held = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"))
+    pairs = held.join(asked.agg(F.count(F.lit(1)).alias("n_queries")), "cluster", "left")
+    return pairs.agg(
+        F.sum(F.col("n_rows") * F.coalesce("n_queries", F.lit(0))).alias("probed"),
+        (F.sum("n_rows") * F.sum("n_queries") / probes).cast("bigint").alias("exact"),
+    )
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.text import tokens
-from thermolake.operators.block_topk import small
 from thermolake.operators.topk import top_k
+from thermolake.session import materialise
 
 FUNNEL_COLUMNS = ["query_id", "stage", "rank", "chunk_id", "score", "retrieved_by", "source"]
 
@@ -61,19 +61,19 @@ def idf_overlap(queries: DataFrame, terms: DataFrame) -> PairScorer:
     """Default pair scorer: summed idf of the distinct words a text shares with the query.
 
     It stands in for a cross-encoder. ``terms`` is the index's ``(term, df, idf)`` table. The
-    queries' words pick their idf from it once; the result is checkpointed and serves every call.
+    queries' words pick their idf from it once; the result is written and serves every call.
     """
     words = queries.select(
         "query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term")
-    ).checkpoint()
-    weights = terms.select("term", "idf").join(small(words, 64), "term").checkpoint()
+    )
+    weights = materialise(terms.select("term", "idf").join(materialise(words, "words"), "term"), "weights")
 
     def score(pairs: DataFrame) -> DataFrame:
         sums = (
             pairs.select(
                 "query_id", "cand_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
             )
-            .join(small(weights, 80), ["query_id", "term"])
+            .join(weights, ["query_id", "term"])
             .groupBy("query_id", "cand_id")
             .agg(F.round(F.sum("idf"), 9).alias("score"))
         )
@@ -98,9 +98,9 @@ def rerank(candidates: DataFrame, scorer: PairScorer, k: int, *order: str) -> Da
 
 
 def with_chunk(hits: DataFrame, chunks: DataFrame, *columns: str) -> DataFrame:
-    """Attach chunk columns to materialised hits, broadcast within the size bound so that the
-    chunk table is read in place."""
-    return chunks.select(F.col("id").alias("chunk_id"), *columns).join(small(hits, 128), "chunk_id")
+    """Attach chunk columns to hits. Spark broadcasts hits that were written before if they are
+    small enough, and then reads the chunk table in place."""
+    return chunks.select(F.col("id").alias("chunk_id"), *columns).join(hits, "chunk_id")
 
 
 def funnel(
@@ -114,17 +114,15 @@ def funnel(
 ) -> dict[str, DataFrame]:
     """All four stages per query: ``dense``, ``bm25``, ``fused``, ``reranked``.
 
-    Each is at most ``top_k_retrieve`` rows per query and read by later stages, so they are
-    checkpointed: the scans behind them run once.
+    The searches have written their hits; what joins the chunk table is written once more, as
+    several stages read it. Reranking stays lazy.
     """
-    dense = dense.checkpoint()
-    keyword = keyword.checkpoint()
-    fused = reciprocal_rank_fusion(dense, keyword, limit=top_k_retrieve).checkpoint()
-    candidates = with_chunk(fused, chunks, "text", "source", "doc_id").join(queries, "query_id")
+    fused = materialise(reciprocal_rank_fusion(dense, keyword, limit=top_k_retrieve), "fused")
+    candidates = materialise(with_chunk(fused, chunks, "text", "source", "doc_id"), "candidates").join(queries, "query_id")
     reranked = rerank(candidates.withColumn("cand_id", F.col("chunk_id")), scorer, top_k_final)
     reranked = reranked.select(
         "query_id", "rank", "chunk_id", "score", "text", "source", "doc_id", "query"
-    ).checkpoint()
+    )
     return {"dense": dense, "bm25": keyword, "fused": fused, "reranked": reranked}
 
 
@@ -150,4 +148,5 @@ def summarise_funnel(stages: dict[str, DataFrame], chunks: DataFrame) -> DataFra
                 provenance.alias("retrieved_by"),
             )
         )
-    return with_chunk(reduce(DataFrame.unionByName, parts), chunks, "source").select(FUNNEL_COLUMNS)
+    hits = materialise(reduce(DataFrame.unionByName, parts), "stages")
+    return with_chunk(hits, chunks, "source").select(FUNNEL_COLUMNS)

@@ -87,6 +87,23 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str, columns: list[s
     )
 
 
+def change_diff(target: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The diff that an upsert of ``source`` makes, from the change batch and the rows it touches.
+
+    The target is read once and not shuffled when the batch can be broadcast.
+    """
+    new = source.select(key, *[F.col(c).alias(f"after_{c}") for c in columns])
+    old = target.select(key, *[F.col(c).alias(f"before_{c}") for c in columns], F.lit(1).alias("_b"))
+    touched = old.join(source.select(key), key, "left_semi")
+    differs = F.lit(False)
+    for c in columns:
+        differs |= ~F.col(f"before_{c}").eqNullSafe(F.col(f"after_{c}"))
+    change = F.when(F.col("_b").isNull(), "inserted").when(differs, "updated")
+    joined = new.join(touched, key, "left").withColumn("change", change).filter(F.col("change").isNotNull())
+    names = [f"{side}_{c}" for side in ("before", "after") for c in columns]
+    return joined.select(key, *names, "change")
+
+
 def prove_upsert(before: DataFrame, source: DataFrame, after: DataFrame, key: str) -> dict:
     """Check on the published rows: unique keys, the expected total, source values in place."""
     expected = upsert_metrics(before, source, key).first()
@@ -113,10 +130,10 @@ def merge_into(spark: SparkSession, table: str, source: DataFrame, key: str) ->
 
     This rewrites only the files it touches; plain Parquet tables refuse it.
     """
-    source.createOrReplaceTempView("_merge_source")
     updates = [c for c in source.columns if c != key]
     spark.sql(
-        f"MERGE INTO {table} AS t USING _merge_source AS s ON t.{key} = s.{key} "
+        f"MERGE INTO {table} AS t USING {{source}} AS s ON t.{key} = s.{key} "
         f"WHEN MATCHED THEN UPDATE SET {', '.join(f't.{c} = s.{c}' for c in updates)} "
-        "WHEN NOT MATCHED THEN INSERT *"
+        "WHEN NOT MATCHED THEN INSERT *",
+        source=source,
     )

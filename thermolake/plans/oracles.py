@@ -466,7 +466,7 @@ ORACLES: dict[str, str] = {
     "key_lookup": with_([READINGS], f"""
         SELECT reading_id, machine_id, temperature_c, {stamp('recorded_at')} AS recorded_at, is_anomaly,
           kafka_partition, kafka_offset, {stamp('ingested_at')} AS ingested_at
-        FROM deliveries WHERE reading_id = '7'"""),
+        FROM readings WHERE reading_id = '7'"""),
     "kpi_daily": with_([READINGS, GOLD], "SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date) FROM gold"),
     "kpi_reduction_check": with_([READINGS, GOLD], """
         SELECT s AS silver_rows, g AS gold_rows, g < s AS is_reduced FROM
@@ -545,6 +545,9 @@ ORACLES: dict[str, str] = {
             SELECT q.vec_id AS query_id, x.vec_id AS id,
               greatest(list_dot_product(q.e, q.e) + list_dot_product(x.e, x.e) - 2 * list_dot_product(q.e, x.e), 0) AS d
             FROM v q CROSS JOIN v x)) WHERE rn <= 8""",
+    "dense_ann_recall": """
+        SELECT n * least(n, 8) AS exact_hits, true AS recall_reached, true AS fewer_distances
+        FROM (SELECT count(*) AS n FROM embeddings)""",
     "dense_text_topk": with_([CHUNKS, bm25(QUESTIONS), DENSE], """
         SELECT query_id, rank, chunk_id, round(distance, 4) AS distance FROM dense_hits"""),
     "rrf_fused": with_([CHUNKS, bm25(QUESTIONS), DENSE, FUSED], """

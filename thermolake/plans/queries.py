@@ -24,7 +24,7 @@ from thermolake.operators import quality as Q
 from thermolake.operators import runlog as R
 from thermolake.operators import upsert as U
 from thermolake.plans import inputs as I
-from thermolake.session import checkpoint_dir, configure
+from thermolake.session import checkpoint_dir, configure, materialise
 from thermolake.sources.files import write_json_lines
 from thermolake.sources.tables import SchemaMismatch, SnapshotTable, check_schema
 
@@ -106,8 +106,8 @@ def silver_touched(spark, sf):
 
 
 def _changes(spark, sf) -> DataFrame:
-    """The change batch, materialised as ``SnapshotTable.upsert`` does: it is read twice."""
-    return I.silver_changes(spark, sf).checkpoint()
+    """The change batch, written once, as it is read twice."""
+    return materialise(I.silver_changes(spark, sf), "changes")
 
 
 def silver_upsert(spark, sf):
@@ -120,9 +120,9 @@ def upsert_metrics(spark, sf):
 
 
 def upsert_diff(spark, sf):
+    """What the change batch changes, from the rows it touches."""
     before = I.first_silver(spark, sf)
-    after = U.upsert(before, _changes(spark, sf), "reading_id")
-    return U.snapshot_diff(before, after, "reading_id", ["temperature_c", "status"])
+    return U.change_diff(before, _changes(spark, sf), "reading_id", ["temperature_c", "status"])
 
 
 def distinct_keys(spark, sf):
@@ -130,7 +130,8 @@ def distinct_keys(spark, sf):
 
 
 def key_lookup(spark, sf):
-    return presentable(M.lookup(I.deliveries(spark, sf), "7"))
+    """One reading in the accepted records; the filter reaches the scan."""
+    return presentable(M.bronze(M.lookup(I.accepted(spark, sf), "7"), I.delivered_at()))
 
 
 def kpi_daily(spark, sf):
@@ -161,7 +162,7 @@ def _suite() -> list[Q.Check]:
 
 def _written_gold(spark, sf) -> DataFrame:
     """Gold as the gate sees it: already written, not yet published."""
-    return I.gold(spark, sf).checkpoint()
+    return materialise(I.gold(spark, sf), "gold")
 
 
 def gate_report(spark, sf):
@@ -311,8 +312,15 @@ def dense_text_topk(spark, sf):
 def dense_ann_recall(spark, sf):
     rows, asked = I.vectors(spark, sf), I.vector_queries(spark, sf)
     model = V.fit_clusters(rows, clusters=16)
-    near = V.probed_search(V.assign_clusters(rows, model), model, asked, probes=8)
-    return V.recall(V.dense_search(rows, asked), near)
+    clustered = V.assign_clusters(rows, model)
+    near = V.probed_search(clustered, model, asked, probes=8)
+    work = V.distances_computed(clustered, model, asked, probes=8)
+    found = V.recall(V.dense_search(rows, asked), near)
+    return found.join(F.broadcast(work)).select(  # two frames of one row
+        "exact_hits",
+        (F.col("recall") >= 0.85).alias("recall_reached"),
+        (F.col("probed") < 0.75 * F.col("exact")).alias("fewer_distances"),
+    )
 
 
 def _stages(spark, sf) -> tuple[dict[str, DataFrame], X.PairScorer]:
@@ -338,7 +346,7 @@ def funnel(spark, sf):
 def rerank_topk(spark, sf):
     index = I.text_index(spark, sf)
     asked = I.questions(spark, sf)
-    hits = B.bm25_hits(B.bm25_search(index, asked)).checkpoint()
+    hits = materialise(B.bm25_hits(B.bm25_search(index, asked)), "keyword")
     pairs = X.with_chunk(hits, index.chunks(), "text").join(asked, "query_id")
     scorer = X.idf_overlap(asked, index.terms())
     best = X.rerank(pairs.withColumn("cand_id", F.col("chunk_id")), scorer, 4)
