@@ -8,8 +8,9 @@ A document is the set of its distinct ``WIDTH``-word shingles; two link at a Jac
    Block counts depend on a size class; a set that can link into the next class is cut for that
    one, too. Should only empty blocks be left to agree, both sets know it and meet in a cell of
    their class for that case.
-2. **Tiles.** Connected cells make groups of candidates, packed into tiles of bounded size; a
-   larger group is cut into chunks, and every pair of chunks is a tile.
+2. **Tiles.** Cells with the same smallest document, their hub, make a group of candidates; groups
+   are packed into tiles of bounded size; a larger group is cut into chunks, and every pair of
+   chunks is a tile. Sharing a passage makes no chain of groups.
 3. **R-tree.** In a tile, shingles are hashed into ``GROUPS`` groups, and a set is the point of its
    group counts. The overlap of two sets is at most the sum of the coordinate minima, that of
    two nodes at most the sum over the minima of their upper corners. Pairs whose bound is
@@ -43,8 +44,8 @@ EQUAL_BELOW = 4
 GROUPS = 128
 LEAF = 16
 # Sets and shingles in a tile.
-TILE_SETS = 2_048
-TILE_SHINGLES = 3_000_000
+TILE_SETS = 512
+TILE_SHINGLES = 2_000_000
 # Pairs compared at a time.
 CHUNK = 16_384
 # Cells held by a task before they go on.
@@ -224,56 +225,58 @@ def links_of(hashes: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def candidate_groups(docs: DataFrame, known: DataFrame, width: int) -> DataFrame:
-    """(doc_id, candidates): representatives that share a cell, directly or by a chain."""
+    """(doc_id, hub): for every cell, its representatives under its smallest document.
+
+    Cells with the same smallest document, the hub, make one group, so documents that share many
+    cells are listed once. Two documents that share a cell are in the group of its hub.
+    """
     hub = F.min("doc_id").over(Window.partitionBy("cell"))
     met = all_cells(docs, width).withColumn("hub", hub).filter("doc_id > hub").select("doc_id", "hub")
     met = stored(met.groupBy("doc_id", "hub").agg(F.count("*").alias("cells")), "met")
-    rep = known.select(F.col("doc_id").alias("id"), "rep")
-    edges = met.join(rep, F.col("doc_id") == F.col("id")).select(F.col("rep").alias("a"), "hub")
-    edges = stored(edges, "edges-a").join(rep, F.col("hub") == F.col("id")).select("a", F.col("rep").alias("b"))
-    return components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("candidates"))
+    rep = known.select(F.col("doc_id").alias("id"), "rep").distinct()
+    pairs = met.join(rep, F.col("doc_id") == F.col("id")).select(F.col("rep").alias("doc_id"), "hub")
+    pairs = stored(pairs, "met-a").join(rep, F.col("hub") == F.col("id")).select("doc_id", F.col("rep").alias("hub"))
+    pairs = stored(pairs.filter("doc_id <> hub").distinct(), "met-b")
+    return pairs.unionByName(pairs.select(F.col("hub").alias("doc_id"), "hub").distinct())
 
 
 def tiled(groups: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, candidates, tiles): the tiles that a set takes part in."""
-    sized = stored(groups.join(known.filter("doc_id = rep").select("doc_id", "n_shingles").distinct(), "doc_id"), "candidates")
-    per_group = sized.groupBy("candidates").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"))
+    """(doc_id, candidates, tiles): the tiles that a set takes part in, and its smallest group."""
+    sizes = known.filter("doc_id = rep").select("doc_id", "n_shingles").distinct()
+    sized = stored(groups.join(sizes, "doc_id"), "candidates")
+    per_group = sized.groupBy("hub").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("shingles"))
     load = F.greatest(F.col("sets") / TILE_SETS, F.col("shingles") / TILE_SHINGLES)
-    per_group = stored(per_group.select("candidates", load.alias("load"), F.ceil(2 * load).alias("chunks")), "groups")
+    per_group = stored(per_group.select("hub", load.alias("load"), F.ceil(2 * load).alias("chunks")), "groups")
     small = F.col("load") <= 0.5
     total = per_group.filter(small).agg(F.coalesce(F.sum("load"), F.lit(0.0))).first()[0]
     shared = max(1, round(2 * total))
     chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     other = F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)
-    pair = lambda o: F.concat_ws("-", F.lit("g"), "candidates", F.least(chunk, o), F.greatest(chunk, o))
-    tiles = F.when(small, F.array(F.concat_ws("-", F.lit("s"), F.pmod(F.xxhash64("candidates"), F.lit(shared))))).otherwise(
+    pair = lambda o: F.concat_ws("-", F.lit("g"), "hub", F.least(chunk, o), F.greatest(chunk, o))
+    tiles = F.when(small, F.array(F.concat_ws("-", F.lit("s"), F.pmod(F.xxhash64("hub"), F.lit(shared))))).otherwise(
         F.transform(other, pair)
     )
-    return sized.join(per_group, "candidates").select("doc_id", "candidates", tiles.alias("tiles"))
+    placed = sized.join(per_group, "hub").select("doc_id", "hub", F.explode(tiles).alias("tile"))
+    return placed.groupBy("doc_id").agg(F.min("hub").alias("candidates"), F.collect_set("tile").alias("tiles"))
 
 
 def links(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """Verified links (a, b) that connect all linked representatives."""
+    """Verified links (a, b) that connect all linked representatives.
 
-    def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(text, width).tobytes() for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["candidates"], batch["tiles"], pa.array(found, pa.binary())],
-                ["doc_id", "candidates", "tiles", "hashes"],
-            )
+    Texts are sent to the tiles, as they are smaller than the hashes of their shingles.
+    """
 
     def join_tile(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("candidates", "ascending"), ("size", "ascending"), ("doc_id", "ascending")])
-        ids = group["doc_id"].to_numpy()
-        found = links_of([np.frombuffer(b, np.uint64) for b in group["hashes"].to_pylist()])
-        a, b = (np.array([ids[pair[k]] for pair in found], np.int64) for k in (0, 1))
+        found = [shingle_set(text, width) for text in group["text"].to_pylist()]
+        ids, near = group["doc_id"].to_numpy(), group["candidates"].to_numpy()
+        order = np.lexsort((ids, [len(f) for f in found], near))
+        ids = ids[order]
+        pairs = links_of([found[i] for i in order])
+        a, b = (np.array([ids[pair[k]] for pair in pairs], np.int64) for k in (0, 1))
         return pa.table({"a": a, "b": b})
 
-    texts = docs.join(members, "doc_id").select("doc_id", "text", "candidates", "tiles")
-    hashed = texts.mapInArrow(hash_sets, "doc_id bigint, candidates bigint, tiles array<string>, hashes binary")
-    placed = hashed.withColumn("tile", F.explode("tiles")).withColumn("size", F.octet_length("hashes")).drop("tiles")
-    return placed.groupBy("tile").applyInArrow(join_tile, "a bigint, b bigint")
+    once = docs.join(members, "doc_id").select("doc_id", "text", "candidates", F.explode("tiles").alias("tile"))
+    return once.groupBy("tile").applyInArrow(join_tile, "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
