@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import overheat_readings, readings, violations
-from tests.test_lakehouse import accepted
+from tests.test_lakehouse import accepted, keyed
 from tests.test_retrieval import TEXTS, corpus
 from tests.test_streaming import deliver
 from thermolake.operators import answers as A
@@ -14,14 +14,13 @@ from thermolake.operators import medallion as M
 from thermolake.operators.quality import QualityGateFailed, quarantine, unique_together
 from thermolake.plans import jobs
 from thermolake.sources.files import write_json_lines
-from thermolake.sources.tables import SnapshotTable
 from thermolake.streaming import ingest as S
 
 
 def test_from_topic_to_answers(spark, tmp_path):
     topic, out, check = tmp_path / "topic", f"{tmp_path}/out", f"{tmp_path}/check"
-    silver = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA, partition_by="reading_date")
-    gold = SnapshotTable(spark, f"{tmp_path}/gold", M.GOLD_SCHEMA)
+    silver = keyed(spark, tmp_path, "silver", M.SILVER_SCHEMA, partition_by="reading_date")
+    gold = keyed(spark, tmp_path, "gold", M.GOLD_SCHEMA)
 
     deliver(topic, "1.json", [json.dumps(r) for r in readings() + violations()])
     assert S.ingest(S.file_topic(spark, str(topic)), out, check, "readings") == {"accepted": 12, "rejected": 4}
@@ -41,7 +40,7 @@ def test_from_topic_to_answers(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/evidence").first().success is False
 
     static = corpus(spark, TEXTS)
-    nowhere = SnapshotTable(spark, f"{tmp_path}/nowhere", M.GOLD_SCHEMA)
+    nowhere = keyed(spark, tmp_path, "nowhere", M.GOLD_SCHEMA)
     assert jobs.build_corpus(static, nowhere).count() == len(TEXTS)
     docs = jobs.build_corpus(static, gold)
     assert docs.count() == len(TEXTS) + 3

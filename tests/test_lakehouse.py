@@ -17,7 +17,7 @@ from thermolake.operators import upsert as U
 from thermolake.plans import jobs
 from thermolake.session import checkpoint_dir
 from thermolake.sources.files import BrokenInput, EmptyInput, read_accepted, write_json_lines
-from thermolake.sources.tables import SchemaMismatch, SnapshotTable, TableExists, TableMissing
+from thermolake.sources.tables import KeyedTable, SchemaMismatch, TableExists, TableMissing
 
 NOON = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
 
@@ -37,6 +37,11 @@ def bronze(spark, rows, hours=0):
     return M.bronze(accepted(spark, rows), F.lit(NOON + timedelta(hours=hours)))
 
 
+def keyed(spark, tmp_path, name, schema, **options):
+    """A table of its own for each test."""
+    return KeyedTable(spark, f"{name}_{tmp_path.name}", schema, path=f"{tmp_path}/{name}", **options)
+
+
 @pytest.fixture(autouse=True, scope="module")
 def shared_folder(spark):
     checkpoint_dir(spark)
@@ -97,12 +102,12 @@ def test_touched_keys_see_late_older_deliveries(spark):
 
 
 def test_upsert_updates_in_place_and_is_idempotent(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA)
+    table = keyed(spark, tmp_path, "silver", M.SILVER_SCHEMA)
     with pytest.raises(TableMissing):
         table.read()
     first = M.clean(bronze(spark, readings()))
     assert table.upsert(first, "reading_id")["operation"] == "create"
-    before = table.read()
+    before = table.read().checkpoint()
     both = bronze(spark, readings()).unionByName(bronze(spark, overheat_readings(), hours=1))
     source = M.clean(both)
     result = table.upsert(source, "reading_id")
@@ -118,6 +123,7 @@ def test_upsert_updates_in_place_and_is_idempotent(spark, tmp_path):
     assert diff["CNC_MILL_01-01"].before_temperature_c == 67.0 and len(diff) == 6
     touched = U.change_diff(before, source, "reading_id", ["temperature_c", "status"]).collect()
     assert {r.reading_id: r for r in touched} == diff
+    after = after.checkpoint()
     again = table.upsert(source, "reading_id")
     assert again["rows"] == 12 and table.read().exceptAll(after).isEmpty()
     assert [r.operation for r in table.history().collect()] == ["create", "merge", "merge"]
@@ -125,7 +131,7 @@ def test_upsert_updates_in_place_and_is_idempotent(spark, tmp_path):
 
 
 def test_upsert_with_new_and_without_any_rows(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA)
+    table = keyed(spark, tmp_path, "silver", M.SILVER_SCHEMA)
     silver = M.clean(bronze(spark, readings()))
     table.create(silver.filter("machine_id = 'CNC_MILL_01'"))
     with pytest.raises(TableExists):
@@ -137,15 +143,17 @@ def test_upsert_with_new_and_without_any_rows(spark, tmp_path):
 
 
 def test_partitioned_upsert_rewrites_only_touched_days(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA, partition_by="reading_date")
+    table = keyed(spark, tmp_path, "silver", M.SILVER_SCHEMA, partition_by="reading_date")
     silver = M.clean(bronze(spark, readings()))
     day = F.date_add(F.col("reading_date"), F.substring("reading_id", -1, 1).cast("int"))
     spread = silver.withColumn("reading_date", day).withColumn("recorded_at", day.cast("timestamp"))
     table.upsert(spread, "reading_id")
-    first = table.last_operation()
-    assert sorted(first["partitions"]) == [f"2024-03-0{i}" for i in range(1, 5)]
-    before = table.read()
-    assert before.schema == M.SILVER_SCHEMA
+    days = lambda: [r[0] for r in spark.sql(f"SHOW PARTITIONS {table.name}").collect()]
+    files = lambda: {(str(r[0]), r[1]) for r in spark.table(table.name).select("reading_date", F.input_file_name()).distinct().collect()}
+    assert days() == [f"reading_date=2024-03-0{i}" for i in range(1, 5)]
+    first = files()
+    before = spark.createDataFrame(table.read().collect(), M.SILVER_SCHEMA)
+    assert table.read().schema == M.SILVER_SCHEMA
 
     # All rows of the 2nd move to the 3rd, one row of the 3rd changes, one new row lands on the 9th.
     third = F.lit("2024-03-03").cast("date")
@@ -160,9 +168,8 @@ def test_partitioned_upsert_rewrites_only_touched_days(spark, tmp_path):
         "rows_inserted": 1, "rows_rewritten": 7,
     }
     assert seen == [13]
-    last = table.last_operation()
-    kept = {d for d, s in last["partitions"].items() if s == first["snapshot"]}
-    assert kept == {"2024-03-01", "2024-03-04"} and set(last["partitions"]) == kept | {"2024-03-03", "2024-03-09"}
+    assert {d for d, _ in files() & first} == {"2024-03-01", "2024-03-04"}
+    assert days() == [f"reading_date=2024-03-0{i}" for i in (1, 3, 4, 9)]
     after = table.read()
     U.prove_upsert(before, source, after, "reading_id")
     assert after.filter("reading_date = '2024-03-02'").isEmpty()
@@ -173,7 +180,7 @@ def test_partitioned_upsert_rewrites_only_touched_days(spark, tmp_path):
 def test_failed_proof_and_duplicate_source(spark, tmp_path):
     silver = M.clean(bronze(spark, readings()))
     with pytest.raises(U.AmbiguousSource):
-        SnapshotTable(spark, f"{tmp_path}/t", M.SILVER_SCHEMA).upsert(silver.unionByName(silver), "reading_id")
+        keyed(spark, tmp_path, "t", M.SILVER_SCHEMA).upsert(silver.unionByName(silver), "reading_id")
     with pytest.raises(U.UpsertNotProven):
         U.prove_upsert(silver, silver, silver.unionByName(silver), "reading_id")
     with pytest.raises(U.UpsertNotProven):
@@ -181,10 +188,10 @@ def test_failed_proof_and_duplicate_source(spark, tmp_path):
 
 
 def test_wrong_schema_is_refused_and_changes_nothing(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/silver", M.SILVER_SCHEMA)
+    table = keyed(spark, tmp_path, "silver", M.SILVER_SCHEMA)
     silver = M.clean(bronze(spark, readings()))
     table.create(silver)
-    before, log = table.read(), table.history().collect()
+    before, log = table.read().checkpoint(), table.history().collect()
     bad = silver.withColumn("temperature_c", F.lit("not-a-number"))
     for write in (table.overwrite, lambda s: table.upsert(s, "reading_id")):
         with pytest.raises(SchemaMismatch, match="temperature_c: string instead of double"):
@@ -209,7 +216,7 @@ def test_catalog_tables_refuse_unsafe_casts(spark, tmp_path):
 
 
 def test_failed_audit_publishes_nothing(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/gold", M.GOLD_SCHEMA)
+    table = keyed(spark, tmp_path, "gold", M.GOLD_SCHEMA)
     silver = M.clean(bronze(spark, readings()))
     gold = M.daily_kpis(silver)
     table.overwrite(gold, audit=lambda snapshot: M.require_reduction(silver, snapshot))
@@ -255,7 +262,7 @@ def test_microseconds_survive_accepted_json(spark, tmp_path):
 
 def test_nulls_in_non_null_columns_are_refused(spark, tmp_path):
     schema = T.StructType([T.StructField("reading_id", T.StringType(), False), *M.SILVER_SCHEMA.fields[1:]])
-    table = SnapshotTable(spark, f"{tmp_path}/t", schema)
+    table = keyed(spark, tmp_path, "t", schema)
     silver = M.clean(bronze(spark, readings()))
     table.create(silver)
     with pytest.raises(PySparkException, match="reading_id is null"):

@@ -20,7 +20,7 @@ from thermolake.operators import quality as Q
 from thermolake.operators.corpus import chunk, kpi_documents, union_corpora
 from thermolake.session import checkpoint_dir
 from thermolake.sources.files import read_accepted, write_report
-from thermolake.sources.tables import SnapshotTable, check_schema, with_required
+from thermolake.sources.tables import KeyedTable, check_schema, with_required
 
 
 def append_bronze(spark: SparkSession, accepted: str, out: str, batch_id: int) -> int:
@@ -37,7 +37,7 @@ def append_bronze(spark: SparkSession, accepted: str, out: str, batch_id: int) -
 
 
 def refresh_silver(
-    table: SnapshotTable, bronze: DataFrame, new_rows: DataFrame | None = None
+    table: KeyedTable, bronze: DataFrame, new_rows: DataFrame | None = None
 ) -> dict:
     """Upsert the cleaned Bronze rows; with ``new_rows``, only the keys these touch."""
     cleaned = M.clean(bronze) if new_rows is None else M.clean_touched(bronze, new_rows)
@@ -46,7 +46,7 @@ def refresh_silver(
 
 def refresh_gold(
     silver: DataFrame,
-    table: SnapshotTable,
+    table: KeyedTable,
     checks: Sequence[Q.Check] | None = None,
     evidence: str | None = None,
 ) -> dict:
@@ -61,7 +61,7 @@ def refresh_gold(
     return table.overwrite(M.daily_kpis(silver), audit=audit)
 
 
-def build_corpus(static: DataFrame, gold: SnapshotTable | None = None) -> DataFrame:
+def build_corpus(static: DataFrame, gold: KeyedTable | None = None) -> DataFrame:
     """Static documents, followed by one per KPI row once Gold has been published."""
     if gold is None or not gold.exists():
         return union_corpora(static)

@@ -450,6 +450,15 @@ ORACLES: dict[str, str] = {
         SELECT {SILVER_COLUMNS} FROM {cleaned('deliveries')}
         WHERE reading_id IN (SELECT reading_id FROM corrections)"""),
     "silver_upsert": with_([READINGS, CHANGES], f"SELECT {SILVER_COLUMNS} FROM merged"),
+    "silver_rewritten": with_([READINGS], f"""
+        , changed AS (SELECT * FROM corrections WHERE temperature_c > 205),
+        target AS (SELECT * FROM {cleaned('readings')}), source AS (SELECT * FROM {cleaned('changed')})
+        SELECT CAST(reading_date AS VARCHAR) AS reading_date, count(*) AS readings,
+          bool_or(reading_id IN (SELECT reading_id FROM source)) AS rewritten
+        FROM target GROUP BY target.reading_date""".strip()),
+    "rejected_write": with_([READINGS], f"""
+        SELECT 'temperature_c: string instead of double' AS problem, count(*) AS rows_after, 1::BIGINT AS operations
+        FROM {cleaned('readings')}"""),
     "upsert_metrics": with_([READINGS, CHANGES], """
         SELECT 'merge' AS operation, (SELECT count(*) FROM target) AS rows_before,
           count(*) FILTER (reading_id IN (SELECT reading_id FROM target)) AS rows_updated,

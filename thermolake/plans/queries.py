@@ -26,7 +26,7 @@ from thermolake.operators import upsert as U
 from thermolake.plans import inputs as I
 from thermolake.session import checkpoint_dir, configure, materialise
 from thermolake.sources.files import write_json_lines
-from thermolake.sources.tables import SchemaMismatch, SnapshotTable, check_schema
+from thermolake.sources.tables import SchemaMismatch, KeyedTable, check_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,10 +174,44 @@ def gate_summary(spark, sf):
     return Q.summarise(Q.evaluate(rows, _suite()), rows, _suite())
 
 
+def _table(spark, name: str, schema: T.StructType, partition_by: str | None = None) -> KeyedTable:
+    """A new table of the catalog with its files in the shared folder."""
+    unique = f"{name}_{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/{unique}"
+    return KeyedTable(spark, unique, schema, partition_by, folder)
+
+
+def silver_rewritten(spark, sf):
+    """An upsert of extreme corrections into a table by day: rows of each day, and whether its files
+    were rewritten."""
+    table = _table(spark, "silver", M.SILVER_SCHEMA, "reading_date")
+    table.create(I.first_silver(spark, sf))
+    files = lambda: spark.table(table.name).select("reading_date", F.input_file_name().alias("file")).distinct()
+    before = materialise(files(), "files").withColumn("old", F.lit(True))
+    table.upsert(M.clean(I.corrections(spark, sf).filter("temperature_c > 205")), "reading_id")
+    same = files().join(before, ["reading_date", "file"], "left").groupBy("reading_date")
+    same = same.agg((~F.coalesce(F.max("old"), F.lit(False))).alias("rewritten"))
+    days = table.read().groupBy("reading_date").agg(F.count(F.lit(1)).alias("readings"))
+    return presentable(days.join(same, "reading_date"))
+
+
+def rejected_write(spark, sf):
+    """A write of a wrong type is refused and changes neither rows nor history."""
+    table = _table(spark, "silver", M.SILVER_SCHEMA)
+    table.create(I.first_silver(spark, sf))
+    wrong = table.read().withColumn("temperature_c", F.col("temperature_c").cast("string"))
+    try:
+        table.overwrite(wrong)
+        problem = None
+    except SchemaMismatch as exc:
+        problem = str(exc)
+    state = [(problem, table.read().count(), table.history().count())]
+    return spark.createDataFrame(state, "problem string, rows_after bigint, operations bigint")
+
+
 def gate_outcome(spark, sf):
     """Publishing behind the gate: refused, with the reason, and nothing published."""
-    folder = f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/gate-{uuid.uuid4().hex}"
-    table = SnapshotTable(spark, folder, M.GOLD_SCHEMA)
+    table = _table(spark, "gate", M.GOLD_SCHEMA)
     suite = _suite()
     try:
         table.overwrite(I.gold(spark, sf), audit=lambda rows: Q.run_gate(rows, suite))
@@ -423,7 +457,7 @@ def events_pivot(spark, sf):
 ALL: list[Query] = [
     contract_accepted, contract_rejected, dead_letters, contract_error_counts,
     contract_routing_counts, bronze_rows, silver_latest, silver_status, silver_touched,
-    silver_upsert, upsert_metrics, upsert_diff, distinct_keys, key_lookup, kpi_daily,
+    silver_upsert, silver_rewritten, rejected_write, upsert_metrics, upsert_diff, distinct_keys, key_lookup, kpi_daily,
     kpi_reduction_check, schema_check, gate_report, gate_summary, gate_failed_checks,
     gate_quarantine, label_checks, order_checks, compound_dups, lineitem_checks, kpi_documents,
     corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk,

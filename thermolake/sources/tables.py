@@ -1,40 +1,26 @@
-"""Tables as published Parquet snapshots: write, audit, then publish.
+"""Keyed tables of the catalog: check, write, audit, publish.
 
-A snapshot becomes visible when its row is appended to the publish log, so a failed audit or a
-lost job leaves readers on the previous one. One writer per table is assumed.
+Rows are checked against the declared schema, nulls included, and audited before the table is
+touched, so a refused write changes nothing. Publishing is Spark's own overwrite: of the whole
+table, or of the touched partitions (dynamic partition overwrite); partitions that lost their last
+row are dropped by name. One writer per table is assumed. Where a catalog with row-level changes is
+configured, ``operators.upsert.merge_into`` does the same at file level.
 
-A table with a partition column rewrites only the partitions an upsert touches; the log row names,
-per partition, the snapshot that holds it. Where a catalog with row-level changes is configured,
-``operators.upsert.merge_into`` does the same at file level.
-
-Row counts come from the written files (Parquet footers), not from accumulators, which may count a
-repeated task twice.
+Counts come from the written rows, not from accumulators, which may count a repeated task twice.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolake.operators.upsert import require_unique
-from thermolake.session import checkpoint_dir
+from thermolake.session import materialise
 
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("snapshot", T.StringType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
-        # Partition value -> snapshot holding it; null for a table without partitions.
-        T.StructField("partitions", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("published_at", T.TimestampType()),
-    ]
-)
+LOG_DDL = "version bigint, operation string, metrics map<string,bigint>, published_at timestamp"
 
 
 # An audit sees the whole table as it would be published, and raises to stop it.
@@ -46,11 +32,11 @@ class SchemaMismatch(ValueError):
 
 
 class TableExists(ValueError):
-    """A create found a published table."""
+    """A create found a table."""
 
 
 class TableMissing(ValueError):
-    """A read found no published snapshot."""
+    """A read found no table."""
 
 
 def check_schema(rows: DataFrame, expected: T.StructType) -> None:
@@ -81,136 +67,145 @@ def with_required(rows: DataFrame, expected: T.StructType) -> DataFrame:
     return rows.select(*[checked(field) for field in expected])
 
 
-class SnapshotTable:
-    """A keyed table under one folder, with a declared schema."""
+class KeyedTable:
+    """A keyed Parquet table of the session's catalog, written by Spark's own writers.
+
+    An audit sees the rows before they are published; without one they are written directly.
+    ``path`` keeps the files outside the warehouse.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None
+        self,
+        spark: SparkSession,
+        name: str,
+        schema: T.StructType,
+        partition_by: str | None = None,
+        path: str | None = None,
     ):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partition_by = partition_by
+        self.spark, self.name, self.schema = spark, name, schema
+        self.partition_by, self.path = partition_by, path
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        if not self.exists():
+            raise TableMissing(f"{self.name} does not exist")
+        return self.spark.table(self.name).select(self.schema.names)
 
     def history(self) -> DataFrame:
-        """The publish log, newest last."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log")
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            log = self.spark.createDataFrame([], LOG_SCHEMA)
-        return log.orderBy("version")
+        """Operations with their counts, oldest first."""
+        if not self.spark.catalog.tableExists(f"{self.name}_log"):
+            return self.spark.createDataFrame([], LOG_DDL)
+        return self.spark.table(f"{self.name}_log").orderBy("version")
 
     def last_operation(self) -> dict | None:
         row = self.history().orderBy(F.desc("version")).first()
         return row.asDict() if row else None
 
-    def exists(self) -> bool:
-        return self.last_operation() is not None
-
-    def read(self) -> DataFrame:
-        """The rows of the newest published snapshot."""
-        last = self.last_operation()
-        if last is None:
-            raise TableMissing(f"{self.path} has no published snapshot")
-        return self._rows(last["snapshot"], last["partitions"])
-
-    def _rows(self, snapshot: str, partitions: dict[str, str] | None) -> DataFrame:
-        reader = self.spark.read.schema(self.schema)
-        if self.partition_by is None:
-            return reader.parquet(f"{self.path}/snapshot={snapshot}")
-        if not partitions:
-            return self.spark.createDataFrame([], self.schema)
-        folders = [
-            f"{self.path}/snapshot={name}/{self.partition_by}={value}"
-            for value, name in sorted(partitions.items())
-        ]
-        rows = reader.option("basePath", self.path).parquet(*folders)
-        return rows.select(self.schema.names)
-
     def create(self, rows: DataFrame, audit: Audit | None = None) -> dict:
         """First write; refuses an existing table."""
+        check_schema(rows, self.schema)
         if self.exists():
-            raise TableExists(f"{self.path} already exists")
-        return self._publish(rows, "create", audit)
+            raise TableExists(f"{self.name} already exists")
+        self._save(self._audited(rows, audit), "errorifexists")
+        return self._log("create", {"rows": self.read().count()})
 
     def overwrite(self, rows: DataFrame, audit: Audit | None = None) -> dict:
         """Replace the contents, for tables that are pure derivations."""
-        return self._publish(rows, "overwrite", audit)
+        check_schema(rows, self.schema)
+        rows = self._audited(rows, audit)
+        if self.exists():
+            self._insert(materialise(rows, "overwrite") if audit is None else rows, "static")
+        else:
+            self._save(rows, "errorifexists")
+        return self._log("overwrite", {"rows": self.read().count()})
 
     def upsert(self, source: DataFrame, key: str, audit: Audit | None = None) -> dict:
-        """Create the table, or replace the rows of matching keys and add the new ones."""
+        """Create the table, or replace the rows of matching keys and add the new ones.
+
+        Of a partitioned table only the partitions are rewritten that a changed row leaves or enters.
+        """
         check_schema(source, self.schema)
-        last = self.last_operation()
-        if last is None:
-            require_unique(source, key)
-            return self._publish(source, "create", audit)
-        checkpoint_dir(self.spark)
-        source = source.select(self.schema.names).checkpoint()  # read several times below
+        source = materialise(with_required(source, self.schema), "source")  # read several times
         require_unique(source, key)
-
-        partitions = dict(last["partitions"] or {})
-        affected = self._rows(last["snapshot"], partitions)
+        if not self.exists():
+            return self.create(source, audit)
+        target = self.read()
+        affected, others = target, target.limit(0)
         if self.partition_by is not None:
-            # A changed row may move: its old partition is rewritten too, and disappears if the
-            # move empties it.
-            touched = self._partition_values(
-                affected.join(source.select(key), key, "left_semi")
-                .select(self.partition_by)
-                .unionByName(source.select(self.partition_by))
-            )
-            rewritten = {v: partitions.pop(v) for v in touched if v in partitions}
-            affected = self._rows(last["snapshot"], rewritten)
+            column = self.partition_by
+            moved = target.join(source.select(key), key, "left_semi").select(column)
+            touched = materialise(moved.unionByName(source.select(column)).distinct(), "touched")
+            here = touched.withColumnRenamed(column, "_touched")
+            same = F.col(column).eqNullSafe(F.col("_touched"))
+            affected, others = target.join(here, same, "left_semi"), target.join(here, same, "left_anti")
         kept = affected.join(source.select(key), key, "left_anti")
-        rows_affected, rows_source = affected.count(), source.count()
-
-        def metrics(rows_written: int) -> dict[str, int]:
-            before = last["metrics"]["rows"]
-            updated = rows_affected - (rows_written - rows_source)
-            return {
-                "rows": before - rows_affected + rows_written,
+        staged = materialise(kept.unionByName(source), "merged")
+        if audit is not None:
+            audit(others.unionByName(staged))
+        before, rows_affected = target.count(), affected.count()
+        written, rows_source = staged.count(), source.count()
+        updated = rows_affected - (written - rows_source)
+        self._insert(staged, "dynamic" if self.partition_by else "static")
+        if self.partition_by is not None:
+            self._drop_partitions(touched.join(staged.select(column).distinct(), column, "left_anti"))
+        return self._log(
+            "merge",
+            {
+                "rows": before - rows_affected + written,
                 "rows_before": before,
                 "rows_updated": updated,
                 "rows_inserted": rows_source - updated,
-                "rows_rewritten": rows_written,
-            }
-
-        return self._publish(kept.unionByName(source), "merge", audit, partitions, metrics)
-
-    def _partition_values(self, rows: DataFrame) -> list[str]:
-        """Distinct partition values, as folder names spell them."""
-        text = F.col(self.partition_by).cast("string")
-        found = rows.select(F.coalesce(text, F.lit("__HIVE_DEFAULT_PARTITION__"))).distinct()
-        return [r[0] for r in found.collect()]
+                "rows_rewritten": written,
+            },
+        )
 
-    def _publish(
-        self,
-        rows: DataFrame,
-        operation: str,
-        audit: Audit | None = None,
-        carried: dict[str, str] | None = None,
-        metrics_of: Callable[[int], dict[str, int]] = lambda written: {"rows": written},
-    ) -> dict:
-        check_schema(rows, self.schema)
-        last = self.last_operation()
-        version = 0 if last is None else last["version"] + 1
-        name = f"{version:08d}-{uuid.uuid4().hex[:8]}"
-        folder = f"{self.path}/snapshot={name}"
+    def _audited(self, rows: DataFrame, audit: Audit | None) -> DataFrame:
         rows = with_required(rows, self.schema)
-        if self.partition_by is None:
-            rows.write.parquet(folder)
-            partitions = None
-        else:
+        if audit is None:
+            return rows
+        staged = materialise(rows, "staged")
+        audit(staged)
+        return staged
+
+    def _save(self, rows: DataFrame, mode: str) -> None:
+        writer = rows.write.format("parquet").mode(mode)
+        if self.partition_by is not None:
             # Rebalancing gathers each partition value in few files, and AQE splits a value that
             # holds a third of the rows over several writers.
-            rows.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by).parquet(folder)
-        written = self.spark.read.schema(self.schema).parquet(folder)
+            writer = rows.hint("rebalance", self.partition_by).write.format("parquet").mode(mode)
+            writer = writer.partitionBy(self.partition_by)
+        if self.path is not None:
+            writer = writer.option("path", self.path)
+        writer.saveAsTable(self.name)
+
+    def _insert(self, staged: DataFrame, mode: str) -> None:
+        """Overwrite what ``staged`` covers: all of the table, or its partitions. The mode is a session
+        setting, as writes into a catalog table do not take it as an option."""
+        rows = staged.select(self.spark.table(self.name).columns)
         if self.partition_by is not None:
-            partitions = {**(carried or {}), **{v: name for v in self._partition_values(written)}}
-        if audit is not None:
-            audit(self._rows(name, partitions))
-        metrics = metrics_of(written.count())
-        entry = self.spark.createDataFrame(
-            [(version, name, operation, metrics, partitions, None)], LOG_SCHEMA
-        ).withColumn("published_at", F.current_timestamp())
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
+            rows = rows.hint("rebalance", self.partition_by)
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        usual = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, mode)
+        try:
+            rows.write.mode("overwrite").insertInto(self.name)
+        finally:
+            self.spark.conf.set(setting, usual)
+
+    def _drop_partitions(self, emptied: DataFrame) -> None:
+        """Drop partitions that lost their last row; each is one catalog call."""
+        for row in emptied.select(F.col(self.partition_by).cast("string")).toLocalIterator():
+            value = "null" if row[0] is None else "'" + row[0].replace("'", "\\'") + "'"
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({self.partition_by} = {value})")
+
+    def _log(self, operation: str, metrics: dict[str, int]) -> dict:
+        last = self.last_operation()
+        version = 0 if last is None else last["version"] + 1
+        entry = self.spark.createDataFrame([(version, operation, metrics, None)], LOG_DDL)
+        writer = entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append")
+        if self.path is not None:
+            writer = writer.option("path", f"{self.path}_log")
+        writer.saveAsTable(f"{self.name}_log")
         return {"version": version, "operation": operation, **metrics}
