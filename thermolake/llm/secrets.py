@@ -1,9 +1,9 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only.
 
 Each rule is a regular expression; ``trigrams`` derives its Boolean trigram query. The index holds
-postings (trigram, document) for the trigrams that any rule asks for. Postings are joined with the
-clauses of the rules, a document is a candidate of a rule when a clause has all its trigrams, and
-the rule's expression verifies candidates. Rules without mandatory trigrams scan every text.
+postings (trigram, document) for the trigrams that any rule asks for. Postings are intersected, a
+document is a candidate of a rule when a clause has all its trigrams, and the rule's expression
+verifies candidates. Rules without mandatory trigrams scan every text.
 
 Matches are leftmost and non-overlapping per rule. Spans are code points, end exclusive: they come
 from the lengths of the matches and of what lies between them.
@@ -56,6 +56,8 @@ MORE = [
 RULES = BASE + MORE
 
 MARK = "[SECRET]"
+# Trigrams per mask column.
+MASK_BITS = 62
 KEY = ["_scan_id", "_scan_hash"]
 
 
@@ -80,22 +82,34 @@ def postings(rows: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Documents and the kinds of the rules that may match them (intersected postings)."""
-    asked = [
-        (rule.kind, f"{rule.kind}/{i}", len(clause), trigram)
-        for rule in rules
-        for i, clause in enumerate(rule.clauses())
-        for trigram in sorted(clause)
-    ]
-    # One row per trigram of a clause: its size is that of the rules, not of the data.
-    clauses = index.sparkSession.createDataFrame(asked, "kind string, clause string, needed int, trigram string")
-    met = (
-        index.join(F.broadcast(clauses), "trigram")
-        .groupBy(*KEY, "kind", "clause", "needed")
-        .agg(F.count_distinct("trigram").alias("met"))
-        .filter("met = needed")
-    )
-    return met.groupBy(*KEY).agg(F.collect_set("kind").alias("kinds"))
+    """Documents and the kinds of the rules that may match them.
+
+    Postings are intersected as bits: a document's trigrams are gathered into masks (combined in
+    the tasks before the shuffle), and a clause is met when all of its bits are set.
+    """
+    asked = sorted({t for rule in rules for clause in rule.clauses() for t in clause})
+    place = {t: divmod(i, MASK_BITS) for i, t in enumerate(asked)}
+    masks = []
+    for word in range(-(-len(asked) // MASK_BITS)):
+        bits = [x for t in asked if place[t][0] == word for x in (F.lit(t), F.lit(1 << place[t][1]).cast("bigint"))]
+        masks.append(F.bit_or(F.coalesce(F.element_at(F.create_map(*bits), F.col("trigram")), F.lit(0))).alias(f"mask{word}"))
+    held = index.groupBy(*KEY).agg(*masks)
+
+    def met(clause: Clause) -> Column:
+        out = F.lit(True)
+        for word in range(len(masks)):
+            wanted = F.lit(sum(1 << place[t][1] for t in clause if place[t][0] == word)).cast("bigint")
+            out &= F.col(f"mask{word}").bitwiseAND(wanted) == wanted
+        return out
+
+    kinds = []
+    for rule in rules:
+        some = F.lit(False)
+        for clause in rule.clauses():
+            some |= met(clause)
+        kinds.append(F.when(some, F.lit(rule.kind)))
+    found = held.select(*KEY, F.array_compact(F.array(*kinds)).alias("kinds"))
+    return found.filter(F.size("kinds") > 0)
 
 
 def matches(rule: Rule) -> tuple[Column, Column, Column]:
