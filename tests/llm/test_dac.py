@@ -18,6 +18,8 @@ def test_any_id_is_read_alone(ids, data):
     file = dac.DacFile(dac.encode(np.array(ids, np.uint32), [None, 7], np.array([0, len(ids) // 2])))
     places = data.draw(st.lists(st.integers(0, len(ids) - 1)))
     assert file.take(np.array(places, np.int64)).tolist() == [ids[p] for p in places]
+    a, b = sorted(data.draw(st.tuples(st.integers(0, len(ids)), st.integers(0, len(ids)))))
+    assert file.span(a, b).tolist() == ids[a:b]
     assert file.document(0).tolist() == ids[: len(ids) // 2] and file.document(1).tolist() == ids[len(ids) // 2 :]
     assert file.null_ids.tolist() == [True, False] and file.doc_ids[1] == 7
 

@@ -104,10 +104,27 @@ class DacFile:
                 break
         return out
 
+    def span(self, start: int, end: int) -> np.ndarray:
+        """The ids from one position to another: in every level they are neighbours, too."""
+        out = np.zeros(end - start, np.uint32)
+        rows: np.ndarray | slice = slice(None)
+        for level, (chunks, words, ranks) in enumerate(self.levels):
+            out[rows] |= chunks[start:end].astype(np.uint32) << np.uint32(self.chunk_bits * level)
+            first = start >> 6
+            bits = np.unpackbits(words[first : -(-end // 64)].view(np.uint8), bitorder="little")
+            goes_on = bits[start - 64 * first : end - 64 * first].view(bool)
+            below = np.bitwise_count(words[first] & np.uint64((1 << (start & 63)) - 1)) if start & 63 else 0
+            rows = np.flatnonzero(goes_on) if level == 0 else rows[goes_on]
+            if not len(rows):
+                break
+            start = int(ranks[first] + below)
+            end = start + len(rows)
+        return out
+
     def document(self, number: int) -> np.ndarray:
         """The ids of one document, by its place in the file."""
         end = self.starts[number + 1] if number + 1 < self.n_docs else self.n_ids
-        return self.take(np.arange(self.starts[number], end))
+        return self.span(int(self.starts[number]), int(end))
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
@@ -170,7 +187,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 a = 0
                 while a < dac.n_docs:  # whole documents, about READ_IDS ids at a time
                     b = max(a + 1, int(np.searchsorted(ends, dac.starts[a] + READ_IDS)))
-                    ids = dac.take(np.arange(dac.starts[a], ends[b - 1]))
+                    ids = dac.span(int(dac.starts[a]), int(ends[b - 1]))
                     spans = [ids[s:e].tobytes() for s, e in zip(dac.starts[a:b] - dac.starts[a], ends[a:b] - dac.starts[a])]
                     yield pa.RecordBatch.from_arrays(
                         [

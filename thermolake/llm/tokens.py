@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Words a worker remembers (about 250 bytes each); others are encoded anew each time.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 # Words encoded in one call.
 CALL = 4_096
 
@@ -51,6 +51,7 @@ class Encoder:
         self.single.post_processor = None
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
     def _call(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[bytes]:
@@ -81,15 +82,13 @@ class Encoder:
             out[match[0]] += core + self.tails[match[4]]
         return out | dict(zip(other, self._call([" " + word for word in other])))
 
-    def _segments(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct words behind a space, one after the other, and how many each has."""
-        ids = list(map(self.known.get, found))
-        missing = [w for w, b in zip(found, ids) if b is None]
-        fresh = self._learn(missing)
-        if len(self.known) < REMEMBERED:
-            self.known.update(fresh)
-        ids = [fresh[w] if b is None else b for w, b in zip(found, ids)]
-        return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of first words, which no space precedes."""
+        missing = list({w for w in heads if w not in self.first})
+        fresh = dict(zip(missing, self._call(missing)))
+        if len(self.first) < REMEMBERED // 10:
+            self.first.update(fresh)
+        return [fresh[w] if w in fresh else self.first[w] for w in heads]
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """The ids of each text; a null text has none."""
@@ -100,34 +99,43 @@ class Encoder:
         first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
         ends = np.append(first[1:], len(split.flatten()))
         flat = split.flatten().dictionary_encode()
-        word = flat.indices.to_numpy().astype(np.int64)
+        word = flat.indices.to_numpy()
         distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, distinct))
+        missing = [i for i, b in enumerate(ids) if b is None]
         # A space next to white space, or at an end, is no sure cut: such texts are encoded whole.
-        # A word that opens a text may end in white space only if it is the whole text.
-        odd = np.fromiter((w != w.strip() or not w for w in distinct), bool, len(distinct))
-        odd_before = np.concatenate([[0], np.cumsum(odd[word])])
-        whole = odd_before[ends] > odd_before[first]
-        heads = [t if w else distinct[word[i]] for t, w, i in zip(texts.to_pylist(), whole, first)]
+        # A word that is empty or touches white space is never remembered.
+        odd = np.zeros(len(distinct), bool)
+        odd[[i for i in missing if not distinct[i] or distinct[i] != distinct[i].strip()]] = True
+        whole = np.add.reduceat(odd[word].astype(np.int64), first) > 0
         behind = np.ones(len(word), bool)
         behind[first] = False
         used = np.zeros(len(distinct), bool)
         used[word[behind]] = True
         used &= ~odd
-        place = np.cumsum(used) - 1
-        ids, sizes = self._segments([distinct[i] for i in np.flatnonzero(used)])
-        head_ids = self._call(heads)
-        # Segments: the distinct words, the heads, and an empty one for words of texts kept whole.
-        ids = np.concatenate([ids, np.frombuffer(b"".join(head_ids), "<u4")])
-        sizes = np.concatenate([sizes, [len(b) // 4 for b in head_ids], [0]]).astype(np.int64)
-        segment = place[word]
-        segment[np.repeat(whole, ends - first)] = len(sizes) - 1
-        segment[first] = len(sizes) - 1 - len(head_ids) + np.arange(len(head_ids))
+        fresh = self._learn([distinct[i] for i in missing if used[i]])
+        if len(self.known) < REMEMBERED:
+            self.known.update(fresh)
+        for i in missing:
+            ids[i] = fresh.get(distinct[i], b"") if used[i] else b""
+        # Segments: the distinct words, then the heads; words of texts kept whole take the last, empty one.
+        heads = self._heads([distinct[i] for i in word[first[~whole]]])
+        at_whole = np.flatnonzero(whole)
+        texts_whole = self._call(texts.take(pa.array(at_whole)).to_pylist())
+        parts = ids + heads + texts_whole + [b""]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        segment = word.astype(np.int64)
+        if len(at_whole):
+            segment[np.repeat(whole, ends - first)] = len(parts) - 1
+        segment[first[~whole]] = len(ids) + np.arange(len(heads))
+        segment[first[whole]] = len(ids) + len(heads) + np.arange(len(texts_whole))
+        all_ids = np.frombuffer(b"".join(parts), "<u4")
         starts = np.cumsum(sizes) - sizes
         count = sizes[segment]
         at = np.cumsum(count)
-        kind = np.int32 if max(at[-1], len(ids)) < 1 << 31 else np.int64
+        kind = np.int32 if max(at[-1], len(all_ids)) < 1 << 31 else np.int64
         shift = (starts[segment] - (at - count)).astype(kind)
-        out = ids[np.arange(at[-1], dtype=kind) + np.repeat(shift, count)]
+        out = all_ids[np.arange(at[-1], dtype=kind) + np.repeat(shift, count)]
         return np.split(out, at[ends[:-1] - 1])
 
 
