@@ -108,3 +108,34 @@ def test_queries_are_as_strict_as_expected():
     assert trigram_query("abc(de)?") == [frozenset({"abc"})]
     assert trigram_query("[0-9a-f]+") == [frozenset()]
     assert S.plan_rules(S.BASE)[1] == [S.BASE[2]]
+
+
+def covered(text):
+    """Original spans, overlapping ones as one."""
+    merged = []
+    for start, _, _, end in brute(text):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return merged
+
+
+OVERLAPS = [
+    "api_key=AIza" + "b" * 35 + "TailOfTheSecret99 after",
+    "é😀 token=ghp_" + "a1" * 18 + "/Rest+Of.Secret==, after",
+    "secret=pw1.xoxb-1234567890, ü after",
+    "password=AKIA" + "Z9" * 9 + "/" + HEX * 2 + "+tail/é secret:=short token=abcdefg",
+    "token=abcdef " + HEX * 2,
+]
+
+
+def test_nothing_of_any_span_is_left(spark):
+    docs = spark.createDataFrame(list(enumerate(OVERLAPS)), "doc_id bigint, text string")
+    marked = {r["doc_id"]: r["text"] for r in S.redact(docs).collect()}
+    for i, text in enumerate(OVERLAPS):
+        ranges, expected, at = covered(text), "", 0
+        for start, end in ranges:
+            expected, at = expected + text[at:start] + S.MARK, end
+        assert ranges and marked[i] == expected + text[at:]
+    assert marked[0] == "[SECRET] after" and marked[2] == "[SECRET], ü after"

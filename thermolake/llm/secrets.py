@@ -17,6 +17,7 @@ columns are ignored by ``scan`` and kept by ``redact``, except that names starti
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -120,9 +121,9 @@ def matches(rule: Rule) -> tuple[Column, Column, Column]:
     return found, group, F.split(text, rule.pattern, -1)
 
 
-def hits(rows: DataFrame, rules: list[Rule], kinds: Column | None) -> DataFrame:
-    """Verified matches per row and rule: lengths of matches, groups and parts between."""
-    lengths = lambda strings: F.transform(strings, F.char_length)
+def hits(rows: DataFrame, rules: list[Rule], kinds: Column | None, size: Callable = F.char_length) -> DataFrame:
+    """Verified matches per row and rule: sizes of matches and parts between, lengths of groups."""
+    lengths = lambda strings, of=size: F.transform(strings, of)
     per_rule = []
     for rule in rules:
         found, group, between = matches(rule)
@@ -132,7 +133,7 @@ def hits(rows: DataFrame, rules: list[Rule], kinds: Column | None) -> DataFrame:
         entry = F.struct(
             F.lit(rule.kind).alias("kind"),
             lengths(found).alias("found"),
-            lengths(group).alias("measured"),
+            lengths(group, F.char_length).alias("measured"),
             lengths(between).alias("between"),
         )
         per_rule.append(F.when(wanted, entry))
@@ -150,17 +151,17 @@ def find_candidates(rows: DataFrame, indexed: list[Rule]) -> DataFrame:
     return candidates(stored(postings(rows, indexed), "postings"), indexed)
 
 
-def spans(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """One row per match: document key, kind, start and end."""
+def spans(docs: DataFrame, rules: list[Rule] = RULES, size: Callable = F.char_length) -> DataFrame:
+    """One row per match: document key, kind, start and end, in the unit of ``size``."""
     rows = keyed(docs).select(*KEY, "_scan_text")
     indexed, scanned = plan_rules(rules)
     parts = []
     if scanned:
-        parts.append(hits(rows, scanned, None))
+        parts.append(hits(rows, scanned, None, size))
     if indexed:
         likely = find_candidates(rows, indexed)
         joined = rows.join(likely, same_key(rows, likely)).select(rows["_scan_id"], rows["_scan_hash"], "_scan_text", "kinds")
-        parts.append(hits(joined, indexed, F.col("kinds")))
+        parts.append(hits(joined, indexed, F.col("kinds"), size))
     verified = parts[0]
     for part in parts[1:]:
         verified = verified.unionByName(part)
@@ -193,29 +194,38 @@ def written(found: Column | str) -> Column:
     return F.concat_ws(",", F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
+def covered(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Per document key: ``_scan_ranges``, the bytes that matches of any rule cover, in order.
+
+    Ranges that overlap, of whichever rules, are one.
+    """
+    found = spans(docs, rules, F.octet_length)
+    in_order = Window.partitionBy(*KEY).orderBy("start", "end")
+    reach = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
+    nth = F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    merged = found.withColumn("opens", opens).withColumn("nth", nth)
+    merged = merged.groupBy(*KEY, "nth").agg(F.min("start").cast("int").alias("start"), F.max("end").cast("int").alias("end"))
+    return merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_scan_ranges"))
+
+
 def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = MARK) -> DataFrame:
-    """All rows and columns, with ``mark`` in place of every match.
+    """All rows and columns, with ``mark`` in place of what the spans of ``scan`` cover.
 
-    Rules are applied one after the other, those that are not of the base first, so a secret that
-    two rules cover is marked once. A null text stays null.
+    Spans are those of the text as it came; where spans of several rules overlap, all that they
+    cover together is marked once. A null text stays null.
     """
     columns = docs.columns
-    rows = keyed(docs)
-    indexed, _ = plan_rules(rules)
-    kinds = F.array().cast("array<string>")
-    if indexed:
-        likely = find_candidates(rows.select(*KEY, "_scan_text"), indexed).withColumnRenamed("kinds", "_scan_kinds")
-        condition = same_key(rows, likely)
-        rows = rows.join(likely, condition, "left").select(*[rows[c] for c in rows.columns], "_scan_kinds")
-        kinds = F.coalesce("_scan_kinds", kinds)
-    for rule in [r for r in rules if r not in BASE] + [r for r in rules if r in BASE]:
-        found, group, between = matches(rule)
-        kept = F.transform(
-            F.arrays_zip(found.alias("f"), group.alias("g")),
-            lambda m: F.when(F.char_length(m["g"]) >= rule.least, F.lit(mark)).otherwise(m["f"]),
-        )
-        parts = F.zip_with(between, kept, lambda b, k: F.concat(b, F.coalesce(k, F.lit(""))))
-        wanted = F.array_contains(kinds, rule.kind) if rule in indexed else F.lit(True)
-        wanted = F.when(wanted, F.size(found) > 0).otherwise(False)
-        rows = rows.withColumn("_scan_text", F.when(wanted, F.concat_ws("", parts)).otherwise(F.col("_scan_text")))
-    return rows.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_scan_text"))).select(*columns)
+    rows, ranges = keyed(docs), stored(covered(docs, rules), "ranges")
+    rows = rows.join(ranges, same_key(rows, ranges), "left").select(*[rows[c] for c in rows.columns], "_scan_ranges")
+    starts, ends = F.col("_scan_ranges.start"), F.col("_scan_ranges.end")
+    # What lies between the ranges: bytes are cut out at their places without a walk over the text.
+    between = F.arrays_zip(
+        F.concat(F.array(F.lit(0)), ends).alias("a"), F.concat(starts, F.array(F.octet_length("_scan_text"))).alias("b")
+    )
+    cut = F.transform(
+        F.array(F.col("_scan_text").cast("binary")),
+        lambda text: F.transform(between, lambda at: F.substr(text, at["a"] + 1, at["b"] - at["a"]).cast("string")),
+    )
+    marked = F.when(F.col("_scan_ranges").isNotNull(), F.array_join(cut[0], mark)).otherwise(F.col("_scan_text"))
+    return rows.withColumn("text", F.when(F.col("text").isNotNull(), marked)).select(*columns)
