@@ -139,3 +139,30 @@ def test_nothing_of_any_span_is_left(spark):
             expected, at = expected + text[at:start] + S.MARK, end
         assert ranges and marked[i] == expected + text[at:]
     assert marked[0] == "[SECRET] after" and marked[2] == "[SECRET], ü after"
+
+
+LINES = ["MIIEowIBAAKCAQEA" + "x7/+Q" * 9 + "abc"] * 3 + ["Zm9v+/Q="]
+HEAD, TAIL = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+KEYS = [
+    "\n".join([HEAD, *LINES, TAIL]),
+    " ".join([HEAD, *LINES, TAIL]),
+    "\\n".join([HEAD, *LINES, TAIL]),
+    "\r\n".join([HEAD, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,3F17F5316E2BAC89", "", *LINES, TAIL]),
+    "\n".join([HEAD, *LINES]),
+    "\n".join([HEAD, *LINES[:2], "MIIEo"]),
+    "\n".join([HEAD, *LINES * 20_000, TAIL]),
+    "\n".join([HEAD, *LINES[:3] * 20_000]),
+    HEAD,
+]
+
+
+def test_private_keys_are_marked_to_their_end(spark):
+    afters = ["" if key.endswith("MIIEo") else " and é (prose) goes on" for key in KEYS]
+    texts = ["before " + key + after for key, after in zip(KEYS, afters)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["spans"] for r in S.scan(docs).select("doc_id", S.written("found").alias("spans")).collect()}
+    marked = {r["doc_id"]: r["text"] for r in S.redact(docs).collect()}
+    for i, (key, after) in enumerate(zip(KEYS, afters)):
+        assert f"private_key:7:{7 + len(key)}" in found[i].split(",")
+        assert marked[i] == "before " + S.MARK + after
+        assert found[i] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute(texts[i]))

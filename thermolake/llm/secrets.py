@@ -46,9 +46,16 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 ]
+# A private key from its first line to its END line; in a text that is cut, up to the last line that
+# can only be a key's. Line ends may be written out or quoted. Possessive, so that no line is read twice.
+KEY_BODY = (
+    r"""(?:[\x20\t\r\n\\"'>]+n?(?:Proc-Type|DEK-Info):\x20?[A-Za-z0-9,-]+){0,2}"""
+    r"""(?:[A-Za-z0-9+/=\x20\t\r\n\\"'>,]*+-----END\x20[A-Z\x20]*PRIVATE\x20KEY-----"""
+    r"""|(?:[\x20\t\r\n\\"'>,+]++[A-Za-z0-9+/=]{16,}+)*+(?:[\x20\t\r\n\\"'>,+]++[A-Za-z0-9+/]++(?:==?|(?![\s\S])))?)"""
+)
 # Well-known shapes of keys, added to the base.
 MORE = [
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + KEY_BODY),
     Rule("github", r"gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
