@@ -112,3 +112,40 @@ def test_logistic_recovers_a_curve():
     y = (np.random.default_rng(0).random(4_000) < 1 / (1 + np.exp(-(2 * x - 1)))).astype(float)
     slope, intercept = quality.logistic(x, y, np.ones(4_000))
     assert math.isclose(slope, 2, abs_tol=0.25) and math.isclose(intercept, -1, abs_tol=0.25)
+
+
+def calibration(on_top):
+    """Two languages of 100 and 650 toxic texts; so many texts of the small one that are not toxic score highest."""
+    rng = np.random.default_rng(4)
+    groups = [("aa", 1, 100, 0.6, 0.95), ("bb", 1, 650, 0.6, 0.95), ("aa", 0, 100, 0.01, 0.4), ("bb", 0, 650, 0.01, 0.4)]
+    parts = [(rng.uniform(a, b, n), np.full(n, y, float), np.full(n, lang, object)) for lang, y, n, a, b in groups]
+    scores, toxic, langs = (np.concatenate(c) for c in zip(*parts))
+    scores[750 : 750 + on_top] = 0.96 + 0.01 * np.arange(on_top)
+    return scores, toxic, np.where(toxic == 1, 1.0, 8.0), langs
+
+
+@pytest.mark.parametrize("on_top", [0, 1, 2])
+def test_single_texts_do_not_turn_rejection_off(on_top):
+    scores, toxic, weight, langs = calibration(on_top)
+    pooled, by_language = toxicity.thresholds(scores, toxic, weight, langs)
+    own = (langs == "aa") & (toxic == 1)
+    assert all(cut <= 1 for cut in by_language.values()) and pooled < 0.6
+    assert (scores[own] >= by_language.get("aa", pooled)).mean() >= 0.95
+
+
+def test_a_language_with_many_false_positives_rejects_less():
+    scores, toxic, weight, langs = calibration(0)
+    scores[750:756] = np.linspace(0.61, 0.75, 6)
+    pooled, by_language = toxicity.thresholds(scores, toxic, weight, langs)
+    assert by_language["aa"] > 0.7 > by_language["bb"]
+
+
+def test_rejection_per_language_on_held_out_texts(spark):
+    langs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    known = op2_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").join(langs, "doc_id")
+    rows = [r for r in known.filter("held_out and toxic is not null").collect()]
+    for lang in {r["lang"] for r in rows}:
+        rejected = np.array([r["rejected"] for r in rows if r["lang"] == lang])
+        toxic = np.array([r["toxic"] for r in rows if r["lang"] == lang])
+        if toxic.sum() >= 20:
+            assert rejected[toxic == 1].mean() >= 0.35 and toxic[rejected].mean() >= 0.9
