@@ -127,3 +127,10 @@ def test_without_training_texts(spark, odd_docs, no_docs):
     assert {r["score"] for r in K.score(odd_docs, model).collect()} == {0.0}
     with pytest.raises(ValueError):
         K.train(no_docs, order=1)
+
+
+def test_the_registered_order_uses_two_words_of_context(spark):
+    texts = ["a x p", "b x q"] * 20 + ["a x q", "b x p"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    scored = {texts[r["doc_id"]]: r["score"] for r in K.score(docs, K.train(docs)).collect()}
+    assert scored["a x p"] > scored["a x q"] + 0.3 and scored["b x q"] > scored["b x p"] + 0.3

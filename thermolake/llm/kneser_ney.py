@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from thermolake.llm.common import mix, open_file, prepare, shared_path, stored, word_hashes, words, write_file
 
-ORDER = 2
+ORDER = 3
 # Training text per bucket, which bounds a bucket's group and file.
 BUCKET_BYTES = 16 << 20
 # N-grams that a task counts before it sends them on.
