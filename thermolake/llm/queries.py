@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolake.llm import ann, dac, decontaminate, jaccard, kneser_ney, packing, quality, secrets, toxicity, warc
+from thermolake.llm import (
+    ann,
+    codes,
+    dac,
+    decontaminate,
+    divergence,
+    jaccard,
+    kneser_ney,
+    packing,
+    quality,
+    secrets,
+    toxicity,
+    url_filter,
+    warc,
+)
 from thermolake.llm.common import fold, table
+from thermolake.llm.oracles import SOURCE_DIVERGENCE, URL_FILTER, vector_codes
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -110,6 +125,33 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of all sources of each language, and the terms each source has too many of."""
+    found = divergence.audit(table(spark, sf_dir, "documents"))
+    return found.select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))
+
+
+# The rules of the query; longest wins.
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of all pages by rule, or by the aliases that redirects and canonical links name."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 8 parts, 16 entries, 6 rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    return codes.compress(vectors).select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_toxicity": op2_toxicity,
@@ -121,6 +163,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_language_model": op9_language_model,
     "op10_warc": op10_warc,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_url_filter": op12_url_filter,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_source_divergence": SOURCE_DIVERGENCE,
+    "op12_url_filter": URL_FILTER,
+    "op13_vector_codes": vector_codes(),
+}
