@@ -17,6 +17,7 @@ from thermolake.operators import bm25 as B
 from thermolake.operators import corpus as D
 from thermolake.operators import dense as V
 from thermolake.operators import fusion as X
+from thermolake.operators import postings as P
 from thermolake.operators import quality  # noqa: F401
 from thermolake.session import checkpoint_dir
 
@@ -135,7 +136,7 @@ def test_bm25_matches_plain_okapi(spark, tmp_path, monkeypatch, limit):
 
 def test_postings_and_frequencies(spark, tmp_path):
     index = index_of(spark, ["b a b", "a", "c b b b"], f"{tmp_path}/i")
-    got = {(r.term, r.id): (r.tf, r.dl) for r in B.postings(index.chunks()).collect()}
+    got = {(r.term, r.id): (r.tf, r.dl) for r in index.postings().collect()}
     assert got == {
         ("b", "0#c00"): (2, 3), ("a", "0#c00"): (1, 3), ("a", "1#c00"): (1, 1),
         ("c", "2#c00"): (1, 4), ("b", "2#c00"): (3, 4),
@@ -205,12 +206,21 @@ def test_vectors_without_a_distance_are_refused(spark):
         V.hashing_embedder()(spark.createDataFrame([(None,)], "text string")).collect()
 
 
-def test_matches_only_are_sent_and_blocks_are_released(spark, tmp_path, monkeypatch):
+def test_matches_only_are_sent(spark, tmp_path, monkeypatch):
     texts = [f"word{i} common" for i in range(40)]
     index = index_of(spark, texts, f"{tmp_path}/i")
     asked = spark.createDataFrame([(i, "nothing here" if i % 2 else f"word{i}") for i in range(20)], "query_id bigint, query string")
-    sent, live, most = [], [], []
-    pad, broadcast = B.pad, spark.sparkContext.broadcast
+    sent, pad = [], B.pad
+    monkeypatch.setattr(B, "pad", lambda found, *rest: sent.append(found.count()) or pad(found, *rest))
+    found = B.bm25_search(index, asked, k=8).collect()
+    assert sent == [10]  # one match per matching query, nothing for the others
+    assert len(found) == 20 * 8
+    assert [r.id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 1] == [f"{i}#c00" for i in range(8)]
+
+
+def test_blocks_of_queries_are_released(spark, monkeypatch):
+    live, most = [], []
+    broadcast = spark.sparkContext.broadcast
 
     def counted(value):
         shared = broadcast(value)
@@ -220,16 +230,118 @@ def test_matches_only_are_sent_and_blocks_are_released(spark, tmp_path, monkeypa
         monkeypatch.setattr(shared, "destroy", lambda: (live.remove(shared), destroy()))
         return shared
 
-    monkeypatch.setattr(B, "pad", lambda found, *rest: sent.append(found.count()) or pad(found, *rest))
     monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
     monkeypatch.setattr(K, "KEPT_BYTES_PER_HIT", 1 << 20)
     split = K.query_blocks
-    monkeypatch.setattr(B, "query_blocks", lambda q, size, k: split(q, size, k, 32 << 20))
-    found = B.bm25_search(index, asked, k=8).collect()
-    assert sent == [10]  # one match per matching query, nothing for the others
+    monkeypatch.setattr(V, "query_blocks", lambda q, size, k: split(q, size, k, 32 << 20))
+    rows = vector_rows(spark, [[float(i), 0.0] for i in range(20)])
+    V.dense_search(rows, rows.select(F.col("id").cast("bigint").alias("query_id"), "embedding"), k=8).collect()
     assert len(most) > 1 and max(most) == 1 and not live
-    assert len(found) == 20 * 8
-    assert [r.id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 1] == [f"{i}#c00" for i in range(8)]
+
+
+def random_texts(seed, n, words=400, length=30):
+    """Words of very different frequencies; some texts repeat."""
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(words)]
+    weights = [1 / (i + 1) for i in range(words)]
+    texts = [" ".join(rnd.choices(vocabulary, weights, k=rnd.randrange(1, length))) for _ in range(n)]
+    return texts + texts[: n // 10]
+
+
+def hits_by_query(found):
+    out = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        out.setdefault(r.query_id, []).append((r.id, round(r.score, 7)))
+    return out
+
+
+def scanned(index, asked, k):
+    """All chunks scored from their tokens."""
+    blocks = K.query_blocks(asked, F.lit(64), k)
+    found = B._scan(index, blocks, k, 1.5, 0.75).filter("score > 0")
+    return hits_by_query(K.rank_hits(B.pad(found, asked, index.chunks(), k), k))
+
+
+@pytest.mark.parametrize("bits,tokens,together", [(14, 2_000_000, 128), (4, 40, 3)])
+def test_pruned_search_equals_a_scan_of_all_chunks(spark, tmp_path, monkeypatch, bits, tokens, together):
+    for name, value in (("SHARD_BITS", bits), ("GATHERED_TOKENS", tokens), ("QUERIES_TOGETHER", together), ("POSTINGS_TOGETHER", tokens)):
+        monkeypatch.setattr(P, name, value)
+    texts = random_texts(3, 500)
+    index = index_of(spark, texts, f"{tmp_path}/i")
+    queries = [*texts[:25], "w0", "w0 w1 w2", "w399 w0", "none", "w5 w5 w5 w300"]
+    asked = spark.createDataFrame(list(enumerate(queries)), "query_id bigint, query string")
+    for k in (1, 8, 60):
+        assert hits_by_query(B.bm25_search(index, asked, k=k)) == scanned(index, asked, k)
+    work = B.search_work(index, spark.createDataFrame([(0, "w0 w1 w2 w3 w300 w310")], "query_id bigint, query string"), k=1).first()
+    assert work.read_blocks < work.stored_blocks and work.scored < work.of_terms
+
+
+def test_blocks_hold_all_postings_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_BITS", 3)
+    monkeypatch.setattr(P, "GATHERED_TOKENS", 25)
+    texts = random_texts(4, 60)
+    index = index_of(spark, texts, f"{tmp_path}/i")
+    want = {}
+    for i, text in plain_chunks(texts, 1):
+        words = text.lower().split()
+        want.update({(w, i): (words.count(w), len(words)) for w in words})
+    rows = index.postings().collect()
+    assert {(r.term, r.id): (r.tf, r.dl) for r in rows} == want and len(rows) == len(want)
+    for r in index.blocks().collect():
+        assert r.n == len(r.places) == len(r.tfs) == len(r.dls) <= 8
+        assert (r.max_tf, r.min_dl) == (max(r.tfs), min(r.dls)) and r.places == sorted(set(r.places))
+
+
+def test_term_filters_reach_the_scan(spark, tmp_path):
+    index = index_of(spark, random_texts(5, 100), f"{tmp_path}/i")
+    asked = spark.createDataFrame([(0, "w7 w90")], "query_id bigint, query string")
+    search = next(B.postings_searches(index, K.query_blocks(asked, F.lit(64), 8), 8, 1.5, 0.75))
+    found = search.read(np.ones(len(search.asked.query), dtype=bool))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert re.search(r"PartitionFilters: \[.*bucket.* IN", scan) and re.search(r"PushedFilters: \[.*In\(term, \[w7,w90\]\)", scan)
+    assert {r.term for r in found.collect()} == {"w7", "w90"}
+    files = {r[0] for r in index.blocks().select(F.input_file_name()).distinct().collect()}
+    assert len({r[0] for r in found.select(F.input_file_name()).collect()} - {""}) < len(files)
+
+
+def test_index_after_changes_equals_a_rebuilt_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_BITS", 5)
+    texts = dict(enumerate(random_texts(6, 150)))
+    chunks_of = lambda t: D.chunk(keyed(spark, t), 1)
+    index = B.TextIndex.build(chunks_of(texts), f"{tmp_path}/i")
+    stamps = lambda s: {p: p.stat().st_mtime_ns for part in ("chunks", "postings", "terms", "removed") for p in (tmp_path / "i" / part / f"segment={s}").rglob("*.parquet")}
+    seen = []
+    rnd = random.Random(8)
+    for step in range(3):
+        seen.append((step, stamps(step)))
+        gone = rnd.sample(sorted(texts), 12)
+        changed = {d: f"{texts[d]} w{step} new{step} w{step}" for d in rnd.sample(sorted(set(texts) - set(gone)), 15)}
+        changed |= {1000 * (step + 1) + i: f"w1 w{20 + i} new{step}" for i in range(5)}
+        for d in gone:
+            del texts[d]
+        texts |= changed
+        removed = spark.createDataFrame([(str(d),) for d in gone], "doc_id string")
+        index = index.update(chunks_of(changed), removed)
+        rebuilt = B.TextIndex.build(chunks_of(texts), f"{tmp_path}/again{step}")
+        assert index.stats.n_chunks == rebuilt.stats.n_chunks and index.stats.total_length == rebuilt.stats.total_length
+        assert abs(index.stats.mean_idf - rebuilt.stats.mean_idf) < 1e-9
+        rows = lambda frame: sorted(map(tuple, frame.collect()))
+        assert rows(index.terms().select("term", "df")) == rows(rebuilt.terms().select("term", "df"))
+        assert rows(index.postings()) == rows(rebuilt.postings())
+        asked = spark.createDataFrame(list(enumerate([*list(texts.values())[:12], f"new{step} w0", "new0 w1", "zzz"])), "query_id bigint, query string")
+        assert hits_by_query(B.bm25_search(index, asked)) == hits_by_query(B.bm25_search(rebuilt, asked)) == scanned(index, asked, 8)
+    for step, before in seen:
+        assert before and stamps(step) == before  # no file of an earlier segment was touched
+    last = index.update(chunks_of({}).limit(0), spark.createDataFrame([("nothing",)], "doc_id string"))
+    assert last.stats == index.stats and rows(last.terms()) == rows(index.terms())
+
+
+def keyed(spark, texts):
+    rows = [(str(d), "s", t, f"{d:020d}") for d, t in texts.items()]
+    return spark.createDataFrame(rows, "id string, source string, text string, ord_key string")
 
 
 def test_text_vectors_are_unit_length_and_repeatable(spark):

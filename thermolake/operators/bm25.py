@@ -1,10 +1,10 @@
-"""BM25 over stored chunks: index tables, statistics and batch search."""
+"""BM25 over stored postings: index segments, statistics and batch search."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from thermolake import settings
 from thermolake.functions.text import explode_terms, tokens
+from thermolake.operators import postings as P
 from thermolake.operators.block_topk import (
+    HIT_DDL,
     QUERIES_PER_MATRIX,
     Scorer,
     query_blocks,
     rank_hits,
     search_blocks,
 )
+from thermolake.session import materialise
 
 # Products formed at once while scoring a batch.
 PRODUCT_CELLS = 2_000_000
@@ -31,17 +34,6 @@ def with_tokens(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("tokens", tokens(F.col("text"))).withColumn("dl", F.size("tokens"))
 
 
-def postings(tokenised: DataFrame) -> DataFrame:
-    """Inverted index rows ``(term, id, tf, dl)``; counted inside each row, not shuffled."""
-    return explode_terms(tokenised, "tokens", "id", "dl").select("term", "id", "tf", "dl")
-
-
-def document_frequencies(tokenised: DataFrame) -> DataFrame:
-    """``(term, df)``; counts are combined before the shuffle, so common words stay cheap."""
-    terms = tokenised.select(F.explode(F.array_distinct("tokens")).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
 def raw_idf(n_chunks: Column, df: Column) -> Column:
     return F.log(n_chunks - df + 0.5) - F.log(df + 0.5)
 
@@ -59,9 +51,25 @@ class CorpusStats:
         return self.total_length / self.n_chunks if self.n_chunks else 0.0
 
 
+STATS_DDL = "segment int, n_chunks bigint, total_length bigint, buckets int, mean_idf double"
+
+# Chunks that one more bucket of postings is opened for.
+CHUNKS_PER_BUCKET = 250_000
+LEAST_BUCKETS = 8
+# Consecutive shards of a bucket that one task sorts and writes.
+SHARDS_PER_FILE = 64
+
+
 @dataclass(frozen=True)
 class TextIndex:
-    """Stored index: ``chunks`` (with tokens), ``terms`` (df) and ``stats``."""
+    """Stored index in segments: ``chunks`` (with tokens), ``postings``, ``terms`` (df) and ``stats``.
+
+    A segment is written once and never rewritten. The first one holds a corpus; later ones hold what
+    a change batch adds, the ids of the documents it takes out of earlier segments, and what those
+    take off the counts: a segment's document frequencies, number of chunks and lengths are
+    differences, so the state of the index is their sum. A segment counts when its row in ``stats``
+    is there, which is written last.
+    """
 
     spark: SparkSession
     path: str
@@ -77,56 +85,148 @@ class TextIndex:
 
         ``embed`` adds an ``embedding`` column for dense search.
         """
-        spark = chunks.sparkSession
-        index = cls(spark, path.rstrip("/"))
-        prepared = with_tokens(chunks)
+        index = cls(chunks.sparkSession, path.rstrip("/"))
+        # Without its statistics an old index is none.
+        index.spark.createDataFrame([], STATS_DDL).write.mode("overwrite").parquet(f"{index.path}/stats")
+        index._write_segment(0, chunks, embed, None)
+        return index
+
+    def update(
+        self,
+        changed: DataFrame,
+        removed: DataFrame | None = None,
+        embed: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> TextIndex:
+        """Add a segment: ``changed`` has all chunks of new and changed documents, ``removed`` the
+        ``doc_id`` of documents that are gone. Returns the index with its new state.
+
+        Earlier segments stay as they are. The chunks that are taken out are read once, by their
+        document, to find what they count.
+        """
+        gone = changed.select("doc_id").distinct()
+        if removed is not None:
+            gone = gone.union(removed.select("doc_id")).distinct()
+        segment = self.stats_rows()[-1]["segment"] + 1
+        self._write_segment(segment, changed, embed, materialise(gone, "gone"))
+        return TextIndex(self.spark, self.path)
+
+    def _write_segment(
+        self, segment: int, chunks: DataFrame, embed: Callable[[DataFrame], DataFrame] | None, gone: DataFrame | None
+    ) -> None:
+        mode = "overwrite"
+        ordered = chunks.repartitionByRange("ord_key", "pos").sortWithinPartitions("ord_key", "pos")
+        prepared = with_tokens(ordered).withColumn("no", P.chunk_number(segment))
         if embed is not None:
             prepared = embed(prepared)
-        prepared.write.mode("overwrite").parquet(f"{index.path}/chunks")
-        stored = index.chunks()
-        document_frequencies(stored).write.mode("overwrite").parquet(f"{index.path}/terms")
-        size = stored.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("length")
-        ).first()
-        mean = (
-            spark.read.parquet(f"{index.path}/terms")
-            .agg(F.avg(raw_idf(F.lit(size["n"]), F.col("df"))))
-            .first()[0]
+        prepared.write.mode(mode).parquet(f"{self.path}/chunks/segment={segment}")
+        stored = self.spark.read.parquet(f"{self.path}/chunks/segment={segment}")
+        size = stored.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("length")).first()
+
+        buckets = max(LEAST_BUCKETS, 1 << (size["n"] // CHUNKS_PER_BUCKET).bit_length()) if segment == 0 else self.buckets
+        blocks = P.blocks(stored).withColumn("bucket", P.bucket(F.col("term"), buckets))
+        # A bucket's shards are dealt out in runs, so that a very common word is no single file.
+        placed = blocks.repartition("bucket", (F.col("shard") / SHARDS_PER_FILE).cast("bigint"))
+        placed = placed.sortWithinPartitions("bucket", "term", "shard")
+        placed.write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/postings/segment={segment}")
+        own = self.spark.read.parquet(f"{self.path}/postings/segment={segment}")
+        frequencies = own.groupBy("term", "bucket").agg(
+            F.sum("n").cast("bigint").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl")
         )
-        spark.createDataFrame(
-            [(size["n"], size["length"], mean or 0.0)],
-            "n_chunks bigint, total_length bigint, mean_idf double",
-        ).coalesce(1).write.mode("overwrite").json(f"{index.path}/stats")
-        return index
+        before = (0, 0)
+        taken = (0, 0)
+        if gone is not None:
+            last = self.stats
+            before = (last.n_chunks, last.total_length)
+            out = self.chunks().join(gone, "doc_id", "left_semi")
+            out = materialise(out.select("no", "dl", "tokens"), "out")
+            out.select("no").write.mode(mode).parquet(f"{self.path}/removed/segment={segment}")
+            lost = out.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("length")).first()
+            taken = (lost["n"], lost["length"])
+            none = F.lit(None).cast("int")
+            less = document_frequencies(out).select(
+                "term", P.bucket(F.col("term"), buckets).alias("bucket"), (-F.col("df")).alias("df"), none.alias("max_tf"), none.alias("min_dl")
+            )
+            frequencies = frequencies.unionByName(less)
+        frequencies.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/terms/segment={segment}")
+
+        n, length = before[0] + size["n"] - taken[0], before[1] + size["length"] - taken[1]
+        mean = self._frequencies(segment).agg(F.avg(raw_idf(F.lit(n), F.col("df")))).first()[0] or 0.0
+        row = [(segment, n, length, buckets, float(mean))]
+        self.spark.createDataFrame(row, STATS_DDL).coalesce(1).write.mode("append").parquet(f"{self.path}/stats")
+
+    def _segments(self, part: str, last: int, first: int = 0) -> DataFrame:
+        """A part of all segments up to ``last``, with their number and bucket."""
+        paths = [f"{self.path}/{part}/segment={s}" for s in range(first, last + 1)]
+        return self.spark.read.option("basePath", f"{self.path}/{part}").parquet(*paths)
+
+    @cached_property
+    def _last(self) -> int:
+        return self.stats_rows()[-1]["segment"]
+
+    def stats_rows(self) -> list:
+        rows = self.spark.read.schema(STATS_DDL).parquet(f"{self.path}/stats").orderBy("segment").collect()
+        if not rows:
+            raise ValueError(f"no index under {self.path}")
+        return rows
+
+    @property
+    def removed(self) -> DataFrame | None:
+        """Numbers of chunks that later segments took out; None if there is one segment."""
+        return self._segments("removed", self._last, 1).select("no") if self._last else None
 
     def chunks(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/chunks")
+        """The chunks that count, with tokens, ``dl`` and ``no``."""
+        stored = self._segments("chunks", self._last)
+        return stored if self.removed is None else stored.join(self.removed, "no", "left_anti")
+
+    def blocks(self) -> DataFrame:
+        """Stored blocks of postings of all segments, those of removed chunks included."""
+        return self._segments("postings", self._last)
+
+    def postings(self) -> DataFrame:
+        """Inverted index rows ``(term, id, tf, dl)``, from the stored blocks."""
+        rows = P.live(self.blocks()).join(self.chunks().select("no", "id"), "no")
+        return rows.select("term", "id", "tf", "dl")
 
     @cached_property
     def stats(self) -> CorpusStats:
-        row = self.spark.read.schema(
-            "n_chunks bigint, total_length bigint, mean_idf double"
-        ).json(f"{self.path}/stats")
-        return CorpusStats(**row.first().asDict())
+        row = self.stats_rows()[-1]
+        return CorpusStats(row["n_chunks"], row["total_length"], row["mean_idf"])
+
+    @cached_property
+    def buckets(self) -> int:
+        return self.stats_rows()[-1]["buckets"]
+
+    def _frequencies(self, last: int) -> DataFrame:
+        """``(term, bucket, df, max_tf, min_dl)`` up to a segment; terms that no chunk has are gone."""
+        stored = self._segments("terms", last)
+        if last == 0:
+            return stored.drop("segment")
+        total = stored.groupBy("term", "bucket").agg(
+            F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl")
+        )
+        return total.filter("df > 0")
+
+    def frequencies(self, epsilon: float = settings.BM25_EPSILON) -> DataFrame:
+        """``(term, bucket, df, max_tf, min_dl, idf)``."""
+        raw = raw_idf(F.lit(self.stats.n_chunks), F.col("df"))
+        floor = F.lit(epsilon * self.stats.mean_idf)
+        return self._frequencies(self._last).withColumn("idf", F.when(raw < 0, floor).otherwise(raw))
 
     def terms(self, epsilon: float = settings.BM25_EPSILON) -> DataFrame:
         """``(term, df, idf)``; a negative idf becomes ``epsilon`` times the mean idf."""
-        stats = self.stats
-        raw = raw_idf(F.lit(stats.n_chunks), F.col("df"))
-        floor = F.lit(epsilon * stats.mean_idf)
-        return self.spark.read.parquet(f"{self.path}/terms").withColumn(
-            "idf", F.when(raw < 0, floor).otherwise(raw)
-        )
+        return self.frequencies(epsilon).select("term", "df", "idf")
 
 
 def query_terms(queries: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(query_id, term, qtf, idf)`` of one block: a repeated query word counts each time.
+    """``(query_id, term, qtf)`` of one block and the columns of ``terms``: a repeated query word
+    counts each time.
 
     The block's size was checked, so it may be broadcast and the term table is read in place.
     """
     split = queries.select("query_id", tokens(F.col("query")).alias("_tokens"))
     counted = explode_terms(split, "_tokens", "query_id").withColumnRenamed("tf", "qtf")
-    return terms.join(F.broadcast(counted), "term").select("query_id", "term", "qtf", "idf")
+    return terms.join(F.broadcast(counted), "term")
 
 
 @dataclass(frozen=True)
@@ -208,13 +308,61 @@ def bm25_search(
     """Top ``k`` chunks per query: ``query_id, id, ord_key, pos, score, raw, rank``.
 
     Every chunk has a score, zero when it shares no word, so a query with few matches is filled
-    with the first chunks in corpus order. Tasks send matches only; short lists are padded once.
+    with the first chunks in corpus order. Hits come from the stored postings, block of queries by
+    block; short lists are padded once. With a negative mean idf common words count against a chunk
+    and zeros are no worst score: then every chunk is scored from its tokens.
     """
+    asked = queries.select("query_id", "query")
+    size = F.length("query").cast("bigint") * 2 + 64
+    blocks = query_blocks(asked, size, k)
+    if index.stats.mean_idf < 0:
+        return rank_hits(_scan(index, blocks, k, k1, b), k)
+    found = [materialise(search.hits(), "hits") for search in postings_searches(index, blocks, k, k1, b)]
+    if not found:
+        return rank_hits(index.spark.createDataFrame([], HIT_DDL.format("bigint")), k)
+    hits = reduce(DataFrame.unionByName, found)
+    placed = index.chunks().select("no", "id", "ord_key", "pos").join(hits, "no")
+    placed = placed.select("query_id", "id", "ord_key", "pos", "score", "raw")
+    return rank_hits(pad(materialise(placed, "placed"), asked, index.chunks(), k), k)
+
+
+def postings_searches(
+    index: TextIndex, blocks: Iterator[DataFrame], k: int, k1: float, b: float
+) -> Iterator[P.PostingsSearch]:
+    """A search per block of queries; a block's ids and weights come to the driver."""
+    weight = (F.col("qtf") * F.col("idf")).alias("weight")
+    for block in blocks:
+        ids = block.select("query_id").toArrow()["query_id"].to_pylist()
+        if ids:
+            terms = query_terms(block, index.frequencies())
+            rows = terms.select("query_id", "term", weight, "df", "bucket", "max_tf", "min_dl").toArrow()
+            of_block = P.Asked.of(ids, rows, index.stats.mean_length, k1, b)
+            yield P.PostingsSearch(index.spark, index.blocks(), index.removed, of_block, k)
+
+
+def search_work(index: TextIndex, queries: DataFrame, k: int = settings.TOP_K_RETRIEVE) -> DataFrame:
+    """One row: stored blocks and those a search reads (in its last two passes); postings of the
+    queries' terms, counted per query, and those that are scored or looked up."""
+    asked = queries.select("query_id", "query")
+    size = F.length("query").cast("bigint") * 2 + 64
+    read = of_terms = scored = 0
+    for search in postings_searches(index, query_blocks(asked, size, k), k, settings.BM25_K1, settings.BM25_B):
+        a, (floor, mask) = search.asked, search.plan()
+        blocks = search.essentials(floor, mask)
+        found = search.reaching(materialise(search.candidates(blocks, floor, mask), "candidates"), mask)
+        read += blocks.count() + search.rest(mask, found).count()
+        of_terms += int(a.df.sum())
+        left = np.bincount(a.query[~mask], minlength=len(a.ids))
+        lookups = sum(int(left[r["query"]]) * r["count"] for r in found.groupBy("query").count().collect())  # a row per query
+        scored += int(a.df[a.seeds()].sum() + a.df[mask].sum()) + lookups
+    counts = [(index.blocks().count(), read, of_terms, scored)]
+    return index.spark.createDataFrame(counts, "stored_blocks bigint, read_blocks bigint, of_terms bigint, scored bigint")
+
+
+def _scan(index: TextIndex, blocks: Iterator[DataFrame], k: int, k1: float, b: float) -> DataFrame:
+    """Hits of all chunks, from their tokens."""
     stats = index.stats
     terms = index.terms()
-    asked = queries.select("query_id", "query")
-    # With a negative mean, common words count against a chunk and zeros are no worst score.
-    padded = stats.mean_idf >= 0
 
     def fetch(block: DataFrame) -> tuple[list, pa.Table]:
         ids = block.select("query_id").toArrow()["query_id"].to_pylist()
@@ -223,16 +371,9 @@ def bm25_search(
 
     def scorer(weights: pa.Table, ids: list) -> Scorer:
         of_queries = _QueryWeights.of(weights, ids, QUERIES_PER_MATRIX)
+        return lambda batch: _score_batch(batch, of_queries, stats.mean_length, k1, b)
 
-        def score(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-            for start, scores in _score_batch(batch, of_queries, stats.mean_length, k1, b):
-                yield start, np.where(scores > 0, scores, -np.inf) if padded else scores
-
-        return score
-
-    size = F.length("query").cast("bigint") * 2 + 64
-    found = search_blocks(query_blocks(asked, size, k), fetch, scorer, index.chunks(), k, ["tokens"])
-    return rank_hits(pad(found, asked, index.chunks(), k) if padded else found, k)
+    return search_blocks(blocks, fetch, scorer, index.chunks(), k, ["tokens"])
 
 
 def pad(found: DataFrame, queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
@@ -241,13 +382,14 @@ def pad(found: DataFrame, queries: DataFrame, chunks: DataFrame, k: int) -> Data
     Such a query has all of its hits in ``found``, at most ``k - 1``, so among the first ``2 * k``
     chunks there are enough others.
     """
-    first = chunks.select("id", "ord_key", "pos").orderBy("ord_key", "pos").limit(2 * k).collect()
-    if not first:
-        return found
     have = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("have"))
     short = queries.select("query_id").join(have, "query_id", "left").filter(F.coalesce("have", F.lit(0)) < k)
-    literal = [F.struct(F.lit(r["id"]).alias("id"), F.lit(r["ord_key"]).alias("ord_key"), F.lit(r["pos"]).alias("pos")) for r in first]
-    fill = short.select("query_id", F.inline(F.array(*literal)))
+    short = materialise(short.select("query_id"), "short")
+    if short.isEmpty():
+        return found
+    first = chunks.select("id", "ord_key", "pos").orderBy("ord_key", "pos").limit(2 * k)
+    numbered = F.broadcast(materialise(first, "first")).withColumn("one", F.lit(1))  # 2 k rows
+    fill = short.withColumn("one", F.lit(1)).join(numbered, "one").drop("one")
     fill = fill.join(found.select("query_id", "id"), ["query_id", "id"], "left_anti")
     zero = fill.withColumn("score", F.lit(0.0)).withColumn("raw", F.lit(0.0))
     return found.unionByName(zero.select(found.columns))

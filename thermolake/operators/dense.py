@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -25,32 +26,26 @@ from thermolake.operators.block_topk import (
 DEFAULT_DIMENSIONS = 64
 
 
-def hash_buckets(text: Column, dimensions: int) -> Column:
-    """Bucket of every token, from the first 32 bits of its MD5."""
-    return F.transform(
-        tokens(text),
-        lambda t: F.pmod(
-            F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("bigint"),
-            F.lit(dimensions),
-        ).cast("int"),
-    )
-
-
 def hashing_embedder(
     dimensions: int = DEFAULT_DIMENSIONS, text: str = "text"
 ) -> Callable[[DataFrame], DataFrame]:
-    """A stateless text vectoriser: hashed ``1 + ln(tf)`` weights scaled to unit length.
+    """A stateless text vectoriser: hashed ``1 + ln(tf)`` weights scaled to unit length. The bucket of a
+    token comes from the first 32 bits of its MD5, worked out once per distinct token of a batch.
 
     It stands in for a neural encoder, which is not available here, so distances differ from an
-    encoder's. Any function adding an ``embedding`` column can take its place.
+    encoder's. Any function adding an ``embedding`` column can take its place. A table that has the
+    ``tokens`` of its text already is not split again.
     """
 
     @F.arrow_udf("array<double>")
-    def to_vector(buckets: pa.Array) -> pa.Array:
-        n = len(buckets)
-        lengths = pc.list_value_length(buckets).to_numpy(zero_copy_only=False)
+    def to_vector(words: pa.Array) -> pa.Array:
+        n = len(words)
+        lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(n, dtype=np.int64), lengths)
-        cell = row * dimensions + pc.list_flatten(buckets).to_numpy()
+        encoded = pc.list_flatten(words).dictionary_encode()
+        digests = [md5(t.encode("utf-8")).digest() for t in encoded.dictionary.to_pylist()]
+        bucket = np.array([int.from_bytes(d[:4], "big") % dimensions for d in digests], dtype=np.int64)
+        cell = row * dimensions + bucket[encoded.indices.to_numpy()] if len(row) else row
         counts = np.bincount(cell, minlength=n * dimensions).reshape(n, dimensions)
         weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0)
         norms = np.linalg.norm(weights, axis=1, keepdims=True)
@@ -58,9 +53,10 @@ def hashing_embedder(
         offsets = np.arange(0, (n + 1) * dimensions, dimensions, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
-    return lambda df: df.withColumn(
-        "embedding", to_vector(hash_buckets(required(F.col(text), text), dimensions))
-    )
+    def words_of(df: DataFrame) -> Column:
+        return F.col("tokens") if text == "text" and "tokens" in df.columns else tokens(required(F.col(text), text))
+
+    return lambda df: df.withColumn("embedding", to_vector(words_of(df)))
 
 
 def _vectors(column: pa.Array, dimensions: int) -> np.ndarray:

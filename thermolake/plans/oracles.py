@@ -539,11 +539,21 @@ ORACLES: dict[str, str] = {
     "chunks": f"SELECT id, doc_id, source, pos, text FROM {chunk_rows(2)} WHERE text <> ''",
     "chunks_of_three": f"SELECT id, doc_id, source, pos, text FROM {chunk_rows(3)} WHERE text <> ''",
     "chunk_counts": f"SELECT doc_id, count(*) AS chunk_count FROM {chunk_rows(2)} WHERE text <> '' GROUP BY doc_id",
-    "term_stats": with_([CHUNKS], "SELECT term, df, round(idf, 6) AS idf FROM idf"),
+    "term_stats": f"""
+        WITH chunk AS MATERIALIZED (SELECT id, text FROM {chunk_rows(2)} WHERE text <> ''),
+        word AS MATERIALIZED (
+          SELECT id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '{W}+'), lambda x: x <> ''))) AS term
+          FROM chunk),
+        df AS MATERIALIZED (SELECT term, count(*) AS df FROM word GROUP BY term),
+        size AS MATERIALIZED (SELECT count(*) AS n FROM chunk),
+        raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS idf FROM df, size),
+        mean AS MATERIALIZED (SELECT avg(idf) AS mean_idf FROM raw)
+        SELECT term, df, round(CASE WHEN idf < 0 THEN 0.25 * mean_idf ELSE idf END, 6) AS idf FROM raw, mean""",
     "postings": with_([CHUNKS], """
         SELECT term, id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS dl FROM tf JOIN dl USING (id)"""),
     "bm25_topk": with_([CHUNKS, bm25(QUESTIONS)], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),
+    "bm25_work": "SELECT true AS fewer_blocks, true AS fewer_postings",
     "conversation_topk": with_([CHUNKS, bm25(
         "SELECT conv_id || '-' || turn AS query_id, text AS query FROM conversations")], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),

@@ -314,7 +314,8 @@ def term_stats(spark, sf):
 
 
 def postings(spark, sf):
-    return B.postings(I.text_index(spark, sf).chunks())
+    """The stored postings, joined to the ids of their chunks."""
+    return I.text_index(spark, sf).postings()
 
 
 def bm25_topk(spark, sf):
@@ -322,6 +323,15 @@ def bm25_topk(spark, sf):
     return B.bm25_hits(found)
 
 
+def bm25_work(spark, sf):
+    """Whether a search reads fewer blocks than are stored, and scores fewer postings than its terms have."""
+    work = B.search_work(I.text_index(spark, sf), I.questions(spark, sf))
+    return work.select(
+        (F.col("read_blocks") < 0.5 * F.col("stored_blocks")).alias("fewer_blocks"),
+        (F.col("scored") < 0.9 * F.col("of_terms")).alias("fewer_postings"),
+    )
+
+
 def conversation_topk(spark, sf):
     """Every turn as a query."""
     asked = I.table(spark, sf, "conversations").select(
@@ -460,7 +470,7 @@ ALL: list[Query] = [
     silver_upsert, silver_rewritten, rejected_write, upsert_metrics, upsert_diff, distinct_keys, key_lookup, kpi_daily,
     kpi_reduction_check, schema_check, gate_report, gate_summary, gate_failed_checks,
     gate_quarantine, label_checks, order_checks, compound_dups, lineitem_checks, kpi_documents,
-    corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk,
+    corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk, bm25_work,
     conversation_topk, dense_topk, dense_text_topk, dense_ann_recall, rrf_fused, funnel,
     rerank_topk, context_block, answers, citation_audit, forged_citations, gate_outcome, run_status,
     logged_run_status, run_errors,
