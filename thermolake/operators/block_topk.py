@@ -37,8 +37,9 @@ HIT_DDL = "query_id {}, id string, ord_key string, pos int, score double, raw do
 # Candidates a task lets gather before it merges them into what it keeps.
 MERGE_ROWS = 10_000
 
-# From a batch: (number of the first query, rows x queries matrix, higher is better) per group.
-Scorer = Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]
+# From a batch and the floor of every query (the k-th best score so far; it need not look for less):
+# (number of the first query, rows x queries matrix, higher is better) per group.
+Scorer = Callable[[pa.RecordBatch, np.ndarray], Iterator[tuple[int, np.ndarray]]]
 
 
 # What one of the best rows costs that a task keeps for a query.
@@ -68,8 +69,10 @@ def search_blocks(
     rows: DataFrame,
     k: int,
     columns: list[str],
+    top: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
-    """``HIT_DDL`` rows of all blocks: at most ``k`` per query and task, written block by block.
+    """``HIT_DDL`` rows of all blocks: at most ``k`` per query and task, written block by block; or
+    what ``top`` makes of a block in place of ``block_top_k``.
 
     ``fetch`` brings a block to the driver as (query ids, data to broadcast); ``scorer`` makes the
     scorer from what was broadcast, once per task.
@@ -81,7 +84,7 @@ def search_blocks(
         if not ids:
             continue
         shared = spark.sparkContext.broadcast(data)
-        partial = block_top_k(rows, ids, lambda shared=shared, ids=ids: scorer(shared.value, ids), k, columns)
+        partial = (top or block_top_k)(rows, ids, lambda shared=shared, ids=ids: scorer(shared.value, ids), k, columns)
         found.append(materialise(partial, "hits"))
         shared.destroy()
     if not found:
@@ -146,7 +149,7 @@ def block_top_k(
             keys = batch.select(["id", "ord_key", "pos"]).to_pandas()
             rank = np.empty(len(keys), dtype=np.int64)
             rank[keys.sort_values(["ord_key", "pos"], kind="stable").index] = np.arange(len(keys))
-            for start, scores in score(batch):
+            for start, scores in score(batch, floor):
                 group = slice(start, start + scores.shape[1])
                 row, query, value = best_per_query(scores, rank, floor[group], k)
                 if len(row):

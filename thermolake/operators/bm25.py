@@ -371,7 +371,7 @@ def _scan(index: TextIndex, blocks: Iterator[DataFrame], k: int, k1: float, b: f
 
     def scorer(weights: pa.Table, ids: list) -> Scorer:
         of_queries = _QueryWeights.of(weights, ids, QUERIES_PER_MATRIX)
-        return lambda batch: _score_batch(batch, of_queries, stats.mean_length, k1, b)
+        return lambda batch, floor: _score_batch(batch, of_queries, stats.mean_length, k1, b)
 
     return search_blocks(blocks, fetch, scorer, index.chunks(), k, ["tokens"])
 

@@ -451,7 +451,8 @@ ORACLES: dict[str, str] = {
         WHERE reading_id IN (SELECT reading_id FROM corrections)"""),
     "silver_upsert": with_([READINGS, CHANGES], f"SELECT {SILVER_COLUMNS} FROM merged"),
     "silver_rewritten": with_([READINGS], f"""
-        , changed AS (SELECT * FROM corrections WHERE temperature_c > 205),
+        , changed AS (SELECT * FROM corrections
+          WHERE CAST(recorded_at AS DATE) >= (SELECT max(CAST(recorded_at AS DATE)) - 2 FROM corrections)),
         target AS (SELECT * FROM {cleaned('readings')}), source AS (SELECT * FROM {cleaned('changed')})
         SELECT CAST(reading_date AS VARCHAR) AS reading_date, count(*) AS readings,
           bool_or(reading_id IN (SELECT reading_id FROM source)) AS rewritten
@@ -564,6 +565,7 @@ ORACLES: dict[str, str] = {
             SELECT q.vec_id AS query_id, x.vec_id AS id,
               greatest(list_dot_product(q.e, q.e) + list_dot_product(x.e, x.e) - 2 * list_dot_product(q.e, x.e), 0) AS d
             FROM v q CROSS JOIN v x)) WHERE rn <= 8""",
+    "dense_work": "SELECT count(*) * count(*) AS pairs, true AS fewer_distances FROM embeddings",
     "dense_ann_recall": """
         SELECT n * least(n, 8) AS exact_hits, true AS recall_reached, true AS fewer_distances
         FROM (SELECT count(*) AS n FROM embeddings)""",
