@@ -59,7 +59,7 @@ def vectors(n, length, seed, spread=1.0):
 @pytest.mark.parametrize("n,length,seed,spread", [(90, 16, 1, 1), (40, 8, 2, 0.0005), (9, 24, 3, 1), (1, 8, 4, 1), (60, 16, 5, 1e7), (30, 8, 6, 200_000.0)])
 def test_equals_all_distances(spark, n, length, seed, spread):
     rows = vectors(n, length, seed, spread)
-    rows = rows if spread < 1e6 else [(k, [x if abs(x) < 3e4 else x / 1e3 for x in v], l) for k, v, l in rows]
+    rows = rows if spread < 1e6 else [(k, [x if abs(x) < 3e4 else float(np.float32(x / 1e3)) for x in v], l) for k, v, l in rows]
     assert coded(rows_of(spark, rows)) == brute(rows)
 
 
