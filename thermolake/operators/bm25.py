@@ -34,6 +34,12 @@ def with_tokens(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("tokens", tokens(F.col("text"))).withColumn("dl", F.size("tokens"))
 
 
+def document_frequencies(tokenised: DataFrame) -> DataFrame:
+    """``(term, df)``; counts are combined before the shuffle, so common words stay cheap."""
+    terms = tokenised.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def raw_idf(n_chunks: Column, df: Column) -> Column:
     return F.log(n_chunks - df + 0.5) - F.log(df + 0.5)
 
@@ -53,6 +59,12 @@ class CorpusStats:
 
 STATS_DDL = "segment int, n_chunks bigint, total_length bigint, buckets int, mean_idf double"
 
+# Parts that may have no file in a segment, as they are written by bucket.
+PART_DDL = {
+    "postings": f"{P.BLOCK_DDL}, segment int, bucket int",
+    "terms": "term string, df bigint, max_tf int, min_dl int, segment int, bucket int",
+}
+
 # Chunks that one more bucket of postings is opened for.
 CHUNKS_PER_BUCKET = 250_000
 LEAST_BUCKETS = 8
@@ -128,7 +140,7 @@ class TextIndex:
         placed = blocks.repartition("bucket", (F.col("shard") / SHARDS_PER_FILE).cast("bigint"))
         placed = placed.sortWithinPartitions("bucket", "term", "shard")
         placed.write.mode(mode).partitionBy("bucket").parquet(f"{self.path}/postings/segment={segment}")
-        own = self.spark.read.parquet(f"{self.path}/postings/segment={segment}")
+        own = self.spark.read.schema(PART_DDL["postings"]).parquet(f"{self.path}/postings/segment={segment}")
         frequencies = own.groupBy("term", "bucket").agg(
             F.sum("n").cast("bigint").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl")
         )
@@ -157,7 +169,8 @@ class TextIndex:
     def _segments(self, part: str, last: int, first: int = 0) -> DataFrame:
         """A part of all segments up to ``last``, with their number and bucket."""
         paths = [f"{self.path}/{part}/segment={s}" for s in range(first, last + 1)]
-        return self.spark.read.option("basePath", f"{self.path}/{part}").parquet(*paths)
+        reader = self.spark.read.option("basePath", f"{self.path}/{part}")
+        return (reader.schema(PART_DDL[part]) if part in PART_DDL else reader).parquet(*paths)
 
     @cached_property
     def _last(self) -> int:

@@ -244,7 +244,7 @@ class BlockScorer:
     def scores(self, table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
         """(number of the first query, queries x places) for groups of queries; removed chunks have 0."""
         a, size = self.asked, 1 << SHARD_BITS
-        dead = self.dead(table)
+        dead, table = self.dead(table), table.filter(pc.is_valid(table["term"]))
         code = pc.fill_null(pc.index_in(table["term"].combine_chunks(), value_set=a.terms), -1).to_numpy(zero_copy_only=False)
         offsets, places = _lists(table["places"])
         worth = saturation(_lists(table["tfs"])[1].astype(float), _lists(table["dls"])[1], a.mean_length, a.k1, a.b)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thermolake.operators.incremental import add_up, fingerprints
+
 
 class AmbiguousSource(ValueError):
     """The upsert source holds a key more than once."""
@@ -110,15 +112,17 @@ def prove_upsert(before: DataFrame, source: DataFrame, after: DataFrame, key: st
     seen = after.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("row_count"), F.count_if(F.col("n") > 1).alias("repeated")
     ).first()
-    missing = source.select(after.columns).exceptAll(
-        after.join(source.select(key), key, "left_semi").select(after.columns)
-    )
+    # What is there must be what was there, less the replaced rows, plus the source: by hash sums, which
+    # one aggregation of each frame gives.
+    everything = lambda rows: fingerprints(rows.select(after.columns).withColumn("_all", F.lit(0)), "_all")
+    replaced = before.join(source.select(key), key, "left_semi")
+    left = add_up([(1, everything(before)), (-1, everything(replaced)), (1, everything(source)), (-1, everything(after))], "_all")
     problems = []
     if seen["repeated"]:
         problems.append(f"{seen['repeated']} keys occur more than once")
     if (seen["row_count"] or 0) != expected["rows_after"]:
         problems.append(f"{seen['row_count']} rows instead of {expected['rows_after']}")
-    if not missing.isEmpty():
+    if not left.isEmpty():
         problems.append("source rows are missing")
     if problems:
         raise UpsertNotProven("; ".join(problems))

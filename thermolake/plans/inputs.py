@@ -15,7 +15,7 @@ from thermolake.operators import medallion as M
 from thermolake.operators.bm25 import TextIndex
 from thermolake.operators.corpus import chunk, documents, order_key
 from thermolake.operators.dense import hashing_embedder
-from thermolake.session import checkpoint_dir
+from thermolake.session import checkpoint_dir, materialise
 from thermolake.sources.files import read_accepted, write_json_lines
 
 # What props.k does to a reading on the wire.
@@ -131,11 +131,19 @@ def delivered_at() -> Column:
     return F.col("recorded_at") + F.expr("INTERVAL 1 HOUR")
 
 
+_readings: dict[tuple[str, str], DataFrame] = {}
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First deliveries in Bronze shape, with the type of their event."""
-    kinds = table(spark, sf_dir, "events").select(F.col("event_id").alias("kafka_offset"), "event_type")
-    bronze = M.bronze(accepted(spark, sf_dir), delivered_at())
-    return bronze.join(kinds, "kafka_offset").select(*M.BRONZE_SCHEMA.names, "event_type")
+    """First deliveries in Bronze shape, with the type of their event; Bronze is written as Parquet
+    once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _readings:
+        kinds = table(spark, sf_dir, "events").select(F.col("event_id").alias("kafka_offset"), "event_type")
+        bronze = M.bronze(accepted(spark, sf_dir), delivered_at())
+        joined = bronze.join(kinds, "kafka_offset").select(*M.BRONZE_SCHEMA.names, "event_type")
+        _readings[key] = materialise(joined, "bronze")
+    return _readings[key]
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,20 +9,26 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from thermolake import settings
 from thermolake.operators import answers as A
 from thermolake.operators import bm25 as B
 from thermolake.operators import dense as V
 from thermolake.operators import fusion as X
+from thermolake.operators import incremental as N
 from thermolake.operators import medallion as M
 from thermolake.operators import quality as Q
 from thermolake.operators.corpus import chunk, kpi_documents, union_corpora
-from thermolake.session import checkpoint_dir
+from thermolake.session import checkpoint_dir, materialise
 from thermolake.sources.files import read_accepted, write_report
 from thermolake.sources.tables import KeyedTable, check_schema, with_required
 
 
+_OF_BRONZE = {f.name: f.dataType for f in M.BRONZE_SCHEMA}
+VERSION_SCHEMA = T.StructType([T.StructField(n, _OF_BRONZE[n]) for n in (M.BUSINESS_KEY, *N.VERSION_COLUMNS)])
+
+
 def append_bronze(spark: SparkSession, accepted: str, out: str, batch_id: int) -> int:
     """Append a batch of accepted JSON lines to the Bronze folder ``ingest`` writes.
 
@@ -44,6 +50,19 @@ def refresh_silver(
     return table.upsert(cleaned, M.BUSINESS_KEY)
 
 
+def refresh_silver_by_versions(table: KeyedTable, versions: KeyedTable, batch: DataFrame) -> dict:
+    """Upsert what a batch of deliveries replaces, without a look at Bronze.
+
+    ``versions`` (``VERSION_SCHEMA``) knows the delivery that counts of every key. Silver goes first: if
+    the job stops in between, a repeated batch finds the same rows again.
+    """
+    known = versions.read() if versions.exists() else table.spark.createDataFrame([], VERSION_SCHEMA)
+    newer = materialise(N.newer_deliveries(batch, known), "newer")
+    done = table.upsert(M.clean(newer), M.BUSINESS_KEY)
+    versions.upsert(newer.select(VERSION_SCHEMA.names), M.BUSINESS_KEY)
+    return done
+
+
 def refresh_gold(
     silver: DataFrame,
     table: KeyedTable,

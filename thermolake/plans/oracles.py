@@ -118,6 +118,11 @@ merged AS (SELECT * FROM target WHERE reading_id NOT IN (SELECT reading_id FROM
            UNION ALL SELECT * FROM source)
 """
 
+# The corrections of the latest three days only.
+LAST_DAYS = CHANGES.replace("""SELECT * FROM corrections UNION ALL
+  SELECT * REPLACE ('N' || reading_id AS reading_id) FROM readings WHERE event_type = 'signup'""", """SELECT * FROM corrections
+  WHERE CAST(recorded_at AS DATE) >= (SELECT max(CAST(recorded_at AS DATE)) - 2 FROM corrections)""")
+
 GOLD = f"""
 grouped AS (
   SELECT machine_id, reading_date, count(*) AS n, count(*) FILTER (is_anomaly) AS a,
@@ -248,6 +253,15 @@ bm25_hits AS (
 """
 
 
+CHANGED_DOCUMENTS = """
+changed_documents AS (
+  SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND coalesce(toxic, 0) <> 1)
+    THEN text || ' Checked twice.' ELSE text END AS text
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
+  UNION ALL SELECT item_id + 1000000000, 'benchmark', text FROM benchmark
+)
+"""
+
 QUESTIONS = "SELECT item_id AS query_id, text AS query FROM benchmark"
 
 # Hashed text vectors: 64 buckets from the first 32 bits of the MD5, weights 1 + ln(tf).
@@ -443,12 +457,29 @@ ORACLES: dict[str, str] = {
     "bronze_rows": with_([READINGS], f"""
         SELECT reading_id, machine_id, temperature_c, {stamp('recorded_at')} AS recorded_at, is_anomaly,
           kafka_partition, kafka_offset, {stamp('ingested_at')} AS ingested_at FROM readings"""),
+    "bronze_appended": with_([READINGS], f"""
+        SELECT reading_id, machine_id, temperature_c, {stamp('recorded_at')} AS recorded_at, is_anomaly,
+          kafka_partition, kafka_offset FROM readings"""),
+    "distinct_keys_by_range": with_([READINGS], """
+        SELECT strftime(date_trunc('week', recorded_at), '%Y-%m-%d') AS week, count(DISTINCT reading_id) AS exact, true AS within
+        FROM deliveries GROUP BY 1"""),
+    "kpi_after_changes": with_([READINGS, CHANGES, GOLD.replace(cleaned("readings"), "merged")],
+        "SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date) FROM gold"),
+    "unchanged_days": with_([READINGS, LAST_DAYS], """
+        SELECT CAST(reading_date AS VARCHAR) AS reading_date, count(*) AS readings FROM merged
+        WHERE reading_date NOT IN (SELECT reading_date FROM source) GROUP BY merged.reading_date"""),
+    "gold_overwritten": with_([READINGS, GOLD], """
+        SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date), CAST(2 AS INTEGER) AS operations FROM gold"""),
+    "gate_incremental": with_([READINGS, LAST_DAYS, GOLD.replace(cleaned("readings"), "merged")], REPORT),
     "silver_latest": with_([READINGS], f"SELECT {SILVER_COLUMNS} FROM {cleaned('deliveries')}"),
     "silver_status": with_([READINGS], f"""
         SELECT status, is_anomaly, count(*) AS readings FROM {cleaned('deliveries')} GROUP BY ALL"""),
     "silver_touched": with_([READINGS], f"""
         SELECT {SILVER_COLUMNS} FROM {cleaned('deliveries')}
         WHERE reading_id IN (SELECT reading_id FROM corrections)"""),
+    "silver_incremental": with_([READINGS], f"""
+        SELECT {SILVER_COLUMNS} FROM {cleaned('deliveries')}
+        WHERE reading_id IN (SELECT reading_id FROM corrections)"""),
     "silver_upsert": with_([READINGS, CHANGES], f"SELECT {SILVER_COLUMNS} FROM merged"),
     "silver_rewritten": with_([READINGS], f"""
         , changed AS (SELECT * FROM corrections
@@ -554,6 +585,8 @@ ORACLES: dict[str, str] = {
         SELECT term, id, CAST(tf AS INTEGER) AS tf, CAST(dl AS INTEGER) AS dl FROM tf JOIN dl USING (id)"""),
     "bm25_topk": with_([CHUNKS, bm25(QUESTIONS)], """
         SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),
+    "index_after_changes": with_([CHANGED_DOCUMENTS, CHUNKS.replace(chunk_rows(2), chunk_rows(2, "changed_documents")), bm25(QUESTIONS)], """
+        SELECT query_id, rank, chunk_id, round(score, 4) AS bm25_score FROM bm25_hits"""),
     "bm25_work": "SELECT true AS fewer_blocks, true AS fewer_postings",
     "conversation_topk": with_([CHUNKS, bm25(
         "SELECT conv_id || '-' || turn AS query_id, text AS query FROM conversations")], """

@@ -19,14 +19,17 @@ from thermolake.operators import contract as C
 from thermolake.operators import corpus as D
 from thermolake.operators import dense as V
 from thermolake.operators import fusion as X
+from thermolake.operators import incremental as N
 from thermolake.operators import medallion as M
 from thermolake.operators import quality as Q
 from thermolake.operators import runlog as R
 from thermolake.operators import upsert as U
 from thermolake.plans import inputs as I
+from thermolake.plans import jobs
 from thermolake.session import checkpoint_dir, configure, materialise
 from thermolake.sources.files import write_json_lines
-from thermolake.sources.tables import SchemaMismatch, KeyedTable, check_schema
+from thermolake.sources.tables import KeyedTable, SchemaMismatch, check_schema, write_for_lookup
+from thermolake.streaming.ingest import read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +113,33 @@ def _changes(spark, sf) -> DataFrame:
     return materialise(I.silver_changes(spark, sf), "changes")
 
 
+def silver_incremental(spark, sf):
+    """The Silver rows a batch changes, from stored versions: late deliveries of other readings, older
+    than what is known of them, change nothing."""
+    known = materialise(N.versions(I.readings(spark, sf)), "versions")
+    earlier = F.col("ingested_at") - F.expr("INTERVAL 10 MINUTES")
+    late = I.readings(spark, sf).filter("event_type = 'signup'").withColumn("ingested_at", earlier)
+    batch = I.corrections(spark, sf).unionByName(late.withColumn("temperature_c", F.lit(0.0)))
+    return presentable(M.clean(N.newer_deliveries(batch.select(M.BRONZE_SCHEMA.names), known)))
+
+
+def bronze_appended(spark, sf):
+    """Accepted JSON lines appended to Bronze twice under one batch id, which leaves them there once."""
+    folder = _folder(spark, "append")
+    write_json_lines(I.accepted(spark, sf), f"{folder}/accepted")
+    for _ in range(2):
+        jobs.append_bronze(spark, f"{folder}/accepted", folder, 1)
+    return presentable(read_bronze(spark, folder).select(M.ACCEPTED_SCHEMA.names))
+
+
+def gold_overwritten(spark, sf):
+    """Gold written twice: the second overwrite replaces the first."""
+    table = _table(spark, "gold", M.GOLD_SCHEMA)
+    table.overwrite(M.daily_kpis(I.silver(spark, sf)))
+    table.overwrite(I.gold(spark, sf), audit=lambda rows: M.require_reduction(I.first_silver(spark, sf), rows))
+    return presentable(table.read().withColumn("operations", F.lit(table.history().count())))
+
+
 def silver_upsert(spark, sf):
     merged = U.upsert(I.first_silver(spark, sf), _changes(spark, sf), "reading_id")
     return presentable(merged)
@@ -130,8 +160,58 @@ def distinct_keys(spark, sf):
 
 
 def key_lookup(spark, sf):
-    """One reading in the accepted records; the filter reaches the scan."""
-    return presentable(M.bronze(M.lookup(I.accepted(spark, sf), "7"), I.delivered_at()))
+    """One reading in Bronze stored for lookups: one row group is read."""
+    stored = write_for_lookup(M.bronze(I.accepted(spark, sf), I.delivered_at()), M.BUSINESS_KEY, _folder(spark, "lookup"))
+    return presentable(M.lookup(stored, "7"))
+
+
+def distinct_keys_by_range(spark, sf):
+    """Distinct readings per week: exact, and whether the merged sketches of its days are within 6 %."""
+    rows = I.deliveries(spark, sf)
+    sketches = materialise(N.key_sketches(rows, F.col("recorded_at").cast("date")), "sketches")
+    week = lambda c: F.date_format(F.date_trunc("week", c), "yyyy-MM-dd")
+    estimated = N.distinct_of(sketches, week(F.col("part")))
+    exact = rows.groupBy(week(F.col("recorded_at")).alias("part")).agg(F.countDistinct("reading_id").alias("exact"))
+    near = F.abs(F.col("distinct_keys") - F.col("exact")) <= 0.06 * F.col("exact")
+    return exact.join(estimated, "part").select(F.col("part").alias("week"), "exact", near.alias("within"))
+
+
+def _last_days(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Silver before and after the corrections of the latest three days, and the changed rows."""
+    before, corrections = materialise(I.first_silver(spark, sf), "before"), I.corrections(spark, sf)
+    days = F.col("recorded_at").cast("date")
+    since = corrections.select(F.date_sub(F.max(days), 2).alias("since"))
+    batch = corrections.join(F.broadcast(since), days >= F.col("since")).drop("since")  # one row
+    changes = materialise(M.clean(batch), "changes")
+    return before, materialise(U.upsert(before, changes, "reading_id"), "after"), changes
+
+
+def kpi_after_changes(spark, sf):
+    """Gold brought up to date from stored partials and the rows a batch replaces and adds."""
+    before, changes = materialise(I.first_silver(spark, sf), "before"), _changes(spark, sf)
+    partials = materialise(M.kpi_partials(before), "partials")
+    after = U.upsert(before, changes, "reading_id")
+    removed = before.join(changes.select("reading_id"), "reading_id", "left_semi")
+    new, gone = N.partials_after(partials, removed, changes, after)
+    return presentable(M.kpis(N.replace_groups(partials, materialise(new, "new"), gone, N.GROUP)))
+
+
+def unchanged_days(spark, sf):
+    """Days whose rows an upsert left as they were, by comparing fingerprints."""
+    before, after, _ = _last_days(spark, sf)
+    now = N.fingerprints(after, "reading_date")
+    changed = N.differing(N.fingerprints(before, "reading_date"), now, "reading_date")
+    return presentable(now.select("reading_date", F.col("n").alias("readings")).join(changed, "reading_date", "left_anti"))
+
+
+def gate_incremental(spark, sf):
+    """The gate's report from stored states, of which only those of changed days are computed again."""
+    before, after, changes = _last_days(spark, sf)
+    states = materialise(N.check_states(M.daily_kpis(before), _suite(), "reading_date"), "states")
+    days = changes.select("reading_date").distinct()
+    gold = M.daily_kpis(after.join(days, "reading_date", "left_semi"))
+    new = materialise(N.check_states(gold, _suite(), "reading_date"), "new")
+    return N.report_of_states(N.replace_groups(states, new, days, ["reading_date"]), gold, _suite())
 
 
 def kpi_daily(spark, sf):
@@ -174,6 +254,10 @@ def gate_summary(spark, sf):
     return Q.summarise(Q.evaluate(rows, _suite()), rows, _suite())
 
 
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def _table(spark, name: str, schema: T.StructType, partition_by: str | None = None) -> KeyedTable:
     """A new table of the catalog with its files in the shared folder."""
     unique = f"{name}_{uuid.uuid4().hex}"
@@ -228,15 +312,11 @@ def gate_outcome(spark, sf):
 
 
 def gate_failed_checks(spark, sf):
-    """First 20 violating rows of every row-level, pair and uniqueness check."""
-    rows = _written_gold(spark, sf)
-    samples = []
-    for number, check in enumerate(_suite(), start=1):
-        if check.columns and check.kind != "expect_column_values_to_be_of_type":
-            first = Q.failure_sample(rows, check, ["machine_id", "reading_date"])
-            value = F.concat_ws(",", *[F.col(c).cast("string") for c in check.columns])
-            samples.append(first.select(F.lit(number).alias("check_no"), value.alias("value")))
-    return reduce(DataFrame.unionByName, samples)
+    """First 20 violating rows of every row-level, pair and uniqueness check, in one pass."""
+    suite = _suite()
+    asked = [n for n, c in enumerate(suite, 1) if c.columns and c.kind != "expect_column_values_to_be_of_type"]
+    found = Q.failure_samples(_written_gold(spark, sf), suite, asked, ["machine_id", "reading_date"])
+    return found.select("check_no", F.array_join("value", ",").alias("value"))
 
 
 def gate_quarantine(spark, sf):
@@ -335,6 +415,20 @@ def bm25_work(spark, sf):
     )
 
 
+def index_after_changes(spark, sf):
+    """BM25 on an index that a change batch brought up to date: toxic documents are taken out, good
+    ones get another sentence, and the questions come in as documents of their own."""
+    docs, labels = I.table(spark, sf, "documents"), I.table(spark, sf, "labels")
+    index = B.TextIndex.build(I.chunks(spark, sf), _folder(spark, "changing"))
+    removed = labels.filter("toxic = 1").select(F.col("doc_id").cast("string").alias("doc_id"))
+    good = docs.join(labels.filter("quality = 1 AND coalesce(toxic, 0) <> 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    longer = good.select("doc_id", F.concat("text", F.lit(" Checked twice.")).alias("text"), "source")
+    number = (F.col("item_id") + 1_000_000_000).cast("bigint").alias("doc_id")
+    new = I.table(spark, sf, "benchmark").select(number, "text", F.lit("benchmark").alias("source"))
+    changed = D.chunk(D.documents(longer.unionByName(new), "doc_id"))
+    return B.bm25_hits(B.bm25_search(index.update(changed, removed), I.questions(spark, sf)))
+
+
 def conversation_topk(spark, sf):
     """Every turn as a query."""
     asked = I.table(spark, sf, "conversations").select(
@@ -376,7 +470,7 @@ def dense_ann_recall(spark, sf):
     rows, asked = I.vectors(spark, sf), I.vector_queries(spark, sf)
     model = V.fit_clusters(rows, clusters=16)
     coded, levels = V.with_codes(V.assign_clusters(rows, model), model)
-    stored = V.write_clusters(coded, f"{checkpoint_dir(spark)}/thermolake/{spark.sparkContext.applicationId}/clusters-{uuid.uuid4().hex}")
+    stored = V.write_clusters(coded, _folder(spark, "clusters"))
     near = V.coded_search(stored, model, levels, asked, probes=13, rescored=64)
     found = V.recall(V.dense_search(rows, asked), near)
     sizes = rows.agg(F.count(F.lit(1)).alias("n"))  # every query measures 64 distances instead of n
@@ -486,11 +580,12 @@ def events_pivot(spark, sf):
 
 ALL: list[Query] = [
     contract_accepted, contract_rejected, dead_letters, contract_error_counts,
-    contract_routing_counts, bronze_rows, silver_latest, silver_status, silver_touched,
+    contract_routing_counts, bronze_rows, bronze_appended, silver_latest, silver_status, silver_touched, silver_incremental,
     silver_upsert, silver_rewritten, rejected_write, upsert_metrics, upsert_diff, distinct_keys, key_lookup, kpi_daily,
+    distinct_keys_by_range, kpi_after_changes, unchanged_days, gold_overwritten, gate_incremental,
     kpi_reduction_check, schema_check, gate_report, gate_summary, gate_failed_checks,
     gate_quarantine, label_checks, order_checks, compound_dups, lineitem_checks, kpi_documents,
-    corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk, bm25_work,
+    corpus_union, chunks, chunks_of_three, chunk_counts, term_stats, postings, bm25_topk, bm25_work, index_after_changes,
     conversation_topk, dense_topk, dense_work, dense_text_topk, dense_ann_recall, rrf_fused, funnel,
     rerank_topk, context_block, answers, citation_audit, forged_citations, gate_outcome, run_status,
     logged_run_status, run_errors,

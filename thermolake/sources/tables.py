@@ -67,6 +67,16 @@ def with_required(rows: DataFrame, expected: T.StructType) -> DataFrame:
     return rows.select(*[checked(field) for field in expected])
 
 
+def write_for_lookup(rows: DataFrame, key: str, path: str, files: int | None = None) -> DataFrame:
+    """Store rows so that a lookup by key reads little: files hold ranges of the key, sorted, and a
+    Bloom filter of its values, by which the reader skips row groups. Their number follows the size of
+    the rows if ``files`` is not given."""
+    ranged = rows.repartitionByRange(key) if files is None else rows.repartitionByRange(files, key)
+    ordered = ranged.sortWithinPartitions(key)
+    ordered.write.option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class KeyedTable:
     """A keyed Parquet table of the session's catalog, written by Spark's own writers.
 
