@@ -136,13 +136,14 @@ def page_edges(pages: DataFrame) -> DataFrame:
         refresh, F.regexp_extract(_attribute(F.col("tag"), "content"), REFRESH, 1)
     )
     clean = F.replace(F.regexp_replace(target, r"^\s+|\s+$", ""), F.lit("&amp;"), F.lit("&"))
-    found = tags.select("url", clean.alias("target")).filter("target is not null")
-    return edges_of(found.select("url", resolved(F.col("url"), F.col("target")).alias("target")))
+    # Stored, as the expressions that follow name it often and would each repeat how it is made.
+    found = stored(tags.filter(canonical | refresh).select("url", clean.alias("target")), "targets")
+    return edges_of(stored(found.select("url", resolved(F.col("url"), F.col("target")).alias("target")), "references"))
 
 
 def edges_of(redirects: DataFrame) -> DataFrame:
     """Edges (a, b) between addresses from absolute urls (url, target)."""
-    both = redirects.select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b"))
+    both = stored(redirects.select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b")), "addresses")
     return both.filter("a is not null and b is not null and a <> b")
 
 
