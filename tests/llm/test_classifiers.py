@@ -5,6 +5,9 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from thermolake.llm import quality, toxicity
@@ -149,3 +152,49 @@ def test_rejection_per_language_on_held_out_texts(spark):
         toxic = np.array([r["toxic"] for r in rows if r["lang"] == lang])
         if toxic.sum() >= 20:
             assert rejected[toxic == 1].mean() >= 0.35 and toxic[rejected].mean() >= 0.9
+
+
+def test_convolution_and_pooling_word_by_word():
+    """Every window of every width on its own, in plain Python, against the batched network."""
+    rng = np.random.default_rng(3)
+    texts = [row[1] for row in rows_of(12)] + ["", None, "one", "Zwei Wörter", "a a a a", "x, y; z!"]
+    net = toxicity.Network.fresh(toxicity.hashed(texts), np.arange(len(texts)) % 2, 5)
+    net.embedding[:-1] = rng.normal(size=net.embedding[:-1].shape).astype(np.float32)
+    net.biases = [rng.normal(size=b.shape).astype(np.float32) for b in net.biases]
+    net.bias = 0.25
+
+    def vector(word):
+        number = xxhash.xxh3_64_intdigest(word.encode())
+        return net.embedding[number % toxicity.BUCKETS] + net.embedding[(number >> 32) % toxicity.BUCKETS]
+
+    for text, found in zip(texts, net.logits(toxicity.hashed(texts))):
+        words = [w for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w]
+        rows = [vector(w) for w in words] or [np.zeros(toxicity.DIMENSIONS)]
+        total = net.bias
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                best = -math.inf
+                for at in range(len(rows)):
+                    value = float(net.biases[k][f])
+                    for i, row in enumerate(rows[at : at + width]):
+                        value += float(row @ net.filters[k][i * toxicity.DIMENSIONS : (i + 1) * toxicity.DIMENSIONS, f])
+                    best = max(best, value)
+                total += max(best, 0.0) * float(net.weights[k * toxicity.FILTERS + f])
+        assert abs(total - found) < 1e-3
+
+
+def test_compressed_sizes_block_by_block():
+    """Each block of a text by a compressor of its own."""
+    texts = [row[1] for row in rows_of(20)] + ["", None, "é" * 700, "x" * 512, "y" * 513]
+    good, bad = (quality.dictionary([row[1] for row in rows_of(40)][part::2]) for part in (0, 1))
+
+    def size(dictionary, block):
+        data = zstandard.ZstdCompressionDict(dictionary)
+        options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(dict_data=data, level=quality.LEVEL, **options).compress(block))
+
+    for text, found in zip(texts, quality.measure(good, bad, texts)):
+        data = (text or "").encode()
+        blocks = [data[i : i + quality.BLOCK_BYTES] for i in range(0, len(data), quality.BLOCK_BYTES)]
+        g, b = (sum(size(d, block) for block in blocks) for d in (good, bad))
+        assert found == pytest.approx(2 * (b - g) / (g + b) if blocks else 0.0)
