@@ -32,12 +32,11 @@ def rows_of(frame):
     return sorted(map(tuple, frame.collect()), key=str)
 
 
-def test_versions_replace_a_scan_of_bronze(spark):
+def test_versions_replace_a_scan_of_bronze(spark, tmp_path):
     checkpoint_dir(spark)
     rnd = random.Random(3)
-    name = f"silver_by_versions_{rnd.randrange(10**9)}"
-    silver = KeyedTable(spark, name, M.SILVER_SCHEMA, "reading_date")
-    known = KeyedTable(spark, f"{name}_versions", jobs.VERSION_SCHEMA)
+    silver = KeyedTable(spark, "silver_by_versions", M.SILVER_SCHEMA, "reading_date", f"{tmp_path}/silver")
+    known = KeyedTable(spark, "versions_of_silver", jobs.VERSION_SCHEMA, None, f"{tmp_path}/versions")
     everything = None
     for step in range(3):
         batch = deliveries(spark, rnd, 60, 10 - 5 * step)
