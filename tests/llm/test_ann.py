@@ -84,3 +84,12 @@ def test_empty_tables(spark, rows):
     frame = spark.createDataFrame(rows, DDL)
     index = ann.build(frame, k=3)
     assert index.count() == 0 and ann.search(index, frame, k=3).count() == 0
+
+
+def test_of_an_id_with_several_vectors_the_least_is_asked(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 30)]
+    asked = [(100, [20.2, 1.0]), (100, [3.1, 1.0]), (100, [9.0, 1.0])]
+    frame = lambda r: spark.createDataFrame([(i, v, "x", "y") for i, v in r], DDL)
+    for order in (asked, asked[::-1]):
+        got = found(ann.search(ann.build(frame(rows), k=3), frame(order), k=3).collect())
+        assert [i for i, _ in got[100]] == [3, 4, 2]

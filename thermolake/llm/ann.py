@@ -248,9 +248,13 @@ def build(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, block: int = BLOCK_QUERIES) -> DataFrame:
-    """For each query row (id, vector): its ``k`` nearest found, as query_id, rank, id, score."""
+    """For each query row (id, vector): its ``k`` nearest found, as query_id, rank, id, score.
+
+    Of an id with several vectors the least one is asked, component by component.
+    """
     spark = prepare(index.sparkSession)
-    asked = stored(prepared(queries).dropDuplicates(["id"]).withColumn("width", F.size("vector")), "ann-queries")
+    one = prepared(queries).groupBy("id").agg(F.min("vector").alias("vector"))
+    asked = stored(one.withColumn("width", F.size("vector")), "ann-queries")
     blocks = max(1, math.ceil(asked.count() / block))
     shards = index.select(F.col("shard").alias("to_shard"), "width")
     dealt = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
