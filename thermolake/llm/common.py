@@ -51,6 +51,29 @@ def write_file(folder: str, name: str, data: bytes) -> str:
     return f"{folder}/{full}"
 
 
+def write_once(folder: str, name: str, data: bytes) -> str:
+    """Write a file whose bytes do not depend on the attempt, under a name that readers can derive.
+
+    It appears whole or not at all; a repeated task finds it there or puts an equal one in its place.
+    """
+    full = write_file(folder, f"part-{name}", data)
+    fs, source = pafs.FileSystem.from_uri(full)
+    target = f"{folder}/{name}"
+    place = pafs.FileSystem.from_uri(target)[1]
+    try:
+        fs.move(source, place)
+    except OSError:  # some file systems do not replace a file
+        if not file_exists(target):
+            raise
+        fs.delete_file(source)
+    return target
+
+
+def file_exists(uri: str) -> bool:
+    fs, path = pafs.FileSystem.from_uri(uri)
+    return fs.get_file_info(path).type == pafs.FileType.File
+
+
 def open_file(uri: str) -> pa.NativeFile:
     fs, path = pafs.FileSystem.from_uri(uri)
     return fs.open_input_file(path)

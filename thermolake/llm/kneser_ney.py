@@ -1,17 +1,20 @@
 """Interpolated modified Kneser-Ney language model over hashed n-grams.
 
-Counting: a task counts the n-grams of its texts and deals the sorted counts into buckets by a
-hash of the context (the words before the last one). A bucket sums them, so that it has all
-n-grams of its contexts. It writes one file of sorted hash arrays, and passes on, for the next
-shorter order, in how many different contexts each shorter n-gram was seen (its continuation
-count). The number of buckets follows the size of the corpus; nothing but file names and sums
-returns to the driver.
+Counting: a task numbers the distinct words it sees by falling frequency, counts n-grams of these
+numbers, and deals the sorted counts into buckets by a hash of the context (the words before the
+last one). A row of a bucket has the hashes of its words once and its n-grams as columns of
+numbers, cut into byte planes and compressed. A bucket sums its rows, so that it has all n-grams of its
+contexts. It writes one file of sorted hash arrays, and passes on, for the next shorter order, in how
+many different contexts each shorter n-gram was seen (its continuation count). Each order is stored
+before the next one begins. The number of buckets follows the size of the corpus; files are named by
+order and bucket, and nothing but sums over the corpus returns to the driver.
 
 A file of order 2 and above holds 48-bit hashes of its n-grams as a directory of the upper 16 bits
-and a sorted array of the lower 32, their counts, and per context its total and how many n-grams it
-has with a count of 1, 2, and 3 or more. A file of order 1 has sorted 64-bit word hashes with
-continuation and plain counts. Workers map the files into memory and look up the n-grams of many texts
-at a time, bucket by bucket.
+and a sorted array of the lower 32, their counts, and in the same form its contexts, each with the number of
+its kind: a kind is a total and how many n-grams have a count of 1, 2, and 3 or more, so contexts seen
+once are all of one kind. A file of order 1 has sorted 64-bit word hashes with continuation and plain
+counts. Workers map the files into memory and look up the n-grams of many texts at a time, bucket by
+bucket; a bucket without n-grams has no file.
 
 Probability of a word w after a context h, from the longest order down:
 
@@ -28,6 +31,7 @@ every token has probability 1; long texts are whole; other columns are ignored.
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,52 +40,59 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import mix, open_file, prepare, shared_path, stored, word_hashes, words, write_file
+from thermolake.llm.common import file_exists, mix, open_file, prepare, shared_path, stored, word_hashes, words, write_once
 
 ORDER = 3
 # Training text per bucket, which bounds a bucket's group and file.
 BUCKET_BYTES = 16 << 20
 # N-grams that a task counts before it sends them on.
 HELD_TOKENS = 4_000_000
+# Counts from here on are kept apart in a file.
+LARGE = 0xFF
 
 # No word contains a space.
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"begin of text"))
 END = np.uint64(xxhash.xxh3_64_intdigest(b"end of text"))
 
-COUNTS_DDL = (
-    "bucket int, context array<bigint>, run array<int>, word array<bigint>, n array<bigint>, "
-    "plain array<bigint>, shorter array<array<bigint>>, level int, file string, stats array<bigint>"
-)
-COUNTS_SCHEMA = pa.schema(
-    [
-        ("bucket", pa.int32()), ("context", pa.list_(pa.int64())), ("run", pa.list_(pa.int32())), ("word", pa.list_(pa.int64())),
-        ("n", pa.list_(pa.int64())), ("plain", pa.list_(pa.int64())), ("shorter", pa.list_(pa.list_(pa.int64()))),
-        ("level", pa.int32()), ("file", pa.string()), ("stats", pa.list_(pa.int64())),
-    ]
-)
-# Rows that name a file travel in this bucket.
-FILES = -1
+# A row has counts (data) or the sums of a bucket that is done (stats).
+COUNTS_DDL = "bucket int, data binary, level int, stats array<bigint>"
+COUNTS_SCHEMA = pa.schema([("bucket", pa.int32()), ("data", pa.binary()), ("level", pa.int32()), ("stats", pa.list_(pa.int64()))])
+# Tasks that merge buckets; beyond that a task has several buckets, one after the other.
+MERGE_TASKS = 16_384
 
 
-def n_grams(texts: list[str | None], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Contexts, words and the number of tokens of each text.
-
-    Context j (from 0) is a hash of the j + 1 words before a word; texts begin with markers.
-    """
+def marked_words(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of all texts with their markers, the places of the tokens, and tokens per text."""
     hashes = [word_hashes(words(text)) for text in texts]
     sizes = np.array([len(h) + 1 for h in hashes], np.int64)
     pads = order - 1
     begin, end = np.full(pads, BEGIN), np.array([END])
     flat = np.concatenate([part for h in hashes for part in (begin, h, end)]) if hashes else np.zeros(0, np.uint64)
     ends = np.cumsum(sizes + pads)
-    at = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
+    return flat, np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes), sizes
+
+
+def context_hash(nearest_first: list[np.ndarray]) -> np.ndarray:
+    out = nearest_first[0]
+    for word in nearest_first[1:]:
+        out = mix(out * np.uint64(31) + word)
+    return out
+
+
+def n_grams(texts: list[str | None], order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Contexts, words and the number of tokens of each text.
+
+    Context j (from 0) is a hash of the j + 1 words before a word; texts begin with markers.
+    """
+    flat, at, sizes = marked_words(texts, order)
     contexts: list[np.ndarray] = []
-    for j in range(pads):
+    for j in range(order - 1):
         word = flat[at - j - 1]
-        contexts.append(mix(contexts[-1] * np.uint64(31) + word) if contexts else word)
+        contexts.append(context_hash([contexts[-1], word]) if contexts else word)
     return contexts, flat[at], sizes
 
 
@@ -96,68 +107,96 @@ def group_sorted(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(change)
 
 
-def deal(buckets: int, context: np.ndarray | None, word: np.ndarray, n: np.ndarray, plain: np.ndarray | None, shorter: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Counts, sorted by (context, word), as one row per bucket."""
-    bucket = ((word if context is None else context) % np.uint64(buckets)).astype(np.int32)
+def equal_rows(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by these columns of numbers below ``size``, and where each group of equal rows starts."""
+    bits = max(1, (size - 1).bit_length())
+    if bits * len(columns) > 64:
+        return group_sorted(*reversed(columns))
+    key = columns[0].astype(np.uint64)
+    for column in columns[1:]:
+        key = key << np.uint64(bits) | column.astype(np.uint64)
+    order = np.argsort(key)
+    return order, np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+
+
+def by_frequency(distinct: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Renumber words so that frequent ones have small numbers, whose upper bytes compress well."""
+    falling = np.argsort(-np.bincount(columns[-1], minlength=len(distinct)), kind="stable")
+    rank = np.empty(len(distinct), np.int64)
+    rank[falling] = np.arange(len(distinct))
+    return distinct[falling], [rank[c] for c in columns]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers as planes of their lowest, second, ... bytes, as many as the largest needs."""
+    wide = values.astype("<u8")
+    width = max(1, (int(wide.max(initial=0)).bit_length() + 7) // 8)
+    return struct.pack("<qb", len(wide), width) + wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def packed(distinct: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> bytes:
+    """Sorted n-grams as bytes, with the hashes of the words they use."""
+    used, numbers = np.unique(np.concatenate(columns), return_inverse=True)
+    first, *others = np.split(numbers, len(columns))
+    parts = [distinct[used], np.diff(first, prepend=0), *others, n, plain]
+    return zstandard.compress(b"".join(map(planes, parts)), 1)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    """Hashes, columns, counts and plain counts."""
+    raw, at, out = zstandard.decompress(data), 0, []
+    while at < len(raw):
+        count, width = struct.unpack_from("<qb", raw, at)
+        at += 9
+        wide = np.zeros((count, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count).T
+        out.append(wide.view("<u8")[:, 0])
+        at += count * width
+    numbers = [a.astype(np.int64) for a in out[1:]]
+    return [out[0], np.cumsum(numbers[0]), *numbers[1:]]
+
+
+def deal(buckets: int, distinct: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted counts as one row per bucket. Columns: the words before, nearest first, and the word."""
+    owner = context_hash([distinct[c] for c in columns[:-1] or columns])
+    bucket = (owner % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     for a, b in zip(bounds[:-1], bounds[1:]):
         own = order[a:b]
-        if context is None:
-            firsts, run = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        else:
-            starts = np.flatnonzero(np.concatenate([[True], context[own][1:] != context[own][:-1]]))
-            firsts, run = context[own][starts], np.diff(starts, append=len(own)).astype(np.int32)
-        yield counts_row(
-            bucket=int(bucket[own[0]]),
-            context=firsts.view(np.int64),
-            run=run,
-            word=word[own].view(np.int64),
-            n=n[own],
-            plain=None if plain is None else plain[own],
-            shorter=[s[own].view(np.int64) for s in shorter],
-        )
-
-
-def counts_row(**values) -> pa.RecordBatch:
-    def column(field: pa.Field) -> pa.Array:
-        value = values.get(field.name)
-        if isinstance(value, np.ndarray):
-            inner = pa.array(value, field.type.value_type)
-            return pa.ListArray.from_arrays(pa.array([0, len(inner)], pa.int32()), inner)
-        if field.name == "shorter" and value:
-            flat = pa.array(np.concatenate(value))
-            rows = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, value)]), pa.int32()), flat)
-            return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), rows)
-        return pa.array([value], field.type)
-
-    return pa.RecordBatch.from_arrays([column(field) for field in COUNTS_SCHEMA], schema=COUNTS_SCHEMA)
+        yield counts_row(int(bucket[own[0]]), data=packed(distinct, [c[own] for c in columns], n[own], plain[own]))
+
+
+def counts_row(bucket: int, data: bytes | None = None, level: int | None = None, stats: list[int] | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((bucket, data, level, stats), COUNTS_SCHEMA)], schema=COUNTS_SCHEMA)
 
 
 def counted(docs: DataFrame, order: int, buckets: int) -> DataFrame:
     """N-gram counts of the texts, summed within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[list[np.ndarray], np.ndarray]] = []
-        tokens = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        tokens = places = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            contexts = [np.concatenate([h[0][j] for h in held]) for j in range(order - 1)]
-            word = np.concatenate([h[1] for h in held])
+            distinct, numbers = np.unique(np.concatenate([flat for flat, _ in held]), return_inverse=True)
+            at = np.concatenate([at for _, at in held])
             held.clear()
-            rank, first = group_sorted(word, contexts[-1])
+            distinct, columns = by_frequency(distinct, [*(numbers[at - j] for j in range(1, order)), numbers[at]])
+            rank, first = equal_rows(columns, len(distinct))
             n = np.diff(first, append=len(rank))
             one = rank[first]
             del rank
-            yield from deal(buckets, contexts[-1][one], word[one], n, None, [c[one] for c in contexts[:-1]])
+            yield from deal(buckets, distinct, [c[one] for c in columns], n, n)
 
         for batch in batches:
-            contexts, word, _ = n_grams(batch["text"].to_pylist(), order)
-            held.append((contexts, word))
-            tokens += len(word)
+            flat, at, _ = marked_words(batch["text"].to_pylist(), order)
+            held.append((flat, at + places))
+            places += len(flat)
+            tokens += len(at)
             if tokens >= HELD_TOKENS:
                 yield from flush()
-                tokens = 0
+                tokens = places = 0
         if tokens:
             yield from flush()
 
@@ -172,7 +211,10 @@ def section(array: np.ndarray) -> bytes:
 class HashFile:
     """The arrays of a file, without copying them."""
 
-    KINDS = {1: ("<u8", "<u4", "<u8"), 2: ("<u4", "<u4", "<u2", "<u4", "<u8", "<u8", "<u8", "<u4", "<u4", "<u4")}
+    KINDS = {
+        1: ("<u8", "<u4", "<u8"),
+        2: ("<u4", "<u4", "<u1", "<u4", "<u8", "<u4", "<u4", "<u2", "<u2", "<u8", "<u4", "<u4", "<u4"),
+    }
 
     def __init__(self, path: str, level: int):
         place = urlparse(path)
@@ -194,9 +236,9 @@ class HashFile:
         hit = known[at] == word
         return np.where(hit, n[at], 0).astype(np.int64), np.where(hit, plain[at], 0).astype(np.int64)
 
-    def counts(self, key: np.ndarray) -> np.ndarray:
-        """Counts of n-grams by their hash: a search between two entries of the directory."""
-        directory, lower, counts, large_at, large = self.arrays[:5]
+    @staticmethod
+    def places(directory: np.ndarray, lower: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys, by a search between two entries of the directory, and which were found."""
         part = (key >> np.uint64(48)).astype(np.int64)
         value = (key >> np.uint64(16)).astype(np.uint32)
         low, high = directory[part].astype(np.int64), directory[part + 1].astype(np.int64)
@@ -208,78 +250,104 @@ class HashFile:
             low = np.where(less, middle + 1, low)
             high = np.where(open_ & ~less, middle, high)
         at = np.minimum(low, len(lower) - 1)
-        out = np.where((low < end) & (lower[at] == value), counts[at], 0).astype(np.int64)
-        big = np.flatnonzero(out == 0xFFFF)
+        return at, (low < end) & (lower[at] == value)
+
+    def counts(self, key: np.ndarray) -> np.ndarray:
+        """Counts of n-grams by their hash."""
+        directory, lower, counts, large_at, large = self.arrays[:5]
+        at, hit = self.places(directory, lower, key)
+        out = np.where(hit, counts[at], 0).astype(np.int64)
+        big = np.flatnonzero(out == LARGE)
         out[big] = large[np.searchsorted(large_at, at[big])]
         return out
 
     def contexts(self, context: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Total per context (0 if unknown) and its n-grams with counts 1, 2, and 3 or more."""
-        known, total, *kinds = self.arrays[5:]
-        at = np.minimum(np.searchsorted(known, context), max(0, len(known) - 1))
-        hit = known[at] == context
-        return np.where(hit, total[at], 0).astype(np.int64), [np.where(hit, kind[at], 0) for kind in kinds]
+        directory, lower, kind, upper, total, *kinds = self.arrays[5:]
+        at, hit = self.places(directory, lower, mix(context))
+        which = kind[at].astype(np.int64)
+        if len(upper):
+            which += upper[at].astype(np.int64) << 16
+        return np.where(hit, total[which], 0).astype(np.int64), [np.where(hit, k[which], 0) for k in kinds]
 
 
 def key_of(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
+def hash_arrays(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Directory of the upper 16 bits of sorted keys, and the next 32."""
+    return np.searchsorted(key >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)), (key >> np.uint64(16)).astype("<u4")
+
+
+def context_kinds(total: np.ndarray, kinds: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of each context's kind and the table of kinds; kind 0 is that of a total of 1."""
+    which = np.zeros(len(total), np.int64)
+    more = np.flatnonzero(total > 1)
+    values = [np.asarray(v)[more] for v in (total, *kinds)]
+    order, first = group_sorted(*values)
+    which[more[order]] = np.repeat(np.arange(1, len(first) + 1), np.diff(first, append=len(order)))
+    return which, [np.concatenate([[one], v[order[first]]]) for one, v in zip((1, 1, 0, 0), values)]
+
+
 def longer_file(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
     key = key_of(context, word)
     order = np.argsort(key)
-    key, count = key[order], n[order]
-    directory = np.searchsorted(key >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
-    large = np.flatnonzero(count >= 0xFFFF)
+    count = n[order]
+    large = np.flatnonzero(count >= LARGE)
+    arrays = [*hash_arrays(key[order]), np.minimum(count, LARGE), large, count[large]]
     starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-    kinds = [np.add.reduceat(n == 1, starts), np.add.reduceat(n == 2, starts), np.add.reduceat(n >= 3, starts)]
-    arrays = [directory, (key >> np.uint64(16)).astype("<u4"), np.minimum(count, 0xFFFF), large, count[large]]
-    arrays += [context[starts], np.add.reduceat(n, starts), *kinds]
+    key = mix(context[starts])
+    which, table = context_kinds(np.add.reduceat(n, starts), [np.add.reduceat(k, starts, dtype=np.int64) for k in (n == 1, n == 2, n >= 3)])
+    order = np.argsort(key)
+    upper = which[order] >> 16 if len(table[0]) > 1 << 16 else which[:0]
+    arrays += [*hash_arrays(key[order]), which[order] & 0xFFFF, upper, *table]
     return b"".join(section(a.astype(kind)) for a, kind in zip(arrays, HashFile.KINDS[2]))
 
 
+def file_name(level: int, bucket: int) -> str:
+    return f"order{level}-{bucket:09d}"
+
+
 def merged(level: int, buckets: int, folder: str):
     """Sum a bucket's counts of this order, write its file, and count for the next shorter order."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        if bucket == FILES:
-            return group.select(COUNTS_SCHEMA.names)
-        column = lambda name: pa.chunked_array(group[name].chunks).combine_chunks().flatten().to_numpy()
-        word, n = column("word").view(np.uint64), column("n")
-        plain = column("plain") if group["plain"].null_count == 0 else n
+        parts = [unpacked(data) for data in group["data"].to_pylist()]
+        distinct, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        own = np.split(number, np.cumsum([len(p[0]) for p in parts])[:-1])
+        columns = [np.concatenate([to[p[j]] for p, to in zip(parts, own)]) for j in range(1, level + 1)]
+        n, plain = (np.concatenate([p[j] for p in parts]) for j in (level + 1, level + 2))
+        del parts
+        distinct, columns = by_frequency(distinct, columns)
+        order, first = equal_rows(columns, len(distinct))
+        n, plain = np.add.reduceat(n[order], first), np.add.reduceat(plain[order], first)
+        columns = [c[order[first]] for c in columns]
+        word = distinct[columns[-1]]
         if level == 1:
-            order, first = group_sorted(word)
-            word, n, plain = word[order[first]], np.add.reduceat(n[order], first), np.add.reduceat(plain[order], first)
-            data = b"".join(section(a.astype(kind)) for a, kind in zip((word, n, plain), HashFile.KINDS[1]))
+            order = np.argsort(word)
+            data = b"".join(section(a[order].astype(kind)) for a, kind in zip((word, n, plain), HashFile.KINDS[1]))
             rows = []
         else:
-            context = np.repeat(column("context"), column("run")).view(np.uint64)
-            shorter = [np.concatenate([np.asarray(row[j]) for row in group["shorter"].to_pylist()]).view(np.uint64) for j in range(level - 2)]
-            order, first = group_sorted(word, context)
-            one = order[first]
-            n, plain = np.add.reduceat(n[order], first), np.add.reduceat(plain[order], first)
-            word, context, shorter = word[one], context[one], [s[one] for s in shorter]
-            data = longer_file(context, word, n)
-            keys = [word, shorter[-1]] if shorter else [word]
-            order, first = group_sorted(*keys)
-            one = order[first]
-            rows = list(
-                deal(buckets, shorter[-1][one] if shorter else None, word[one], np.diff(first, append=len(order)), np.add.reduceat(plain[order], first), [s[one] for s in shorter[:-1]])
-            )
-        path = write_file(folder, f"order{level}-{bucket:06d}", data)
-        stats = np.array([bucket, *((n == c).sum() for c in (1, 2, 3, 4)), len(n), n.sum(), plain.sum()], np.int64)
-        return pa.Table.from_batches([*rows, counts_row(bucket=FILES, level=level, file=path, stats=stats)], COUNTS_SCHEMA)
+            data = longer_file(context_hash([distinct[c] for c in columns[:-1]]), word, n)
+            shorter = [*columns[: level - 2], columns[-1]]
+            order, first = equal_rows(shorter, len(distinct))
+            seen = np.diff(first, append=len(order))
+            rows = list(deal(buckets, distinct, [c[order[first]] for c in shorter], seen, np.add.reduceat(plain[order], first)))
+        write_once(folder, file_name(level, bucket), data)
+        stats = [*((n == c).sum() for c in (1, 2, 3, 4)), len(n), n.sum(), plain.sum()]
+        return pa.Table.from_batches([*rows, counts_row(bucket, level=level, stats=[int(v) for v in stats])], COUNTS_SCHEMA)
 
     return run
 
 
 @dataclass(frozen=True)
 class Model:
-    """Files per order and bucket, and sums over the corpus."""
+    """Where the files are, and sums over the corpus; of one size for any corpus."""
 
     buckets: int
-    files: dict[tuple[int, int], str]
+    folder: str
     discounts: dict[int, tuple[float, float, float]]
     first_kinds: tuple[int, int, int]
     first_total: int
@@ -305,17 +373,16 @@ def train(docs: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     folder = shared_path(spark, "language-model")
-    rows = counted(docs, order, buckets)
+    rows, sums = counted(docs, order, buckets), {}
     for level in range(order, 0, -1):
-        rows = rows.groupBy("bucket").applyInArrow(merged(level, buckets, folder), COUNTS_DDL)
-    manifest = stored(rows.select("level", "file", "stats"), "language-model-files").collect()
-    sums = {level: np.zeros(7, np.int64) for level in range(1, order + 1)}
-    for row in manifest:
-        sums[row["level"]] += np.array(row["stats"][1:])
+        spread = rows.filter("data is not null").repartition(min(buckets, MERGE_TASKS), "bucket")
+        rows = stored(spread.groupBy("bucket").applyInArrow(merged(level, buckets, folder), COUNTS_DDL), "language-model-counts")
+        of_corpus = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(7)]
+        sums[level] = np.array(rows.filter("stats is not null").agg(*of_corpus).first(), np.int64)
     one, two, _, _, vocabulary, total, tokens = sums[1].tolist()
     return Model(
         buckets,
-        {(row["level"], row["stats"][0]): row["file"] for row in manifest},
+        folder,
         {level: discounts(*s[:4].tolist()) for level, s in sums.items()},
         (one, two, vocabulary - one - two),
         total,
@@ -326,8 +393,8 @@ def train(docs: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES)
 
 
 @lru_cache(maxsize=4096)
-def hash_file(path: str, level: int) -> HashFile:
-    return HashFile(path, level)
+def hash_file(path: str, level: int) -> HashFile | None:
+    return HashFile(path, level) if file_exists(path) else None
 
 
 def by_bucket(model: Model, level: int, key: np.ndarray) -> Iterator[tuple[HashFile, np.ndarray]]:
@@ -337,9 +404,9 @@ def by_bucket(model: Model, level: int, key: np.ndarray) -> Iterator[tuple[HashF
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(model.buckets + 1))
     for number in np.flatnonzero(np.diff(bounds)):
-        path = model.files.get((level, int(number)))
-        if path:
-            yield hash_file(path, level), order[bounds[number] : bounds[number + 1]]
+        file = hash_file(f"{model.folder}/{file_name(level, int(number))}", level)
+        if file:
+            yield file, order[bounds[number] : bounds[number + 1]]
 
 
 def probabilities(model: Model, contexts: list[np.ndarray], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
