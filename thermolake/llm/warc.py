@@ -195,7 +195,8 @@ def write(pages: DataFrame, min_bytes: int = 0, frame_bytes: int = FRAME_BYTES,
 def read(index: DataFrame) -> DataFrame:
     """Records of an index, each fetched by its place: headers of use and the body.
 
-    Files are spread over the tasks by (file, frame); a task opens a file once for its run of frames.
+    Frames are spread by (file, frame) over as many tasks as there are files, as the index is too small to
+    tell Spark what reading them takes; a task opens a file once for its run of frames.
     """
     prepare(index.sparkSession)
 
@@ -228,5 +229,6 @@ def read(index: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema)
 
     ddl = "record_id bigint, record_type string, url string, payload_bytes bigint, payload_digest string, refers_to bigint, body binary"
-    placed = index.repartition("path", "frame").sortWithinPartitions("path", "frame", "offset")
+    files = max(1, index.select("path").distinct().count())
+    placed = index.repartition(files, "path", "frame").sortWithinPartitions("path", "frame", "offset")
     return placed.mapInArrow(run, ddl)
