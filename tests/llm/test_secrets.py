@@ -166,3 +166,19 @@ def test_private_keys_are_marked_to_their_end(spark):
         assert f"private_key:7:{7 + len(key)}" in found[i].split(",")
         assert marked[i] == "before " + S.MARK + after
         assert found[i] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute(texts[i]))
+
+
+def test_short_runs_are_not_carried(spark):
+    assert S.BASE[2].searched() == "[0-9a-f]{24,}" and [r.searched() for r in S.BASE[:2]] == [r.pattern for r in S.BASE[:2]]
+    text = " ".join([HEX[:8], HEX * 2, HEX[:5] + "-" + HEX, "g" + HEX[:12] * 2 + "g"])
+    docs = spark.createDataFrame([(1, text), (2, HEX)], "doc_id bigint, text string")
+    found = S.hits(S.keyed(docs), [S.BASE[2]], None).collect()
+    assert [(r["_scan_id"], r["found"]) for r in found] == [(1, [32, 24])]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="0af-g", max_size=40), st.integers(1, 6))
+def test_a_searched_class_finds_the_long_runs(text, least):
+    rule = S.Rule("run", "[0-9a-f]+", least)
+    long = [m.span() for m in re.finditer(rule.pattern, text) if len(m[0]) >= least]
+    assert [m.span() for m in re.finditer(rule.searched(), text)] == long

@@ -17,6 +17,7 @@ columns are ignored by ``scan`` and kept by ``redact``, except that names starti
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -39,6 +40,15 @@ class Rule:
     def clauses(self) -> list[Clause]:
         return trigram_query(self.pattern)
 
+    def searched(self) -> str:
+        """An expression with the same matches of at least the asked length, and fewer others.
+
+        Matches of a repeated character class are whole runs, so short ones need not be found to be
+        dropped: the class is repeated at least that often.
+        """
+        run = re.fullmatch(r"(\[(?!\^)[^\[\]\\]+\])\+", self.pattern)
+        return f"{run[1]}{{{self.least},}}" if run and self.least and not self.group else self.pattern
+
 
 # The three base rules.
 BASE = [
@@ -122,10 +132,10 @@ def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def matches(rule: Rule) -> tuple[Column, Column, Column]:
     """Of ``_scan_text``: the matches, the group that is measured, and the parts between matches."""
-    pattern, text = F.lit(rule.pattern), F.col("_scan_text")
+    pattern, text = F.lit(rule.searched()), F.col("_scan_text")
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     group = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
-    return found, group, F.split(text, rule.pattern, -1)
+    return found, group, F.split(text, rule.searched(), -1)
 
 
 def hits(rows: DataFrame, rules: list[Rule], kinds: Column | None, size: Callable = F.char_length) -> DataFrame:
@@ -154,8 +164,11 @@ def plan_rules(rules: list[Rule]) -> tuple[list[Rule], list[Rule]]:
 
 
 def find_candidates(rows: DataFrame, indexed: list[Rule]) -> DataFrame:
-    """The postings are stored first: the index is read back, not the texts."""
-    return candidates(stored(postings(rows, indexed), "postings"), indexed)
+    """The postings are stored first: the index is read back, not the texts.
+
+    The candidates are stored, too, so that Spark knows their size before it joins them with the texts.
+    """
+    return stored(candidates(stored(postings(rows, indexed), "postings"), indexed), "candidates")
 
 
 def spans(docs: DataFrame, rules: list[Rule] = RULES, size: Callable = F.char_length) -> DataFrame:
