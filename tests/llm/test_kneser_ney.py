@@ -134,3 +134,24 @@ def test_the_registered_order_uses_two_words_of_context(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     scored = {texts[r["doc_id"]]: r["score"] for r in K.score(docs, K.train(docs)).collect()}
     assert scored["a x p"] > scored["a x q"] + 0.3 and scored["b x q"] > scored["b x p"] + 0.3
+
+
+@pytest.mark.parametrize("most", [1, 40])
+def test_rarer_words_count_like_common_ones(spark, some_docs, monkeypatch, most):
+    docs = some_docs.select("doc_id", "text").limit(30).cache()
+    monkeypatch.setattr(K, "COMMON_WORDS", most)
+    monkeypatch.setattr(K, "HELD_TOKENS", 1_500)
+    brute = Brute([r["text"] for r in docs.collect()], 3)
+    rows = K.score(docs, K.train(docs, 3, bucket_bytes=20_000)).collect()
+    assert np.allclose(sorted(r["score"] for r in rows), sorted(brute.score(r["text"]) for r in docs.collect()), rtol=1e-9)
+
+
+def test_rows_of_counts_come_back():
+    numbering = K.Numbering(np.array([7, 3], np.uint64))
+    rarer, numbers = numbering.of_texts(np.array([3, 9, 7, 1 << 63, 9], np.uint64))
+    assert numbering.hashes(rarer, numbers).tolist() == [3, 9, 7, 1 << 63, 9]
+    columns = [np.sort(numbers), numbers]
+    n = np.array([1, 2, 300, 70_000, 1 << 40], np.int64)
+    back, first, second, *counts = K.unpacked(numbering.row(rarer, columns, n, n[::-1]))
+    assert [numbering.hashes(back, c).tolist() for c in (first, second)] == [numbering.hashes(rarer, c).tolist() for c in columns]
+    assert [c.tolist() for c in counts] == [n.tolist(), n[::-1].tolist()]

@@ -1,9 +1,10 @@
 """Interpolated modified Kneser-Ney language model over hashed n-grams.
 
-Counting: a task numbers the distinct words it sees by falling frequency, counts n-grams of these
-numbers, and deals the sorted counts into buckets by a hash of the context (the words before the
-last one). A row of a bucket has the hashes of its words once and its n-grams as columns of
-numbers, cut into byte planes and compressed. A bucket sums its rows, so that it has all n-grams of its
+Counting: the most frequent words, at most ``COMMON_WORDS`` of them, are numbered by falling
+frequency. A task numbers the rarer words it sees behind them, counts n-grams of these numbers, and
+deals the sorted counts into buckets by a hash of the context (the words before the last one). A row
+of a bucket has the hashes of its rarer words once and its n-grams as columns of numbers, cut into
+byte planes and compressed. The numbers only shorten what travels: rare and common words count alike. A bucket sums its rows, so that it has all n-grams of its
 contexts. It writes one file of sorted hash arrays, and passes on, for the next shorter order, in how
 many different contexts each shorter n-gram was seen (its continuation count). Each order is stored
 before the next one begins. The number of buckets follows the size of the corpus; files are named by
@@ -41,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ ORDER = 3
 BUCKET_BYTES = 16 << 20
 # N-grams that a task counts before it sends them on.
 HELD_TOKENS = 4_000_000
+# Files that a worker keeps mapped.
+OPEN_FILES = 4096
 # Counts from here on are kept apart in a file.
 LARGE = 0xFF
 
@@ -63,6 +67,8 @@ COUNTS_DDL = "bucket int, data binary, level int, stats array<bigint>"
 COUNTS_SCHEMA = pa.schema([("bucket", pa.int32()), ("data", pa.binary()), ("level", pa.int32()), ("stats", pa.list_(pa.int64()))])
 # Tasks that merge buckets; beyond that a task has several buckets, one after the other.
 MERGE_TASKS = 16_384
+# Words with a number of their own: 8 MB of hashes, whatever the corpus.
+COMMON_WORDS = 1 << 20
 
 
 def marked_words(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,12 +125,75 @@ def equal_rows(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.nda
     return order, np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
 
 
-def by_frequency(distinct: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Renumber words so that frequent ones have small numbers, whose upper bytes compress well."""
-    falling = np.argsort(-np.bincount(columns[-1], minlength=len(distinct)), kind="stable")
-    rank = np.empty(len(distinct), np.int64)
-    rank[falling] = np.arange(len(distinct))
-    return distinct[falling], [rank[c] for c in columns]
+class Numbering:
+    """Numbers of words: those of the common ones, then those of the rarer ones at hand."""
+
+    def __init__(self, common: np.ndarray):
+        self.common, self.rank = common, np.argsort(common)
+        self.sorted = common[self.rank]
+
+    def of_texts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rarer words, and the number of every word."""
+        distinct, inverse = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.sorted, distinct), max(0, len(self.sorted) - 1))
+        known = self.sorted[at] == distinct if len(self.sorted) else np.zeros(len(distinct), bool)
+        numbers = np.empty(len(distinct), np.int32)
+        numbers[known] = self.rank[at[known]]
+        numbers[~known] = len(self.common) + np.arange(int((~known).sum()))
+        return distinct[~known], numbers[inverse]
+
+    def of_rows(self, rarer: list[np.ndarray], columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Rarer words of several rows together, and each row's numbers (any columns, joined) among them."""
+        together, inverse = np.unique(np.concatenate(rarer), return_inverse=True)
+        own, first = np.split(inverse, np.cumsum([len(r) for r in rarer])[:-1]), len(self.common)
+        out = []
+        for column, to in zip(columns, own):
+            column = column.astype(np.int32)
+            rare = column >= first
+            column[rare] = first + to[column[rare] - first]
+            out.append(column)
+        return together, out
+
+    def hashes(self, rarer: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        first = len(self.common)
+        if not first:
+            return rarer[numbers]
+        out = self.common[np.minimum(numbers, first - 1)]
+        rare = numbers >= first
+        out[rare] = rarer[numbers[rare] - first]
+        return out
+
+    def row(self, rarer: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> bytes:
+        """Sorted n-grams as bytes, with the hashes of the rarer words they use."""
+        first = len(self.common)
+        used = np.unique(np.concatenate([c[c >= first] for c in columns]))
+        columns = [np.where(c >= first, first + np.searchsorted(used, c), c) for c in columns]
+        parts = [rarer[used - first], np.diff(columns[0], prepend=0), *columns[1:], n, plain]
+        return zstandard.compress(b"".join(map(planes, parts)), 3)
+
+
+def common_words(docs: DataFrame, order: int) -> np.ndarray:
+    """Hashes of the most frequent words, markers included, by falling frequency (ties: by hash)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens = [], 0
+
+        def flush() -> pa.RecordBatch:
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+        for batch in batches:
+            held.append(marked_words(batch["text"].to_pylist(), order)[0])
+            tokens += len(held[-1])
+            if tokens >= HELD_TOKENS:
+                yield flush()
+                held, tokens = [], 0
+        if tokens:
+            yield flush()
+
+    counts = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(COMMON_WORDS).select("word").toArrow()
+    return top["word"].to_numpy().view(np.uint64)
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -134,60 +203,54 @@ def planes(values: np.ndarray) -> bytes:
     return struct.pack("<qb", len(wide), width) + wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def packed(distinct: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> bytes:
-    """Sorted n-grams as bytes, with the hashes of the words they use."""
-    used, numbers = np.unique(np.concatenate(columns), return_inverse=True)
-    first, *others = np.split(numbers, len(columns))
-    parts = [distinct[used], np.diff(first, prepend=0), *others, n, plain]
-    return zstandard.compress(b"".join(map(planes, parts)), 1)
-
-
 def unpacked(data: bytes) -> list[np.ndarray]:
-    """Hashes, columns, counts and plain counts."""
+    """Hashes of rarer words, columns, counts and plain counts."""
     raw, at, out = zstandard.decompress(data), 0, []
     while at < len(raw):
         count, width = struct.unpack_from("<qb", raw, at)
         at += 9
         wide = np.zeros((count, 8), np.uint8)
         wide[:, :width] = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count).T
-        out.append(wide.view("<u8")[:, 0])
+        values = wide.view("<u8")[:, 0]
+        out.append(values if len(out) == 0 else values.astype(np.int64 if width > 3 else np.int32))
         at += count * width
-    numbers = [a.astype(np.int64) for a in out[1:]]
-    return [out[0], np.cumsum(numbers[0]), *numbers[1:]]
+    return [out[0], np.cumsum(out[1]), *out[2:]]
 
 
-def deal(buckets: int, distinct: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> Iterator[pa.RecordBatch]:
+def deal(buckets: int, numbering: Numbering, rarer: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted counts as one row per bucket. Columns: the words before, nearest first, and the word."""
-    owner = context_hash([distinct[c] for c in columns[:-1] or columns])
+    owner = context_hash([numbering.hashes(rarer, c) for c in columns[:-1] or columns])
     bucket = (owner % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     for a, b in zip(bounds[:-1], bounds[1:]):
         own = order[a:b]
-        yield counts_row(int(bucket[own[0]]), data=packed(distinct, [c[own] for c in columns], n[own], plain[own]))
+        yield counts_row(int(bucket[own[0]]), data=numbering.row(rarer, [c[own] for c in columns], n[own], plain[own]))
 
 
 def counts_row(bucket: int, data: bytes | None = None, level: int | None = None, stats: list[int] | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((bucket, data, level, stats), COUNTS_SCHEMA)], schema=COUNTS_SCHEMA)
 
 
-def counted(docs: DataFrame, order: int, buckets: int) -> DataFrame:
+def counted(docs: DataFrame, order: int, buckets: int, common: Broadcast) -> DataFrame:
     """N-gram counts of the texts, summed within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbering = Numbering(common.value)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         tokens = places = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            distinct, numbers = np.unique(np.concatenate([flat for flat, _ in held]), return_inverse=True)
+            rarer, numbers = numbering.of_texts(np.concatenate([flat for flat, _ in held]))
             at = np.concatenate([at for _, at in held])
             held.clear()
-            distinct, columns = by_frequency(distinct, [*(numbers[at - j] for j in range(1, order)), numbers[at]])
-            rank, first = equal_rows(columns, len(distinct))
+            columns = [*(numbers[at - j] for j in range(1, order)), numbers[at]]
+            del at, numbers
+            rank, first = equal_rows(columns, len(numbering.common) + len(rarer))
             n = np.diff(first, append=len(rank))
             one = rank[first]
             del rank
-            yield from deal(buckets, distinct, [c[one] for c in columns], n, n)
+            yield from deal(buckets, numbering, rarer, [c[one] for c in columns], n, n)
 
         for batch in batches:
             flat, at, _ = marked_words(batch["text"].to_pylist(), order)
@@ -309,32 +372,33 @@ def file_name(level: int, bucket: int) -> str:
     return f"order{level}-{bucket:09d}"
 
 
-def merged(level: int, buckets: int, folder: str):
+def merged(level: int, buckets: int, folder: str, common: Broadcast):
     """Sum a bucket's counts of this order, write its file, and count for the next shorter order."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         parts = [unpacked(data) for data in group["data"].to_pylist()]
-        distinct, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        own = np.split(number, np.cumsum([len(p[0]) for p in parts])[:-1])
-        columns = [np.concatenate([to[p[j]] for p, to in zip(parts, own)]) for j in range(1, level + 1)]
+        numbering = Numbering(common.value)
+        rarer, joined = numbering.of_rows([p[0] for p in parts], [np.concatenate(p[1 : level + 1]) for p in parts])
+        cut = [np.split(column, level) for column in joined]
+        columns = [np.concatenate([c[j] for c in cut]) for j in range(level)]
         n, plain = (np.concatenate([p[j] for p in parts]) for j in (level + 1, level + 2))
-        del parts
-        distinct, columns = by_frequency(distinct, columns)
-        order, first = equal_rows(columns, len(distinct))
-        n, plain = np.add.reduceat(n[order], first), np.add.reduceat(plain[order], first)
+        del parts, joined, cut
+        size = len(numbering.common) + len(rarer)
+        order, first = equal_rows(columns, size)
+        n, plain = np.add.reduceat(n[order], first, dtype=np.int64), np.add.reduceat(plain[order], first, dtype=np.int64)
         columns = [c[order[first]] for c in columns]
-        word = distinct[columns[-1]]
+        word = numbering.hashes(rarer, columns[-1])
         if level == 1:
             order = np.argsort(word)
             data = b"".join(section(a[order].astype(kind)) for a, kind in zip((word, n, plain), HashFile.KINDS[1]))
             rows = []
         else:
-            data = longer_file(context_hash([distinct[c] for c in columns[:-1]]), word, n)
+            data = longer_file(context_hash([numbering.hashes(rarer, c) for c in columns[:-1]]), word, n)
             shorter = [*columns[: level - 2], columns[-1]]
-            order, first = equal_rows(shorter, len(distinct))
+            order, first = equal_rows(shorter, size)
             seen = np.diff(first, append=len(order))
-            rows = list(deal(buckets, distinct, [c[order[first]] for c in shorter], seen, np.add.reduceat(plain[order], first)))
+            rows = list(deal(buckets, numbering, rarer, [c[order[first]] for c in shorter], seen, np.add.reduceat(plain[order], first)))
         write_once(folder, file_name(level, bucket), data)
         stats = [*((n == c).sum() for c in (1, 2, 3, 4)), len(n), n.sum(), plain.sum()]
         return pa.Table.from_batches([*rows, counts_row(bucket, level=level, stats=[int(v) for v in stats])], COUNTS_SCHEMA)
@@ -373,12 +437,14 @@ def train(docs: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     folder = shared_path(spark, "language-model")
-    rows, sums = counted(docs, order, buckets), {}
+    common = spark.sparkContext.broadcast(common_words(docs, order))
+    rows, sums = counted(docs, order, buckets, common), {}
     for level in range(order, 0, -1):
         spread = rows.filter("data is not null").repartition(min(buckets, MERGE_TASKS), "bucket")
-        rows = stored(spread.groupBy("bucket").applyInArrow(merged(level, buckets, folder), COUNTS_DDL), "language-model-counts")
+        rows = stored(spread.groupBy("bucket").applyInArrow(merged(level, buckets, folder, common), COUNTS_DDL), "language-model-counts")
         of_corpus = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(7)]
         sums[level] = np.array(rows.filter("stats is not null").agg(*of_corpus).first(), np.int64)
+    common.destroy()
     one, two, _, _, vocabulary, total, tokens = sums[1].tolist()
     return Model(
         buckets,
@@ -392,9 +458,20 @@ def train(docs: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES)
     )
 
 
-@lru_cache(maxsize=4096)
-def hash_file(path: str, level: int) -> HashFile | None:
-    return HashFile(path, level) if file_exists(path) else None
+@lru_cache(maxsize=1)
+def mapped(folder: str) -> dict[tuple[int, int], HashFile | None]:
+    """The open files of one model; those of another are let go."""
+    return {}
+
+
+def hash_file(folder: str, level: int, bucket: int) -> HashFile | None:
+    files, key = mapped(folder), (level, bucket)
+    if key not in files:
+        if len(files) >= OPEN_FILES:
+            files.clear()
+        path = f"{folder}/{file_name(level, bucket)}"
+        files[key] = HashFile(path, level) if file_exists(path) else None
+    return files[key]
 
 
 def by_bucket(model: Model, level: int, key: np.ndarray) -> Iterator[tuple[HashFile, np.ndarray]]:
@@ -404,7 +481,7 @@ def by_bucket(model: Model, level: int, key: np.ndarray) -> Iterator[tuple[HashF
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(model.buckets + 1))
     for number in np.flatnonzero(np.diff(bounds)):
-        file = hash_file(f"{model.folder}/{file_name(level, int(number))}", level)
+        file = hash_file(model.folder, level, int(number))
         if file:
             yield file, order[bounds[number] : bounds[number + 1]]
 
