@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings as hyp
 from hypothesis import strategies as st
@@ -555,3 +556,19 @@ def test_coded_clusters_are_pruned_and_rescored(spark, tmp_path):
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*cluster", plan)
     assert len({r[0] for r in seen[0].select("cluster").distinct().collect()}) == 1
+
+
+def test_bounded_scorer_looks_at_every_row_once_for_its_floor():
+    """The k-th best score so far comes from the k best rows kept, not from all rows before."""
+    rng = np.random.default_rng(5)
+    rows, pivots = rng.normal(size=(3000, 8)), np.eye(8)[:4]
+    scorer = V.BoundedScorer(rows[:3], pivots)
+    scorer.k, seen, best = 5, [], scorer._best
+    scorer._best = lambda scores: (seen.append(len(scores)), best(scores))[1]
+    heads, tails = V._heads(rows, pivots)
+    lists = [pa.array(x.tolist(), pa.list_(pa.float64())) for x in (rows, heads)]
+    batch = pa.RecordBatch.from_arrays([*lists, pa.array(tails)], names=["embedding", "head", "tail"])
+    [(_, scores)] = list(scorer(batch, np.full(3, -np.inf)))
+    assert np.allclose(np.sort(scores, axis=0)[-5:], np.sort(-V.squared_l2(rows, rows[:3]), axis=0)[-5:])
+    assert scorer.measured < 0.8 * scorer.pairs
+    assert sum(seen) < 3 * len(rows)

@@ -189,6 +189,7 @@ class BoundedScorer:
             own = slice(start, start + len(group))
             least = floor[own].copy()
             scores = np.full((len(vectors), len(group)), -np.inf)
+            best = np.full((0, len(group)), -np.inf)  # the k best scores of the steps so far
             for low in range(0, len(vectors), step):
                 part = slice(low, low + step)
                 bound = squared_l2(heads[part], self.heads[own]) + (tails[part, None] - self.tails[None, own]) ** 2
@@ -203,13 +204,18 @@ class BoundedScorer:
                     dots = np.einsum("ij,ij->i", x, y)
                     found[row, query] = -np.maximum((x**2).sum(axis=1) + (y**2).sum(axis=1) - 2 * dots, 0.0)
                 if low + step < len(vectors):
-                    least = np.maximum(least, self._kth(scores[: low + step]))
+                    best = self._best(np.concatenate([best, found]))
+                    least = np.maximum(least, self._kth(best))
             yield start, scores
 
-    def _kth(self, scores: np.ndarray) -> np.ndarray:
-        """The k-th best score so far, minus infinity with fewer rows."""
+    def _best(self, scores: np.ndarray) -> np.ndarray:
+        """The k best scores of every query, all with fewer rows."""
         n = len(scores)
-        return np.partition(scores, n - self.k, axis=0)[n - self.k] if n >= self.k else np.full(scores.shape[1], -np.inf)
+        return np.partition(scores, n - self.k, axis=0)[n - self.k :] if n > self.k else scores
+
+    def _kth(self, scores: np.ndarray) -> np.ndarray:
+        """The k-th best score, minus infinity with fewer rows."""
+        return self._best(scores).min(axis=0) if len(scores) >= self.k else np.full(scores.shape[1], -np.inf)
 
     k = 1
 
