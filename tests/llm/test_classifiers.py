@@ -11,6 +11,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from thermolake.llm import quality, toxicity
+from thermolake.llm.common import labelled_parts
 from thermolake.llm.queries import known_labels, op2_toxicity, op7_quality
 
 SF = "/root/testdata/sf0.1"
@@ -198,3 +199,23 @@ def test_compressed_sizes_block_by_block():
         blocks = [data[i : i + quality.BLOCK_BYTES] for i in range(0, len(data), quality.BLOCK_BYTES)]
         g, b = (sum(size(d, block) for block in blocks) for d in (good, bad))
         assert found == pytest.approx(2 * (b - g) / (g + b) if blocks else 0.0)
+
+
+def test_all_labelled_texts_take_part(spark):
+    """More than a task fits on, in parts of bounded size; each text is in one of them."""
+    rows = [(i, f"text {i}", "en", i % 2) for i in range(9_000)]
+    frame = spark.createDataFrame(rows, LABELLED)
+    counts, found, parts = labelled_parts(frame.drop("label"), frame.select("doc_id", "label"), 1_000)
+    sizes = [r["count"] for r in found.groupBy("part").count().collect()]
+    assert counts == {0: 4_500, 1: 4_500} and parts == 9
+    assert sum(sizes) == 9_000 and len(sizes) == 9 and max(sizes) < 1_300
+
+
+@pytest.mark.parametrize("fit", [quality.fit, toxicity.fit])
+def test_several_parts_make_one_model(spark, fit):
+    """A word that only some parts have is learned all the same."""
+    frame = spark.createDataFrame(rows_of(600), LABELLED)
+    model = fit(frame.drop("label"), frame.select("doc_id", "label"), per_part=150)
+    rows = rows_of(900)[600:]
+    scores = np.array(model.score([row[1] for row in rows]))
+    assert auc(scores, np.array([row[3] for row in rows])) > (0.99 if fit is toxicity.fit else 0.5)

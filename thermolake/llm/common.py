@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermolake.session import checkpoint_dir
@@ -145,25 +146,31 @@ def word_table(texts: list[str | None] | pa.Array) -> WordTable:
     return WordTable(distinct, codes[real], before[ends[1:]] - before[ends[:-1]])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[dict[int, int], list[Row]]:
-    """Numbers of all documents with label 0 and 1, and up to ``per_label`` documents of each.
+# Labelled texts that one task fits on.
+TEXTS_PER_PART = 4_096
 
-    ``labels`` has (doc_id, label). Only ids are joined and ordered (by a hash); the texts of the
-    chosen ones, a bounded number, are then picked out of the documents without a shuffle. Rows
-    come in that order, label 0 first; a null text has no part.
+
+def labelled_parts(docs: DataFrame, labels: DataFrame, per_part: int) -> tuple[dict[int, int], DataFrame, int]:
+    """Numbers of documents with label 0 and 1, and all of these documents with their ``label`` and the
+    ``part`` that they belong to, by a hash of id and text; and the number of parts of about ``per_part``.
+
+    ``labels`` has (doc_id, label). A null text has no part.
     """
     named = docs.filter("text is not null")
-    known = labels.filter("label in (0, 1)").select("doc_id", "label").join(named.select("doc_id"), "doc_id")
-    known = stored(known, "labelled")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    order = F.xxhash64("doc_id")
-    chosen = [
-        known.filter(F.col("label") == label).distinct().withColumn("place", order).orderBy("place", "doc_id").limit(per_label)
-        for label in (0, 1)
-    ]
-    picked = stored(chosen[0].unionByName(chosen[1]), "picked")
-    rows = named.join(F.broadcast(picked), "doc_id").collect()  # at most 2 * per_label ids
-    return counts, sorted(rows, key=lambda r: (r["label"], r["place"], r["doc_id"], r["text"]))
+    known = labels.filter("label in (0, 1)").select("doc_id", "label")
+    # Repeated labels count, but show a text once.
+    known = known.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times"))
+    rows = stored(named.join(known, "doc_id"), "labelled")
+    found = rows.groupBy("label").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    parts = max(1, math.ceil(sum(r["rows"] for r in found) / per_part))
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(parts)).cast("int")
+    return {r["label"]: r["n"] for r in found}, rows.withColumn("part", part), parts
+
+
+def in_order(part: pa.Table) -> pa.Table:
+    """Rows of a part by label, then by a hash of the id."""
+    keys = pa.array([xxhash.xxh3_64_intdigest(str(i)) for i in part["doc_id"].to_pylist()], pa.uint64())
+    return part.append_column("place", keys).sort_by([(c, "ascending") for c in ("label", "place", "doc_id", "text")])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,8 +6,9 @@ would only help at its start), and
 
     x = (bytes with the bad dictionary - bytes with the good one) / half their sum
 
-becomes a probability by a logistic curve. The dictionaries come from one half of the fitting
-sample, the curve from the other, weighted to the true numbers of good and bad labels.
+becomes a probability by a logistic curve. The dictionaries come from one half of the labelled
+texts, the curve from the other, weighted to the true numbers of good and bad labels. All labelled
+texts take part: tasks make dictionaries of bounded parts, and of these the next ones.
 
 Defined cases: null and empty texts have x = 0; rows with a null label or text are not learned
 from; without labels of both kinds every text scores the share of label 1 (0.5 without any);
@@ -21,14 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import labelled_sample, prepare
+from thermolake.llm.common import TEXTS_PER_PART, in_order, labelled_parts, prepare, stored
 
-# Fitting sample: at most so many labelled texts of either kind, by a hash of the id.
-SAMPLE_PER_LABEL = 3_000
+# Dictionaries of parts that one is made of.
+MERGED = 16
+# Steps of a measure that the curve tells apart, in a unit.
+CELLS = 1 << 12
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 512
 LEVEL = 3
@@ -90,7 +94,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50)
 
 
 def dictionary(texts: list[str], size: int = DICTIONARY_BYTES) -> bytes:
-    samples = [block for text in texts for block in blocks(text)]
+    return dictionary_of([block for text in texts for block in blocks(text)], size)
+
+
+def dictionary_of(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
     size = min(size, sum(map(len, samples)) // 4)
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -98,20 +105,60 @@ def dictionary(texts: list[str], size: int = DICTIONARY_BYTES) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> QualityModel:
-    """Fit on documents with rows (doc_id, label): counts over all, texts of a bounded sample."""
-    counts, rows = labelled_sample(docs.select("doc_id", "text"), labels, per_label)
+def halves(part: pa.Table, label: int) -> tuple[list[str], list[str]]:
+    """Texts of a label that make the dictionary, and those that make the curve."""
+    own = in_order(part)
+    texts = own.filter(pc.equal(own["label"], label))["text"].to_pylist()
+    return texts[::2], texts[1::2]
+
+
+def dictionaries(rows: DataFrame, parts: int) -> dict[int, bytes]:
+    """A dictionary per label: one from each part's texts, then from those of up to ``MERGED`` parts one,
+    until one is left."""
+
+    def first(part: pa.Table) -> pa.Table:
+        return pa.table({"label": [0, 1], "part": [part["part"][0].as_py()] * 2, "data": [dictionary(halves(part, x)[0]) for x in (0, 1)]})
+
+    def merged(some: pa.Table) -> pa.Table:
+        some = some.sort_by("part")
+        data = some["data"].to_pylist()
+        samples = [d[at : at + BLOCK_BYTES] for d in data for at in range(0, len(d), BLOCK_BYTES)]
+        data = dictionary_of(samples) if len(data) > 1 else data[0]
+        return pa.table({"label": some["label"][:1], "part": some["part"][:1], "data": [data]})
+
+    ddl = "label bigint, part bigint, data binary"
+    made = stored(rows.groupBy("part").applyInArrow(lambda t: first(t), ddl), "dictionaries")
+    step = 1
+    while step < parts:
+        step *= MERGED
+        group = (F.col("part") / step).cast("bigint")
+        made = stored(made.groupBy("label", group).applyInArrow(lambda t: merged(t), ddl), "dictionaries")
+    return {r["label"]: bytes(r["data"]) for r in made.collect()}  # two rows
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_part: int = TEXTS_PER_PART) -> QualityModel:
+    """Fit on all documents with rows (doc_id, label), part by part."""
+    counts, rows, parts = labelled_parts(docs.select("doc_id", "text"), labels, per_part)
     total = sum(counts.values())
-    sample = {label: [r["text"] for r in rows if r["label"] == label] for label in (0, 1)}
-    if min(map(len, sample.values())) < 2:
+    if min(counts.get(0, 0), counts.get(1, 0)) < 2:
         share = counts.get(1, 0) / total if total else 0.5
         return QualityModel(b"", b"", 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    good, bad = (dictionary(sample[label][::2]) for label in (1, 0))
-    held = [(text, label) for label in (0, 1) for text in sample[label][1::2]]
-    y = np.array([label for _, label in held], float)
-    weight = np.where(y == 1, counts[1] / max(1, y.sum()), counts[0] / max(1, (1 - y).sum())) / total
-    slope, intercept = logistic(measure(good, bad, [text for text, _ in held]), y, weight * len(y))
-    return QualityModel(good, bad, slope, intercept)
+    made = dictionaries(rows, parts)
+    shared = docs.sparkSession.sparkContext.broadcast((made[1], made[0]))
+
+    def measured(part: pa.Table) -> pa.Table:
+        found = [(label, measure(*shared.value, halves(part, label)[1])) for label in (0, 1)]
+        cells = np.concatenate([np.rint(x * CELLS) for _, x in found]).astype(np.int64)
+        return pa.table({"label": np.concatenate([np.full(len(x), y) for y, x in found]), "cell": cells})
+
+    # A row per cell of measures between -2 and 2 and label.
+    cells = rows.groupBy("part").applyInArrow(lambda t: measured(t), "label bigint, cell bigint")
+    found = cells.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n")).orderBy("label", "cell").toArrow()
+    shared.destroy()
+    x, y, n = found["cell"].to_numpy() / CELLS, found["label"].to_numpy().astype(float), found["n"].to_numpy()
+    weight = n * np.where(y == 1, counts[1] / max(1, (n * y).sum()), counts[0] / max(1, (n * (1 - y)).sum())) / total
+    slope, intercept = logistic(x, y, weight * n.sum())
+    return QualityModel(made[1], made[0], slope, intercept)
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -2,8 +2,10 @@
 
 A word (a run of letters and digits, lower-cased) has the sum of two hashed embeddings, so that
 words share a vector only if both hashes agree. Embeddings start from the evidence of their buckets. Filters of several widths run over the whole text,
-each keeps its largest value (max pooling), and a linear layer gives a logit. A logistic curve,
-fitted on labelled texts that the network did not learn from and weighted to the true numbers of
+each keeps its largest value (max pooling), and a linear layer gives a logit. All labelled texts
+are used, in parts that a task trains on: it starts from the common network, and what parts learned
+is averaged, an embedding over the parts that have its words. A quarter of each part is kept for
+calibration. A logistic curve, fitted on labelled texts that the network did not learn from and weighted to the true numbers of
 labels, turns it into a probability.
 
 Thresholds for rejecting are calibrated per language on the same texts: the lowest score at which
@@ -26,20 +28,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import labelled_sample, prepare, word_hashes, word_table
+from thermolake.llm.common import TEXTS_PER_PART, in_order, labelled_parts, prepare, stored, word_hashes, word_table
 from thermolake.llm.quality import logistic
 
-# Fitting sample: at most so many labelled texts of either kind, by a hash of the id. A
-# quarter of them calibrates.
-SAMPLE_PER_LABEL = 3_000
 BUCKETS = 1 << 17
 DIMENSIONS = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 EPOCHS = 6
+# Averages over the networks of several parts.
+ROUNDS = 3
+# Tasks that average them, and steps of a logit that the calibration tells apart, in a unit.
+AVERAGING = 32
+CELLS = 1 << 10
 BATCH = 32
 RATE = 0.01
 # Word positions convolved at a time.
@@ -49,7 +54,7 @@ PRECISION = 0.97
 LEAST_EXAMPLES = 25
 
 GAP = max(WIDTHS) - 1
-# Texts of the sample hashed at a time.
+# Texts of a part hashed at a time.
 PART = 256
 
 
@@ -93,6 +98,16 @@ def hashed(texts: list[str | None]) -> Words:
     return Words(table[place], starts, counts)
 
 
+def evidence(words: Words, labels: np.ndarray) -> np.ndarray:
+    """Texts of label 0 and 1 that have each bucket, counted once per bucket of a word's pair."""
+    seen = np.zeros((2, BUCKETS))
+    for start, count, label in zip(words.starts, words.counts, labels):
+        for pair in (0, 1):
+            bucket = np.unique(words.pairs[start : start + count, pair])
+            seen[int(label), bucket[bucket >= 0]] += 1
+    return seen
+
+
 @dataclass
 class Network:
     embedding: np.ndarray
@@ -105,6 +120,11 @@ class Network:
     def fresh(cls, words: Words, labels: np.ndarray, seed: int) -> Network:
         """Random weights, save that dimension 0 of an embedding starts from its bucket's evidence:
         the log-odds that texts with it are toxic, less two standard errors, if that is positive."""
+        return cls.starting(evidence(words, labels), labels, seed)
+
+    @classmethod
+    def starting(cls, seen: np.ndarray, labels: np.ndarray, seed: int) -> Network:
+        """``fresh`` from the numbers of texts with each bucket, by label."""
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
         net = cls(
@@ -114,21 +134,23 @@ class Network:
             draw(FILTERS * len(WIDTHS), scale=0.3),
             0.0,
         )
-        seen = np.zeros((2, BUCKETS))
-        for start, count, label in zip(words.starts, words.counts, labels):
-            for pair in (0, 1):
-                bucket = np.unique(words.pairs[start : start + count, pair])
-                seen[int(label), bucket[bucket >= 0]] += 1
         totals = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
         odds = np.log((seen + 0.5) / (totals + 1))
-        evidence = odds[1] - odds[0] - 2 * np.sqrt(1 / (seen[0] + 0.5) + 1 / (seen[1] + 0.5))
-        net.embedding[:-1, 0] = np.maximum(evidence, 0)
+        sure = odds[1] - odds[0] - 2 * np.sqrt(1 / (seen[0] + 0.5) + 1 / (seen[1] + 0.5))
+        net.embedding[:-1, 0] = np.maximum(sure, 0)
         net.embedding[-1] = 0  # the empty place, where -1 points
         for filters in net.filters:
             filters[0] = np.abs(filters[0])
         net.weights[:] = np.abs(net.weights)
         return net
 
+    @property
+    def dense(self) -> list[np.ndarray]:
+        return [*self.filters, *self.biases, self.weights]
+
+    def copy(self) -> Network:
+        return Network(self.embedding.copy(), [f.copy() for f in self.filters], [b.copy() for b in self.biases], self.weights.copy(), self.bias)
+
     def vectors(self, pairs: np.ndarray) -> np.ndarray:
         return self.embedding[pairs[:, 0]] + self.embedding[pairs[:, 1]]
 
@@ -170,9 +192,10 @@ class Adam:
         value[rows] -= RATE * self.m[rows] / (np.sqrt(self.v[rows]) + 1e-6)
 
 
-def train(words: Words, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Network:
-    """Mini-batches with the labels weighted to balance; only pooled places carry a gradient."""
-    net, rng = Network.fresh(words, labels, seed), np.random.default_rng(seed)
+def train(words: Words, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1, net: Network | None = None) -> Network:
+    """Mini-batches with the labels weighted to balance; only pooled places carry a gradient. A given
+    network is trained further, in place."""
+    net, rng = net or Network.fresh(words, labels, seed), np.random.default_rng(seed)
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
     parts = [net.embedding, *net.filters, *net.biases, net.weights]
     moments = [Adam(p.shape) for p in parts]
@@ -247,46 +270,138 @@ def lowest_threshold(
     return float(scores[good[-1]] + np.append(scores, 0)[good[-1] + 1]) / 2 if len(good) else 1.1
 
 
-def thresholds(scores: np.ndarray, toxic: np.ndarray, weight: np.ndarray, langs: np.ndarray) -> tuple[float, dict[str, float]]:
-    """The threshold of all languages, and those of languages that have one of their own."""
+def thresholds(
+    scores: np.ndarray, toxic: np.ndarray, weight: np.ndarray, langs: np.ndarray, texts: np.ndarray | float = 1.0
+) -> tuple[float, dict[str, float]]:
+    """The threshold of all languages, and those of languages that have one of their own. A row stands
+    for so many ``texts``; ``weight`` is that of all of them."""
     pooled, by_language = lowest_threshold(scores, toxic, weight), {}
     order = np.argsort(scores, kind="stable")
     above = lambda values: np.cumsum(values[order][::-1])[::-1]
     precision = above(toxic * weight) / above(weight)
     # Precision of all texts that score as much as each text or more.
     prior = precision[np.searchsorted(scores[order], scores, side="left")]
-    strength = weight.max() / (1 - PRECISION)
+    strength = (weight / texts).max() / (1 - PRECISION)
+    examples = [label * texts for label in (1 - toxic, toxic)]
     for lang in {x for x in langs if x is not None}:
         own = langs == lang
-        if toxic[own].sum() >= LEAST_EXAMPLES and (1 - toxic[own]).sum() >= LEAST_EXAMPLES:
+        if min(n[own].sum() for n in examples) >= LEAST_EXAMPLES:
             found = lowest_threshold(scores[own], toxic[own], weight[own], prior[own], strength)
             if found <= 1:
                 by_language[lang] = found
     return pooled, by_language
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, epochs: int = EPOCHS) -> ToxicityModel:
-    """Fit on documents (doc_id, text, lang) with rows (doc_id, label): counts over all, texts of a
-    bounded sample."""
-    counts, rows = labelled_sample(docs.select("doc_id", "text", "lang"), labels, per_label)
+@dataclass
+class Part:
+    """The labelled texts of one part: three quarters to train on, one to calibrate with."""
+
+    words: Words
+    labels: np.ndarray
+    langs: np.ndarray
+    held: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> Part:
+        rows = in_order(rows)
+        labels = rows["label"].to_numpy().astype(float)
+        langs = np.array(rows["lang"].to_pylist(), object)
+        return cls(Words.hashed(rows["text"].to_pylist()), labels, langs, np.arange(len(labels)) % 4 == 3)
+
+    def learned(self) -> tuple[Words, np.ndarray]:
+        return self.words.of(np.flatnonzero(~self.held)), self.labels[~self.held]
+
+
+def start(rows: DataFrame, seed: int = 1) -> Network:
+    """The network before training, from the evidence of all parts."""
+
+    def count(part: pa.Table) -> pa.Table:
+        words, labels = Part.of(part).learned()
+        seen = np.concatenate([evidence(words, labels), np.zeros((2, 1))], axis=1)
+        seen[:, -1] = (labels == 0).sum(), (labels == 1).sum()
+        label, bucket = np.nonzero(seen)
+        return pa.table({"label": label, "bucket": bucket, "n": seen[label, bucket].astype(np.int64)})
+
+    ddl = "label bigint, bucket bigint, n bigint"
+    counted = rows.groupBy("part").applyInArrow(lambda t: count(t), ddl).groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    found, seen = counted.toArrow(), np.zeros((2, BUCKETS + 1))  # at most a row per cell of ``seen``
+    seen[found["label"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
+    return Network.starting(seen[:, :-1], np.repeat([0, 1], seen[:, -1].astype(np.int64)), seed)
+
+
+def trained(rows: DataFrame, net: Network, epochs: int) -> Network:
+    """One round: every part trains a copy of the network, and what they change is averaged."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(part: pa.Table) -> pa.Table:
+        before, number = shared.value, part["part"][0].as_py()
+        after = train(*Part.of(part).learned(), epochs, 1 + number, before.copy())
+        touched = np.flatnonzero((after.embedding != before.embedding).any(axis=1))
+        dense = np.concatenate([p.ravel() for p in after.dense] + [[after.bias]])
+        values = [v.tobytes() for v in after.embedding[touched].astype(np.float64)] + [dense.astype(np.float64).tobytes()]
+        return pa.table({"part": np.full(len(values), number), "place": np.append(touched, -1), "value": values})
+
+    def mean(some: pa.Table) -> pa.Table:
+        some = some.sort_by([("place", "ascending"), ("part", "ascending")])
+        place, first, n = np.unique(some["place"].to_numpy(), return_index=True, return_counts=True)
+        data, values = some["value"].to_pylist(), []
+        for at, size in zip(first.tolist(), n.tolist()):
+            values.append((sum(np.frombuffer(d) for d in data[at : at + size]) / size).tobytes())
+        return pa.table({"place": place, "value": values})
+
+    made = rows.groupBy("part").applyInArrow(lambda t: run(t), "part bigint, place bigint, value binary")
+    found = made.groupBy(F.pmod("place", F.lit(AVERAGING))).applyInArrow(lambda t: mean(t), "place bigint, value binary").toArrow()
+    shared.destroy()
+    net = net.copy()
+    for place, value in zip(found["place"].to_pylist(), found["value"].to_pylist()):  # a row per bucket at most
+        value = np.frombuffer(value)
+        if place >= 0:
+            net.embedding[place] = value
+            continue
+        for part in net.dense:
+            part[...], value = value[: part.size].reshape(part.shape), value[part.size :]
+        net.bias = float(value[0])
+    return net
+
+
+def calibration(rows: DataFrame, net: Network) -> pa.Table:
+    """(lang, label, cell, n): held texts of all parts by rounded logit; only languages with enough
+    examples are told apart."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(part: pa.Table) -> pa.Table:
+        part = Part.of(part)
+        at = np.flatnonzero(part.held)
+        cells = np.rint(shared.value.logits(part.words.of(at)).astype(float) * CELLS).astype(np.int64) if len(at) else at
+        return pa.table({"lang": pa.array(part.langs[at].tolist(), pa.string()), "label": part.labels[at].astype(np.int64), "cell": cells})
+
+    held = stored(rows.groupBy("part").applyInArrow(lambda t: run(t), "lang string, label bigint, cell bigint"), "held")
+    shared.destroy()
+    enough = held.groupBy("lang").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    enough = enough.filter(f"toxic >= {LEAST_EXAMPLES} AND n - toxic >= {LEAST_EXAMPLES}").select("lang", F.lit(True).alias("enough"))
+    lang = F.when(F.col("enough"), F.col("lang")).alias("lang")
+    cells = held.join(enough, "lang", "left").groupBy(lang, "label", "cell").agg(F.count(F.lit(1)).alias("n"))
+    return cells.orderBy("label", "cell", "lang").toArrow()
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_part: int = TEXTS_PER_PART, epochs: int = EPOCHS) -> ToxicityModel:
+    """Fit on all documents (doc_id, text, lang) with rows (doc_id, label), part by part."""
+    counts, rows, parts = labelled_parts(docs.select("doc_id", "text", "lang"), labels, per_part)
     total = sum(counts.values())
-    texts, labels, langs = ([r[c] for r in rows] for c in ("text", "label", "lang"))
-    del rows
-    labels, langs = np.array(labels, float), np.array(langs, object)
     if min(counts.get(0, 0), counts.get(1, 0)) < 4:
         share = counts.get(1, 0) / total if total else 0.0
         return ToxicityModel(None, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    held = np.arange(len(labels)) % 4 == 3
-    words = Words.hashed(texts)
-    del texts
-    net = train(words.of(np.flatnonzero(~held)), labels[~held], epochs)
-    logits = net.logits(words.of(np.flatnonzero(held))).astype(float)
-    y, langs = labels[held], langs[held]
-    weight = np.where(y == 1, counts[1] / max(1, y.sum()), counts[0] / max(1, (1 - y).sum())) / total * len(y)
+    net, rounds = start(rows), 1 if parts == 1 else ROUNDS
+    for _ in range(rounds):
+        net = trained(rows, net, max(1, epochs // rounds))
+    held = calibration(rows, net)
+    logits, y, n = held["cell"].to_numpy() / CELLS, held["label"].to_numpy().astype(float), held["n"].to_numpy()
+    langs = np.array(held["lang"].to_pylist(), object)
+    weight = n * np.where(y == 1, counts[1] / max(1, (n * y).sum()), counts[0] / max(1, (n * (1 - y)).sum())) / total * n.sum()
     slope, intercept = logistic(logits, y, weight)
     model = ToxicityModel(net, slope, intercept)
     scores = 1 / (1 + np.exp(-np.clip(slope * logits + intercept, -30, 30)))
-    model.threshold, model.by_language = thresholds(scores, y, weight, langs)
+    model.threshold, model.by_language = thresholds(scores, y, weight, langs, n)
     return model
 
 
