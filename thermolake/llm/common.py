@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -159,14 +160,31 @@ def labelled_parts(docs: DataFrame, labels: DataFrame, per_part: int) -> tuple[d
     named = docs.filter("text is not null")
     known = labels.filter("label in (0, 1)").select("doc_id", "label")
     # Repeated labels count, but show a text once.
-    known = known.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times"))
+    # Written first, so that Spark knows their size and leaves the texts in place if it can.
+    known = stored(known.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times")), "known")
     rows = stored(named.join(known, "doc_id"), "labelled")
     found = rows.groupBy("label").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     parts = max(1, math.ceil(sum(r["rows"] for r in found) / per_part))
-    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(parts)).cast("int")
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(parts)).cast("bigint")
     return {r["label"]: r["n"] for r in found}, rows.withColumn("part", part), parts
 
 
+def packed(rows: DataFrame, make: Callable[[pa.Table], pa.Table], ddl: str) -> DataFrame:
+    """One stored row per part, so that later passes over the parts shuffle nothing."""
+    return stored(rows.groupBy("part").applyInArrow(lambda t: make(t), ddl), "packed")
+
+
+def each_part(parts: DataFrame, run: Callable[[dict], pa.Table], ddl: str) -> DataFrame:
+    """What ``run`` makes of every packed part."""
+
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                yield from run(batch.slice(at, 1).to_pylist()[0]).to_batches()
+
+    return parts.mapInArrow(parts_of, ddl)
+
+
 def in_order(part: pa.Table) -> pa.Table:
     """Rows of a part by label, then by a hash of the id."""
     keys = pa.array([xxhash.xxh3_64_intdigest(str(i)) for i in part["doc_id"].to_pylist()], pa.uint64())

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import TEXTS_PER_PART, in_order, labelled_parts, prepare, stored
+from thermolake.llm.common import TEXTS_PER_PART, each_part, in_order, labelled_parts, packed, prepare, stored
 
 # Dictionaries of parts that one is made of.
 MERGED = 16
@@ -105,19 +105,22 @@ def dictionary_of(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def halves(part: pa.Table, label: int) -> tuple[list[str], list[str]]:
-    """Texts of a label that make the dictionary, and those that make the curve."""
+PACKED = "part bigint, bad array<string>, good array<string>"
+
+
+def pack(part: pa.Table) -> pa.Table:
+    """A part's texts by label: every other one makes the dictionary, the rest the curve."""
     own = in_order(part)
-    texts = own.filter(pc.equal(own["label"], label))["text"].to_pylist()
-    return texts[::2], texts[1::2]
+    texts = [own.filter(pc.equal(own["label"], label))["text"].to_pylist() for label in (0, 1)]
+    return pa.table({"part": part["part"][:1], "bad": pa.array([texts[0]], pa.list_(pa.string())), "good": pa.array([texts[1]], pa.list_(pa.string()))})
 
 
 def dictionaries(rows: DataFrame, parts: int) -> dict[int, bytes]:
     """A dictionary per label: one from each part's texts, then from those of up to ``MERGED`` parts one,
     until one is left."""
 
-    def first(part: pa.Table) -> pa.Table:
-        return pa.table({"label": [0, 1], "part": [part["part"][0].as_py()] * 2, "data": [dictionary(halves(part, x)[0]) for x in (0, 1)]})
+    def first(part: dict) -> pa.Table:
+        return pa.table({"label": [0, 1], "part": [part["part"]] * 2, "data": [dictionary(part[x][::2]) for x in ("bad", "good")]})
 
     def merged(some: pa.Table) -> pa.Table:
         some = some.sort_by("part")
@@ -127,7 +130,7 @@ def dictionaries(rows: DataFrame, parts: int) -> dict[int, bytes]:
         return pa.table({"label": some["label"][:1], "part": some["part"][:1], "data": [data]})
 
     ddl = "label bigint, part bigint, data binary"
-    made = stored(rows.groupBy("part").applyInArrow(lambda t: first(t), ddl), "dictionaries")
+    made = stored(each_part(rows, first, ddl), "dictionaries")
     step = 1
     while step < parts:
         step *= MERGED
@@ -143,16 +146,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_part: int = TEXTS_PER_PART) -> Q
     if min(counts.get(0, 0), counts.get(1, 0)) < 2:
         share = counts.get(1, 0) / total if total else 0.5
         return QualityModel(b"", b"", 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
+    rows = packed(rows, pack, PACKED)
     made = dictionaries(rows, parts)
     shared = docs.sparkSession.sparkContext.broadcast((made[1], made[0]))
 
-    def measured(part: pa.Table) -> pa.Table:
-        found = [(label, measure(*shared.value, halves(part, label)[1])) for label in (0, 1)]
+    def measured(part: dict) -> pa.Table:
+        found = [(label, measure(*shared.value, part[x][1::2])) for label, x in enumerate(("bad", "good"))]
         cells = np.concatenate([np.rint(x * CELLS) for _, x in found]).astype(np.int64)
         return pa.table({"label": np.concatenate([np.full(len(x), y) for y, x in found]), "cell": cells})
 
     # A row per cell of measures between -2 and 2 and label.
-    cells = rows.groupBy("part").applyInArrow(lambda t: measured(t), "label bigint, cell bigint")
+    cells = each_part(rows, measured, "label bigint, cell bigint")
     found = cells.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n")).orderBy("label", "cell").toArrow()
     shared.destroy()
     x, y, n = found["cell"].to_numpy() / CELLS, found["label"].to_numpy().astype(float), found["n"].to_numpy()

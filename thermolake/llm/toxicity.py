@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import TEXTS_PER_PART, in_order, labelled_parts, prepare, stored, word_hashes, word_table
+from thermolake.llm.common import TEXTS_PER_PART, each_part, in_order, labelled_parts, packed, prepare, stored, word_hashes, word_table
 from thermolake.llm.quality import logistic
 
 BUCKETS = 1 << 17
@@ -301,12 +301,23 @@ class Part:
     langs: np.ndarray
     held: np.ndarray
 
-    @classmethod
-    def of(cls, rows: pa.Table) -> Part:
+    DDL = "part bigint, pairs binary, counts binary, labels binary, langs array<string>"
+
+    @staticmethod
+    def packed(rows: pa.Table) -> pa.Table:
+        """A part's texts, hashed, as one row."""
         rows = in_order(rows)
-        labels = rows["label"].to_numpy().astype(float)
-        langs = np.array(rows["lang"].to_pylist(), object)
-        return cls(Words.hashed(rows["text"].to_pylist()), labels, langs, np.arange(len(labels)) % 4 == 3)
+        words = Words.hashed(rows["text"].to_pylist())
+        columns = {"pairs": words.pairs.astype("<i4"), "counts": words.counts.astype("<i8"), "labels": rows["label"].to_numpy().astype("<i8")}
+        langs = pa.array([rows["lang"].to_pylist()], pa.list_(pa.string()))
+        return pa.table({"part": rows["part"][:1], **{n: [v.tobytes()] for n, v in columns.items()}, "langs": langs})
+
+    @classmethod
+    def of(cls, row: dict) -> Part:
+        counts, labels = np.frombuffer(row["counts"], "<i8"), np.frombuffer(row["labels"], "<i8").astype(float)
+        starts = np.cumsum(counts + GAP) - (counts + GAP)
+        words = Words(np.frombuffer(row["pairs"], "<i4").reshape(-1, 2), starts, counts)
+        return cls(words, labels, np.array(row["langs"], object), np.arange(len(labels)) % 4 == 3)
 
     def learned(self) -> tuple[Words, np.ndarray]:
         return self.words.of(np.flatnonzero(~self.held)), self.labels[~self.held]
@@ -315,7 +326,7 @@ class Part:
 def start(rows: DataFrame, seed: int = 1) -> Network:
     """The network before training, from the evidence of all parts."""
 
-    def count(part: pa.Table) -> pa.Table:
+    def count(part: dict) -> pa.Table:
         words, labels = Part.of(part).learned()
         seen = np.concatenate([evidence(words, labels), np.zeros((2, 1))], axis=1)
         seen[:, -1] = (labels == 0).sum(), (labels == 1).sum()
@@ -323,7 +334,7 @@ def start(rows: DataFrame, seed: int = 1) -> Network:
         return pa.table({"label": label, "bucket": bucket, "n": seen[label, bucket].astype(np.int64)})
 
     ddl = "label bigint, bucket bigint, n bigint"
-    counted = rows.groupBy("part").applyInArrow(lambda t: count(t), ddl).groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    counted = each_part(rows, count, ddl).groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     found, seen = counted.toArrow(), np.zeros((2, BUCKETS + 1))  # at most a row per cell of ``seen``
     seen[found["label"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     return Network.starting(seen[:, :-1], np.repeat([0, 1], seen[:, -1].astype(np.int64)), seed)
@@ -333,12 +344,12 @@ def trained(rows: DataFrame, net: Network, epochs: int) -> Network:
     """One round: every part trains a copy of the network, and what they change is averaged."""
     shared = rows.sparkSession.sparkContext.broadcast(net)
 
-    def run(part: pa.Table) -> pa.Table:
-        before, number = shared.value, part["part"][0].as_py()
+    def run(part: dict) -> pa.Table:
+        before, number = shared.value, part["part"]
         after = train(*Part.of(part).learned(), epochs, 1 + number, before.copy())
         touched = np.flatnonzero((after.embedding != before.embedding).any(axis=1))
         dense = np.concatenate([p.ravel() for p in after.dense] + [[after.bias]])
-        values = [v.tobytes() for v in after.embedding[touched].astype(np.float64)] + [dense.astype(np.float64).tobytes()]
+        values = [v.tobytes() for v in after.embedding[touched]] + [dense.astype(np.float32).tobytes()]
         return pa.table({"part": np.full(len(values), number), "place": np.append(touched, -1), "value": values})
 
     def mean(some: pa.Table) -> pa.Table:
@@ -346,15 +357,15 @@ def trained(rows: DataFrame, net: Network, epochs: int) -> Network:
         place, first, n = np.unique(some["place"].to_numpy(), return_index=True, return_counts=True)
         data, values = some["value"].to_pylist(), []
         for at, size in zip(first.tolist(), n.tolist()):
-            values.append((sum(np.frombuffer(d) for d in data[at : at + size]) / size).tobytes())
+            values.append(np.mean([np.frombuffer(d, np.float32) for d in data[at : at + size]], axis=0, dtype=np.float64).astype(np.float32).tobytes())
         return pa.table({"place": place, "value": values})
 
-    made = rows.groupBy("part").applyInArrow(lambda t: run(t), "part bigint, place bigint, value binary")
+    made = each_part(rows, run, "part bigint, place bigint, value binary")
     found = made.groupBy(F.pmod("place", F.lit(AVERAGING))).applyInArrow(lambda t: mean(t), "place bigint, value binary").toArrow()
     shared.destroy()
     net = net.copy()
     for place, value in zip(found["place"].to_pylist(), found["value"].to_pylist()):  # a row per bucket at most
-        value = np.frombuffer(value)
+        value = np.frombuffer(value, np.float32)
         if place >= 0:
             net.embedding[place] = value
             continue
@@ -369,13 +380,13 @@ def calibration(rows: DataFrame, net: Network) -> pa.Table:
     examples are told apart."""
     shared = rows.sparkSession.sparkContext.broadcast(net)
 
-    def run(part: pa.Table) -> pa.Table:
+    def run(part: dict) -> pa.Table:
         part = Part.of(part)
         at = np.flatnonzero(part.held)
         cells = np.rint(shared.value.logits(part.words.of(at)).astype(float) * CELLS).astype(np.int64) if len(at) else at
         return pa.table({"lang": pa.array(part.langs[at].tolist(), pa.string()), "label": part.labels[at].astype(np.int64), "cell": cells})
 
-    held = stored(rows.groupBy("part").applyInArrow(lambda t: run(t), "lang string, label bigint, cell bigint"), "held")
+    held = stored(each_part(rows, run, "lang string, label bigint, cell bigint"), "held")
     shared.destroy()
     enough = held.groupBy("lang").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
     enough = enough.filter(f"toxic >= {LEAST_EXAMPLES} AND n - toxic >= {LEAST_EXAMPLES}").select("lang", F.lit(True).alias("enough"))
@@ -391,6 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_part: int = TEXTS_PER_PART, epoc
     if min(counts.get(0, 0), counts.get(1, 0)) < 4:
         share = counts.get(1, 0) / total if total else 0.0
         return ToxicityModel(None, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
+    rows = packed(rows, Part.packed, Part.DDL)
     net, rounds = start(rows), 1 if parts == 1 else ROUNDS
     for _ in range(rounds):
         net = trained(rows, net, max(1, epochs // rounds))
