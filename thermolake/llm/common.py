@@ -166,7 +166,7 @@ def labelled_parts(docs: DataFrame, labels: DataFrame, per_part: int) -> tuple[d
     found = rows.groupBy("label").agg(F.sum("times").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     parts = max(1, math.ceil(sum(r["rows"] for r in found) / per_part))
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id", "text"), F.lit(parts)).cast("bigint")
-    return {r["label"]: r["n"] for r in found}, rows.withColumn("part", part), parts
+    return {r["label"]: r["n"] for r in found}, rows.withColumns({"part": part, "place": F.xxhash64("doc_id")}), parts
 
 
 def packed(rows: DataFrame, make: Callable[[pa.Table], pa.Table], ddl: str) -> DataFrame:
@@ -187,8 +187,7 @@ def each_part(parts: DataFrame, run: Callable[[dict], pa.Table], ddl: str) -> Da
 
 def in_order(part: pa.Table) -> pa.Table:
     """Rows of a part by label, then by a hash of the id."""
-    keys = pa.array([xxhash.xxh3_64_intdigest(str(i)) for i in part["doc_id"].to_pylist()], pa.uint64())
-    return part.append_column("place", keys).sort_by([(c, "ascending") for c in ("label", "place", "doc_id", "text")])
+    return part.sort_by([(c, "ascending") for c in ("label", "place", "doc_id", "text")])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
