@@ -1,8 +1,10 @@
 """Every registered query against its SQL, and the driver contract."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from thermolake.operators.dense import hashing_embedder
 from thermolake.plans import inputs
 from tools.check_oracles import compare, connect
 
@@ -38,3 +40,13 @@ def test_searches_take_every_50th_id_against_all_rows(spark, tmp_path):
     assert inputs.vectors(spark, str(tmp_path)).count() == 121
     asked = [r.query_id for r in inputs.turns(spark, str(tmp_path)).collect()]
     assert sorted(asked) == ["0-0", "0-1", "100-0", "100-1", "50-0", "50-1"]
+
+
+def test_the_index_of_the_queries_stores_no_vectors(spark, sf_dir):
+    """Vectors come from the tokens when a search reads the chunks, the same as those of the texts."""
+    index = inputs.text_index(spark, sf_dir)
+    assert "embedding" not in index.chunks().columns
+    made = inputs.embedded_chunks(index).select("id", "embedding").limit(50)
+    of_text = hashing_embedder()(index.chunks().drop("tokens")).select("id", F.col("embedding").alias("of_text"))
+    rows = made.join(of_text, "id").collect()
+    assert len(rows) == 50 and all(r.embedding == r.of_text for r in rows)
