@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +51,23 @@ def test_the_index_of_the_queries_stores_no_vectors(spark, sf_dir):
     of_text = hashing_embedder()(index.chunks().drop("tokens")).select("id", F.col("embedding").alias("of_text"))
     rows = made.join(of_text, "id").collect()
     assert len(rows) == 50 and all(r.embedding == r.of_text for r in rows)
+
+
+def test_events_of_one_row_group_are_dealt_out(spark, tmp_path, monkeypatch):
+    """A file of many splits whose rows are all in one row group gives every task a share of the rows."""
+    rows = spark.range(20_000).selectExpr(
+        "id as event_id", "timestamp_seconds(id) as ts", "id % 50 as user_id", "'view' as event_type", "id / 7 as value", "concat('{\"k\": ', id, '}') as props"
+    )
+    pq.write_table(rows.toArrow(), f"{tmp_path}/events.parquet", row_group_size=20_000)
+    monkeypatch.setattr(inputs, "EVENTS_PER_TASK", 1_000, raising=False)
+    settings = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
+    usual = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        topic = inputs.topic(spark, str(tmp_path))
+        of_task = [r["count"] for r in topic.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+    assert sum(of_task) == 20_000 and max(of_task) <= 1_500
