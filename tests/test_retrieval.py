@@ -277,6 +277,21 @@ def test_pruned_search_equals_a_scan_of_all_chunks(spark, tmp_path, monkeypatch,
     assert work.read_blocks < work.stored_blocks and work.scored < work.of_terms
 
 
+def test_chunks_stay_where_they_lie_and_ties_follow_the_corpus(spark, tmp_path):
+    """Neither chunks nor postings are put in order to be written, tokens are not stored, and of equal texts
+    the first ones of the corpus are found, wherever they lie."""
+    texts = dict(enumerate(["same words here"] * 40 + [f"w{i} other" for i in range(80)]))
+    rows = keyed(spark, dict(reversed(texts.items()))).coalesce(1)
+    index = B.TextIndex.build(D.chunk(rows, 1), f"{tmp_path}/i")
+    stored = spark.read.parquet(f"{tmp_path}/i/chunks/segment=0")
+    assert "tokens" not in stored.columns and "tokens" in index.chunks().columns
+    lying = [r.doc_id for r in stored.orderBy("no").collect()]
+    assert lying == [str(d) for d in reversed(range(120))]
+    asked = spark.createDataFrame([(0, "same words")], "query_id bigint, query string")
+    found = B.bm25_search(index, asked, k=5).orderBy("rank").collect()
+    assert [r.id for r in found] == [f"{d}#c00" for d in range(5)]
+
+
 def test_blocks_hold_all_postings_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(P, "SHARD_BITS", 3)
     monkeypatch.setattr(P, "GATHERED_TOKENS", 25)
