@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -155,3 +156,42 @@ def test_rows_of_counts_come_back():
     back, first, second, *counts = K.unpacked(numbering.row(rarer, columns, n, n[::-1]))
     assert [numbering.hashes(back, c).tolist() for c in (first, second)] == [numbering.hashes(rarer, c).tolist() for c in columns]
     assert [c.tolist() for c in counts] == [n.tolist(), n[::-1].tolist()]
+
+
+def test_counts_are_stored_only_in_the_files_of_the_model(spark, some_docs):
+    def folders():
+        return {p.name for p in Path(K.shared_path(spark, "any")).parent.glob("*")}
+
+    before = folders()
+    model = K.train(some_docs.select("doc_id", "text").limit(30), bucket_bytes=20_000)
+    assert model.buckets > 2 and folders() - before == {Path(model.folder).name}
+
+
+def test_buckets_of_words_only_pass_on_the_sums(spark):
+    """More buckets than contexts: many have nothing of an order but sums of longer ones."""
+    texts = ["a b a c", "b a b " + "x " * 700, "d", "x y " * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    brute, model = Brute(texts, 3), K.train(docs, 3, bucket_bytes=40)
+    assert model.buckets > 40 and (model.tokens, model.vocabulary) == (brute.n, brute.vocabulary)
+    for row in K.score(docs, model).collect():
+        assert math.isclose(row["score"], brute.score(texts[row["doc_id"]]), rel_tol=1e-9)
+        assert math.isclose(row["base_score"], brute.base(texts[row["doc_id"]]), rel_tol=1e-9)
+
+
+def test_a_context_takes_five_bytes_and_all_kinds_come_back():
+    n = 1 + np.arange(600, dtype=np.int64)
+    once = np.arange(10_000, dtype=np.uint64)
+    context = np.concatenate([once, 20_000 + np.arange(600, dtype=np.uint64)])
+    data = np.frombuffer(K.longer_file(context, np.ones_like(context), np.concatenate([np.ones(10_000, np.int64), n])), np.uint8)
+    directories, tables = 2 * 4 * ((1 << 16) + 1), 600 * (8 + 3 * 4)
+    assert len(data) <= directories + tables + len(context) * (5 + 5) + 600 * (4 + 8) * 2 + 8 * 2 * len(K.HashFile.KINDS[2])
+    file, at = K.HashFile.__new__(K.HashFile), 0
+    file.arrays = []
+    for kind in K.HashFile.KINDS[2]:
+        count, size = int(data[at : at + 8].view("<i8")[0]), np.dtype(kind).itemsize
+        file.arrays.append(data[at + 8 : at + 8 + count * size].view(kind))
+        at += 8 + -(-count * size // 8) * 8
+    total, kinds = file.contexts(context)
+    assert total.tolist() == [1] * 10_000 + n.tolist()
+    assert [k[10_000:].tolist() for k in kinds] == [(n == 1).tolist(), (n == 2).tolist(), (n > 2).tolist()]
+    assert file.counts(K.key_of(context, np.ones_like(context))).tolist() == total.tolist()

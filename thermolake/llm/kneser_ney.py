@@ -3,18 +3,20 @@
 Counting: the most frequent words, at most ``COMMON_WORDS`` of them, are numbered by falling
 frequency. A task numbers the rarer words it sees behind them, counts n-grams of these numbers, and
 deals the sorted counts into buckets by a hash of the context (the words before the last one). A row
-of a bucket has the hashes of its rarer words once and its n-grams as columns of numbers, cut into
-byte planes and compressed. The numbers only shorten what travels: rare and common words count alike. A bucket sums its rows, so that it has all n-grams of its
+of a bucket has the hashes of its rarer words once and its n-grams as columns of steps between sorted
+numbers, cut into byte planes and compressed. The numbers only shorten what travels: rare and common words count alike. A bucket sums its rows, so that it has all n-grams of its
 contexts. It writes one file of sorted hash arrays, and passes on, for the next shorter order, in how
-many different contexts each shorter n-gram was seen (its continuation count). Each order is stored
-before the next one begins. The number of buckets follows the size of the corpus; files are named by
+many different contexts each shorter n-gram was seen (its continuation count). These counts travel to
+the next order's buckets once and are stored nowhere else; the sums of a finished order go along with
+them. The number of buckets follows the size of the corpus; files are named by
 order and bucket, and nothing but sums over the corpus returns to the driver.
 
 A file of order 2 and above holds 48-bit hashes of its n-grams as a directory of the upper 16 bits
 and a sorted array of the lower 32, their counts, and in the same form its contexts, each with the number of
 its kind: a kind is a total and how many n-grams have a count of 1, 2, and 3 or more, so contexts seen
-once are all of one kind. A file of order 1 has sorted 64-bit word hashes with continuation and plain
-counts. Workers map the files into memory and look up the n-grams of many texts at a time, bucket by
+once are all of one kind. Counts and kinds take a byte each; the few that need more are kept apart, and
+the kinds of most contexts have the lowest numbers. A file of order 1 has sorted 64-bit word hashes with continuation and plain
+counts, in the same bytes. Workers map the files into memory and look up the n-grams of many texts at a time, bucket by
 bucket; a bucket without n-grams has no file.
 
 Probability of a word w after a context h, from the longest order down:
@@ -46,7 +48,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermolake.llm.common import file_exists, mix, open_file, prepare, shared_path, stored, word_hashes, words, write_once
+from thermolake.llm.common import file_exists, mix, open_file, prepare, shared_path, word_hashes, words, write_once
 
 ORDER = 3
 # Training text per bucket, which bounds a bucket's group and file.
@@ -55,7 +57,7 @@ BUCKET_BYTES = 16 << 20
 HELD_TOKENS = 4_000_000
 # Files that a worker keeps mapped.
 OPEN_FILES = 4096
-# Counts from here on are kept apart in a file.
+# Counts and kinds from here on are kept apart in a file.
 LARGE = 0xFF
 
 # No word contains a space.
@@ -168,30 +170,40 @@ class Numbering:
         first = len(self.common)
         used = np.unique(np.concatenate([c[c >= first] for c in columns]))
         columns = [np.where(c >= first, first + np.searchsorted(used, c), c) for c in columns]
-        parts = [rarer[used - first], np.diff(columns[0], prepend=0), *columns[1:], n, plain]
-        return zstandard.compress(b"".join(map(planes, parts)), 3)
+        return compressed([ascending(rarer[used - first]), *steps(columns), n, plain])
 
 
-def common_words(docs: DataFrame, order: int) -> np.ndarray:
-    """Hashes of the most frequent words, markers included, by falling frequency (ties: by hash)."""
+def common_words(docs: DataFrame, order: int, buckets: int) -> np.ndarray:
+    """Hashes of the most frequent words, markers included, by falling frequency (ties: by hash).
+
+    A task's counts travel like n-grams, in buckets by the upper bits of the hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tokens = [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             word, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+            bucket = ((word >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            bounds = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                yield counts_row(int(bucket[a]), data=compressed([ascending(word[a:b]), n[a:b]]))
 
         for batch in batches:
             held.append(marked_words(batch["text"].to_pylist(), order)[0])
             tokens += len(held[-1])
             if tokens >= HELD_TOKENS:
-                yield flush()
+                yield from flush()
                 held, tokens = [], 0
         if tokens:
-            yield flush()
+            yield from flush()
 
-    counts = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    def summed(group: pa.Table) -> pa.Table:
+        word, n = (np.concatenate(c) for c in zip(*map(arrays, group["data"].to_pylist())))
+        order, first = group_sorted(word)
+        return pa.table({"word": word[order[first]].view(np.int64), "n": np.add.reduceat(n[order], first, dtype=np.int64)})
+
+    counts = docs.select("text").mapInArrow(run, COUNTS_DDL).groupBy("bucket").applyInArrow(summed, "word bigint, n bigint")
     top = counts.orderBy(F.desc("n"), "word").limit(COMMON_WORDS).select("word").toArrow()
     return top["word"].to_numpy().view(np.uint64)
 
@@ -203,8 +215,17 @@ def planes(values: np.ndarray) -> bytes:
     return struct.pack("<qb", len(wide), width) + wide.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def unpacked(data: bytes) -> list[np.ndarray]:
-    """Hashes of rarer words, columns, counts and plain counts."""
+def compressed(values: list[np.ndarray]) -> bytes:
+    return zstandard.compress(b"".join(map(planes, values)), 3)
+
+
+def ascending(hashes: np.ndarray) -> np.ndarray:
+    """Steps between sorted hashes."""
+    return np.diff(hashes, prepend=np.uint64(0))
+
+
+def arrays(data: bytes) -> list[np.ndarray]:
+    """What was compressed: hashes first, then other numbers."""
     raw, at, out = zstandard.decompress(data), 0, []
     while at < len(raw):
         count, width = struct.unpack_from("<qb", raw, at)
@@ -212,9 +233,35 @@ def unpacked(data: bytes) -> list[np.ndarray]:
         wide = np.zeros((count, 8), np.uint8)
         wide[:, :width] = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count).T
         values = wide.view("<u8")[:, 0]
-        out.append(values if len(out) == 0 else values.astype(np.int64 if width > 3 else np.int32))
+        out.append(values.astype(np.int64 if width > 3 else np.int32) if out else np.cumsum(values))
         at += count * width
-    return [out[0], np.cumsum(out[1]), *out[2:]]
+    return out
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    """Hashes of rarer words, columns, counts and plain counts."""
+    out = arrays(data)
+    return [out[0], *from_steps(out[1:-2]), *out[-2:]]
+
+
+def steps(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Sorted rows of numbers: the step from the row before where all earlier columns stay equal, else the number."""
+    same, out = np.arange(len(columns[0])) > 0, []
+    for column in columns:
+        step = np.diff(column, prepend=0)
+        out.append(np.where(same, step, column))
+        same = same & (step == 0)
+    return out
+
+
+def from_steps(columns: list[np.ndarray]) -> list[np.ndarray]:
+    same, out = np.arange(len(columns[0])) > 0, []
+    for step in columns:
+        sums, whole = np.cumsum(step), np.flatnonzero(~same)
+        before = np.repeat(sums[whole] - step[whole], np.diff(whole, append=len(step)))
+        out.append((sums - before).astype(np.int32))
+        same = same & (step == 0)
+    return out
 
 
 def deal(buckets: int, numbering: Numbering, rarer: np.ndarray, columns: list[np.ndarray], n: np.ndarray, plain: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -275,8 +322,8 @@ class HashFile:
     """The arrays of a file, without copying them."""
 
     KINDS = {
-        1: ("<u8", "<u4", "<u8"),
-        2: ("<u4", "<u4", "<u1", "<u4", "<u8", "<u4", "<u4", "<u2", "<u2", "<u8", "<u4", "<u4", "<u4"),
+        1: ("<u8", "<u1", "<u4", "<u8", "<u1", "<u4", "<u8"),
+        2: ("<u4", "<u4", "<u1", "<u4", "<u8", "<u4", "<u4", "<u1", "<u4", "<u8", "<u8", "<u4", "<u4", "<u4"),
     }
 
     def __init__(self, path: str, level: int):
@@ -294,10 +341,11 @@ class HashFile:
 
     def words(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Continuation and plain counts; 0 for an unknown word."""
-        known, n, plain = self.arrays
+        known, *counts = self.arrays
         at = np.minimum(np.searchsorted(known, word), max(0, len(known) - 1))
         hit = known[at] == word
-        return np.where(hit, n[at], 0).astype(np.int64), np.where(hit, plain[at], 0).astype(np.int64)
+        n, plain = (np.where(hit, self.numbers(at, *c), 0) for c in (counts[:3], counts[3:]))
+        return n, plain
 
     @staticmethod
     def places(directory: np.ndarray, lower: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,22 +363,25 @@ class HashFile:
         at = np.minimum(low, len(lower) - 1)
         return at, (low < end) & (lower[at] == value)
 
-    def counts(self, key: np.ndarray) -> np.ndarray:
-        """Counts of n-grams by their hash."""
-        directory, lower, counts, large_at, large = self.arrays[:5]
-        at, hit = self.places(directory, lower, key)
-        out = np.where(hit, counts[at], 0).astype(np.int64)
+    @staticmethod
+    def numbers(at: np.ndarray, small: np.ndarray, large_at: np.ndarray, large: np.ndarray) -> np.ndarray:
+        """Whole numbers at these places, see ``small_and_large``."""
+        out = small[at].astype(np.int64)
         big = np.flatnonzero(out == LARGE)
         out[big] = large[np.searchsorted(large_at, at[big])]
         return out
 
+    def counts(self, key: np.ndarray) -> np.ndarray:
+        """Counts of n-grams by their hash."""
+        directory, lower, *counts = self.arrays[:5]
+        at, hit = self.places(directory, lower, key)
+        return np.where(hit, self.numbers(at, *counts), 0)
+
     def contexts(self, context: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Total per context (0 if unknown) and its n-grams with counts 1, 2, and 3 or more."""
-        directory, lower, kind, upper, total, *kinds = self.arrays[5:]
+        directory, lower, *which, total, k1, k2, k3 = self.arrays[5:]
         at, hit = self.places(directory, lower, mix(context))
-        which = kind[at].astype(np.int64)
-        if len(upper):
-            which += upper[at].astype(np.int64) << 16
+        which, kinds = self.numbers(at, *which), (k1, k2, k3)
         return np.where(hit, total[which], 0).astype(np.int64), [np.where(hit, k[which], 0) for k in kinds]
 
 
@@ -344,27 +395,32 @@ def hash_arrays(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def context_kinds(total: np.ndarray, kinds: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The number of each context's kind and the table of kinds; kind 0 is that of a total of 1."""
+    """The number of each context's kind and the table of kinds: kind 0 is that of a total of 1, then by falling frequency."""
     which = np.zeros(len(total), np.int64)
     more = np.flatnonzero(total > 1)
     values = [np.asarray(v)[more] for v in (total, *kinds)]
     order, first = group_sorted(*values)
-    which[more[order]] = np.repeat(np.arange(1, len(first) + 1), np.diff(first, append=len(order)))
-    return which, [np.concatenate([[one], v[order[first]]]) for one, v in zip((1, 1, 0, 0), values)]
+    n = np.diff(first, append=len(order))
+    frequent = np.argsort(-n, kind="stable")
+    which[more[order]] = np.repeat(1 + np.argsort(frequent), n)
+    return which, [np.concatenate([[one], v[order[first[frequent]]]]) for one, v in zip((1, 1, 0, 0), values)]
+
+
+def small_and_large(values: np.ndarray) -> list[np.ndarray]:
+    """A byte per whole number, and the places and values of those that do not fit."""
+    large = np.flatnonzero(values >= LARGE)
+    return [np.minimum(values, LARGE), large, values[large]]
 
 
 def longer_file(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
     key = key_of(context, word)
     order = np.argsort(key)
-    count = n[order]
-    large = np.flatnonzero(count >= LARGE)
-    arrays = [*hash_arrays(key[order]), np.minimum(count, LARGE), large, count[large]]
+    arrays = [*hash_arrays(key[order]), *small_and_large(n[order])]
     starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
     key = mix(context[starts])
     which, table = context_kinds(np.add.reduceat(n, starts), [np.add.reduceat(k, starts, dtype=np.int64) for k in (n == 1, n == 2, n >= 3)])
     order = np.argsort(key)
-    upper = which[order] >> 16 if len(table[0]) > 1 << 16 else which[:0]
-    arrays += [*hash_arrays(key[order]), which[order] & 0xFFFF, upper, *table]
+    arrays += [*hash_arrays(key[order]), *small_and_large(which[order]), *table]
     return b"".join(section(a.astype(kind)) for a, kind in zip(arrays, HashFile.KINDS[2]))
 
 
@@ -373,11 +429,17 @@ def file_name(level: int, bucket: int) -> str:
 
 
 def merged(level: int, buckets: int, folder: str, common: Broadcast):
-    """Sum a bucket's counts of this order, write its file, and count for the next shorter order."""
+    """Sum a bucket's counts of this order, write its file, and count for the next shorter order.
+
+    Sums of the longer orders are passed on.
+    """
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        parts = [unpacked(data) for data in group["data"].to_pylist()]
+        longer = [counts_row(**r) for r in group.select(["bucket", "level", "stats"]).to_pylist() if r["stats"]]
+        parts = [unpacked(data) for data in group["data"].drop_null().to_pylist()]
+        if not parts:
+            return pa.Table.from_batches(longer, COUNTS_SCHEMA)
         numbering = Numbering(common.value)
         rarer, joined = numbering.of_rows([p[0] for p in parts], [np.concatenate(p[1 : level + 1]) for p in parts])
         cut = [np.split(column, level) for column in joined]
@@ -391,7 +453,8 @@ def merged(level: int, buckets: int, folder: str, common: Broadcast):
         word = numbering.hashes(rarer, columns[-1])
         if level == 1:
             order = np.argsort(word)
-            data = b"".join(section(a[order].astype(kind)) for a, kind in zip((word, n, plain), HashFile.KINDS[1]))
+            values = [word[order], *small_and_large(n[order]), *small_and_large(plain[order])]
+            data = b"".join(section(a.astype(kind)) for a, kind in zip(values, HashFile.KINDS[1]))
             rows = []
         else:
             data = longer_file(context_hash([numbering.hashes(rarer, c) for c in columns[:-1]]), word, n)
@@ -401,7 +464,7 @@ def merged(level: int, buckets: int, folder: str, common: Broadcast):
             rows = list(deal(buckets, numbering, rarer, [c[order[first]] for c in shorter], seen, np.add.reduceat(plain[order], first)))
         write_once(folder, file_name(level, bucket), data)
         stats = [*((n == c).sum() for c in (1, 2, 3, 4)), len(n), n.sum(), plain.sum()]
-        return pa.Table.from_batches([*rows, counts_row(bucket, level=level, stats=[int(v) for v in stats])], COUNTS_SCHEMA)
+        return pa.Table.from_batches([*rows, *longer, counts_row(bucket, level=level, stats=[int(v) for v in stats])], COUNTS_SCHEMA)
 
     return run
 
@@ -437,13 +500,14 @@ def train(docs: DataFrame, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     folder = shared_path(spark, "language-model")
-    common = spark.sparkContext.broadcast(common_words(docs, order))
-    rows, sums = counted(docs, order, buckets, common), {}
+    common = spark.sparkContext.broadcast(common_words(docs, order, buckets))
+    rows = counted(docs, order, buckets, common)
     for level in range(order, 0, -1):
-        spread = rows.filter("data is not null").repartition(min(buckets, MERGE_TASKS), "bucket")
-        rows = stored(spread.groupBy("bucket").applyInArrow(merged(level, buckets, folder, common), COUNTS_DDL), "language-model-counts")
-        of_corpus = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(7)]
-        sums[level] = np.array(rows.filter("stats is not null").agg(*of_corpus).first(), np.int64)
+        spread = rows.repartition(min(buckets, MERGE_TASKS), "bucket")
+        rows = spread.groupBy("bucket").applyInArrow(merged(level, buckets, folder, common), COUNTS_DDL)
+    # One run over all orders: what is left are the sums of every bucket and order.
+    of_corpus = rows.groupBy("level").agg(*[F.sum(F.col("stats")[i]) for i in range(7)]).collect()
+    sums = {level: np.zeros(7, np.int64) for level in range(1, order + 1)} | {r[0]: np.array(r[1:], np.int64) for r in of_corpus}
     common.destroy()
     one, two, _, _, vocabulary, total, tokens = sums[1].tolist()
     return Model(
