@@ -55,6 +55,8 @@ ORDER = 3
 BUCKET_BYTES = 16 << 20
 # N-grams that a task counts before it sends them on.
 HELD_TOKENS = 4_000_000
+# Words that are looked up at a time.
+PIECE = 1 << 18
 # Files that a worker keeps mapped.
 OPEN_FILES = 4096
 # Counts and kinds from here on are kept apart in a file.
@@ -124,7 +126,9 @@ def equal_rows(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.nda
     for column in columns[1:]:
         key = key << np.uint64(bits) | column.astype(np.uint64)
     order = np.argsort(key)
-    return order, np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    ranked, change = key[order], np.ones(len(order), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=change[1:])
+    return order, np.flatnonzero(change)
 
 
 class Numbering:
@@ -136,13 +140,16 @@ class Numbering:
 
     def of_texts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rarer words, and the number of every word."""
-        distinct, inverse = np.unique(hashes, return_inverse=True)
+        distinct = np.unique(hashes)
         at = np.minimum(np.searchsorted(self.sorted, distinct), max(0, len(self.sorted) - 1))
         known = self.sorted[at] == distinct if len(self.sorted) else np.zeros(len(distinct), bool)
         numbers = np.empty(len(distinct), np.int32)
         numbers[known] = self.rank[at[known]]
         numbers[~known] = len(self.common) + np.arange(int((~known).sum()))
-        return distinct[~known], numbers[inverse]
+        out = np.empty(len(hashes), np.int32)
+        for a in range(0, len(hashes), PIECE):  # an index of all words at once would be the largest array here
+            out[a : a + PIECE] = numbers[np.searchsorted(distinct, hashes[a : a + PIECE])]
+        return distinct[~known], out
 
     def of_rows(self, rarer: list[np.ndarray], columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
         """Rarer words of several rows together, and each row's numbers (any columns, joined) among them."""
@@ -268,6 +275,7 @@ def deal(buckets: int, numbering: Numbering, rarer: np.ndarray, columns: list[np
     """Sorted counts as one row per bucket. Columns: the words before, nearest first, and the word."""
     owner = context_hash([numbering.hashes(rarer, c) for c in columns[:-1] or columns])
     bucket = (owner % np.uint64(buckets)).astype(np.int32)
+    del owner
     order = np.argsort(bucket, kind="stable")
     bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     for a, b in zip(bounds[:-1], bounds[1:]):
@@ -288,20 +296,23 @@ def counted(docs: DataFrame, order: int, buckets: int, common: Broadcast) -> Dat
         tokens = places = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rarer, numbers = numbering.of_texts(np.concatenate([flat for flat, _ in held]))
-            at = np.concatenate([at for _, at in held])
+            flat, at = np.concatenate([flat for flat, _ in held]), np.concatenate([at for _, at in held])
             held.clear()
+            rarer, numbers = numbering.of_texts(flat)
+            del flat
             columns = [*(numbers[at - j] for j in range(1, order)), numbers[at]]
             del at, numbers
             rank, first = equal_rows(columns, len(numbering.common) + len(rarer))
             n = np.diff(first, append=len(rank))
-            one = rank[first]
+            first = rank[first]
             del rank
-            yield from deal(buckets, numbering, rarer, [c[one] for c in columns], n, n)
+            columns = [c[first] for c in columns]
+            del first
+            yield from deal(buckets, numbering, rarer, columns, n, n)
 
         for batch in batches:
             flat, at, _ = marked_words(batch["text"].to_pylist(), order)
-            held.append((flat, at + places))
+            held.append((flat, (at + places).astype(np.int32)))
             places += len(flat)
             tokens += len(at)
             if tokens >= HELD_TOKENS:
