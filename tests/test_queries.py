@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ def test_every_vector_is_a_query_against_all_rows(spark, tmp_path):
     assert inputs.vectors(spark, str(tmp_path)).count() == 121
 
 
+def test_work_counts_every_pair_of_vectors(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    vectors = [(i, rng.normal(size=4).tolist()) for i in range(1, 121)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert entry.queries()["dense_work"](spark, str(tmp_path)).first().pairs == 120 * 120
+
+
 def test_every_turn_is_a_query(spark, tmp_path):
     turns = [(i, t, f"turn {t} of {i}") for i in range(101) for t in range(2)]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, text string").write.parquet(f"{tmp_path}/conversations.parquet")
