@@ -20,6 +20,7 @@ from thermolake.operators import dense as V
 from thermolake.operators import fusion as X
 from thermolake.operators import postings as P
 from thermolake.operators import quality  # noqa: F401
+from thermolake.operators import term_scan as T
 from thermolake.session import checkpoint_dir
 
 from tests.test_quality import HEALTHY, gold
@@ -277,6 +278,46 @@ def test_pruned_search_equals_a_scan_of_all_chunks(spark, tmp_path, monkeypatch,
     assert work.read_blocks < work.stored_blocks and work.scored < work.of_terms
 
 
+@pytest.mark.parametrize("group,tile,share", [(512, 1024, 0.0035), (7, 16, 0.2)])
+def test_many_queries_are_searched_by_a_scan_with_the_same_hits(spark, tmp_path, monkeypatch, group, tile, share):
+    for name, value in (("GROUP", group), ("TILE", tile), ("COLUMN_SHARE", share)):
+        monkeypatch.setattr(T, name, value)
+    texts = random_texts(8, 400)
+    index = index_of(spark, texts, f"{tmp_path}/i")
+    queries = [*texts[:40], "w0", "w0 w1 w2", "w399 w0", "none", "", "w5 w5 w5 w300"]
+    asked = spark.createDataFrame([(f"q{i}", q) for i, q in enumerate(queries)], "query_id string, query string")
+    monkeypatch.setattr(B, "MANY_QUERIES", len(queries))
+    monkeypatch.setattr(B, "postings_searches", lambda *a: pytest.fail("postings are read"))
+    for k in (1, 8, 60):
+        assert hits_by_query(B.bm25_search(index, asked, k=k)) == scanned(index, asked, k)
+
+
+def test_few_pairs_are_scored_twice():
+    """Rough scores leave out most pairs, also where floors have to come from the rows themselves."""
+    texts = [t.split() for t in random_texts(4, 6000, words=3000)]
+    df = {}
+    for words in texts:
+        for w in set(words):
+            df[w] = df.get(w, 0) + 1
+    entries = [(q, w, math.log(len(texts) / df[w]) + 0.1, df[w]) for q, words in enumerate(texts[:50]) for w in sorted(set(words))]
+    rows = pa.table(list(zip(*entries, strict=True)), names=["query_id", "term", "weight", "df"])
+    ids, asked = T.AskedGroups.of(list(range(50)), rows, len(texts))
+    scorer, again = T.TermScorer(asked, 50, 15.0, 1.5, 0.75, 8), []
+    exact = scorer._exact
+    scorer._exact = lambda group, at, *rest: again.append(len(at)) or exact(group, at, *rest)
+    best = {q: [] for q in ids}
+    for low in range(0, len(texts), 1000):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts[low : low + 1000])], ["tokens"])
+        for start, (_, query, score) in scorer(batch, np.full(50, -np.inf)):
+            for q, s in zip(query + start, score, strict=True):
+                best[ids[q]].append(s)
+    assert sum(again) < 0.05 * 50 * len(texts)
+    for q, words in enumerate(texts[:50]):
+        wanted = {w: weight for i, w, weight, _ in entries if i == q}
+        scores = [sum(wanted[w] * (c := t.count(w)) * 2.5 / (c + 1.5 * (0.25 + 0.75 * len(t) / 15.0)) for w in set(t) if w in wanted) for t in texts]
+        assert np.allclose(sorted(best[q])[-8:], sorted(scores)[-8:])
+
+
 def test_chunks_stay_where_they_lie_and_ties_follow_the_corpus(spark, tmp_path):
     """Neither chunks nor postings are put in order to be written, tokens are not stored, and of equal texts
     the first ones of the corpus are found, wherever they lie."""
